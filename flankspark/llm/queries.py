@@ -6,10 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flankspark.llm import quality, secrets
+from flankspark.llm import chat, decontaminate, mixing, quality, secrets, sharding
 from flankspark.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
+#: Parts of the mixture; a source that isn't named has mixing.DEFAULT_WEIGHT.
+WEIGHTS = {"src0": 6, "src1": 3}
+
+
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents"), 8)
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), WEIGHTS, keep=["doc_id", "source"])
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,8 +32,17 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.read_back(chat.render_turns(chat.with_probe(table(spark, sf_dir, "conversations"))))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op6_quality_rules, op7_secret_scans)}
+    return {f.__name__: f for f in (op1_sharding, op3_mixing, op6_quality_rules, op7_secret_scans, op9_decontamination, op10_chat_formatting)}
 
 
 def oracle_sql() -> dict[str, str]:
