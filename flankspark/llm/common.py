@@ -133,5 +133,10 @@ def words_of(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> Words
     return Words(data, starts, starts + sizes, hashes, np.searchsorted(starts, offsets))
 
 
+def times(a: int, b: int) -> np.uint64:
+    """a * b of single numbers, in 64 bits."""
+    return U64(int(a) * int(b) & 0xFFFFFFFFFFFFFFFF)
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)

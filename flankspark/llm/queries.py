@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flankspark.llm import chat, decontaminate, mixing, quality, secrets, sharding
+from flankspark.llm import chat, decontaminate, jaccard, mixing, quality, secrets, sharding
 from flankspark.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), WEIGHTS, keep=["doc_id", "source"])
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.find_components(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", *quality.FIGURES, "base_failed", "kept")
@@ -42,7 +46,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_sharding, op3_mixing, op6_quality_rules, op7_secret_scans, op9_decontamination, op10_chat_formatting)}
+    return {f.__name__: f for f in (op1_sharding, op3_mixing, op4_jaccard_join, op6_quality_rules, op7_secret_scans, op9_decontamination, op10_chat_formatting)}
 
 
 def oracle_sql() -> dict[str, str]:
