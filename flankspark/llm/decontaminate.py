@@ -252,7 +252,7 @@ def _pass(shared, places: dict[str, int]):
             order = np.argsort(document[starts], kind="stable")
             starts, which = starts[order], which[order]
             heads = np.flatnonzero(np.diff(document[starts], prepend=-1))
-            for a, b in zip(heads, np.append(heads[1:], len(starts)), strict=True):
+            for a, b in zip(heads, np.append(heads, len(starts))[1:], strict=True):
                 row, at, phrase = int(document[starts[a]]), place[starts[a:b]], which[a:b]
                 found[row] = at, at + phrases.lengths[phrase], {phrases.ids[i] for p in np.unique(phrase) for i in phrases.owners[p]}
             columns = list(batch.columns)
