@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flankspark.llm import chat, decontaminate, jaccard, mixing, quality, secrets, sharding
+from flankspark.llm import chat, decontaminate, jaccard, language_model, mixing, quality, secrets, sharding
 from flankspark.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -46,7 +50,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_sharding, op3_mixing, op4_jaccard_join, op6_quality_rules, op7_secret_scans, op9_decontamination, op10_chat_formatting)}
+    return {f.__name__: f for f in (op1_sharding, op3_mixing, op4_jaccard_join, op6_quality_rules, op7_secret_scans, op8_lm_scoring, op9_decontamination, op10_chat_formatting)}
 
 
 def oracle_sql() -> dict[str, str]:
