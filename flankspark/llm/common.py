@@ -17,15 +17,17 @@ BATCH_ROWS = 2000
 BLOCK_BYTES = 1 << 21
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Writes df into the checkpoint folder of the session and returns what was written.
-
-    The folder is the one named in spark.checkpoint.dir; only where that is unset, as in tests, a temporary one is set.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in spark.checkpoint.dir, which driver and executors share; a temporary one only where that is unset, as in tests."""
+    context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Writes df into the checkpoint folder of the session and returns what was written."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

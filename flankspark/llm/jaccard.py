@@ -399,9 +399,9 @@ def _open_pairs(stars: DataFrame, tested: DataFrame, labels: DataFrame) -> DataF
     rows = members.join(odd, "sig", "left_semi").join(known, ["a", "b"])
     # Members with the same leader, sizes and distances meet in many buckets; a bucket's pairs are made once for each pair of members.
     x = rows.select("sig", F.col("b").alias("x"), F.col("lb").alias("lx"), F.col("n_b").alias("nx"), F.col("far").alias("fx"), (F.col("la") != F.col("lb")).alias("sx")).where("sx")
-    y = rows.select("sig", F.col("b").alias("y"), F.col("lb").alias("ly"), F.col("n_b").alias("ny"), F.col("far").alias("fy"), (F.col("la") != F.col("lb")).alias("sy"))
+    y = rows.select(F.col("sig").alias("sig_y"), F.col("b").alias("y"), F.col("lb").alias("ly"), F.col("n_b").alias("ny"), F.col("far").alias("fy"), (F.col("la") != F.col("lb")).alias("sy"))
     near = (F.abs(F.col("fx") - F.col("fy")) <= 0.2500001) & (4 * F.least("nx", "ny") >= 3 * F.greatest("nx", "ny"))
-    joined = x.join(y, (x["sig"] == y["sig"]) & (F.col("lx") != F.col("ly")) & (~F.col("sy") | (F.col("x") < F.col("y"))) & near)
+    joined = x.join(y, (F.col("sig") == F.col("sig_y")) & (F.col("lx") != F.col("ly")) & (~F.col("sy") | (F.col("x") < F.col("y"))) & near)
     pairs = joined.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     return cut(pairs.join(tested, ["a", "b"], "left_anti"))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flankspark.llm import chat, decontaminate, jaccard, language_model, mixing, quality, secrets, sharding
+from flankspark.llm import chat, decontaminate, html, jaccard, language_model, mixing, quality, secrets, sharding, urls
 from flankspark.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), 8)
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), WEIGHTS, keep=["doc_id", "source"])
 
@@ -26,6 +30,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.find_components(table(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", *quality.FIGURES, "base_failed", "kept")
@@ -50,7 +58,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_sharding, op3_mixing, op4_jaccard_join, op6_quality_rules, op7_secret_scans, op8_lm_scoring, op9_decontamination, op10_chat_formatting)}
+    return {f.__name__: f for f in (op1_sharding, op2_url_filter, op3_mixing, op4_jaccard_join, op5_html_extraction, op6_quality_rules, op7_secret_scans, op8_lm_scoring, op9_decontamination, op10_chat_formatting)}
 
 
 def oracle_sql() -> dict[str, str]:
