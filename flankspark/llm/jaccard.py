@@ -297,34 +297,35 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_sig, last_node, leader = sig[-1], node[-1], leaders[-1]
 
 
-def _collect_sets(shared):
+def _collect_texts(shared):
+    """(node, text) of the documents that the filter lets through; texts are shorter than their sets once shuffled."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = Filter(shared.value)
         for batch in batches:
             batch = batch.filter(pa.array(wanted.has(as_keys(batch.column(0)))))
-            known: set[int] = set()
-            for _, values, places, ids in _set_batches(batch.column(1)):
-                new = [i for i, node in enumerate(ids.tolist()) if places[i + 1] > places[i] and not (node in known or known.add(node))]
-                if new:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(signed(ids[new])), pa.array([values[places[i] : places[i + 1]].tobytes() for i in new], pa.binary())], names=["node", "items"]
-                    )
+            if batch.num_rows:
+                nodes = np.concatenate([ids for _, _, _, ids in _set_batches(batch.column(1))])
+                full = pa.array(nodes != 0)
+                yield pa.RecordBatch.from_arrays([pa.array(signed(nodes)).filter(full), batch.column(1).filter(full)], names=["node", "text"])
 
     return run
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by a, part and b, the set of a first (b null): (a, b, common, n_a, n_b)."""
+    """Rows sorted by a, part and b, the text of a first (b null): (a, b, common, n_a, n_b)."""
     now, base = None, None
     for batch in batches:
         out = []
-        for a, b, items in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3)), strict=True):
-            if b is None:
-                now, base = a, np.frombuffer(items, U64)
-            elif now == a:
-                other = np.frombuffer(items, U64)
-                at = np.minimum(np.searchsorted(base, other), len(base) - 1)
-                out.append((a, b, int((base[at] == other).sum()), len(base), len(other)))
+        left, right = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+        for first, values, places, _ in _set_batches(batch.column(3)):
+            for i in range(len(places) - 1):
+                a, b, items = left[first + i], right[first + i], values[places[i] : places[i + 1]]
+                if b is None:
+                    now, base = a, items
+                elif now == a:
+                    at = np.minimum(np.searchsorted(base, items), len(base) - 1)
+                    out.append((a, b, int((base[at] == items).sum()), len(base), len(items)))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b", "common", "n_a", "n_b"])
 
@@ -332,13 +333,13 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # ---------------------------------------------------------------- the join
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The exact overlap of each pair (a, b). A set travels once for each of its pairs, a leader's once for PER_TASK of them."""
+def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The exact overlap of each pair (a, b). A text travels once for each of its pairs, a leader's once for PER_TASK of them."""
     degree = pairs.groupBy("a").agg(F.ceil(F.count("*") / PER_TASK).alias("parts"))
-    leaders = degree.join(sets.withColumnRenamed("node", "a"), "a").select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"), "items")
-    others = pairs.join(degree, "a").withColumn("part", F.pmod(F.xxhash64("b"), "parts")).join(sets.withColumnRenamed("node", "b"), "b").select("a", "part", "b", "items")
+    leaders = degree.join(texts.withColumnRenamed("node", "a"), "a").select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"), "text")
+    others = pairs.join(degree, "a").withColumn("part", F.pmod(F.xxhash64("b"), "parts")).join(texts.withColumnRenamed("node", "b"), "b").select("a", "part", "b", "text")
     rows = leaders.unionByName(others).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-    return rows.mapInArrow(_compare, "a long, b long, common long, n_a long, n_b long")
+    return rows.mapInArrow(_compare, "a long, b long, common long, n_a long, n_b long").dropDuplicates(["a", "b"])
 
 
 def linked(tested: DataFrame) -> DataFrame:
@@ -364,14 +365,14 @@ def find_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     involved = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     classes = about.where("node is not null").groupBy("node").agg(F.min("id").alias("id"))
     wanted = spark.sparkContext.broadcast(Filter.of(classes.join(involved, "node", "left_semi").select("id")).bits)
-    sets = cut(slim.mapInArrow(_collect_sets(wanted), "node long, items binary").join(involved, "node", "left_semi").dropDuplicates(["node"]))
+    texts = slim.mapInArrow(_collect_texts(wanted), "node long, text string")
 
-    tested = cut(verify(pairs, sets))
+    tested = cut(verify(pairs, texts))
     edges = linked(tested).select(F.col("a").alias("u"), F.col("b").alias("v"))
     labels = connected_components(edges)
     more = _open_pairs(stars, tested, labels)
     if more is not None:
-        edges = edges.unionByName(linked(verify(more, sets)).select(F.col("a").alias("u"), F.col("b").alias("v")))
+        edges = edges.unionByName(linked(verify(more, texts)).select(F.col("a").alias("u"), F.col("b").alias("v")))
         labels = connected_components(edges)
 
     grouped = classes.join(labels, "node", "left").withColumn("group", F.coalesce("component", "node"))
