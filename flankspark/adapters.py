@@ -43,7 +43,7 @@ ADAPTERS: dict[str, tuple[str, list[str], str]] = {
     "overhangs": (
         "lineitem",
         [
-            "concat('S', cast(l_suppkey % 4 as string)) as sample",
+            "concat('S', cast(l_suppkey as string)) as sample",
             "concat('r', cast(l_orderkey as string), '_', cast(l_linenumber as string)) as read_id",
             "concat('E', cast(l_partkey % 10 as string)) as is_element",
             "case when l_returnflag = 'N' then 'left' else 'right' end as side",
@@ -97,14 +97,14 @@ ADAPTERS: dict[str, tuple[str, list[str], str]] = {
     "placements": (
         "orders",
         [
-            "concat('S', cast(o_custkey % 8 as string)) as sample",
+            "concat('S', cast(cast(floor(o_custkey / 50) as int) as string)) as sample",
             "concat('E', cast(o_orderkey % 7 as string)) as is_element",
             "case when o_orderstatus = 'F' then 'left' else 'right' end as side",
             "cast(o_orderkey % 40 as int) as cluster_id",
             "concat('G', cast(o_custkey % 3 as string)) as ref_genome",
             "'c0' as contig",
             "case when o_orderpriority < '3' then '+' else '-' end as strand",
-            "cast(o_custkey * 53 % 1500 as int) as junction_pos",
+            "cast(o_orderkey * 53 % 900 as int) as junction_pos",
             "cast(floor(o_totalprice) as double) as score",
         ],
         "true",
