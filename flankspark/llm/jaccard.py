@@ -14,8 +14,8 @@ A band takes what its signatures and the sets expected to share them by chance c
 gathered from all documents: each batch reports shingles that several of its texts share, and the sums rank them.
 
 Equal sets are one class. Signatures meet by a shuffle; in a bucket every class is first compared with the least one, exactly, by
-intersecting the sets. Only classes of a bucket that are then still in different components are compared with one another, unless their
-distances to the least class or their sizes rule a link out. So a group of g near copies costs about g comparisons, not g * g.
+intersecting the sets. Only classes that then are still in another component than their least class are compared with the others that
+met it, in blocks of bounded size. So a group of g near copies costs about g comparisons, not g * g, and no pair is a row but a link.
 
 Edge cases: a text with 1 to 4 words has its word sequence as one shingle; null texts and texts without words have an empty set and link
 with nothing; repeated rows and ties fall into one class; documents that repeat an id are judged by row; an empty table gives an empty
@@ -44,6 +44,8 @@ DOUBLING = 16
 FILTER_BITS = 1 << 25
 #: Comparisons with one class that share a task.
 PER_TASK = 512
+#: Strays and members of a leader that are compared in one block, and columns of its incidence at once.
+CHUNK, PART, COLUMNS = 256, 512, 4096
 PARTS = seeds(WIDTH, 41)
 SHORT, BAND, SEGMENT = seeds(3, 43)
 EMPTY = np.iinfo(np.int64).max
@@ -277,7 +279,7 @@ def _sign(shared):
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by sig and node: (sig, leader, member) for each class of a bucket after the first."""
+    """Rows sorted by sig and node: (leader, member) for each class of a bucket after the first."""
     last_sig = last_node = leader = None
     for batch in batches:
         sig, node = (batch.column(k).to_numpy() for k in (0, 1))
@@ -293,7 +295,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leaders = np.where(heads >= 0, node[np.maximum(heads, 0)], leader if leader is not None else 0)
         keep = same & ~repeat
         if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(sig[keep]), pa.array(leaders[keep]), pa.array(node[keep])], names=["sig", "a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(leaders[keep]), pa.array(node[keep])], names=["a", "b"])
         last_sig, last_node, leader = sig[-1], node[-1], leaders[-1]
 
 
@@ -330,6 +332,57 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b", "common", "n_a", "n_b"])
 
 
+def overlaps(values: np.ndarray, places: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many elements each set of left has in common with each of right, by products of their incidence with shared elements."""
+    owner = np.repeat(np.arange(len(places) - 1), np.diff(places))
+    _, column, held = np.unique(values, return_inverse=True, return_counts=True)
+    # An element of one set only is in no overlap.
+    shared = np.flatnonzero(held > 1)
+    number = np.full(len(held), -1, np.int64)
+    number[shared] = np.arange(len(shared))
+    column, owner = number[column], owner
+    keep = column >= 0
+    column, owner = column[keep], owner[keep]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    counts = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, len(shared), COLUMNS):
+        a, b = np.searchsorted(column, (low, low + COLUMNS))
+        block = np.zeros((len(places) - 1, min(COLUMNS, len(shared) - low)), np.float32)
+        block[owner[a:b], column[a:b] - low] = 1
+        counts += block[left] @ block[right].T
+    return counts
+
+
+def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by a, chunk and part: (u, v) of links between members of different components in a block."""
+    key, held = None, []
+
+    def links() -> pa.RecordBatch | None:
+        node, label, is_left, is_right, texts = zip(*held, strict=True)
+        left, right = np.flatnonzero(is_left), np.flatnonzero(is_right)
+        if not len(left) or not len(right):
+            return None
+        parts = [(v, np.diff(p)) for _, v, p, _ in _set_batches(pa.array(texts, pa.string()))]
+        values, sizes = np.concatenate([v for v, _ in parts]), np.concatenate([n for _, n in parts])
+        common = overlaps(values, np.concatenate([[0], np.cumsum(sizes)]), left, right)
+        label, node = np.array(label), np.array(node)
+        near = (100 * common >= 75 * (sizes[left][:, None] + sizes[right][None, :] - common)) & (label[left][:, None] != label[right][None, :])
+        i, j = np.nonzero(near)
+        return pa.RecordBatch.from_arrays([pa.array(node[left[i]], pa.int64()), pa.array(node[right[j]], pa.int64())], names=["u", "v"]) if len(i) else None
+
+    for batch in batches:
+        columns = [c.to_pylist() for c in batch.columns]
+        for *now, node, label, is_left, is_right, text in zip(*columns, strict=True):
+            if now != key:
+                if held and (out := links()) is not None:
+                    yield out
+                key, held = now, []
+            held.append((node, label, is_left, is_right, text))
+    if held and (out := links()) is not None:
+        yield out
+
+
 # ---------------------------------------------------------------- the join
 
 
@@ -359,8 +412,7 @@ def find_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     ranking = spark.sparkContext.broadcast((hashes[order], np.array([c for _, c in top], np.int64)[order]))
 
     signed_rows = slim.mapInArrow(_sign(ranking), "sig long, node long").repartition("sig").sortWithinPartitions("sig", "node")
-    stars = cut(signed_rows.mapInArrow(_meet, "sig long, a long, b long"))
-    pairs = cut(stars.select("a", "b").distinct())
+    pairs = cut(signed_rows.mapInArrow(_meet, "a long, b long").distinct())
 
     involved = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     classes = about.where("node is not null").groupBy("node").agg(F.min("id").alias("id"))
@@ -370,10 +422,9 @@ def find_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     tested = cut(verify(pairs, texts))
     edges = linked(tested).select(F.col("a").alias("u"), F.col("b").alias("v"))
     labels = connected_components(edges)
-    more = _open_pairs(stars, tested, labels)
+    more = _open_links(tested, labels, texts)
     if more is not None:
-        edges = edges.unionByName(linked(verify(more, texts)).select(F.col("a").alias("u"), F.col("b").alias("v")))
-        labels = connected_components(edges)
+        labels = connected_components(edges.unionByName(more))
 
     grouped = classes.join(labels, "node", "left").withColumn("group", F.coalesce("component", "node"))
     least = grouped.groupBy("group").agg(F.min("id").alias("component_id"))
@@ -382,29 +433,32 @@ def find_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
 
 
-def _open_pairs(stars: DataFrame, tested: DataFrame, labels: DataFrame) -> DataFrame | None:
-    """Pairs of a bucket that are in different components after the leaders' comparisons, and that distances and sizes allow."""
-    far = tested.select("a", "b", "n_a", "n_b", (1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("far"))
+def _open_links(tested: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame | None:
+    """Links between classes that met one leader but are in different components after the leaders' comparisons.
+
+    Two classes of a bucket share its leader. So of each leader's members, those outside of its component (the strays) are compared with
+    all others in blocks of bounded size: a member is sent once for each chunk of strays, and no pair is a row unless it is a link.
+    """
     label = labels.select(F.col("node"), F.col("component"))
     known = (
-        far.join(label.select(F.col("node").alias("a"), F.col("component").alias("la")), "a", "left")
+        tested.select("a", "b")
+        .join(label.select(F.col("node").alias("a"), F.col("component").alias("la")), "a", "left")
         .join(label.select(F.col("node").alias("b"), F.col("component").alias("lb")), "b", "left")
-        .withColumns({"la": F.coalesce("la", "a"), "lb": F.coalesce("lb", "b")})
+        .select("a", "b", F.coalesce("lb", "b").alias("label"), (F.coalesce("la", "a") != F.coalesce("lb", "b")).alias("stray"))
     )
-    stray = cut(known.where("la != lb").select("a", "b"))
-    if stray.isEmpty():
+    known = cut(known)
+    held = known.groupBy("a").agg(F.count_if("stray").alias("strays"), F.count("*").alias("members")).where("strays > 0 and members > 1")
+    if held.isEmpty():
         return None
-    # Buckets, by leader and members: those with a stray member and another one.
-    members = stars.groupBy("sig").agg(F.count("*").alias("held")).where("held > 1").join(stars, "sig").drop("held")
-    odd = members.join(stray, ["a", "b"], "left_semi").select("sig").distinct()
-    rows = members.join(odd, "sig", "left_semi").join(known, ["a", "b"])
-    # Members with the same leader, sizes and distances meet in many buckets; a bucket's pairs are made once for each pair of members.
-    x = rows.select("sig", F.col("b").alias("x"), F.col("lb").alias("lx"), F.col("n_b").alias("nx"), F.col("far").alias("fx"), (F.col("la") != F.col("lb")).alias("sx")).where("sx")
-    y = rows.select(F.col("sig").alias("sig_y"), F.col("b").alias("y"), F.col("lb").alias("ly"), F.col("n_b").alias("ny"), F.col("far").alias("fy"), (F.col("la") != F.col("lb")).alias("sy"))
-    near = (F.abs(F.col("fx") - F.col("fy")) <= 0.2500001) & (4 * F.least("nx", "ny") >= 3 * F.greatest("nx", "ny"))
-    joined = x.join(y, (F.col("sig") == F.col("sig_y")) & (F.col("lx") != F.col("ly")) & (~F.col("sy") | (F.col("x") < F.col("y"))) & near)
-    pairs = joined.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    return cut(pairs.join(tested, ["a", "b"], "left_anti"))
+    parts = held.select("a", F.ceil(F.col("strays") / CHUNK).alias("chunks"), F.ceil(F.col("members") / PART).alias("parts"))
+    own = known.join(parts, "a").withColumns({"c": F.pmod(F.xxhash64("b"), "chunks"), "p": F.pmod(F.xxhash64("b", F.lit(1)), "parts")})
+    every = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    down = F.transform(every(F.col("chunks")), lambda c: F.struct(c.alias("chunk"), F.col("p").alias("part")))
+    across = F.when(F.col("stray"), F.transform(every(F.col("parts")), lambda p: F.struct(F.col("c").alias("chunk"), p.alias("part")))).otherwise(F.array().cast("array<struct<chunk:bigint,part:bigint>>"))
+    rows = own.withColumn("at", F.explode(F.array_union(down, across)))
+    rows = rows.select("a", "at.chunk", "at.part", "b", "label", (F.col("stray") & (F.col("at.chunk") == F.col("c"))).alias("is_left"), (F.col("at.part") == F.col("p")).alias("is_right"))
+    rows = rows.join(texts.withColumnRenamed("node", "b"), "b").select("a", "chunk", "part", "b", "label", "is_left", "is_right", "text")
+    return rows.repartition("a", "chunk", "part").sortWithinPartitions("a", "chunk", "part").mapInArrow(_compare_blocks, "u long, v long")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
