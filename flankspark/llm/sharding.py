@@ -2,8 +2,8 @@
 
 1. A sample of keys is drawn with a probability in proportion to each record's size, so its quantiles cut the records into ranges of
    about equal bytes.
-2. Records are dealt to ranges by the splitters. Ranges that hold more than their share, as one key may, are subdivided by a hash of
-   the record, and by its row where records are equal.
+2. Records are dealt to ranges by the splitters. Splitters hold a key and a hash of record and row, so a hot key, and equal records, are
+   divided too. Ranges that still hold more than their share are subdivided at further sampled keys.
 3. Bytes and rows of the pieces, of which there are at most a few for each range, give each piece its offset. A running sum inside a
    piece then places each record exactly, and the shard is the eighth (or n-th) of all bytes in which its middle lies.
 
@@ -37,6 +37,23 @@ def _lookup(values: list, index: Column, kind: str = "long") -> Column:
     return F.get(F.lit(np.array(values, dtype="float64" if kind == "double" else "int64")), index.cast("int"))
 
 
+def _range_of(splitters: list[tuple[int, int]]) -> Column:
+    """How many of the splitters (key, tie) aren't above a record's."""
+    if not splitters:
+        return F.lit(0)
+
+    @F.pandas_udf("int")
+    def place(key: pd.Series, tie: pd.Series) -> pd.Series:
+        n = len(splitters)
+        keys, ties = (np.array(x, dtype=np.int64) for x in zip(*splitters, strict=True))
+        order = np.lexsort((np.arange(n + len(key)) >= n, np.concatenate([ties, tie.to_numpy(np.int64)]), np.concatenate([keys, key.to_numpy(np.int64)])))
+        out = np.empty(n + len(key), np.int32)
+        out[order] = np.cumsum(order < n)
+        return pd.Series(out[n:])
+
+    return place("__key", "__tie")
+
+
 def assign_shards(docs: DataFrame, n_shards: int = 8, key: Column | None = None, text: str = "text", id_col: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot and grown_shard of each row, in range order of key (default: the id); carry adds columns."""
     body = F.col(text).cast("string")
@@ -54,23 +71,23 @@ def assign_shards(docs: DataFrame, n_shards: int = 8, key: Column | None = None,
     share = SAMPLED_KEYS * ranges / max(1, total)
     # A record is drawn if its hash, as a part of all hashes, is below its size's part.
     chance = (F.shiftrightunsigned(F.xxhash64(F.lit("draw"), "__tie"), 11).cast("double")) / float(1 << 53)
-    keys = sorted(r[0] for r in slim.where(chance < F.col("size") * share).select("__key").collect())
-    splitters = sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)}) if keys else []
-
-    @F.pandas_udf("int")
-    def range_of(k: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(np.array(splitters, dtype=np.int64), k.to_numpy(np.int64), side="right").astype(np.int32))
-
-    dealt = slim.withColumn("__range", range_of("__key") if splitters else F.lit(0))
-    held = {r[0]: (r[1], r[2]) for r in dealt.groupBy("__range").agg(F.sum("size"), F.count("*")).collect()}
-    target, most = total / ranges, rows / ranges
-    parts = [max(1, math.ceil(held[i][0] / target), math.ceil(held[i][1] / (4 * most))) if i in held and (held[i][0] > 2 * target or held[i][1] > 8 * most) else 1 for i in range(len(splitters) + 1)]
-    first = np.concatenate([[0], np.cumsum(parts)]).tolist()
-    piece = _lookup(first[:-1], F.col("__range")) + F.pmod(F.col("__tie"), _lookup(parts, F.col("__range")))
-    pieces = dealt.withColumn("__piece", piece.cast("int")).drop("__range")
+    drawn = sorted(tuple(r) for r in slim.where(chance < F.col("size") * share).select("__key", "__tie").collect())
+    splitters = sorted({drawn[len(drawn) * i // ranges] for i in range(1, ranges)}) if drawn else []
+    held = {r[0]: (r[1], r[2]) for r in slim.withColumn("__range", _range_of(splitters)).groupBy("__range").agg(F.sum("size"), F.count("*")).collect()}
+
+    # Overfull ranges are cut again, at quantiles of the keys that were drawn from them.
+    target, most, more = total / ranges, rows / ranges, []
+    for i, (size, n) in held.items():
+        parts = max(math.ceil(size / target), math.ceil(n / (4 * most)))
+        if size > 2 * target or n > 8 * most:
+            low = bisect.bisect_left(drawn, splitters[i - 1]) if i else 0
+            high = bisect.bisect_left(drawn, splitters[i]) if i < len(splitters) else len(drawn)
+            more += [drawn[low + (high - low) * k // parts] for k in range(1, parts) if high > low]
+    splitters = sorted({*splitters, *more})
+    count = len(splitters) + 1
+    pieces = slim.withColumn("__piece", _range_of(splitters))
 
     sums = {r[0]: (r[1], r[2]) for r in pieces.groupBy("__piece").agg(F.sum("size"), F.count("*")).collect()}
-    count = first[-1]
     bytes_before = np.concatenate([[0], np.cumsum([sums.get(i, (0, 0))[0] for i in range(count)])]).tolist()
     rows_before = np.concatenate([[0], np.cumsum([sums.get(i, (0, 0))[1] for i in range(count)])]).tolist()
     inside = Window.partitionBy("__piece").orderBy("__key", "__tie")
@@ -79,9 +96,11 @@ def assign_shards(docs: DataFrame, n_shards: int = 8, key: Column | None = None,
     shard = F.least(F.lit(n_shards - 1), F.floor(middle * n_shards / F.lit(2 * max(1, total)))).cast("int")
     placed = pieces.withColumns({"shard": shard, "__row": F.row_number().over(inside) - 1 + _lookup(rows_before[:-1], F.col("__piece"))})
 
-    # A shard's first row lies in the piece that holds its lower bound; only the pieces that hold one are looked at.
-    bounds = [total * s / n_shards for s in range(n_shards)]
-    cutting = sorted({min(count - 1, max(0, bisect.bisect_right(bytes_before, b) - 1 + d)) for b in bounds for d in (-1, 0, 1)}) if count else []
+    # A shard's first row lies in the piece that holds its lower bound, or in the next one with rows; only those are looked at.
+    full = [i for i in range(count) if sums.get(i, (0, 0))[1]]
+    ends = [bytes_before[i + 1] for i in full]
+    at = [bisect.bisect_right(ends, total * s / n_shards) for s in range(n_shards)]
+    cutting = sorted({full[min(len(full) - 1, i + d)] for i in at for d in (0, 1)}) if full else []
     near = placed.where(F.col("__piece").isin(cutting)).groupBy("shard").agg(F.min("__row")).collect()
     begin = {r[0]: r[1] for r in near}
     for s in range(n_shards):
