@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from flankspark.llm import chat, decontaminate, html, jaccard, language_model, mixing, quality, secrets, sharding, urls
+from flankspark.llm.oracles import ORACLES
 from flankspark.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,4 +63,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
