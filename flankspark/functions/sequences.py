@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from flankspark.functions.expressions import let
+
 
 def reverse_complement(seq: Column) -> Column:
     return F.reverse(F.translate(seq, "ACGTacgt", "TGCAtgca"))
@@ -29,7 +31,9 @@ def anchored_distance(query: Column, target: Column, budget: Column) -> Column:
 
     Only prefixes whose length is within the budget of the query's can be that near.
     """
-    low, high = F.greatest(F.lit(0), F.length(query) - budget), F.least(F.length(target), F.length(query) + budget)
-    found = F.transform(F.sequence(low, F.greatest(low, high)), lambda j: F.levenshtein(query, F.substring(target, F.lit(1), j)))
-    best = F.array_min(found)
-    return F.when((low <= high) & (best <= budget), best)
+    def near(k: Column) -> Column:
+        low, high = F.greatest(F.lit(0), F.length(query) - k), F.least(F.length(target), F.length(query) + k)
+        found = F.transform(F.sequence(low, F.greatest(low, high)), lambda j: F.levenshtein(query, F.substring(target, F.lit(1), j)))
+        return F.when(low <= high, let(F.array_min(found), lambda best: F.when(best <= k, best)))
+
+    return let(budget, near)

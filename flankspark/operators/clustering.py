@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flankspark.functions.expressions import let
 from flankspark.functions.sequences import anchored_distance, compared, edit_budget, reverse_complement
 
 
@@ -18,13 +19,17 @@ def _leaders(sorted_items: Column, fraction: float) -> Column:
     start = F.struct(F.array().cast("array<string>").alias("seeds"), F.array().cast("array<int>").alias("own"))
 
     def step(acc: Column, x: Column) -> Column:
-        budget = edit_budget(F.length(x["cmp"]), fraction)
-        hits = F.transform(acc["seeds"], lambda s: anchored_distance(x["cmp"], s, budget).isNotNull())
-        at = F.array_position(hits, True)
-        new = at == 0
-        return F.struct(
-            F.when(new, F.concat(acc["seeds"], F.array(x["cmp"]))).otherwise(acc["seeds"]).alias("seeds"),
-            F.concat(acc["own"], F.array(F.when(new, F.size(acc["seeds"])).otherwise(at - 1).cast("int"))).alias("own"),
+        def match(s: Column, budget: Column) -> Column:
+            # Most seeds differ from the item early on; a seed whose length rules it out needs no distance.
+            return (F.length(x["cmp"]) - F.length(s) <= budget) & anchored_distance(x["cmp"], s, budget).isNotNull()
+
+        hits = let(edit_budget(F.length(x["cmp"]), fraction), lambda budget: F.array_position(F.transform(acc["seeds"], lambda s: match(s, budget)), True))
+        return let(
+            hits,
+            lambda at: F.struct(
+                F.when(at == 0, F.concat(acc["seeds"], F.array(x["cmp"]))).otherwise(acc["seeds"]).alias("seeds"),
+                F.concat(acc["own"], F.array(F.when(at == 0, F.size(acc["seeds"])).otherwise(at - 1).cast("int"))).alias("own"),
+            ),
         )
 
     return F.aggregate(sorted_items, start, step)["own"]
