@@ -110,6 +110,8 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, block_rows: int
     counts = slim.groupBy("__source").agg(F.count("*").alias("n")).orderBy("__source").limit(MAX_SOURCES + 1).collect()
     if len(counts) > MAX_SOURCES:
         raise ValueError(f"there are more than {MAX_SOURCES} sources to mix")
+    if not counts:
+        return slim.select(*[F.col(f"`{c}`") for c in keep], F.lit(0).cast("long").alias("source_block"), F.lit(0).cast("long").alias("mix_slot"), F.lit(0).alias("mix_offset"))
     weight = [(weights or {}).get(r[0][1:] if r[0][0] == "=" else None, DEFAULT_WEIGHT) for r in counts]
     blocks = [math.ceil(r[1] / block_rows) for r in counts]
     common = math.gcd(*weight) if weight else 1

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flankspark.llm.common import let
+from flankspark.functions.expressions import let
 
 SPACES = "[ \\x09-\\x0D]+"
 
@@ -116,14 +116,18 @@ def measures(f: Column) -> dict[str, Column]:
 def judge(docs: DataFrame, text: str = "text", rules: list[tuple[str, str, str, float]] | None = None, keep_columns: bool = True) -> DataFrame:
     """docs with the figures, base_failed, failed_rules (names) and kept."""
     rules = RULES if rules is None else rules
-    own = "__figures"
-    out = docs.withColumn(own, figures(F.col(text)))
-    f = F.col(own)
-    named = measures(f)
-    broken = {name: COMPARE[sign](named[figure], F.lit(limit)) for name, figure, sign, limit in rules}
-    base = (f["n_words"] < 10) | (100 * f["n_repeat_words"] > 20 * f["n_words"])
-    failed = F.filter(F.array(*[F.when(hit, F.lit(name)) for name, hit in broken.items()]), lambda x: x.isNotNull())
-    new = {k: f[k] for k in FIGURES} | {"base_failed": base, "failed_rules": failed, "kept": ~base & (F.size(failed) == 0)}
+
+    def verdict(f: Column) -> Column:
+        named = measures(f)
+        broken = [F.when(COMPARE[sign](named[figure], F.lit(limit)), F.lit(name)) for name, figure, sign, limit in rules]
+        base = (f["n_words"] < 10) | (100 * f["n_repeat_words"] > 20 * f["n_words"])
+        failed = F.filter(F.array(*broken), lambda x: x.isNotNull())
+        return F.struct(*[f[k].alias(k) for k in FIGURES], base.alias("base_failed"), failed.alias("failed_rules"), (~base & (F.size(failed) == 0)).alias("kept"))
+
+    # One expression for all, so that a filter on the verdict, which Spark pushes below the projection, measures each text once.
+    own = "__judged"
+    out = docs.withColumn(own, let(figures(F.col(text)), verdict))
+    new = {k: F.col(own)[k] for k in (*FIGURES, "base_failed", "failed_rules", "kept")}
     if keep_columns:
         return out.withColumns(new).drop(own)
     return out.select(*[c.alias(k) for k, c in new.items()])
