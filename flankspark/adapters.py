@@ -58,7 +58,7 @@ ADAPTERS: dict[str, tuple[str, list[str], str]] = {
         [
             "concat('S', cast(l_suppkey % 5 as string), '__E', cast(l_partkey % 12 as string), '__', case when l_linenumber % 2 = 0 then 'left' else 'right' end, '__cluster', cast(l_orderkey % 60 as string)) as qseqid",
             "concat('G', cast(l_suppkey % 6 as string), '__c', cast(l_partkey % 3 as string)) as sseqid",
-            "90.0 + floor(l_discount * 100) as pident",
+            "cast(90 as double) + floor(l_discount * 100) as pident",
             "cast(30 + l_orderkey % 21 as int) as length",
             "cast(1 + l_linenumber % 3 % 2 as int) as qstart",
             "cast(case when l_orderkey % 5 = 0 then 49 else 50 end as int) as qend",

@@ -72,7 +72,7 @@ def q33_cluster_share_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.large_clusters(c, "sample", "n", 0.5).withColumn("share", F.bround("share", 6))
 
 
-MEMBERS = "lines AS (SELECT cast(l_orderkey % 3000 AS int) AS cluster, concat(cast(l_linenumber AS string), '\t', cast(500 + l_partkey % 300 AS string), 'nt, >', CASE WHEN l_suppkey % 3 = 0 THEN 'ISOSDB' ELSE 'IS' END, cast(l_partkey AS string), '... ', CASE WHEN l_linenumber = 1 THEN '*' ELSE concat('at +/', cast(90 + l_suppkey % 10 AS string), '.50%') END) AS line, l_linenumber AS ordinal, 500 + l_partkey % 300 AS length, concat(CASE WHEN l_suppkey % 3 = 0 THEN 'ISOSDB' ELSE 'IS' END, cast(l_partkey AS string)) AS name, l_linenumber = 1 AS is_rep, CASE WHEN l_linenumber = 1 THEN 100.0 ELSE 90 + l_suppkey % 10 + 0.5 END AS identity FROM lineitem WHERE l_orderkey % 5 = 0)"
+MEMBERS = "lines AS (SELECT cast(l_orderkey % 3000 AS int) AS cluster, concat(cast(l_linenumber AS string), '\t', cast(500 + l_partkey % 300 AS string), 'nt, >', CASE WHEN l_suppkey % 3 = 0 THEN 'ISOSDB' ELSE 'IS' END, cast(l_partkey AS string), '... ', CASE WHEN l_linenumber = 1 THEN '*' ELSE concat('at +/', cast(90 + l_suppkey % 10 AS string), '.50%') END) AS line, l_linenumber AS ordinal, 500 + l_partkey % 300 AS length, concat(CASE WHEN l_suppkey % 3 = 0 THEN 'ISOSDB' ELSE 'IS' END, cast(l_partkey AS string)) AS name, l_linenumber = 1 AS is_rep, (CASE WHEN l_linenumber = 1 THEN 100.0 ELSE 90 + l_suppkey % 10 + 0.5 END)::DOUBLE AS identity FROM lineitem WHERE l_orderkey % 5 = 0)"
 
 
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,7 +139,7 @@ def q38_estimated_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placement.estimated_coverage(k, reads, metadata.genome_sizes(atb(spark, sf_dir), ["ordinal"]))
 
 
-@query(f"WITH {sql('overhangs')} SELECT sample, read_id, is_element, cast(length(seq) AS string) AS pos, side, '+' AS strand, 98.5 AS pident, CASE WHEN mapq % 2 = 0 THEN mapq END AS mapq FROM overhangs")
+@query(f"WITH {sql('overhangs')} SELECT sample, read_id, is_element, cast(length(seq) AS string) AS pos, side, '+' AS strand, 98.5::DOUBLE AS pident, CASE WHEN mapq % 2 = 0 THEN mapq END AS mapq FROM overhangs")
 def q39_header_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = view(spark, sf_dir, "overhangs").withColumns({"pos": F.length("seq"), "strand": F.lit("+"), "pident": F.lit(98.5), "mapq": F.when(F.col("mapq") % 2 == 0, F.col("mapq"))})
     return o.select(overhang_header(o).alias("h")).select(parse_overhang_header(F.col("h")).alias("p")).select("p.*")
