@@ -13,9 +13,10 @@ hashes are dealt:
 A band takes what its signatures and the sets expected to share them by chance cost less (see plan). Frequencies for the order are
 gathered from all documents: each batch reports shingles that several of its texts share, and the sums rank them.
 
-Equal sets are one class. Signatures meet by a shuffle; in a bucket every class is first compared with the least one, exactly, by
-intersecting the sets. Only classes that then are still in another component than their least class are compared with the others that
-met it, in blocks of bounded size. So a group of g near copies costs about g comparisons, not g * g, and no pair is a row but a link.
+Equal sets are one class. Signatures meet by a shuffle; the least class of a bucket leads it. A leader and its members are compared in
+blocks of bounded size, exactly, by the overlaps of their sets. Of a leader with several blocks, the members that then are still outside
+of its component are compared with all others, in blocks too. So a large group of near copies costs in proportion to its size, and no
+pair is a row: a block gives at most as many links as it has members.
 
 Edge cases: a text with 1 to 4 words has its word sequence as one shingle; null texts and texts without words have an empty set and link
 with nothing; repeated rows and ties fall into one class; documents that repeat an id are judged by row; an empty table gives an empty
@@ -42,8 +43,6 @@ LOCAL_SHARED, RANKED = 3, 200_000
 DOUBLING = 16
 #: Bits of the filters of document ids; a full filter lets more rows through, and a join decides.
 FILTER_BITS = 1 << 25
-#: Comparisons with one class that share a task.
-PER_TASK = 512
 #: Strays and members of a leader that are compared in one block, and columns of its incidence at once.
 CHUNK, PART, COLUMNS = 256, 512, 4096
 PARTS = seeds(WIDTH, 41)
@@ -314,24 +313,6 @@ def _collect_texts(shared):
     return run
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by a, part and b, the text of a first (b null): (a, b, common, n_a, n_b)."""
-    now, base = None, None
-    for batch in batches:
-        out = []
-        left, right = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-        for first, values, places, _ in _set_batches(batch.column(3)):
-            for i in range(len(places) - 1):
-                a, b, items = left[first + i], right[first + i], values[places[i] : places[i + 1]]
-                if b is None:
-                    now, base = a, items
-                elif now == a:
-                    at = np.minimum(np.searchsorted(base, items), len(base) - 1)
-                    out.append((a, b, int((base[at] == items).sum()), len(base), len(items)))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b", "common", "n_a", "n_b"])
-
-
 def overlaps(values: np.ndarray, places: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """How many elements each set of left has in common with each of right, by products of their incidence with shared elements."""
     owner = np.repeat(np.arange(len(places) - 1), np.diff(places))
@@ -354,31 +335,50 @@ def overlaps(values: np.ndarray, places: np.ndarray, left: np.ndarray, right: np
     return counts
 
 
-def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by a, chunk and part: (u, v) of links between members of different components in a block."""
+def forest(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """At most n - 1 of the links i - j between n members, which tie the same members together."""
+    own, out = list(range(n)), []
+    for x, y in zip(i.tolist(), j.tolist(), strict=True):
+        a, b = x, y
+        while own[a] != a:
+            own[a] = a = own[own[a]]
+        while own[b] != b:
+            own[b] = b = own[own[b]]
+        if a != b:
+            own[a] = b
+            out.append((x, y))
+    kept = np.array(out, np.int64).reshape(-1, 2)
+    return kept[:, 0], kept[:, 1]
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by a, chunk and part, of which each block is held at a time: (u, v) of links between its left and right members."""
     key, held = None, []
 
     def links() -> pa.RecordBatch | None:
-        node, label, is_left, is_right, texts = zip(*held, strict=True)
+        node, is_left, is_right, texts = zip(*held, strict=True)
         left, right = np.flatnonzero(is_left), np.flatnonzero(is_right)
-        if not len(left) or not len(right):
+        if len(held) < 2 or not len(left) or not len(right):
             return None
         parts = [(v, np.diff(p)) for _, v, p, _ in _set_batches(pa.array(texts, pa.string()))]
         values, sizes = np.concatenate([v for v, _ in parts]), np.concatenate([n for _, n in parts])
         common = overlaps(values, np.concatenate([[0], np.cumsum(sizes)]), left, right)
-        label, node = np.array(label), np.array(node)
-        near = (100 * common >= 75 * (sizes[left][:, None] + sizes[right][None, :] - common)) & (label[left][:, None] != label[right][None, :])
-        i, j = np.nonzero(near)
-        return pa.RecordBatch.from_arrays([pa.array(node[left[i]], pa.int64()), pa.array(node[right[j]], pa.int64())], names=["u", "v"]) if len(i) else None
+        near = 100 * common >= 75 * (sizes[left][:, None] + sizes[right][None, :] - common)
+        i, j = np.nonzero(near & (left[:, None] != right[None, :]))
+        if not len(i):
+            return None
+        i, j = forest(len(held), left[i], right[j])
+        node = np.array(node)
+        return pa.RecordBatch.from_arrays([pa.array(node[i], pa.int64()), pa.array(node[j], pa.int64())], names=["u", "v"])
 
     for batch in batches:
         columns = [c.to_pylist() for c in batch.columns]
-        for *now, node, label, is_left, is_right, text in zip(*columns, strict=True):
+        for *now, node, is_left, is_right, text in zip(*columns, strict=True):
             if now != key:
                 if held and (out := links()) is not None:
                     yield out
                 key, held = now, []
-            held.append((node, label, is_left, is_right, text))
+            held.append((node, is_left, is_right, text))
     if held and (out := links()) is not None:
         yield out
 
@@ -386,17 +386,18 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 # ---------------------------------------------------------------- the join
 
 
-def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The exact overlap of each pair (a, b). A text travels once for each of its pairs, a leader's once for PER_TASK of them."""
-    degree = pairs.groupBy("a").agg(F.ceil(F.count("*") / PER_TASK).alias("parts"))
-    leaders = degree.join(texts.withColumnRenamed("node", "a"), "a").select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"), "text")
-    others = pairs.join(degree, "a").withColumn("part", F.pmod(F.xxhash64("b"), "parts")).join(texts.withColumnRenamed("node", "b"), "b").select("a", "part", "b", "text")
-    rows = leaders.unionByName(others).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-    return rows.mapInArrow(_compare, "a long, b long, common long, n_a long, n_b long").dropDuplicates(["a", "b"])
+def compare_blocks(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(u, v) of the links in each block of members(a, chunk, part, node, is_left, is_right); a text travels once for each of its blocks."""
+    rows = members.join(texts, "node").select("a", "chunk", "part", "node", "is_left", "is_right", "text")
+    return rows.repartition("a", "chunk", "part").sortWithinPartitions("a", "chunk", "part").mapInArrow(_compare, "u long, v long")
 
 
-def linked(tested: DataFrame) -> DataFrame:
-    return tested.where("100 * common >= 75 * (n_a + n_b - common)")
+def leader_blocks(pairs: DataFrame) -> DataFrame:
+    """Each leader a with its members in blocks of about CHUNK, the leader in each of them; all in a block are compared with each other."""
+    degree = pairs.groupBy("a").agg(F.ceil(F.count("*") / CHUNK).alias("parts"))
+    others = pairs.join(degree, "a").select("a", F.pmod(F.xxhash64("b"), "parts").alias("part"), F.col("b").alias("node"))
+    leaders = degree.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("a").alias("node"))
+    return others.unionByName(leaders).select("a", F.lit(0).cast("long").alias("chunk"), "part", "node", F.lit(True).alias("is_left"), F.lit(True).alias("is_right"))
 
 
 def find_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -419,10 +420,9 @@ def find_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     wanted = spark.sparkContext.broadcast(Filter.of(classes.join(involved, "node", "left_semi").select("id")).bits)
     texts = slim.mapInArrow(_collect_texts(wanted), "node long, text string")
 
-    tested = cut(verify(pairs, texts))
-    edges = linked(tested).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    edges = cut(compare_blocks(leader_blocks(pairs), texts))
     labels = connected_components(edges)
-    more = _open_links(tested, labels, texts)
+    more = _open_links(pairs, labels, texts)
     if more is not None:
         labels = connected_components(edges.unionByName(more))
 
@@ -433,18 +433,19 @@ def find_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
 
 
-def _open_links(tested: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame | None:
-    """Links between classes that met one leader but are in different components after the leaders' comparisons.
+def _open_links(pairs: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame | None:
+    """Links between classes of a leader that weren't in one block, as it has several, and that still are in different components.
 
-    Two classes of a bucket share its leader. So of each leader's members, those outside of its component (the strays) are compared with
-    all others in blocks of bounded size: a member is sent once for each chunk of strays, and no pair is a row unless it is a link.
+    Two classes of a bucket share its leader. So of the members of such a leader, those outside of its component (the strays) are
+    compared with all others in blocks of bounded size: a member is sent once for each chunk of strays, and no pair is a row.
     """
     label = labels.select(F.col("node"), F.col("component"))
+    large = pairs.groupBy("a").count().where(F.col("count") > CHUNK).select("a")
     known = (
-        tested.select("a", "b")
+        pairs.join(large, "a")
         .join(label.select(F.col("node").alias("a"), F.col("component").alias("la")), "a", "left")
         .join(label.select(F.col("node").alias("b"), F.col("component").alias("lb")), "b", "left")
-        .select("a", "b", F.coalesce("lb", "b").alias("label"), (F.coalesce("la", "a") != F.coalesce("lb", "b")).alias("stray"))
+        .select("a", "b", (F.coalesce("la", "a") != F.coalesce("lb", "b")).alias("stray"))
     )
     known = cut(known)
     held = known.groupBy("a").agg(F.count_if("stray").alias("strays"), F.count("*").alias("members")).where("strays > 0 and members > 1")
@@ -456,9 +457,8 @@ def _open_links(tested: DataFrame, labels: DataFrame, texts: DataFrame) -> DataF
     down = F.transform(every(F.col("chunks")), lambda c: F.struct(c.alias("chunk"), F.col("p").alias("part")))
     across = F.when(F.col("stray"), F.transform(every(F.col("parts")), lambda p: F.struct(F.col("c").alias("chunk"), p.alias("part")))).otherwise(F.array().cast("array<struct<chunk:bigint,part:bigint>>"))
     rows = own.withColumn("at", F.explode(F.array_union(down, across)))
-    rows = rows.select("a", "at.chunk", "at.part", "b", "label", (F.col("stray") & (F.col("at.chunk") == F.col("c"))).alias("is_left"), (F.col("at.part") == F.col("p")).alias("is_right"))
-    rows = rows.join(texts.withColumnRenamed("node", "b"), "b").select("a", "chunk", "part", "b", "label", "is_left", "is_right", "text")
-    return rows.repartition("a", "chunk", "part").sortWithinPartitions("a", "chunk", "part").mapInArrow(_compare_blocks, "u long, v long")
+    rows = rows.select("a", "at.chunk", "at.part", F.col("b").alias("node"), (F.col("stray") & (F.col("at.chunk") == F.col("c"))).alias("is_left"), (F.col("at.part") == F.col("p")).alias("is_right"))
+    return cut(compare_blocks(rows, texts))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:

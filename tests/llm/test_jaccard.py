@@ -59,7 +59,7 @@ def test_components_equal_brute_force(spark, n, size, edits, passage):
 
 
 def test_blocks_split(spark, monkeypatch):
-    for name, value in (("CHUNK", 7), ("PART", 11), ("PER_TASK", 5), ("COLUMNS", 16)):
+    for name, value in (("CHUNK", 7), ("PART", 11), ("COLUMNS", 16)):
         monkeypatch.setattr(jaccard, name, value)
     docs = list(enumerate(texts(8, 150, 150, 9, 60)))
     got = jaccard.find_components(spark.createDataFrame(docs, "doc_id long, text string"))
