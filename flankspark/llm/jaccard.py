@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flankspark.functions.graph import connected_components
-from flankspark.llm.common import SPACED, U64, Words, batched, blocks, cut, mix, seeds, signed, times, words_of
+from flankspark.llm.common import SPACED, U64, Words, batched, blocks, cut, mix, most_frequent, seeds, signed, times, words_of
 
 WIDTH = 5
 #: A batch reports shingles that at least so many of its distinct texts share; so many of all are kept to rank signatures.
@@ -407,7 +407,7 @@ def find_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     about = cut(slim.mapInArrow(_describe, "id long, n_shingles long, node long, shared array<struct<h:long,c:long>>"))
     shared = about.where(F.size("shared") > 0).select(F.explode("shared").alias("x")).groupBy("x.h").agg(F.sum("x.c").alias("c"))
-    top = sorted(tuple(r) for r in shared.orderBy(F.desc("c"), "h").limit(RANKED).collect())
+    top = most_frequent(cut(shared), "h", "c", RANKED)
     hashes = np.array([h for h, _ in top], np.int64).view(U64)
     order = np.argsort(hashes)
     ranking = spark.sparkContext.broadcast((hashes[order], np.array([c for _, c in top], np.int64)[order]))
