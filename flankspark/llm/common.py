@@ -14,7 +14,7 @@ U64 = np.uint64
 #: Rows of an Arrow batch; with texts of some kB a batch stays near 8 MB.
 BATCH_ROWS = 2000
 #: Bytes of text that are tokenised at once; a longer text forms a block of its own.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 19
 
 
 def shared_folder(spark: SparkSession) -> str:
