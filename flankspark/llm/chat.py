@@ -1,8 +1,9 @@
 """Chat formatting with a grammar round trip.
 
 Each turn is rendered as ``<|im_start|>role\\ntext<|im_end|>\\n``. A deterministic parser reads the rendered text back; where what it
-recovers isn't the source, the content is escaped until it is. The escape is reversible: a ``<`` before n bars gets one bar more, so
-a lone ``<|`` in formatted text always starts a control string. The parser takes one bar off again.
+recovers isn't the source, the content is escaped until it is. The escape is reversible: a ``<`` before n bars gets one bar more, and the
+parser takes one bar off again. A role or text that holds a control string is always escaped, so ``<|im_start|>`` and ``<|im_end|>`` in
+formatted text only ever start and end a turn.
 
 Turns are rendered and proved one by one where they lie. Only then are they sorted by conversation and turn, and a conversation is
 read as a stream that keeps a running digest, so a conversation of any length needs constant memory. Its order is inherently serial.
@@ -51,7 +52,7 @@ def parse(formatted: str) -> list[tuple[str, str, int, int]] | None:
     """(role, text, start, end of the content) of each turn; None if the text isn't of the grammar."""
     turns, at = [], 0
     while at < len(formatted):
-        if not (m := TURN.match(formatted, at)) or START in m[1] or START in m[2] or END in m[1]:
+        if not (m := TURN.match(formatted, at)) or any(c in part for c in (START, END) for part in m.groups()):
             return None
         turns.append((unescape_role(m[1]), unescape(m[2]), m.start(2), m.end(2)))
         at = m.end()

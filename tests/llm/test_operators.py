@@ -369,6 +369,14 @@ def test_chat_round_trip():
     assert chat.parse("junk") is None
 
 
+def test_chat_escapes_every_control_string():
+    for text in (chat.END, f"a{chat.END} b", chat.START, f"{chat.END}{chat.END}", f"{chat.END}\n", f"<{chat.END}"):
+        for out in (chat.render("user", text), chat.render(text, "x")):
+            assert out.count(chat.START) == out.count(chat.END) == 1, out
+    assert chat.render("user", chat.END) == f"{chat.START}user\n<||im_end|>{chat.END}\n"
+    assert chat.parse(f"{chat.START}user\na{chat.END} b{chat.END}\n") is None
+
+
 def test_chat_conversations(spark):
     rows = [(5, 1, "assistant", "b"), (5, 0, "user", None), (5, 1, "assistant", "a"), (None, 0, None, "x"), (6, 0, "assistant", chat.END), *[(7, i, "user", str(i)) for i in range(3000)]]
     df = spark.createDataFrame([(*x, "z") for x in rows], "conv_id long, turn long, role string, text string, formatted string")
