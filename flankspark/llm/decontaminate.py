@@ -9,7 +9,7 @@ the shortest phrase are left out, exactly. Only the benchmark is sent to the tas
 Documents never move: there is no shuffle.
 
 Edge cases: null or empty texts have no words and no hits; items without words form no phrase; repeated items are one phrase with
-several ids; repeated documents are judged one by one; empty tables give an empty result, or no hits.
+several ids; items without an id are searched too, only not listed; repeated documents are judged one by one; empty tables give an empty result, or no hits.
 """
 
 from __future__ import annotations
@@ -148,7 +148,7 @@ class Phrases:
             symbols = np.searchsorted(self.vocabulary, words).astype(np.int64) + 1
             for at in range(max(1, len(symbols) - window + 1) if len(symbols) else 0):
                 owners.setdefault(symbols[at : at + window].tobytes(), set()).add(i)
-        self.ids = [str(i) for i, _ in items]
+        self.ids = [i for i, _ in items]
         self.owners = [sorted(x) for x in owners.values()]
         self.lengths = np.array([len(x) // 8 for x in owners], np.int64)
         self.rows = np.zeros((len(owners), window), np.int64)
@@ -210,7 +210,7 @@ def merge(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
 
 def benchmark_blocks(benchmark: DataFrame, item: str, text: str, size: int = BENCHMARK_BYTES) -> Iterator[list[tuple[str, str]]]:
     """The items in blocks of at most about size bytes, which one driver can hold and send."""
-    slim = benchmark.select(F.col(item).cast("string").alias("i"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t")).where(F.col("i").isNotNull())
+    slim = benchmark.select(F.col(item).cast("string").alias("i"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
     total = slim.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     parts = max(1, -(-total // size))
     for k in range(parts):
@@ -254,7 +254,7 @@ def _pass(shared, places: dict[str, int]):
             heads = np.flatnonzero(np.diff(document[starts], prepend=-1))
             for a, b in zip(heads, np.append(heads, len(starts))[1:], strict=True):
                 row, at, phrase = int(document[starts[a]]), place[starts[a:b]], which[a:b]
-                found[row] = at, at + phrases.lengths[phrase], {phrases.ids[i] for p in np.unique(phrase) for i in phrases.owners[p]}
+                found[row] = at, at + phrases.lengths[phrase], {phrases.ids[i] for p in np.unique(phrase) for i in phrases.owners[p] if phrases.ids[i] is not None}
             columns = list(batch.columns)
             columns[places["n_words"]] = pa.array(counts)
             spans, items = batch.column(places["spans"]).to_pylist(), batch.column(places["items"]).to_pylist()

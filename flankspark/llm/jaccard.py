@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flankspark.functions.graph import connected_components
 from flankspark.llm.common import SPACED, U64, Words, batched, blocks, cut, mix, most_frequent, seeds, signed, times, words_of
@@ -400,8 +401,8 @@ def leader_blocks(pairs: DataFrame) -> DataFrame:
     return others.unionByName(leaders).select("a", F.lit(0).cast("long").alias("chunk"), "part", "node", F.lit(True).alias("is_left"), F.lit(True).alias("is_right"))
 
 
-def find_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, n_shingles and component_id (the least id that links reach) of each row of docs."""
+def _place(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(id, n_shingles, node, shared) of each row of docs, and (node, id, group) of each class: its least id, and the component it lies in."""
     spark = docs.sparkSession
     batched(spark)
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
@@ -426,7 +427,12 @@ def find_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     if more is not None:
         labels = connected_components(edges.unionByName(more))
 
-    grouped = classes.join(labels, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    return about, classes.join(labels, "node", "left").withColumn("group", F.coalesce("component", "node"))
+
+
+def find_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """id, n_shingles and component_id (the least id that links reach) of each row of docs."""
+    about, grouped = _place(docs, id_col, text)
     least = grouped.groupBy("group").agg(F.min("id").alias("component_id"))
     of = grouped.join(least, "group").select("node", "component_id")
     out = about.drop("shared").join(of, "node", "left")
@@ -461,12 +467,31 @@ def _open_links(pairs: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFr
     return cut(compare_blocks(rows, texts))
 
 
+def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches with the class of the last column's texts in its place."""
+    for batch in batches:
+        found = [(np.diff(places), ids) for _, _, places, ids in _set_batches(batch.columns[-1])]
+        sizes, ids = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, U64))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(signed(ids), pa.int64(), mask=sizes == 0)], names=batch.schema.names)
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with one row of each component: that with the least id. Rows that a filter of the dropped ids lets pass don't move."""
-    found = cut(find_components(docs, id_col, text))
-    columns = docs.columns
-    gone = found.where(~F.col("component_id").eqNullSafe(F.col(id_col))).select(F.col(id_col).alias("__id"))
-    bits = docs.sparkSession.sparkContext.broadcast(Filter.of(gone).bits)
+    """docs with one row of each component: that with the least id, and of several with that id one of the least class.
+
+    Rows are judged by id and class, so different texts under one id, or without an id, are judged apart. Rows that a filter of the ids
+    in question lets pass don't move.
+    """
+    about, grouped = _place(docs, id_col, text)
+    grouped = cut(grouped)
+    first = grouped.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("first"))
+    firsts = grouped.join(first, "group").select("node", F.col("first.id").alias("first_id"), F.col("first.node").alias("first_node"))
+    rows = cut(about.select("id", "node"))
+    found = rows.where("node is not null").distinct().join(firsts, "node")
+    gone = cut(found.where(~(F.col("id").eqNullSafe(F.col("first_id")) & (F.col("node") == F.col("first_node")))).select(F.col("id").alias("__id"), F.col("node").alias("__of")))
+    twice = cut(rows.groupBy("id").count().where("count > 1").select(F.col("id").alias("__id")))
+    repeats = not twice.isEmpty()
+    asked = gone.select("__id").unionByName(twice).distinct() if repeats else gone.select("__id")
+    bits = docs.sparkSession.sparkContext.broadcast(Filter.of(asked).bits)
 
     @F.pandas_udf("boolean")
     def maybe(ids):
@@ -477,9 +502,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     flagged = docs.withColumn("__gone", maybe(F.col(id_col).cast("long")))
     sure = flagged.where("not __gone").drop("__gone")
     # A filter for rows that may go; the join decides.
-    open_ = flagged.where("__gone").drop("__gone").join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("__id")), "left_anti")
-    out = sure.unionByName(open_).select(*columns)
-    twice = found.groupBy(id_col).count().where("count > 1")
-    return out if twice.isEmpty() else out.dropDuplicates([id_col])
-
-
+    open_ = flagged.where("__gone").drop("__gone")
+    same_id = F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
+    if not repeats:
+        return sure.unionByName(open_.join(gone, same_id, "left_anti")).select(*docs.columns)
+    # An id alone doesn't name a row, so each of these gets its class.
+    own = open_.withColumn("__node", F.col(text).cast("string"))
+    own = own.mapInArrow(_nodes, T.StructType([*open_.schema, T.StructField("__node", T.LongType())]))
+    kept = own.join(gone, same_id & (F.col("__node") == F.col("__of")), "left_anti")
+    once = kept.where("__node is null").unionByName(kept.where("__node is not null").dropDuplicates([id_col, "__node"]))
+    return sure.unionByName(once.drop("__node")).select(*docs.columns)

@@ -77,6 +77,18 @@ def test_edges(spark):
     assert jaccard.find_components(df.where("false")).count() == 0
 
 
+def test_keep_one_judges_rows_that_share_an_id(spark):
+    copy, base = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    near = base + " more"
+    docs = [(1, copy), (5, copy), (5, "only under five here now"), (6, "six is alone in this table"), (7, "seven one text of its own"), (7, "seven another text of its own"), (7, "seven another text of its own"), (8, base), (8, near), (9, near)]
+    docs += [(None, copy), (None, "no id but a text alone"), (None, "no id and yet another text"), (None, "no id and yet another text"), (None, ""), (None, None), (10, ""), (10, "")]
+    kept = [(r.doc_id, r.text) for r in jaccard.keep_one(spark.createDataFrame([(*x, "s") for x in docs], "doc_id long, text string, source string")).collect()]
+    eights = [x for x in kept if x[0] == 8]
+    assert len(eights) == 1 and eights[0][1] in (base, near)
+    want = [(1, copy), docs[2], docs[3], docs[4], docs[5], (None, docs[11][1]), (None, docs[12][1]), (None, ""), (None, None), (10, ""), (10, "")]
+    assert sorted(map(repr, kept)) == sorted(map(repr, want + eights))
+
+
 def test_bounds_cover_every_pair():
     for s in range(1, 200):
         for r in range(s, 4 * s // 3 + 1):

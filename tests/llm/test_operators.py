@@ -354,6 +354,14 @@ def test_decontamination(spark, monkeypatch):
     assert decontaminate.judge(documents(spark).where("false"), bench).count() == 0
 
 
+def test_items_without_id_are_searched(spark):
+    item = " ".join(f"q{i}" for i in range(20))
+    bench = spark.createDataFrame([(None, item), (None, "z1 z2 z3"), (4, "z1 z2 z3")], "item_id long, text string")
+    rows = {r.doc_id: r for r in decontaminate.judge(documents(spark, [f"x {item} y", "z1 z2 z3", "clean"]), bench).collect()}
+    assert (rows[0].n_hit, rows[0].n_items, rows[0]["items"], rows[0].contaminated) == (20, 0, [], True)
+    assert (rows[1].n_hit, rows[1]["items"]) == (3, ["4"]) and not rows[2].contaminated
+
+
 # ---------------------------------------------------------------- chat
 
 
