@@ -2,6 +2,8 @@
 
 Three plain patterns give the base spans. Longer base64 and hex candidates are then decoded, and reported only if their structure
 proves them: key encodings whose nested lengths fit to the byte, packed key blobs, and signed tokens whose header names an algorithm.
+An encoded key may be wrapped: its lines are joined over line breaks, also escaped ones (``\\n``, ``\\r\\n``), with indentation. The length
+that its first bytes state says at which line it ends, and its span goes from its first line to its last.
 
 The scan is one narrow pass over Arrow batches: no shuffle, and memory for one batch of texts.
 
@@ -17,7 +19,8 @@ import binascii
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,10 +35,16 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 HEX_LONG = re.compile(r"[0-9a-f]{24,}")
-#: Runs that may encode a key (base64 in either alphabet, or hex) and dotted runs that may be signed tokens.
-ENCODED = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
-HEXED = re.compile(r"[0-9A-Fa-f]{64,}")
-DOTTED = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
+#: Where a key may start (DER sequences and packed keys, in base64 of either alphabet, and in hex), and dotted runs that may be signed tokens.
+ENCODED = re.compile(r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\[nr])|(?<=-----))(?:M[A-P]|b3Bl)")
+HEXED = re.compile(r"(?<![0-9A-Fa-f])(?:30|6[Ff]70)")
+DOTTED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{2,}+\.[A-Za-z0-9_-]*")
+#: Lines of an encoding (the dashes before and after a key are none), and what stands between two.
+LINE, HEX_LINE = re.compile(r"(?:[A-Za-z0-9+/_]|-(?!----))+"), re.compile(r"[0-9A-Fa-f]+")
+BREAK = re.compile(r"[ \t]*(?:\r\n?|\n|\\+r(?:\\+n)?|\\+n)[ \t]*")
+PADDING = re.compile(r"={0,2}")
+#: Bytes of the shortest encoding that is looked at, by the size of its alphabet.
+LEAST_64, LEAST_16 = 30, 32
 SCHEMA = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, confirmed array<struct<kind:string,start:long,end:long,what:string>>"
 
 
@@ -68,6 +77,14 @@ def der_size(data: bytes, at: int) -> tuple[int, int] | None:
     return (start, start + size) if start + size <= len(data) else None
 
 
+def outer_size(data: bytes) -> int | None:
+    """Bytes of the DER element that data starts with, header and all."""
+    n = data[1] & 0x7F if len(data) > 1 and data[1] >= 0x80 else 0
+    if len(data) < 2 + n or n > 4 or data[1] == 0x80:
+        return None
+    return 2 + n + (int.from_bytes(data[2 : 2 + n], "big") if n else data[1])
+
+
 def der_key(data: bytes) -> str | None:
     """What key a DER sequence holds: every length inside it must fill its parent exactly."""
     if not data or data[0] != 0x30 or (outer := der_size(data, 0)) is None or outer[1] != len(data):
@@ -98,6 +115,23 @@ def _fills(data: bytes, at: int, end: int) -> bool:
     return at == end
 
 
+def packed_size(data: bytes) -> int | None:
+    """How many bytes a whole packed key takes: three fields, the public keys by number, and the private part."""
+    at = len(b"openssh-key-v1\0")
+    for k in range(3):
+        if at + 4 > len(data):
+            return None
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    if at + 4 > len(data):
+        return None
+    left, at = int.from_bytes(data[at : at + 4], "big") + 1, at + 4
+    while left:
+        if at + 4 > len(data):
+            return None
+        at, left = at + 4 + int.from_bytes(data[at : at + 4], "big"), left - 1
+    return at if at <= len(data) else None
+
+
 def packed_key(data: bytes) -> str | None:
     """What private key a length-prefixed blob holds."""
     magic = b"openssh-key-v1\0"
@@ -127,6 +161,77 @@ def signed_token(run: str) -> str | None:
     return None
 
 
+class Block:
+    """Lines of an encoding that follow each other from a place on: where each starts and ends, and how many characters end with it."""
+
+    def __init__(self, text: str, at: int, line: re.Pattern):
+        self.text, self.starts, self.ends, self.sizes = text, [], [], [0]
+        while m := line.match(text, at):
+            self.starts.append(m.start())
+            self.ends.append(m.end())
+            self.sizes.append(self.sizes[-1] + m.end() - m.start())
+            # Padding ends an encoding, so no line follows it.
+            if not (gap := BREAK.match(text, m.end())):
+                break
+            at = gap.end()
+
+    def chars(self, first: int, n: int) -> str:
+        """At most n characters of the lines from one on."""
+        out = []
+        for a, b in zip(self.starts[first:], self.ends[first:], strict=True):
+            if n <= 0:
+                break
+            out.append(self.text[a : min(b, a + n)])
+            n -= b - a
+        return "".join(out)
+
+    def last(self, first: int, n: int) -> int | None:
+        """The line with which the n characters from one on end exactly."""
+        k = bisect_left(self.sizes, self.sizes[first] + n)
+        return k - 1 if first < k < len(self.sizes) and self.sizes[k] == self.sizes[first] + n else None
+
+
+def from_hex(run: str) -> bytes | None:
+    return bytes.fromhex(run[: len(run) // 2 * 2])
+
+
+def from_64(run: str) -> bytes | None:
+    return decode(run[:-1] if len(run) % 4 == 1 else run)
+
+
+def key_spans(text: str, start: re.Pattern, line: re.Pattern, read: Callable[[str], bytes | None], chars: Callable[[int], int], least: int) -> list[tuple[str, int, int, str]]:
+    """Keys of one encoding; read decodes characters, chars says how many encode so many bytes, without padding."""
+    found: list = []
+    block, done = None, 0
+    for m in start.finditer(text):
+        if m.start() < done:
+            continue
+        # A line of the last block starts here, or else a new block.
+        first = bisect_left(block.starts, m.start()) if block else 0
+        if not block or first == len(block.starts) or block.starts[first] != m.start():
+            block, first = Block(text, m.start(), line), 0
+        if not block.starts or not (head := read(block.chars(first, 40))):
+            continue
+        if head.startswith(b"openssh-key-v1\0"):
+            raw = read(block.chars(first, len(text))) or b""
+            size, what = packed_size(raw), packed_key(raw)
+            last = block.last(first, chars(size)) if size else None
+            if what and last is None:
+                # Broken off: its lines are those as long as the first.
+                last = first
+                while last + 1 < len(block.starts) and block.ends[last + 1] - block.starts[last + 1] == block.ends[first] - block.starts[first]:
+                    last += 1
+        else:
+            # The header alone states the size; the rest needn't be there yet.
+            size = outer_size(head) if head[0] == 0x30 else None
+            last = block.last(first, chars(size)) if size and size >= least else None
+            what = der_key(read(block.chars(first, chars(size))) or b"") if last is not None else None
+        if what and last is not None:
+            done = PADDING.match(text, block.ends[last]).end() if line is LINE else block.ends[last]
+            found.append(("key", m.start(), done, what))
+    return found
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Leftmost matches of each base kind that don't overlap; a match that is too short is used up, then dropped."""
     found = []
@@ -142,15 +247,10 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 def confirmed_spans(text: str) -> list[tuple[str, int, int, str]]:
     """Candidates whose decoded structure proves them."""
-    found = []
-    for m in ENCODED.finditer(text):
-        if (raw := decode(m.group())) and (what := der_key(raw) or packed_key(raw)):
-            found.append(("key", m.start(), m.end(), what))
-    for m in HEXED.finditer(text):
-        if len(m.group()) % 2 == 0 and (what := der_key(raw := bytes.fromhex(m.group())) or packed_key(raw)):
-            found.append(("key", m.start(), m.end(), what))
-    if "eyJ" in text or "ey" in text and "." in text:
-        found += [("token", m.start(), m.end(), alg) for m in DOTTED.finditer(text) if m.group().startswith("ey") and (alg := signed_token(m.group()))]
+    found = key_spans(text, ENCODED, LINE, from_64, lambda n: -(-4 * n // 3), LEAST_64)
+    found += key_spans(text, HEXED, HEX_LINE, from_hex, lambda n: 2 * n, LEAST_16)
+    if "." in text:
+        found += [("token", m.start(), m.end(), alg) for m in DOTTED.finditer(text) if (alg := signed_token(m.group()))]
     return found
 
 

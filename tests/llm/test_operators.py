@@ -245,6 +245,31 @@ def test_secrets(spark):
     assert rows[10].spans == "" and "token" not in rows[11].spans and rows[12].spans == "assign:18:30" and rows[13].spans == ""
 
 
+def test_wrapped_secrets():
+    import base64
+    import textwrap
+
+    rsa = der(*[integer(i + 1, 60) for i in range(9)])
+    ec = der(integer(1, 1), b"\x04\x20" + bytes(32))
+    pkcs8 = der(integer(0, 1), der(b"\x06\x03abc"), b"\x04\x40" + bytes(64))
+    field = lambda x: len(x).to_bytes(4, "big") + x
+    packed = b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + (1).to_bytes(4, "big") + field(b"p" * 51) + field(b"s" * 137)
+    for key, what in ((rsa, "rsa private key"), (ec, "ec private key"), (pkcs8, "pkcs8 private key"), (packed, "packed private key")):
+        for code in (base64.b64encode(key).decode(), base64.b64encode(key).decode().rstrip("="), base64.urlsafe_b64encode(key).decode(), key.hex()):
+            for gap in ("\n", "\r\n", "\\n", "\\r\\n", "\n    "):
+                body = gap.join(textwrap.wrap(code, 64))
+                for head, tail in ((f"é -----BEGIN KEY-----{gap}", f"{gap}-----END KEY-----{gap}"), ('{"key": "', '"}'), ("", f"{gap}words follow"), ("a\nb\n", "\n"), ("-----BEGIN KEY-----", "-----END KEY-----")):
+                    got = [x for x in secrets.confirmed_spans(head + body + tail)]
+                    assert got == [("key", len(head), len(head) + len(body), what)], (what, gap, head, got)
+    body = "\n".join(textwrap.wrap(base64.b64encode(rsa).decode(), 64))
+    assert not secrets.confirmed_spans(body[:-8]) and not secrets.confirmed_spans(body.replace("\n", "\n\n"))
+    assert len(secrets.confirmed_spans(f"{body}\n{body}")) == 2
+    part = lambda x: base64.urlsafe_b64encode(x).decode().rstrip("=")
+    token = part(b'{\n "alg": "ES256"}') + "." + part(b'\n{"sub": 1}') + ".c2ln"
+    assert secrets.confirmed_spans(f"t {token}") == [("token", 2, 2 + len(token), "ES256")]
+    assert not secrets.confirmed_spans("something.example.org MA. 30 MIND")
+
+
 # ---------------------------------------------------------------- language model
 
 
