@@ -2,11 +2,12 @@
 
 1. Words of all training documents are counted exactly. The most frequent ones are symbols of their own, the others share classes cut by
    equal parts of their mass, and the last class holds the rare and the unknown. So a word's probability is that of its symbol, given the
-   text before it, times its share of the class: a class-factored softmax over SYMBOLS outputs.
+   text before it, times its share of the class: a class-factored softmax over SYMBOLS outputs. The share doesn't depend on the text.
 2. Documents become strings of symbols, one byte a token. What the classes and the plain counts contribute is summed on the way. Counts of
    the COUNTED most frequent words are sent to the tasks; the rest, which no text can hold often, is counted by a join.
 3. The network is trained on every training document, in ROUNDS rounds: each task starts from the round's weights, runs truncated
-   backpropagation over its documents, and the weights are averaged by tokens. The loss is taken at a part of the steps.
+   backpropagation over its documents, and the weights are averaged by tokens. The loss is taken at every step, so each token is a target.
+   A round has a third of the documents; each is seen once.
 4. Each whole document is scored in windows; the state is carried from window to window and starts afresh with each document.
 
 Unknown words are one type, as in the base; both are distributions over all known types and that one.
@@ -31,7 +32,7 @@ from flankspark.llm.common import SPACED, U64, batched, blocks, cut, mix, most_f
 SYMBOLS, SINGLE = 256, 176
 #: Words whose counts are sent to the tasks: at most 16 bytes each.
 COUNTED = 400_000
-HIDDEN, LANES, STEPS, ROUNDS, RATE, LOSS_EVERY = 24, 192, 16, 3, 0.006, 4
+HIDDEN, LANES, STEPS, ROUNDS, RATE = 24, 192, 16, 3, 0.006
 #: Hash that stands for the end of a text, and its symbol.
 END_HASH, END = mix(np.array([0xE0D], U64))[0], 0
 RARE = SYMBOLS - 1
@@ -191,12 +192,11 @@ class Lanes:
 def train(w: dict, texts: list[np.ndarray], adam: Adam) -> None:
     lanes = Lanes(texts)
     state = np.zeros((lanes.targets.shape[1], HIDDEN), np.float32)
-    for k, (a, b, n) in enumerate(lanes.windows()):
+    for a, b, n in lanes.windows():
         trace: list = []
         inputs, targets, starts = (m[a:b, :n] for m in (lanes.inputs, lanes.targets, lanes.starts))
         states = forward(w, state[:n], inputs, starts, trace)
-        every = min(LOSS_EVERY, b - a)
-        adam.step(backward(w, inputs, targets, starts, trace, states, range(k % every, b - a, every)))
+        adam.step(backward(w, inputs, targets, starts, trace, states, range(b - a)))
         state = states[-1]
 
 

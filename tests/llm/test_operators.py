@@ -325,6 +325,21 @@ def test_network_gradient_and_carried_state():
     assert np.allclose(language_model.score(w, texts), alone, rtol=1e-4)
 
 
+def test_every_training_token_is_a_target(monkeypatch):
+    r = np.random.default_rng(4)
+    texts = [r.integers(0, 20, n).astype(np.uint8) for n in (50, 1, 33, 7)]
+    seen, inner = Counter(), language_model.backward
+
+    def spy(w, inputs, targets, starts, trace, states, loss_at):
+        seen.update(targets[loss_at.start : loss_at.stop : loss_at.step].ravel().tolist())
+        return inner(w, inputs, targets, starts, trace, states, loss_at)
+
+    monkeypatch.setattr(language_model, "backward", spy)
+    w = language_model.fresh()
+    language_model.train(w, texts, language_model.Adam(w))
+    assert seen == Counter(np.concatenate(texts).tolist())
+
+
 # ---------------------------------------------------------------- decontamination
 
 
