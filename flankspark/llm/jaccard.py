@@ -5,8 +5,8 @@ most H(s, r) = s + r - 2 * ceil(3 (s + r) / 7) elements. Sizes fall into bands;
 hashes are dealt:
 
 * segment subsets: with m segments, at least m - H are equal in both sets. A set may leave out m - H - 1 of its signatures. It leaves out
-  the costliest, in an order that is the same for all sets: empty segments, then those whose rarest shingle is frequent. The cheapest
-  signature that two sets share is left out by neither, so no link is lost.
+  the costliest, in an order that is the same for all sets: empty segments, then those whose rarest shingle is frequent, then those of few
+  shingles. The cheapest signature that two sets share is left out by neither, so no link is lost.
 * one-deletion neighbourhoods, for small sets: with H // 2 + 1 segments one differs by at most one element, so the segment and all that
   remains of it after a deletion are signatures.
 
@@ -14,9 +14,12 @@ A band takes what its signatures and the sets expected to share them by chance c
 gathered from all documents: each batch reports shingles that several of its texts share, and the sums rank them.
 
 Equal sets are one class. Signatures meet by a shuffle; the least class of a bucket leads it. A leader and its members are compared in
-blocks of bounded size, exactly, by the overlaps of their sets. Of a leader with several blocks, the members that then are still outside
-of its component are compared with all others, in blocks too. So a large group of near copies costs in proportion to its size, and no
-pair is a row: a block gives at most as many links as it has members.
+blocks of bounded size, in two steps. First by parities: the universe is dealt to about twice as many segments as a set has elements, and
+one bit a segment says whether the set has an odd number of elements there. Sets that differ in H elements differ in at most H of these
+bits, so a block drops every member without a possible partner, and loses no link. Then by the overlaps of the sets, exactly: only
+texts that are left travel. Of a leader with several blocks, the members that then are still outside of its component are compared with
+all others, in blocks too. So a large group of near copies costs in proportion to its size, and no pair is a row: a block gives at most
+as many links as it has members.
 
 Edge cases: a text with 1 to 4 words has its word sequence as one shingle; null texts and texts without words have an empty set and link
 with nothing; repeated rows and ties fall into one class; documents that repeat an id are judged by row; an empty table gives an empty
@@ -42,8 +45,10 @@ WIDTH = 5
 LOCAL_SHARED, RANKED = 3, 200_000
 #: Sizes from which bands double; each smaller size is a band of its own.
 DOUBLING = 16
-#: Bits of the filters of document ids; a full filter lets more rows through, and a join decides.
-FILTER_BITS = 1 << 25
+#: Bits of a filter of document ids: so many for each id, between bounds; a fuller one lets more rows through, and a join decides.
+ID_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 27
+#: Numbers that a block of parities compares at once.
+AT_ONCE = 1 << 20
 #: Strays and members of a leader that are compared in one block, and columns of its incidence at once.
 CHUNK, PART, COLUMNS = 256, 512, 4096
 PARTS = seeds(WIDTH, 41)
@@ -82,6 +87,16 @@ def shingle_sets(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(sets) if sets else np.zeros(0, U64)), np.concatenate([[0], np.cumsum(sizes)])
 
 
+def parities(found: np.ndarray) -> bytes:
+    """Of each segment, whether a set has an odd number of elements there; segments are a power of two, from twice the set's size up.
+
+    The high half of an element picks the segment, so half as many segments come from folding one half onto the other.
+    """
+    bits = max(64, 1 << (2 * len(found) - 1).bit_length())
+    held = np.bincount(((found >> U64(32)) & U64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((held & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
 def set_ids(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """A 64-bit id of each set, from its elements and size; 0 for empty ones."""
     sizes = np.diff(offsets)
@@ -167,11 +182,8 @@ def signatures(values: np.ndarray, mixed: np.ndarray, rank: np.ndarray) -> np.nd
             continue
         sig = mix(sums + SEGMENT * seg.astype(U64) + base)
         if len(sig) > h + 1:
-            cost = np.minimum.reduceat(rank[order], heads)
-            if cost.any():
-                sig = sig[np.lexsort((sig, cost))[: h + 1]]
-            else:
-                sig = np.partition(sig, h)[: h + 1]
+            held = np.diff(heads, append=n)
+            sig = sig[np.lexsort((sig, -held, np.minimum.reduceat(rank[order], heads)))[: h + 1]]
         elif len(sig) < h + 1:
             bare = np.setdiff1d(np.arange(segments), seg)
             empty = np.sort(mix(SEGMENT * bare.astype(U64) + base))
@@ -181,34 +193,35 @@ def signatures(values: np.ndarray, mixed: np.ndarray, rank: np.ndarray) -> np.nd
 
 
 class Filter:
-    """A Bloom filter of 64-bit keys with a fixed number of bits."""
+    """A Bloom filter of 64-bit keys; its bits are a power of two."""
 
     def __init__(self, bits: np.ndarray):
         self.bits = bits
 
     @staticmethod
-    def places(keys: np.ndarray) -> list[np.ndarray]:
+    def places(keys: np.ndarray, size: int) -> list[np.ndarray]:
         h = mix(keys.view(U64) ^ SEGMENT)
-        return [(h >> U64(k)) & U64(FILTER_BITS - 1) for k in (0, 19, 38)]
+        return [(h >> U64(k)) & U64(size - 1) for k in (0, 18, 36)]
 
     def has(self, keys: np.ndarray) -> np.ndarray:
         out = np.ones(len(keys), bool)
-        for p in self.places(keys):
+        for p in self.places(keys, 8 * len(self.bits)):
             out &= (self.bits[p >> U64(3)] >> (p & U64(7)).astype(np.uint8)) & 1 == 1
         return out
 
     @classmethod
     def of(cls, ids: DataFrame) -> Filter:
-        """The filter of a column of ids; each of a few tasks sends its bits."""
+        """The filter of a column of ids, of a size that fits their number; each of a few tasks sends its bits."""
+        size = min(MOST_BITS, max(LEAST_BITS, 1 << (ID_BITS * ids.count()).bit_length()))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            flags = np.zeros(FILTER_BITS, bool)
+            flags = np.zeros(size, bool)
             for batch in batches:
-                for p in cls.places(as_keys(batch.column(0))):
+                for p in cls.places(as_keys(batch.column(0)), size):
                     flags[p] = True
             yield pa.RecordBatch.from_arrays([pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())], names=["bits"])
 
-        bits = np.zeros(FILTER_BITS // 8, np.uint8)
+        bits = np.zeros(size // 8, np.uint8)
         for row in ids.coalesce(4).mapInArrow(run, "bits binary").toLocalIterator():
             bits |= np.frombuffer(row[0], np.uint8)
         return cls(bits)
@@ -228,18 +241,20 @@ def _set_batches(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, n_shingles, node, shared): shared holds, once a batch, the shingles that several of its distinct texts have."""
+    """(id, n_shingles, node, shared, odd): shared holds, once a batch, the shingles that several of its distinct texts have; odd the parities of a class, at its first row of a batch."""
     kind = pa.list_(pa.struct([("h", pa.int64()), ("c", pa.int64())]))
     for batch in batches:
-        sizes, nodes, firsts = [], [], []
+        sizes, nodes, firsts, odd = [], [], [], []
         known: set[int] = set()
         for _, values, places, ids in _set_batches(batch.column(1)):
             sizes.append(np.diff(places))
             nodes.append(ids)
             for i, node in enumerate(ids.tolist()):
-                if node not in known:
+                new = node not in known and node != 0
+                if new:
                     known.add(node)
                     firsts.append(values[places[i] : places[i + 1]])
+                odd.append(parities(firsts[-1]) if new else None)
         sizes, nodes = np.concatenate(sizes or [np.zeros(0, np.int64)]), np.concatenate(nodes or [np.zeros(0, U64)])
         every = np.sort(np.concatenate(firsts or [np.zeros(0, U64)]))
         heads = np.flatnonzero(np.diff(every, prepend=every[:1] + U64(1))) if len(every) else np.zeros(0, np.int64)
@@ -249,7 +264,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if batch.num_rows:
             rows[0] = [{"h": a, "c": b} for a, b in zip(signed(every[heads[shared]]).tolist(), counts[shared].tolist(), strict=True)]
         node = pa.array(signed(nodes), pa.int64(), mask=sizes == 0)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), node, pa.array(rows, kind)], names=["id", "n_shingles", "node", "shared"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), node, pa.array(rows, kind), pa.array(odd, pa.binary())], names=["id", "n_shingles", "node", "shared", "odd"])
 
 
 def _sign(shared):
@@ -327,12 +342,12 @@ def overlaps(values: np.ndarray, places: np.ndarray, left: np.ndarray, right: np
     column, owner = column[keep], owner[keep]
     order = np.argsort(column, kind="stable")
     column, owner = column[order], owner[order]
-    counts = np.zeros((len(left), len(right)), np.float32)
+    counts = np.zeros((len(left), len(right)), np.int64)
     for low in range(0, len(shared), COLUMNS):
         a, b = np.searchsorted(column, (low, low + COLUMNS))
         block = np.zeros((len(places) - 1, min(COLUMNS, len(shared) - low)), np.float32)
         block[owner[a:b], column[a:b] - low] = 1
-        counts += block[left] @ block[right].T
+        counts += (block[left] @ block[right].T).astype(np.int64)
     return counts
 
 
@@ -352,6 +367,60 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return kept[:, 0], kept[:, 1]
 
 
+def may_link(odd: list[np.ndarray], sizes: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which sets of a block differ in no more parities from another than links allow; a pair needs a left and a right member."""
+    out = np.zeros(len(odd), bool)
+    level = np.array([len(x) for x in odd])
+    for w in np.unique(level):
+        own, above = np.flatnonzero(level == w), np.flatnonzero(level == 2 * w)
+        low = np.stack([odd[i] for i in own])
+        folded = np.stack([odd[i][:w] ^ odd[i][w:] for i in above]) if len(above) else low[:0]
+        for others, high in ((own, low), (above, folded)):
+            if not len(others):
+                continue
+            step = max(1, AT_ONCE // (len(own) * len(others)))
+            far = np.zeros((len(own), len(others)), np.int64)
+            for k in range(0, w, step):
+                far += np.bitwise_count(low[:, None, k : k + step] ^ high[None, :, k : k + step]).sum(2, dtype=np.int64)
+            total = sizes[own][:, None] + sizes[others][None, :]
+            near = far <= total - 2 * -(-3 * total // 7)
+            near &= (own[:, None] != others[None, :]) & (left[own][:, None] & right[others][None, :] | right[own][:, None] & left[others][None, :])
+            out[own] |= near.any(1)
+            out[others] |= near.any(0)
+    return out
+
+
+def _screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (a, chunk, part, node, is_left, is_right, n, odd) sorted by a, chunk and part: those that may have a partner in their block."""
+    names = ["a", "chunk", "part", "node", "is_left", "is_right"]
+
+    def kept(held: list[pa.RecordBatch]) -> pa.RecordBatch | None:
+        block = pa.Table.from_batches(held).combine_chunks()
+        if len(block) < 2:
+            return None
+        sizes, left, right = (block[k].to_numpy() for k in ("n", "is_left", "is_right"))
+        keep = may_link([np.frombuffer(x, U64) for x in block["odd"].to_pylist()], sizes, left, right)
+        return block.select(names).filter(pa.array(keep)).combine_chunks().to_batches()[0] if keep.any() else None
+
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(k).to_numpy() for k in range(3)])
+        new = np.append(last is None or bool((keys[:, 0] != last).any()), (keys[:, 1:] != keys[:, :-1]).any(0))
+        bounds = np.flatnonzero(new | (np.arange(len(new)) == 0)).tolist()
+        for at, end in zip(bounds, [*bounds[1:], len(new)], strict=True):
+            if new[at]:
+                if held and (out := kept(held)) is not None:
+                    yield out
+                held = []
+            held.append(batch.slice(at, end - at))
+        last = keys[:, -1]
+    if held and (out := kept(held)) is not None:
+        yield out
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by a, chunk and part, of which each block is held at a time: (u, v) of links between its left and right members."""
     key, held = None, []
@@ -387,10 +456,21 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # ---------------------------------------------------------------- the join
 
 
-def compare_blocks(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """(u, v) of the links in each block of members(a, chunk, part, node, is_left, is_right); a text travels once for each of its blocks."""
-    rows = members.join(texts, "node").select("a", "chunk", "part", "node", "is_left", "is_right", "text")
-    return rows.repartition("a", "chunk", "part").sortWithinPartitions("a", "chunk", "part").mapInArrow(_compare, "u long, v long")
+def compare_blocks(members: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(u, v) of the links in each block of members(a, chunk, part, node, is_left, is_right).
+
+    classes(node, id, n, odd) has the parities of each class, docs(id, text) the texts. Parities travel once for each block of a member;
+    texts only where they left a possible partner.
+    """
+    block = ["a", "chunk", "part"]
+    columns = "a long, chunk long, part long, node long, is_left boolean, is_right boolean"
+    rows = members.join(classes.select("node", "n", "odd"), "node").select(*block, "node", "is_left", "is_right", "n", "odd")
+    left = cut(rows.repartition(*block).sortWithinPartitions(*block).mapInArrow(_screen, columns))
+    asked = classes.select("node", "id").join(left.select("node").distinct(), "node", "left_semi").select("id")
+    wanted = docs.sparkSession.sparkContext.broadcast(Filter.of(asked).bits)
+    texts = docs.mapInArrow(_collect_texts(wanted), "node long, text string")
+    rows = left.join(texts, "node").select(*block, "node", "is_left", "is_right", "text")
+    return rows.repartition(*block).sortWithinPartitions(*block).mapInArrow(_compare, "u long, v long")
 
 
 def leader_blocks(pairs: DataFrame) -> DataFrame:
@@ -402,11 +482,11 @@ def leader_blocks(pairs: DataFrame) -> DataFrame:
 
 
 def _place(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """(id, n_shingles, node, shared) of each row of docs, and (node, id, group) of each class: its least id, and the component it lies in."""
+    """(id, n_shingles, node) of each row of docs, and (node, id, group) of each class: its least id, and the component it lies in."""
     spark = docs.sparkSession
     batched(spark)
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    about = cut(slim.mapInArrow(_describe, "id long, n_shingles long, node long, shared array<struct<h:long,c:long>>"))
+    about = cut(slim.mapInArrow(_describe, "id long, n_shingles long, node long, shared array<struct<h:long,c:long>>, odd binary"))
     shared = about.where(F.size("shared") > 0).select(F.explode("shared").alias("x")).groupBy("x.h").agg(F.sum("x.c").alias("c"))
     top = most_frequent(cut(shared), "h", "c", RANKED)
     hashes = np.array([h for h, _ in top], np.int64).view(U64)
@@ -416,18 +496,15 @@ def _place(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, DataFram
     signed_rows = slim.mapInArrow(_sign(ranking), "sig long, node long").repartition("sig").sortWithinPartitions("sig", "node")
     pairs = cut(signed_rows.mapInArrow(_meet, "a long, b long").distinct())
 
-    involved = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    classes = about.where("node is not null").groupBy("node").agg(F.min("id").alias("id"))
-    wanted = spark.sparkContext.broadcast(Filter.of(classes.join(involved, "node", "left_semi").select("id")).bits)
-    texts = slim.mapInArrow(_collect_texts(wanted), "node long, text string")
-
-    edges = cut(compare_blocks(leader_blocks(pairs), texts))
+    # A class has its parities in one row of each batch that it is in.
+    classes = about.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.min("n_shingles").alias("n"), F.min("odd").alias("odd"))
+    edges = cut(compare_blocks(leader_blocks(pairs), classes, slim))
     labels = connected_components(edges)
-    more = _open_links(pairs, labels, texts)
+    more = _open_links(pairs, labels, classes, slim)
     if more is not None:
         labels = connected_components(edges.unionByName(more))
 
-    return about, classes.join(labels, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    return about.drop("shared", "odd"), classes.select("node", "id").join(labels, "node", "left").withColumn("group", F.coalesce("component", "node"))
 
 
 def find_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -435,11 +512,11 @@ def find_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     about, grouped = _place(docs, id_col, text)
     least = grouped.groupBy("group").agg(F.min("id").alias("component_id"))
     of = grouped.join(least, "group").select("node", "component_id")
-    out = about.drop("shared").join(of, "node", "left")
+    out = about.join(of, "node", "left")
     return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
 
 
-def _open_links(pairs: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame | None:
+def _open_links(pairs: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame | None:
     """Links between classes of a leader that weren't in one block, as it has several, and that still are in different components.
 
     Two classes of a bucket share its leader. So of the members of such a leader, those outside of its component (the strays) are
@@ -464,7 +541,7 @@ def _open_links(pairs: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFr
     across = F.when(F.col("stray"), F.transform(every(F.col("parts")), lambda p: F.struct(F.col("c").alias("chunk"), p.alias("part")))).otherwise(F.array().cast("array<struct<chunk:bigint,part:bigint>>"))
     rows = own.withColumn("at", F.explode(F.array_union(down, across)))
     rows = rows.select("a", "at.chunk", "at.part", F.col("b").alias("node"), (F.col("stray") & (F.col("at.chunk") == F.col("c"))).alias("is_left"), (F.col("at.part") == F.col("p")).alias("is_right"))
-    return cut(compare_blocks(rows, texts))
+    return cut(compare_blocks(rows, classes, docs))
 
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from flankspark.llm import jaccard
@@ -89,6 +90,25 @@ def test_keep_one_judges_rows_that_share_an_id(spark):
     assert sorted(map(repr, kept)) == sorted(map(repr, want + eights))
 
 
+def test_parities_lose_no_link():
+    r = random.Random(5)
+    sets, words = [], [np.uint64(r.getrandbits(64)) for _ in range(3000)]
+    for n in (1, 2, 7, 31, 32, 33, 60, 70, 250, 260, 900):
+        base = r.sample(words, n)
+        for _ in range(6):
+            cut = r.sample(base, max(1, n - r.randrange(n // 4 + 1)))
+            sets.append(sorted({*cut, *r.sample(words, r.randrange(n // 4 + 1))}))
+    odd = [np.frombuffer(jaccard.parities(np.array(x, np.uint64)), np.uint64) for x in sets]
+    sizes = np.array([len(x) for x in sets])
+    left, right = (np.array([r.random() < 0.7 for _ in sets]) for _ in range(2))
+    may = jaccard.may_link(odd, sizes, left, right)
+    for i, a in enumerate(sets):
+        links = [j for j, b in enumerate(sets) if i != j and 175 * len({*a} & {*b}) >= 75 * (len(a) + len(b)) and (left[i] and right[j] or right[i] and left[j])]
+        assert may[i] or not links
+    far = [np.frombuffer(jaccard.parities(np.array(r.sample(words, 500), np.uint64)), np.uint64) for _ in range(20)]
+    assert not jaccard.may_link(far, np.full(20, 500), np.ones(20, bool), np.ones(20, bool)).any()
+
+
 def test_bounds_cover_every_pair():
     for s in range(1, 200):
         for r in range(s, 4 * s // 3 + 1):
