@@ -295,22 +295,26 @@ def test_language_model_scores(spark):
     assert language_model.score_documents(df.where("false")).count() == 0
 
 
-def test_network_gradient_and_carried_state():
-    r = np.random.default_rng(3)
+def window_of(steps, lanes, symbols=200, seed=3):
+    r = np.random.default_rng(seed)
+    inputs, targets = (r.integers(0, symbols, (steps, lanes)).astype(language_model.SYMBOL) for _ in range(2))
+    starts, valid = np.zeros((steps, lanes), bool), np.ones((steps, lanes), bool)
+    starts[0], starts[3, 1], valid[4:, 2] = True, True, False
+    return inputs, targets, starts, valid
+
+
+def test_network_gradient():
     w = language_model.fresh()
-    inputs, targets = r.integers(0, 20, (6, 3)).astype(np.uint8), r.integers(0, 20, (6, 3)).astype(np.uint8)
-    starts = np.zeros((6, 3), bool)
-    starts[0], starts[3, 1] = True, True
+    inputs, targets, starts, valid = window_of(6, 3)
     zero = np.zeros((3, language_model.HIDDEN), np.float32)
 
     def loss():
-        states = language_model.forward(w, zero, inputs, starts)[::2].reshape(-1, language_model.HIDDEN)
-        logs = language_model.log_softmax(w, states)
-        return -logs[np.arange(len(logs)), targets[::2].ravel()].mean()
+        states = language_model.forward(w, zero, inputs, starts).reshape(-1, language_model.HIDDEN + 1)
+        return -language_model.Softmax(w, states, targets.ravel()).logs.astype(float)[valid.ravel()].sum()
 
-    trace = []
+    trace, grads = [], {k: np.zeros(s, np.float32) for k, s in language_model.SHAPES.items()}
     states = language_model.forward(w, zero, inputs, starts, trace)
-    grads = language_model.backward(w, inputs, targets, starts, trace, states, range(0, 6, 2))
+    language_model.backward(w, inputs, targets, starts, valid, trace, states, grads)
     for k in w:
         at = np.unravel_index(np.abs(grads[k]).argmax(), grads[k].shape)
         old, step = w[k][at], 0.02
@@ -319,27 +323,66 @@ def test_network_gradient_and_carried_state():
         w[k][at] = old - step
         down = loss()
         w[k][at] = old
-        assert abs((up - down) / (2 * step) - grads[k][at]) < 0.02 * abs(grads[k][at]) + 1e-4, k
-    texts = [r.integers(0, 20, n).astype(np.uint8) for n in (50, 1, 33, 7)]
-    alone = [language_model.score(w, [t])[0] for t in texts]
-    assert np.allclose(language_model.score(w, texts), alone, rtol=1e-4)
+        assert abs((up - down) / (2 * step) - grads[k][at]) < 0.02 * abs(grads[k][at]) + 1e-3, k
+
+
+def test_symbols_are_a_distribution():
+    w = language_model.fresh()
+    row = np.append(np.random.default_rng(2).normal(size=language_model.HIDDEN), 1).astype(np.float32)
+    logs = language_model.Softmax(w, np.repeat(row[None], language_model.SYMBOLS, 0), np.arange(language_model.SYMBOLS)).logs
+    assert abs(np.exp(logs.astype(float)).sum() - 1) < 1e-4
+
+
+def test_lanes_hold_every_token_once():
+    r = np.random.default_rng(4)
+    texts = [r.integers(1, 20, n).astype(language_model.SYMBOL) for n in (500, 1, 33, 7, 64, 65, 1, 1, 128, 700)]
+    for lanes, steps in ((1, 5), (3, 8), (4, 64), (20, 3)):
+        back, now = [[] for _ in texts], {}
+        for window in language_model.windows(iter(texts), lanes, steps):
+            assert window.pieces[:, 1].max() < window.inputs.shape[1] <= lanes
+            for number, lane, first, end, _ in window.pieces.tolist():
+                assert window.starts[first, lane] == (not back[number]) and window.valid[first:end, lane].all()
+                back[number] += window.targets[first:end, lane].tolist()
+                before = [language_model.END, *texts[number].tolist()][len(back[number]) - (end - first) : len(back[number])]
+                assert window.inputs[first:end, lane].tolist() == before
+            assert window.valid.sum() == sum(e - f for _, _, f, e, _ in window.pieces.tolist())
+        assert back == [t.tolist() for t in texts] and not now
+    w = language_model.fresh()
+    alone = [dict(language_model.scores(w, iter([t])))[0] for t in texts]
+    together = dict(language_model.scores(w, iter(texts)))
+    assert np.allclose([together[i] for i in range(len(texts))], alone, rtol=1e-4)
 
 
 def test_every_training_token_is_a_target(monkeypatch):
     r = np.random.default_rng(4)
-    texts = [r.integers(0, 20, n).astype(np.uint8) for n in (50, 1, 33, 7)]
+    texts = [r.integers(0, 20, n).astype(language_model.SYMBOL) for n in (50, 1, 33, 7)]
     seen, inner = Counter(), language_model.backward
 
-    def spy(w, inputs, targets, starts, trace, states, loss_at):
-        seen.update(targets[loss_at.start : loss_at.stop : loss_at.step].ravel().tolist())
-        return inner(w, inputs, targets, starts, trace, states, loss_at)
+    def spy(w, inputs, targets, starts, valid, *more):
+        seen.update(targets[valid].tolist())
+        return inner(w, inputs, targets, starts, valid, *more)
 
     monkeypatch.setattr(language_model, "backward", spy)
     w = language_model.fresh()
-    language_model.train(w, texts, language_model.Adam(w))
+    assert language_model.train(w, iter(texts), language_model.Adam(w)) == 91
     assert seen == Counter(np.concatenate(texts).tolist())
 
 
+def test_a_long_text_among_short_ones_takes_little_memory():
+    import tracemalloc
+
+    r = np.random.default_rng(7)
+    long = r.integers(0, 2000, 60_000).astype(language_model.SYMBOL)
+    texts = (long[: 200 + i % 7] if i else long[:60_000] for i in range(300))
+    tracemalloc.start()
+    w = language_model.fresh()
+    found = dict(language_model.scores(w, texts))
+    language_model.train(w, iter([long[:20_000], *[long[:300]] * 300]), language_model.Adam(w))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 300 and peak < 60 << 20
+
+
 # ---------------------------------------------------------------- decontamination
 
 
