@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flankspark.functions.graph import checkpoint_folder, cut_lineage
+
 U64 = np.uint64
 #: Rows of an Arrow batch; with texts of some kB a batch stays near 8 MB.
 BATCH_ROWS = 2000
@@ -18,17 +19,19 @@ BLOCK_BYTES = 1 << 19
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir, which driver and executors share; a temporary one only where that is unset, as in tests."""
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
-    return context._jsc.sc().getCheckpointDir().get()
+    return checkpoint_folder(spark)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder of the shared file system that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Writes df into the checkpoint folder of the session and returns what was written."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    return cut_lineage(df)
 
 
 def batched(spark: SparkSession, rows: int = BATCH_ROWS) -> None:

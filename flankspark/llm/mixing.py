@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 BLOCK_ROWS = 16
 DEFAULT_WEIGHT = 2
-#: Rows that are numbered in one task.
-BUCKET_ROWS = 20_000
+#: Rows that are numbered in one task, and buckets of rows whose offsets are summed in one.
+BUCKET_ROWS, RUN = 20_000, 64
 #: Sources and weights for which periods are simulated.
 MAX_SOURCES, MAX_PERIOD = 4096, 1_000_000
 #: Rows of a schedule that is broadcast; a larger one is joined by shuffle.
@@ -91,21 +91,30 @@ def numbered(df: DataFrame, group: str, order: Column, parts: DataFrame) -> Data
     at = F.shiftrightunsigned(F.col("__order").bitwiseXOR(F.lit(-(2**63))), 11) / F.lit(float(1 << 53))
     dealt = df.withColumn("__order", order).join(F.broadcast(parts), group).withColumn("__bucket", F.floor(at * F.col("__parts"))).drop("__parts")
     totals = dealt.groupBy(group, "__bucket").agg(F.count("*").alias("__held"))
-    before = Window.partitionBy(group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(group, "__bucket", F.coalesce(F.sum("__held").over(before), F.lit(0)).alias("__start"))
+    # Offsets of a group's buckets in two levels, so no task sums all buckets of a hot group.
+    totals = totals.withColumn("__run", F.floor(F.col("__bucket") / RUN))
+    runs = totals.groupBy(group, "__run").agg(F.sum("__held").alias("__whole"))
+    earlier = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(group, "__run", F.coalesce(F.sum("__whole").over(earlier(group, "__run")), F.lit(0)).alias("__base"))
+    in_run = F.coalesce(F.sum("__held").over(earlier(group, "__run", "__bucket")), F.lit(0))
+    starts = totals.withColumn("__start", in_run).join(runs, [group, "__run"]).select(group, "__bucket", (F.col("__start") + F.col("__base")).alias("__start"))
     inside = Window.partitionBy(group, "__bucket").orderBy("__order", "__tie")
     out = dealt.withColumn("__in", F.row_number().over(inside) - 1).join(starts, [group, "__bucket"])
     return out.withColumn("__n", F.col("__start") + F.col("__in")).drop("__order", "__bucket", "__start", "__in")
 
 
-def mix(docs: DataFrame, weights: dict[str, int] | None = None, block_rows: int = BLOCK_ROWS, source: str = "source", id_col: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Columns of docs named in keep (all if None) with source_block, mix_slot (of the block) and mix_offset (in the block)."""
+def mix(docs: DataFrame, weights: dict[str, int] | None = None, block_rows: int = BLOCK_ROWS, source: str = "source", id_col: str = "doc_id", text: str = "text", keep: list[str] | None = None, crc: str | None = None) -> DataFrame:
+    """Columns of docs named in keep (all if None) with source_block, mix_slot (of the block) and mix_offset (in the block).
+
+    Only the text's checksum matters; where crc names a column that holds it, no text is read. Equal rows apart, the same documents get
+    the same places in every run.
+    """
     spark = docs.sparkSession
     new = ("source_block", "mix_slot", "mix_offset")
     keep = [c for c in (docs.columns if keep is None else keep) if c not in new]
     # One string for each source; no source has the empty prefix of the null one.
     name = F.when(F.col(source).isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), F.col(source).cast("string")))
-    slim = docs.select(*[F.col(f"`{c}`") for c in keep], name.alias("__source"), F.crc32(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")).alias("__crc"), F.col(id_col).cast("string").alias("__id"))
+    slim = docs.select(*[F.col(f"`{c}`") for c in keep], name.alias("__source"), (F.crc32(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")) if crc is None else F.col(crc)).alias("__crc"), F.col(id_col).cast("string").alias("__id"))
     slim = slim.withColumn("__tie", F.struct(F.col("__id"), F.col("__crc")))
     counts = slim.groupBy("__source").agg(F.count("*").alias("n")).orderBy("__source").limit(MAX_SOURCES + 1).collect()
     if len(counts) > MAX_SOURCES:

@@ -11,7 +11,8 @@ So the law is ``bytes``: sizes of shards differ by less than two records. Slots
 Only sizes and keys are shuffled; of the text nothing but its size and checksum is kept unless the caller adds columns.
 
 Edge cases: null texts have size 1 and checksum null-as-empty (0); null keys come first; repeated rows are split like any others; an
-empty table gives an empty result. Columns of the input other than those asked for aren't carried, so names can't clash.
+empty table gives an empty result. Columns of the input other than those asked for aren't carried; one asked for that has the name of a
+new column raises an error, and write_shards renames it.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from flankspark.llm.common import cut
 RANGES_PER_SHARD, MAX_RANGES, RANGE_BYTES = 16, 8192, 256 << 20
 #: Sampled keys for each range.
 SAMPLED_KEYS = 16
+NEW = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
 def _lookup(values: list, index: Column, kind: str = "long") -> Column:
@@ -54,16 +56,32 @@ def _range_of(splitters: list[tuple[int, int]]) -> Column:
     return place("__key", "__tie")
 
 
+def measured(docs: DataFrame, text: str = "text") -> DataFrame:
+    """docs with size (UTF-8 bytes and 1) and text_crc32 in the place of the text."""
+    clash = {"size", "text_crc32"} & ({*docs.columns} - {text})
+    if clash:
+        raise ValueError(f"columns have names of new ones: {sorted(clash)}")
+    body = F.col(f"`{text}`").cast("string")
+    new = [(F.coalesce(F.octet_length(body), F.lit(0)) + 1).cast("long").alias("size"), F.crc32(F.coalesce(body, F.lit("")).cast("binary")).alias("text_crc32")]
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != text], *new)
+
+
 def assign_shards(docs: DataFrame, n_shards: int = 8, key: Column | None = None, text: str = "text", id_col: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot and grown_shard of each row, in range order of key (default: the id); carry adds columns."""
-    body = F.col(text).cast("string")
-    slim = docs.select(
-        F.col(id_col),
-        (F.coalesce(F.octet_length(body), F.lit(0)) + 1).cast("long").alias("size"),
-        F.crc32(F.coalesce(body, F.lit("")).cast("binary")).alias("text_crc32"),
-        F.coalesce((F.col(id_col) if key is None else key).cast("long"), F.lit(-(2**63))).alias("__key"),
-        *[F.col(c) for c in carry if c not in (id_col, "size", "text_crc32", "shard", "slot", "law", "grown_shard")],
-    )
+    """doc_id, size, text_crc32, law, shard, slot and grown_shard of each row, in range order of key (default: the id); carry adds columns.
+
+    A carried column with the name of a new one raises an error: it can't be told apart in the result.
+    """
+    carry = tuple(c for c in carry if c != id_col)
+    clash = {*NEW} & {id_col, *carry}
+    if clash:
+        raise ValueError(f"columns have names of new ones: {sorted(clash)}")
+    own = docs.select(F.col(f"`{id_col}`"), *[F.col(f"`{c}`") for c in carry], (F.col(f"`{id_col}`") if key is None else key).alias("__key"), F.col(f"`{text}`").alias("__text"))
+    return place(measured(own, "__text"), n_shards, "__key").drop("__key")
+
+
+def place(sized: DataFrame, n_shards: int, key: str) -> DataFrame:
+    """sized, which has size and text_crc32, with law, shard, slot and grown_shard, in range order of key, a column of whole numbers."""
+    slim = sized.withColumn("__key", F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))))
     slim = cut(slim.withColumn("__tie", F.xxhash64("__key", "text_crc32", F.monotonically_increasing_id())))
     total, rows = slim.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
 
@@ -107,11 +125,11 @@ def assign_shards(docs: DataFrame, n_shards: int = 8, key: Column | None = None,
         begin.setdefault(s, 0)
     begin[0] = 0
     slot = F.col("__row") - _lookup([begin[s] for s in range(n_shards)], F.col("shard"))
-    return placed.withColumns({"slot": slot.cast("long"), "law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}).drop("__key", "__tie", "__piece", "__row")
+    return placed.withColumns({"slot": slot.cast("long"), "law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}).drop("__tie", "__piece", "__row")
 
 
-def write_shards(docs: DataFrame, path: str, n_shards: int = 8, **options) -> None:
-    """Writes docs as files in a folder for each shard, in slot order within a file."""
-    carry = tuple(c for c in docs.columns if c != options.get("id_col", "doc_id"))
-    placed = assign_shards(docs, n_shards, carry=carry, **options)
+def write_shards(docs: DataFrame, path: str, n_shards: int = 8, id_col: str = "doc_id", **options) -> None:
+    """Writes docs as files in a folder for each shard, in slot order within a file; input columns with a new one's name get ``in_`` before it."""
+    own = docs.withColumnsRenamed({c: f"in_{c}" for c in docs.columns if c in NEW})
+    placed = assign_shards(own, n_shards, id_col=id_col, carry=tuple(c for c in own.columns if c != id_col), **options)
     placed.drop("law", "grown_shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -66,6 +66,16 @@ def test_shards_of_few_or_no_rows(spark):
     assert sorted(x.slot for x in sharding.assign_shards(documents(spark, ["a"], [None]), 8).collect()) == [0]
 
 
+def test_written_shards_keep_every_column(spark, tmp_path):
+    df = documents(spark).withColumnsRenamed({"lang": "size", "source": "slot"})
+    with pytest.raises(ValueError, match="size"):
+        sharding.assign_shards(df, 4, carry=("size",))
+    sharding.write_shards(df, str(tmp_path / "out"), 4)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert {"in_size", "in_slot", "size", "slot", "shard", "n_chars"} <= {*back.columns}
+    assert sorted((r.doc_id, r.in_size, r.in_slot, r.n_chars) for r in back.collect()) == sorted((r.doc_id, r.size, r.slot, r.n_chars) for r in df.collect())
+
+
 # ---------------------------------------------------------------- urls
 
 
@@ -143,6 +153,17 @@ def test_mixture_stays_within_a_block(spark, weights):
     assert done == Counter()
 
 
+def test_mixture_is_the_same_again(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RUN", 2)
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 5)
+    df = documents(spark, [f"t{i % 90}" for i in range(300)])
+    place = lambda x: sorted((r.doc_id, r.mix_slot, r.mix_offset) for r in x.collect())
+    first = place(mixing.mix(df, {"a": 3}))
+    sized = sharding.measured(df.select("doc_id", "source", "text"))
+    assert first == place(mixing.mix(sized.repartition(7), {"a": 3}, crc="text_crc32"))
+    assert sorted(x[1:] for x in first) == sorted({x[1:] for x in first})
+
+
 def test_mixture_of_nothing(spark):
     assert mixing.mix(documents(spark).where("false")).count() == 0
 

@@ -37,6 +37,10 @@ def test_stages(spark, tmp_path):
     assert kept["jaccard_join"] == kept["quality_rules"] - {200, 201}
     assert kept["decontamination"] == kept["jaccard_join"] - {300}
     assert kept["mixing"] == kept["sharding"] == kept["decontamination"]
+    # A shard is a stretch of the mixture: the written order, by files and rows, is the order of shards and slots.
+    order = [r.doc_id for r in sorted(now.collect(), key=lambda r: (r.shard, r.slot))]
+    written = [r.doc_id for r in spark.read.parquet(str(tmp_path / "out3")).selectExpr("doc_id", "_metadata.file_name as f", "_metadata.row_index as i").orderBy("f", "i").collect()]
+    assert order == written
     for s in range(8):
         own = [r for r in now.collect() if r.shard == s]
         assert sorted(r.slot for r in own) == list(range(len(own)))
