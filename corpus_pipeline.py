@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flankspark.llm import decontaminate, jaccard, mixing, quality, sharding
-from flankspark.llm.common import shared_folder
+from flankspark.llm.common import drop_folder, shared_folder
 from flankspark.tables import table
 
 #: Parts of the mixture; sources that aren't named have mixing.DEFAULT_WEIGHT.
@@ -47,11 +47,13 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of each document; the key is its place in the mixture, so a shard is a stretch of the mixture."""
-    name = F.col("_metadata.file_name")
-    part = F.coalesce(F.regexp_extract(name, r"part-(\d+)", 1).cast("long"), F.lit(0)) * 4096 + F.coalesce(F.try_element_at(F.regexp_extract_all(name, F.lit(r"-c(\d+)")), F.lit(1)).cast("long"), F.lit(0))
-    placed = docs.select("doc_id", "source", "text", (part * (1 << 36) + F.col("_metadata.row_index")).alias("mix_place"))
-    return sharding.assign_shards(placed, SHARDS, key=F.col("mix_place"), carry=("source",))
+    """Shard and slot of each document; the key is its place in the mixture, so a shard is a stretch of the mixture.
+
+    The place follows from the documents alone, so it is computed again, from ids, sources and checksums, and not read off file names.
+    """
+    sized = sharding.measured(docs.select("doc_id", "source", "text"))
+    placed = mixing.mix(sized, WEIGHTS, crc="text_crc32").withColumn("mix_place", F.col("mix_slot") * mixing.BLOCK_ROWS + F.col("mix_offset"))
+    return sharding.place(placed.drop("source_block", "mix_slot", "mix_offset"), SHARDS, "mix_place").drop("__key")
 
 
 STAGES = [("quality_rules", quality_stage), ("jaccard_join", duplicate_stage), ("decontamination", benchmark_stage), ("mixing", mixing_stage), ("sharding", sharding_stage)]
@@ -60,11 +62,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage over all documents; each stage is written to the shared folder and read again."""
+    """The rows of the last stage over all documents; each stage is written to the shared folder and read again, and goes once the next is written."""
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (name, stage) in enumerate(STAGES):
         out = f"{folder}/{k}-{name}"
         stage(spark, docs, sf_dir).write.parquet(out)
         docs = spark.read.parquet(out)
+        if before:
+            drop_folder(spark, before)
+        before = out
     return docs
