@@ -3,7 +3,11 @@
 Each page's markup becomes a tree: tags that HTML implies are closed, void elements hold nothing, and stray end tags are passed over. The
 tree is walked without recursion. Invisible parts (scripts, styles, templates, hidden elements, the head) are left out; all other
 text is emitted, with blank lines between blocks, one line for each line break, marks and indents for lists, and the cells of tables
-padded to columns.
+padded to columns, over rows and columns that they span. Cells wider than WIDEST don't widen their column, and a column that begins beyond
+FARTHEST isn't reached by padding, so a page's text stays in proportion to the page; no text is lost by that.
+
+Visibility comes from the elements: their names, the attribute hidden, and their own style (display, and visibility, which is inherited and
+can be set back). Style sheets aren't applied, and what scripts would add isn't there. Text in drawings and formulas is text.
 
 A page is handled in one piece, pages by Spark's partitions; there is no shuffle.
 
@@ -15,6 +19,7 @@ clash.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -26,7 +31,8 @@ from flankspark.llm.common import batched
 
 # Fixed sets of element names, as the HTML standard gives them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("head script style template noscript title meta link object iframe svg math audio video canvas datalist".split())
+UNSEEN = frozenset("head script style template noscript title meta link object iframe audio video canvas datalist desc metadata annotation annotation-xml".split())
+IN_HEAD = frozenset("base basefont bgsound link meta noscript script style template title noframes".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center details dialog dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table ul".split()
 )
@@ -41,15 +47,20 @@ CLOSES = {
 }
 CLOSES_P = BLOCKS - {"body", "html", "dd", "dt", "li"} | {"li", "dd", "dt"}
 P_FENCES = frozenset(("table", "td", "th", "button", "caption", "object"))
-HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.IGNORECASE)
+HIDDEN = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.IGNORECASE)
+VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|hidden|collapse)", re.IGNORECASE)
+#: Widest cell that its column is padded to, and the farthest place on a line to which cells are padded.
+WIDEST, FARTHEST = 80, 600
 SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("children", "name", "start", "unseen", "wide")
+    """An element; visible is None where it is inherited."""
+
+    __slots__ = ("children", "high", "name", "start", "unseen", "visible", "wide")
 
-    def __init__(self, name: str, unseen: bool = False, wide: int = 1, start: int = 1):
-        self.name, self.unseen, self.wide, self.start, self.children = name, unseen, wide, start, []
+    def __init__(self, name: str, unseen: bool = False, wide: int = 1, high: int = 1, start: int = 1, visible: bool | None = None):
+        self.name, self.unseen, self.wide, self.high, self.start, self.visible, self.children = name, unseen, wide, high, start, visible, []
 
 
 class Tree(HTMLParser):
@@ -89,13 +100,19 @@ class Tree(HTMLParser):
             self._close(*CLOSES[name])
         if name in CLOSES_P:
             self._close(("p",), P_FENCES)
-        if self.count.get("head") and name in BLOCKS:
+        if self.count.get("head") and (name in BLOCKS or self.open[-1].name == "head" and name not in IN_HEAD):
             self._close(("head",), ())
         if name in ("td", "th") and not self._inside("tr"):
             self._push(Node("tr"))
         given = dict(attrs)
-        hidden = name in UNSEEN or "hidden" in given and (given["hidden"] or "").lower() != "until-found" or bool(HIDDEN.search(given.get("style") or "")) or name == "input" and (given.get("type") or "").lower() == "hidden"
-        node = Node(name, hidden, number(given.get("colspan"), 1, 1000), number(given.get("start"), 1, 10**9) if name == "ol" else 1)
+        style = given.get("style") or ""
+        hidden = name in UNSEEN or "hidden" in given and (given["hidden"] or "").lower() != "until-found" or bool(HIDDEN.search(style)) or name == "input" and (given.get("type") or "").lower() == "hidden"
+        visible = [x.lower() == "visible" for x in VISIBILITY.findall(style)]
+        node = Node(name, hidden, visible=visible[-1] if visible else None)
+        if name in ("td", "th"):
+            node.wide, node.high = number(given.get("colspan"), 1, 1000), number(given.get("rowspan"), 0, 65534)
+        elif name == "ol":
+            node.start = number(given.get("start"), 1, 10**9)
         if name in VOID:
             self.open[-1].children.append(node)
         else:
@@ -131,6 +148,8 @@ class Tree(HTMLParser):
                     break
 
     def handle_data(self, data: str) -> None:
+        if self.open[-1].name == "head" and SPACE.sub("", data):
+            self._close(("head",), ())
         self.open[-1].children.append(data)
 
 
@@ -193,29 +212,54 @@ class Writer:
 
 
 class Table:
+    """Rows of cells (text, columns, rows; 0 rows: all that follow)."""
+
     def __init__(self):
-        self.rows: list[list[tuple[str, int]]] = []
+        self.rows: list[list[tuple[str, int, int]]] = []
+
+    def placed(self) -> list[list[tuple[int, int, str]]]:
+        """For each row its cells as (first column, end, text), those that reach in from above as empty ones; columns are where any cell starts."""
+        below: dict[int, tuple[int, int]] = {}
+        rows, starts = [], set()
+        for cells in self.rows:
+            out, at, free = [], 0, dict(below)
+            below = {c: (end, left - 1) for c, (end, left) in free.items() if left != 1}
+            for text, wide, high in cells:
+                while at in free:
+                    out.append((at, free[at][0], ""))
+                    at = free.pop(at)[0]
+                # A cell ends where one from above begins.
+                end = min([at + wide, *(c for c in free if c > at)])
+                out.append((at, end, text))
+                if high != 1:
+                    below[at] = (end, high - 1)
+                at = end
+            starts |= {c for c, _, _ in out}
+            rows.append(out)
+        order = sorted(starts)
+        column = {c: i for i, c in enumerate(order)}
+        return [[(column[a], bisect_left(order, b), text) for a, b, text in row] for row in rows]
 
     def render(self) -> list[str]:
         """Lines in which each column is as wide as its widest cell; a cell of several lines takes several."""
-        rows = [r for r in self.rows if any(c for c, _ in r)]
-        widths: dict[int, int] = {}
-        for row in rows:
-            at = 0
-            for cell, wide in row:
-                if wide == 1:
-                    widths[at] = max(widths.get(at, 0), *(len(x) for x in cell.split("\n")))
-                at += wide
+        rows = [[(a, b, text.split("\n")) for a, b, text in row] for row in self.placed() if any(text for _, _, text in row)]
+        cells = [(b - a, a, b, min(WIDEST, max(map(len, lines)))) for row in rows for a, b, lines in row if max(map(len, lines)) <= WIDEST]
+        widths = [0] * max((b for row in rows for _, b, _ in row), default=0)
+        for span, a, b, size in sorted(cells):
+            # What a cell over several columns has more than they do goes to the last one.
+            widths[b - 1] += max(0, size - sum(widths[a:b]) - 3 * (span - 1))
+        begins = [0]
+        for w in widths:
+            begins.append(begins[-1] + w + 3)
         lines = []
         for row in rows:
-            split = [(cell.split("\n"), wide) for cell, wide in row]
-            for k in range(max(len(x) for x, _ in split)):
-                out, at = [], 0
-                for cell, wide in split:
-                    span = sum(widths.get(i, 0) for i in range(at, at + wide)) + 3 * (wide - 1)
-                    out.append((cell[k] if k < len(cell) else "").ljust(span))
-                    at += wide
-                lines.append(" | ".join(out).rstrip(" "))
+            for k in range(max(len(x) for _, _, x in row)):
+                out = []
+                for a, b, own in row:
+                    text = own[k] if k < len(own) else ""
+                    pad = begins[b] - 3 - begins[a] - len(text) if begins[b] <= FARTHEST else 0
+                    out += [text, " " * pad, " | "]
+                lines.append("".join(out[:-1]).rstrip(" "))
         return lines
 
 
@@ -225,16 +269,20 @@ def render(page: str | None) -> str:
     tree.feed(page or "")
     tree.close()
     writer, writers, tables, lists, pre = Writer(), [], [], [], 0
+    seen = [True]
     stack: list[tuple] = [(tree.root, False)]
     while stack:
         node, leaving = stack.pop()
         if isinstance(node, str):
-            writer.text(node, pre > 0)
+            if seen[-1]:
+                writer.text(node, pre > 0)
             continue
         if node.unseen:
             continue
         name = node.name
-        if not leaving:
+        if leaving:
+            seen.pop()
+        else:
             if name == "br":
                 writer.line(True)
                 continue
@@ -261,13 +309,14 @@ def render(page: str | None) -> str:
                 writer, lists, pre = Writer(), [], 0
             elif name in ("td", "th"):
                 writer.text(" ", False)
+            seen.append(seen[-1] if node.visible is None else node.visible)
             stack.append((node, True))
             stack.extend((x, False) for x in reversed(node.children))
             continue
         if name in ("td", "th") and tables and tables[-1].rows and writers:
             text = writer.done()
             writer, lists, pre = writers.pop()
-            tables[-1].rows[-1].append((text, node.wide))
+            tables[-1].rows[-1].append((text, node.wide, node.high))
             continue
         if name == "table":
             for line in tables.pop().render():
