@@ -115,21 +115,21 @@ def _fills(data: bytes, at: int, end: int) -> bool:
     return at == end
 
 
-def packed_size(data: bytes) -> int | None:
-    """How many bytes a whole packed key takes: three fields, the public keys by number, and the private part."""
+def packed_size(data: bytes) -> tuple[int, bool]:
+    """(bytes that are needed, whether those are all): of a whole packed key, three fields, the public keys by number, and the private part."""
     at = len(b"openssh-key-v1\0")
-    for k in range(3):
+    for _ in range(3):
         if at + 4 > len(data):
-            return None
+            return at + 4, False
         at += 4 + int.from_bytes(data[at : at + 4], "big")
     if at + 4 > len(data):
-        return None
+        return at + 4, False
     left, at = int.from_bytes(data[at : at + 4], "big") + 1, at + 4
     while left:
         if at + 4 > len(data):
-            return None
+            return at + 4, False
         at, left = at + 4 + int.from_bytes(data[at : at + 4], "big"), left - 1
-    return at if at <= len(data) else None
+    return at, True
 
 
 def packed_key(data: bytes) -> str | None:
@@ -178,9 +178,10 @@ class Block:
     def chars(self, first: int, n: int) -> str:
         """At most n characters of the lines from one on."""
         out = []
-        for a, b in zip(self.starts[first:], self.ends[first:], strict=True):
+        for k in range(first, len(self.starts)):
             if n <= 0:
                 break
+            a, b = self.starts[k], self.ends[k]
             out.append(self.text[a : min(b, a + n)])
             n -= b - a
         return "".join(out)
@@ -213,9 +214,16 @@ def key_spans(text: str, start: re.Pattern, line: re.Pattern, read: Callable[[st
         if not block.starts or not (head := read(block.chars(first, 40))):
             continue
         if head.startswith(b"openssh-key-v1\0"):
-            raw = read(block.chars(first, len(text))) or b""
-            size, what = packed_size(raw), packed_key(raw)
-            last = block.last(first, chars(size)) if size else None
+            # Lengths say how much to read on, so lines that aren't the key's are left alone.
+            there, raw = block.sizes[-1] - block.sizes[first], head
+            size, whole = packed_size(raw)
+            while not whole and chars(size) <= there:
+                raw = read(block.chars(first, chars(size))) or b""
+                if len(raw) < size:
+                    break
+                size, whole = packed_size(raw)
+            what = packed_key(raw)
+            last = block.last(first, chars(size)) if whole and chars(size) <= there else None
             if what and last is None:
                 # Broken off: its lines are those as long as the first.
                 last = first
