@@ -21,11 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flankspark.llm.common import ALNUM, U64, batched, blocks, words_of
+from flankspark.llm.common import ALNUM, U64, batched, blocks, mix, seeds, words_of
 
 WINDOW = 13
-#: Bytes of benchmark text whose phrases are sent to the tasks at once.
-BENCHMARK_BYTES = 32 << 20
+#: Bytes of benchmark text whose phrases are sent to the tasks at once; a phrase takes some 30 bytes, and a word begins one phrase at most.
+BENCHMARK_BYTES = 16 << 20
+LENGTH = seeds(1, 67)[0]
 #: Every so many suffix positions are kept.
 SAMPLED = 8
 
@@ -108,15 +109,24 @@ class FmIndex:
         self.positions = order[kept]
         self.size = len(text)
 
-    def search(self, phrases: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ranges of suffixes that start with each phrase; phrases end at the right edge of their rows."""
-        low, high = np.zeros(len(phrases), np.int64), np.full(len(phrases), self.size, np.int64)
-        live = np.arange(len(phrases))
-        for k in range(1, phrases.shape[1] + 1):
-            live = live[(lengths[live] >= k) & (low[live] < high[live])]
+    def search(self, phrases: Phrases) -> tuple[np.ndarray, np.ndarray]:
+        """Ranges of suffixes that start with each phrase."""
+        n = len(phrases.starts)
+        low, high = np.zeros(n, np.int64), np.full(n, self.size, np.int64)
+        # A phrase with a word that isn't in the shard needs no search.
+        counts = np.zeros(int(phrases.flat.max(initial=0)) + 1, np.int64)
+        here = np.diff(self.before)[: len(counts)]
+        counts[: len(here)] = here
+        absent = np.concatenate([[0], np.cumsum(counts[phrases.flat] == 0)])
+        ends = phrases.starts + phrases.lengths
+        open_ = absent[ends] == absent[phrases.starts]
+        high[~open_] = 0
+        live = np.flatnonzero(open_)
+        for k in range(1, int(phrases.lengths.max(initial=0)) + 1):
+            live = live[(phrases.lengths[live] >= k) & (low[live] < high[live])]
             if not len(live):
                 break
-            symbols = phrases[live, -k]
+            symbols = phrases.flat[ends[live] - k].astype(np.int64)
             low[live] = self.before[symbols] + self.tree.rank(symbols, low[live])
             high[live] = self.before[symbols] + self.tree.rank(symbols, high[live])
         return low, np.maximum(low, high)
@@ -136,29 +146,43 @@ class FmIndex:
 
 
 class Phrases:
-    """Distinct windows of benchmark items as rows of symbols, and the items that each belongs to."""
-
-    def __init__(self, items: list[tuple[str, str]], window: int = WINDOW):
-        column = pa.array([t or "" for _, t in items], pa.string())
-        whole = [words_of(data, offsets, ALNUM) for _, _, data, offsets in blocks(column)]
-        texts = [w.hashes[w.offsets[i] : w.offsets[i + 1]] for w in whole for i in range(len(w))]
-        self.vocabulary = np.unique(np.concatenate([*texts, np.zeros(0, U64)]))
-        owners: dict[bytes, set[int]] = {}
-        for i, words in enumerate(texts):
-            symbols = np.searchsorted(self.vocabulary, words).astype(np.int64) + 1
-            for at in range(max(1, len(symbols) - window + 1) if len(symbols) else 0):
-                owners.setdefault(symbols[at : at + window].tobytes(), set()).add(i)
-        self.ids = [i for i, _ in items]
-        self.owners = [sorted(x) for x in owners.values()]
-        self.lengths = np.array([len(x) // 8 for x in owners], np.int64)
-        self.rows = np.zeros((len(owners), window), np.int64)
-        for row, x in zip(self.rows, owners, strict=True):
-            row[window - len(x) // 8 :] = np.frombuffer(x, np.int64)
-        self.shortest = int(self.lengths.min()) if len(owners) else 0
+    """Distinct windows of benchmark items, and the items that each belongs to.
+
+    All items' words are one array of symbols, flat; a window is a stretch of it, so it takes a start and a length.
+    """
+
+    def __init__(self, ids: list[str | None], texts: pa.Array, window: int = WINDOW):
+        whole = [words_of(data, offsets, ALNUM) for _, _, data, offsets in blocks(texts)]
+        hashes = np.concatenate([*(w.hashes for w in whole), np.zeros(0, U64)])
+        counts = np.concatenate([*(np.diff(w.offsets) for w in whole), np.zeros(0, np.int64)])
+        del whole
+        self.ids = ids
+        self.vocabulary, flat = np.unique(hashes, return_inverse=True)
+        self.flat = (flat + 1).astype(np.int32)
+        held = np.where(counts >= window, counts - window + 1, np.minimum(counts, 1))
+        item = np.repeat(np.arange(len(counts), dtype=np.int32), held)
+        starts = np.repeat(np.cumsum(counts) - counts - (np.cumsum(held) - held), held) + np.arange(int(held.sum()))
+        lengths = np.minimum(counts, window)[item].astype(np.int64)
+        places = seeds(window, 61)
+        keys = lengths.astype(U64) * LENGTH
+        for k in range(min(window, int(lengths.max(initial=0)))):
+            inside = np.flatnonzero(lengths > k)
+            keys[inside] += mix(hashes[starts[inside] + k]) * places[k]
+        _, first, which = np.unique(keys, return_index=True, return_inverse=True)
+        self.starts, self.lengths = starts[first], lengths[first]
+        pairs = np.unique(which * max(1, len(counts)) + item)
+        self.owners = (pairs % max(1, len(counts))).astype(np.int32)
+        self.owned = np.searchsorted(pairs // max(1, len(counts)), np.arange(len(first) + 1))
+        self.shortest = int(self.lengths.min()) if len(first) else 0
         size = 1 << max(10, int(len(self.vocabulary) * 8).bit_length())
         self.filter = np.zeros(size, bool)
         self.filter[self.vocabulary & U64(size - 1)] = True
 
+    def items_of(self, phrases: np.ndarray) -> set[str]:
+        """Ids of the items that hold any of the phrases; items without an id have none to list."""
+        found = {i for p in phrases.tolist() for i in self.owners[self.owned[p] : self.owned[p + 1]].tolist()}
+        return {self.ids[i] for i in found if self.ids[i] is not None}
+
     def symbols(self, hashes: np.ndarray) -> np.ndarray:
         """The symbol of each word, 0 for words outside the vocabulary."""
         out = np.zeros(len(hashes), np.int64)
@@ -171,7 +195,7 @@ class Phrases:
 def shard_hits(symbols: np.ndarray, document: np.ndarray, phrases: Phrases) -> tuple[np.ndarray, np.ndarray]:
     """(start word, phrase) of every occurrence in a shard; no occurrence crosses a document."""
     none = np.zeros(0, np.int64)
-    if not len(phrases.rows) or not len(symbols):
+    if not len(phrases.starts) or not len(symbols):
         return none, none
     known = symbols > 0
     new = np.ones(len(symbols), bool)
@@ -189,7 +213,7 @@ def shard_hits(symbols: np.ndarray, document: np.ndarray, phrases: Phrases) -> t
     sequence = symbols[np.minimum(source, len(symbols) - 1)]
     sequence[starts + sizes] = other
     index = FmIndex(sequence)
-    low, high = index.search(phrases.rows, phrases.lengths)
+    low, high = index.search(phrases)
     counts = high - low
     hit = np.flatnonzero(counts)
     if not len(hit):
@@ -208,14 +232,14 @@ def merge(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(starts[heads].tolist(), ends[np.append(heads[1:], len(starts)) - 1].tolist(), strict=True))
 
 
-def benchmark_blocks(benchmark: DataFrame, item: str, text: str, size: int = BENCHMARK_BYTES) -> Iterator[list[tuple[str, str]]]:
-    """The items in blocks of at most about size bytes, which one driver can hold and send."""
+def benchmark_blocks(benchmark: DataFrame, item: str, text: str, size: int = BENCHMARK_BYTES) -> Iterator[pa.Table]:
+    """The items (i, t) in blocks of at most about size bytes, which one driver can hold and send."""
     slim = benchmark.select(F.col(item).cast("string").alias("i"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
     total = slim.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     parts = max(1, -(-total // size))
     for k in range(parts):
         part = slim if parts == 1 else slim.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == k)
-        yield [tuple(r) for r in part.distinct().collect()]
+        yield part.distinct().toArrow()
 
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", keep: list[str] | None = None, window: int = WINDOW) -> DataFrame:
@@ -231,7 +255,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)
     places = {c: i for i, c in enumerate(out.columns)}
     for items in benchmark_blocks(benchmark, item, item_text):
-        out = out.mapInArrow(_pass(docs.sparkSession.sparkContext.broadcast(Phrases(items, window)), places), schema)
+        out = out.mapInArrow(_pass(docs.sparkSession.sparkContext.broadcast(Phrases(items["i"].to_pylist(), items["t"].combine_chunks(), window)), places), schema)
     return out.drop("__text")
 
 
@@ -254,7 +278,7 @@ def _pass(shared, places: dict[str, int]):
             heads = np.flatnonzero(np.diff(document[starts], prepend=-1))
             for a, b in zip(heads, np.append(heads, len(starts))[1:], strict=True):
                 row, at, phrase = int(document[starts[a]]), place[starts[a:b]], which[a:b]
-                found[row] = at, at + phrases.lengths[phrase], {phrases.ids[i] for p in np.unique(phrase) for i in phrases.owners[p] if phrases.ids[i] is not None}
+                found[row] = at, at + phrases.lengths[phrase], phrases.items_of(np.unique(phrase))
             columns = list(batch.columns)
             columns[places["n_words"]] = pa.array(counts)
             spans, items = batch.column(places["spans"]).to_pylist(), batch.column(places["items"]).to_pylist()
@@ -275,5 +299,3 @@ def judge(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + F.get(x, 1) - F.get(x, 0))
     out = out.withColumns({"n_hit": hit, "n_items": F.size("items").cast("long"), "items_sha256": F.sha2(F.array_join("items", ",").cast("binary"), 256)})
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
-
-
