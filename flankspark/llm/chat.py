@@ -2,11 +2,12 @@
 
 Each turn is rendered as ``<|im_start|>role\\ntext<|im_end|>\\n``. A deterministic parser reads the rendered text back; where what it
 recovers isn't the source, the content is escaped until it is. The escape is reversible: a ``<`` before n bars gets one bar more, and the
-parser takes one bar off again. A role or text that holds a control string is always escaped, so ``<|im_start|>`` and ``<|im_end|>`` in
-formatted text only ever start and end a turn.
+parser takes one bar off again. Inside a role or text the grammar has no ``<|`` but before a further bar, so a lone ``<|`` always starts a
+control string, and ``<|im_start|>`` and ``<|im_end|>`` in formatted text only ever start and end a turn.
 
-Turns are rendered and proved one by one where they lie. Only then are they sorted by conversation and turn, and a conversation is
-read as a stream that keeps a running digest, so a conversation of any length needs constant memory. Its order is inherently serial.
+Turns are rendered and proved one by one where they lie. Only then are they sorted by conversation and turn, and the whole conversation,
+one turn's text after another's, is parsed again as a stream: the parser finds the turns by the grammar alone, and running digests of
+what it recovers are kept, so a conversation of any length needs constant memory. Its order is inherently serial.
 
 Edge cases: null text and null role are empty; null conversation ids form one conversation, as do null turns the first of theirs;
 rows that repeat a turn are all kept, in order of role and text; empty texts are turns; an empty table gives an empty result.
@@ -27,6 +28,7 @@ from flankspark.llm.common import batched
 START, END = "<|im_start|>", "<|im_end|>"
 BARS = re.compile(r"<(\|+)")
 MORE = re.compile(r"<\|(\|+)")
+LONE = re.compile(r"<\|(?!\|)")
 TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.DOTALL)
 ROLE_OUT = {"\\": "\\\\", "\n": "\\n"}
 SCHEMA = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
@@ -48,15 +50,18 @@ def unescape_role(role: str) -> str:
     return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], unescape(role))
 
 
+def turns_of(formatted: str) -> Iterator[tuple[str, str, int, int]]:
+    """(role, text, start, end of the content) of each whole turn at the start of a text, as far as it is of the grammar."""
+    at = 0
+    while (m := TURN.match(formatted, at)) and not LONE.search(m[1]) and not LONE.search(m[2]):
+        yield unescape_role(m[1]), unescape(m[2]), m.start(2), m.end(2)
+        at = m.end()
+
+
 def parse(formatted: str) -> list[tuple[str, str, int, int]] | None:
     """(role, text, start, end of the content) of each turn; None if the text isn't of the grammar."""
-    turns, at = [], 0
-    while at < len(formatted):
-        if not (m := TURN.match(formatted, at)) or any(c in part for c in (START, END) for part in m.groups()):
-            return None
-        turns.append((unescape_role(m[1]), unescape(m[2]), m.start(2), m.end(2)))
-        at = m.end()
-    return turns
+    turns = list(turns_of(formatted))
+    return turns if (turns[-1][3] + len(END) + 1 if turns else 0) == len(formatted) else None
 
 
 def render(role: str, text: str) -> str:
@@ -91,9 +96,12 @@ def read_back(rendered: DataFrame) -> DataFrame:
     rows = rendered.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "formatted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Of a conversation: what isn't parsed yet, and spans of the loss mask that the parser hasn't met, in its code points.
         state = None
 
         def row(s: dict) -> tuple:
+            if s["rest"] or s["masks"]:
+                raise ValueError(f"conversation {s['id']} isn't of the grammar")
             return s["id"], s["n"], s["turns"].hexdigest(), s["chars"], s["loss"].hexdigest(), s["size"]
 
         def table(rows: list[tuple]) -> pa.RecordBatch:
@@ -107,14 +115,21 @@ def read_back(rendered: DataFrame) -> DataFrame:
                 if state is None or state["id"] != conv:
                     if state is not None:
                         done.append(row(state))
-                    state = {"id": conv, "n": 0, "turns": hashlib.sha256(), "chars": 0, "loss": hashlib.sha256(), "size": 0}
-                for role, text, _, _ in parse(formatted):
+                    state = {"id": conv, "n": 0, "turns": hashlib.sha256(), "chars": 0, "loss": hashlib.sha256(), "size": 0, "rest": "", "masks": []}
+                state["rest"] += formatted
+                if start is not None:
+                    state["masks"].append((state["size"] + start, state["size"] + end))
+                read = state["size"] + len(formatted) - len(state["rest"])
+                last = 0
+                for role, text, a, b in turns_of(state["rest"]):
                     state["n"] += 1
                     state["turns"].update(f"{role}\n{text}\n".encode())
-                if start is not None:
-                    part = unescape(formatted[start:end])
-                    state["chars"] += len(part)
-                    state["loss"].update(part.encode())
+                    if state["masks"] and state["masks"][0] == (read + a, read + b):
+                        state["masks"].pop(0)
+                        state["chars"] += len(text)
+                        state["loss"].update(text.encode())
+                    last = b + len(END) + 1
+                state["rest"] = state["rest"][last:]
                 state["size"] += len(formatted)
             yield table(done)
         if state is not None:

@@ -48,7 +48,7 @@ items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY i
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
-_CONTROL = "(contains(t, '<|im_start|>') OR contains(t, '<|im_end|>') OR contains(t, '<||'))"
+_CONTROL = "contains(t, '<|')"
 OP10 = f"""WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(concat(role, chr(10), t, chr(10)), '' ORDER BY turn, role, t)) AS turns_sha256, coalesce(sum(length(t)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(t, '' ORDER BY turn, role, t) FILTER (role = 'assistant'), '')) AS loss_sha256,
