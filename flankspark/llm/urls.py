@@ -2,8 +2,9 @@
 
 Hosts of urls that a rule allows are trusted seeds, hosts of blocked urls are blocked seeds. Trust is personalised PageRank from the trusted
 seeds along the links; distrust runs from the blocked seeds against them, to those who link there. Links are absolute and
-protocol-relative references in the pages, and each host's tie to the domain above it, both ways. A host whose trust is at least half
-of its trust and distrust is allowed, as is one that neither reaches.
+protocol-relative references in the pages, and each host's tie to the domain above it, both ways. On both sides a link's end is the
+host's name without user and port. Rounds go on until ranks move by less than CHANGE of their sum, CHECKED rounds at a time. A host whose
+trust is at least half of its trust and distrust is allowed, as is one that neither reaches (as on pages without any link to a seed).
 
 Everything is built-in DataFrame functions. Links are counted for each pair of hosts before they are shuffled, so a hot host costs as many
 rows as it has neighbours. The result of each round goes to the checkpoint folder.
@@ -22,11 +23,13 @@ from flankspark.llm.common import cut
 
 #: (verdict, host, path), as the contract fixes them.
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
-DAMPING, ROUNDS, SHARE = 0.85, 8, 0.5
+DAMPING, SHARE = 0.85, 0.5
+#: Rounds between two looks at the change, the change at which they end, and the most rounds, whose last ones weigh 0.85 to the power of it.
+CHECKED, CHANGE, ROUNDS = 5, 0.01, 60
 #: Links inside a domain weigh as many as so many references.
 TIE = 1.0
-#: Hosts whose verdicts are broadcast; more are joined by shuffle.
-BROADCAST_HOSTS = 50_000
+#: Hosts whose verdicts, and links of hosts whose weights, are broadcast; more are joined by shuffle.
+BROADCAST_HOSTS, BROADCAST_LINKS = 50_000, 50_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 REFERENCE = r"""(?i)href\s*=\s*["']?(?:[a-z][a-z0-9+.\-]*:)?//([^/?#"'\s<>]+)"""
@@ -36,6 +39,11 @@ def host_of(url: Column) -> Column:
     return F.translate(F.coalesce(F.regexp_extract(url, URL, 1), F.lit("")), UPPER, LOWER)
 
 
+def name_of(host: Column) -> Column:
+    """The host without user and port: what links and pages have in common."""
+    return F.regexp_replace(host, r"^.*@|:\d*$", "")
+
+
 def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, URL, 2), F.lit(""))
 
@@ -50,11 +58,11 @@ def by_rules(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> t
 
 
 def host_links(pages: DataFrame, html: str) -> DataFrame:
-    """(src, dst, w): counted links between different hosts, and ties to the domain above, both ways."""
-    found = pages.where("host != ''").select("host", F.explode(F.array_distinct(F.regexp_extract_all(F.col(html), F.lit(REFERENCE), F.lit(1)))).alias("to"))
-    named = found.select(F.col("host").alias("src"), F.regexp_replace(F.translate("to", UPPER, LOWER), r"^.*@|:\d*$", "").alias("dst"))
+    """(src, dst, w): counted links between different names of hosts, and ties to the domain above, both ways; pages has the name of each."""
+    found = pages.where("name != ''").select("name", F.explode(F.array_distinct(F.regexp_extract_all(F.col(html), F.lit(REFERENCE), F.lit(1)))).alias("to"))
+    named = found.select(F.col("name").alias("src"), name_of(F.translate("to", UPPER, LOWER)).alias("dst"))
     links = named.where("dst != '' and src != dst").groupBy("src", "dst").agg(F.count("*").cast("double").alias("w"))
-    hosts = pages.select("host").distinct().unionByName(links.select(F.col("dst").alias("host"))).where("host != ''").distinct()
+    hosts = pages.select(F.col("name").alias("host")).distinct().unionByName(links.select(F.col("dst").alias("host"))).where("host != ''").distinct()
     # Every domain above a host, down to two labels.
     labels = F.split("host", "\\.")
     chain = F.transform(F.sequence(F.lit(1), F.size(labels) - 1), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
@@ -64,19 +72,36 @@ def host_links(pages: DataFrame, html: str) -> DataFrame:
     return links.unionByName(ties.withColumn("w", F.lit(TIE))).groupBy("src", "dst").agg(F.sum("w").alias("w"))
 
 
-def spread(links: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(host, trust, distrust) after some rounds of PageRank that restarts at seeds(host, kind, part); kind 0 goes with the links, kind 1 against them."""
+def spread(links: DataFrame, seeds: DataFrame, rounds: int | None = None) -> DataFrame:
+    """(host, trust, distrust) by PageRank that restarts at seeds(host, kind, part); kind 0 goes with the links, kind 1 against them.
+
+    A number of rounds, or as many as ranks need to settle.
+    """
     both = links.select(F.lit(0).alias("kind"), "src", "dst", "w").unionByName(links.select(F.lit(1).alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "w"))
     out = both.groupBy("kind", "src").agg(F.sum("w").alias("all"))
     ways = cut(both.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("w") / F.col("all")).alias("w")))
+    if ways.count() <= BROADCAST_LINKS:
+        ways = F.broadcast(ways)
     start = cut(seeds)
     rank = start.select("kind", "host", F.col("part").alias("p"))
-    for _ in range(rounds):
+
+    def step(rank: DataFrame) -> DataFrame:
         moved = rank.withColumnRenamed("host", "src").join(ways, ["kind", "src"]).select("kind", F.col("dst").alias("host"), (F.lit(DAMPING) * F.col("p") * F.col("w")).alias("p"))
         again = start.select("kind", "host", (F.lit(1 - DAMPING) * F.col("part")).alias("p"))
-        rank = cut(moved.unionByName(again).groupBy("kind", "host").agg(F.sum("p").alias("p")))
-    # Twelve digits, so the order of sums can't decide a tie.
-    of = lambda k: F.round(F.sum(F.when(F.col("kind") == k, F.col("p")).otherwise(0.0)), 12)
+        return moved.unionByName(again).groupBy("kind", "host").agg(F.sum("p").alias("p"))
+
+    for k in range(0, rounds or ROUNDS, CHECKED):
+        for _ in range(min(CHECKED, (rounds or ROUNDS) - k) - 1):
+            rank = step(rank)
+        before = cut(rank)
+        rank = cut(step(before))
+        if rounds is None:
+            sides = rank.select("kind", "host", "p", F.col("p").alias("d")).unionByName(before.select("kind", "host", F.lit(0.0).alias("p"), (-F.col("p")).alias("d")))
+            sides = sides.groupBy("kind", "host").agg(F.sum("p").alias("p"), F.sum("d").alias("d"))
+            moved, whole = sides.agg(F.coalesce(F.sum(F.abs("d")), F.lit(0.0)), F.coalesce(F.sum("p"), F.lit(0.0))).first()
+            if moved <= CHANGE * whole:
+                break
+    of = lambda k: F.sum(F.when(F.col("kind") == k, F.col("p")).otherwise(0.0))
     return rank.groupBy("host").agg(of(0).alias("trust"), of(1).alias("distrust"))
 
 
@@ -85,18 +110,20 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None
     rules = RULES if rules is None else rules
     new = ("host", "path", "rule", "verdict", "trust", "distrust")
     keep = tuple(c for c in keep if c not in new)
-    named = pages.select(*[F.col(c) for c in keep], F.col(html).alias("__html"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
+    named = pages.select(*[F.col(c) for c in keep], F.col(html).alias("__html"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path")).withColumn("__name", name_of(F.col("host")))
     rule, verdict = by_rules(F.col("host"), F.col("path"), rules)
     ruled = named.withColumns({"rule": rule, "by_rule": verdict})
 
-    counted = cut(ruled.where("host != ''").groupBy("host").agg(F.count_if(F.col("by_rule") == "allow").alias("good"), F.count_if(F.col("by_rule") == "block").alias("bad")))
+    counted = cut(ruled.where("__name != ''").groupBy(F.col("__name").alias("host")).agg(F.count_if(F.col("by_rule") == "allow").alias("good"), F.count_if(F.col("by_rule") == "block").alias("bad")))
     good, bad, hosts = counted.agg(F.coalesce(F.sum("good"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0)), F.count("*")).first()
     seeds = counted.select("host", F.explode(F.array(F.struct(F.lit(0).alias("kind"), (F.col("good") / max(1, good)).alias("part")), F.struct(F.lit(1).alias("kind"), (F.col("bad") / max(1, bad)).alias("part")))).alias("x"))
     seeds = seeds.select("x.kind", "host", "x.part").where("part > 0")
-    ranks = spread(host_links(ruled, "__html"), seeds)
-    open_hosts = counted.select("host").join(ranks, "host", "left").na.fill(0.0, ["trust", "distrust"])
+    ranks = spread(host_links(ruled.select(F.col("__name").alias("name"), "__html"), "__html"), seeds)
+    open_hosts = counted.select("host").join(ranks, "host", "left").na.fill(0.0, ["trust", "distrust"]).withColumnRenamed("host", "__name")
     small = F.broadcast(open_hosts) if hosts <= BROADCAST_HOSTS else open_hosts
-    judged = ruled.drop("__html").join(small, "host", "left")
-    trusted = F.coalesce(F.col("trust") >= F.lit(SHARE) * (F.col("trust") + F.col("distrust")), F.lit(True))
+    judged = ruled.drop("__html").join(small, "__name", "left")
+    # Nine digits of the part that trust has, whatever the number of hosts, so the order of sums can't decide a tie.
+    all_of = F.col("trust") + F.col("distrust")
+    trusted = F.coalesce(F.round(F.col("trust") / F.nullif(all_of, F.lit(0.0)), 9) >= SHARE, F.lit(True))
     final = F.coalesce("by_rule", F.when(trusted, F.lit("allow")).otherwise(F.lit("block")))
     return judged.withColumn("verdict", final).select(*keep, *new)

@@ -5,10 +5,12 @@ import random
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from flankspark.llm import chat, common, decontaminate, html, language_model, mixing, quality, secrets, sharding, urls
 
@@ -97,6 +99,53 @@ def test_urls(spark):
     assert urls.judge_urls(df.where("false")).count() == 0
 
 
+def test_verdicts_equal_brute_force(spark):
+    r = random.Random(31)
+    domains = [f"d{i}.{t}" for i in range(14) for t in ("org", "net", "com")]
+    host = lambda: r.choice(["", "", "u:p@"]) + r.choice(["", "", "www.", "a.b."]) + r.choice(domains).upper() + r.choice(["", "", ":8080"])
+    pages = []
+    for i in range(160):
+        links = "".join(f'<a href="{r.choice(["http://", "//", "HTTPS://"])}{host()}/x">' for _ in range(r.choice([0, 0, 1, 3])))
+        pages.append((i, f"http://{host()}{r.choice(['/es/', '/fr/1', '/x', ''])}", links))
+    got = {x.page_id: x for x in urls.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    strip = lambda h: re.sub(r":\d*$", "", re.sub(r"^.*@", "", h)).lower()
+    links, good, bad, own = Counter(), Counter(), Counter(), {}
+    for i, url, text in pages:
+        own[i] = strip(re.match(r".*?://([^/?#]*)", url)[1])
+        for to in {*re.findall(r"""(?i)href\s*=\s*["']?(?:[a-z]+:)?//([^/?#"']+)""", text)}:
+            if strip(to) != own[i]:
+                links[own[i], strip(to)] += 1
+        if got[i].rule:
+            (good if got[i].verdict == "allow" else bad)[own[i]] += 1
+    for h in {*own.values(), *(b for _, b in links)}:
+        while h.count(".") > 1:
+            up = h.split(".", 1)[1]
+            if (h, up, "tie") not in own:
+                own[h, up, "tie"] = None
+                links[h, up] += 1
+                links[up, h] += 1
+            h = up
+    seen = 0
+    ranks = []
+    for seeds, ways in ((good, links), (bad, {(b, a): w for (a, b), w in links.items()})):
+        out, rank = Counter(), {}
+        for (a, _), w in ways.items():
+            out[a] += w
+        for _ in range(80):
+            new = Counter({h: (1 - urls.DAMPING) * n / sum(seeds.values()) for h, n in seeds.items()})
+            for (a, b), w in ways.items():
+                new[b] += urls.DAMPING * rank.get(a, 0) * w / out[a]
+            rank = new
+        ranks.append(rank)
+    for i, _, _ in pages:
+        trust, distrust = (k.get(own[i], 0) for k in ranks)
+        part = trust / (trust + distrust) if trust + distrust else 1
+        if got[i].rule is None and abs(part - 0.5) > 0.02:
+            seen += 1
+            assert got[i].verdict == ("allow" if part > 0.5 else "block"), (own[i], trust, distrust, got[i])
+    assert seen > 40 and len({x.verdict for x in got.values() if x.rule is None}) == 2
+
+
 def test_spread_equals_brute_force(spark):
     r = random.Random(6)
     hosts = [f"h{i}" for i in range(30)]
@@ -175,6 +224,11 @@ PAGES = [
     ("<table><tr><th>n<th>value<tr><td>long name<td>1</table>", "n         | value\nlong name | 1"), ("<style>x{}</style><script>var a='</p>'</script><p hidden>h</p><p style='display: none'>i</p>v<template>t</template>", "v"),
     ("<pre>a\n  b</pre>", "a\n  b"), ("a &amp; b &lt;", "a & b <"), (None, ""), ("", ""), ("</p></div>x</table>", "x"), ("<td>a<td>b", "a b"), ("<head><title>t</title></head><body>b", "b"), ("<p>x<!-- c --><p", "x<p"),
     ("<table><tr><td>a<table><tr><td>in</table><td>b</table>", "a  | b\n   |\nin |"), ("<dl><dt>t<dd>d</dl>", "t\nd"), ("<select><option>1<option>2</select>", "1\n2"),
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>", "a | b\n  | c"), ("<table><tr><td>a<td rowspan=0>b<tr><td>c<td>d<tr><td>e<td>f</table>", "a | b\nc |   | d\ne |   | f"),
+    ("<table><tr><td colspan=2>a wide one<td>x<tr><td>b<td>c<td>d</table>", "a wide one | x\nb | c      | d"), ("<table><tr><td colspan=900>a<td>b<tr><td>c<td>d</table>", "a     | b\nc | d"),
+    ("<table><tr><td rowspan=3>a<td colspan=2>b<tr><td>c<td>d<tr><td>e</table>", "a | b\n  | c | d\n  | e"),
+    ("<div style='visibility:hidden'>a<b style='visibility: visible'>b</b>c</div>d", "b\nd"), ("<svg><title>t</title><text>s</text></svg><math><mi>x</mi><annotation>y</annotation></math>", "sx"),
+    ("<head><title>t</title>early<span>x</span>", "earlyx"), ("<head><meta name=a><a>link</a>", "link"),
 ]
 
 
@@ -197,6 +251,18 @@ def test_render_loses_no_visible_text(spark):
     assert html.extract_text(df.where("false")).count() == 0
 
 
+def test_tables_stay_small_and_whole(spark):
+    page = "<table><tr><td>" + "x" * 40000 + "<td>y" + "".join(f"<tr><td>r{i}<td>s" for i in range(2000)) + "</table>"
+    out = html.render(page)
+    assert len(out) < 1 << 20 and "x" * 40000 in out and "r1999" in out
+    wide = "<table><tr>" + "<td rowspan=2000>" * 900 + "".join(f"<tr><td>r{i}" for i in range(1500)) + "</table>"
+    out = html.render(wide.replace("<td rowspan=2000>", "<td rowspan=2000>q", 900))
+    assert len(out) < 8 << 20 and out.count("q") == 900 and "r1499" in out
+    df = spark.createDataFrame([(1, "<p>a"), (1, "<p>a"), (2, "<p>" + "word " * 300000), (3, None)], "page_id long, html string").withColumn("text", F.lit("clash"))
+    rows = sorted((r.page_id, len(r.text), r.n_lines) for r in html.extract_text(df).collect())
+    assert rows == [(1, 1, 1), (1, 1, 1), (2, 1499999, 1), (3, 0, 0)]
+
+
 # ---------------------------------------------------------------- quality
 
 
@@ -231,6 +297,13 @@ def test_quality_verdicts(spark):
     assert "Python" not in plan and "Exchange" not in plan
 
 
+def test_quality_of_nothing_and_of_clashing_names(spark):
+    assert quality.judge(documents(spark).where("false")).count() == 0
+    df = documents(spark).withColumnsRenamed({"lang": "n_words", "source": "kept"})
+    got = {x.doc_id: x.n_words for x in quality.judge(df).collect()}
+    assert got == {i: brute_quality(t)[0] for i, t in enumerate(DOCS)}
+
+
 # ---------------------------------------------------------------- secrets
 
 
@@ -291,6 +364,30 @@ def test_wrapped_secrets():
     assert not secrets.confirmed_spans("something.example.org MA. 30 MIND")
 
 
+def test_base_spans_equal_brute_force():
+    r = random.Random(30)
+    parts = ["password", "PassWd", "secret", "token", "api_key", "apiKey", "AKIA", "ABCDEFGH12345678", "deadbeef", "0123456789abcdef", " ", "  ", "=", ":", '"', "'", "x", "é", "\n", "abc-_.", "Z9"]
+    assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?[ ]*[:=][ ]*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    for _ in range(1500):
+        t = "".join(r.choice(parts) for _ in range(r.randrange(25)))
+        want = [("assign", m.start(), m.end()) for m in assign.finditer(t) if len(m[2]) >= 6] + [("access", m.start(), m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20] + [("hex", m.start(), m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+        assert sorted(secrets.base_spans(t)) == sorted(want), t
+
+
+def test_scans_are_linear_and_whole(spark):
+    import time
+
+    runs = ["ey" + "a" * 1_000_000 + " .", "MA" + "B" * 1_000_000, "MAAA\n" * 200_000, "b3BlbnNzaC1rZXktdjEA\n" * 50_000, "30" * 500_000, "password " * 100_000, "password" + " " * 1_000_000, "a.b" * 300_000, "ey.ey." * 150_000, "MAMA MA" * 150_000]
+    for text in runs:
+        start = time.perf_counter()
+        secrets.scan(text)
+        assert time.perf_counter() - start < 3, text[:20]
+    df = documents(spark, ["x " * 500_000 + "password=hunter22", "same token=abcdefg", "same token=abcdefg"]).withColumnsRenamed({"lang": "spans", "source": "n_hex"})
+    rows = {r.doc_id: r for r in secrets.find_secrets(df).collect()}
+    assert rows[0].spans == "assign:1000000:1000017" and rows[1].spans == rows[2].spans == "assign:5:18"
+    assert secrets.find_secrets(df.where("false")).count() == 0
+
+
 # ---------------------------------------------------------------- language model
 
 
@@ -413,15 +510,28 @@ def test_fm_index_equals_search():
         text = r.integers(1, letters + 1, size)
         index = decontaminate.FmIndex(text)
         phrases = [text[a : a + n] for a in range(0, size, max(1, size // 20)) for n in (1, 2, 5) if a + n <= size] + [r.integers(1, letters + 2, 3) for _ in range(5)]
-        rows = np.zeros((len(phrases), 5), np.int64)
-        for row, p in zip(rows, phrases, strict=True):
-            row[5 - len(p) :] = p
-        rows[rows >= 1 << index.bits] = 0
-        low, high = index.search(rows, np.array([len(p) for p in phrases]))
+        sizes = np.array([len(p) for p in phrases])
+        low, high = index.search(SimpleNamespace(flat=np.concatenate(phrases).astype(np.int32), starts=np.cumsum(sizes) - sizes, lengths=sizes))
         for p, a, b in zip(phrases, low, high, strict=True):
             want = [i for i in range(size - len(p) + 1) if (text[i : i + len(p)] == p).all()]
-            if max(p) < 1 << index.bits:
-                assert sorted(index.locate(np.arange(a, b)).tolist()) == want
+            assert sorted(index.locate(np.arange(a, b)).tolist()) == want
+
+
+def test_phrases_take_little_memory():
+    import tracemalloc
+
+    r = np.random.default_rng(9)
+    words = np.array([f"w{i}" for i in range(30000)])
+    texts = pa.array([" ".join(words[r.integers(0, 30000, 400)]) for _ in range(400)])
+    tracemalloc.start()
+    phrases = decontaminate.Phrases([str(i) for i in range(400)], texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(phrases.starts) == 400 * 388
+    held = sum(x.nbytes for x in (phrases.flat, phrases.starts, phrases.lengths, phrases.owners, phrases.owned, phrases.vocabulary, phrases.filter))
+    # 16 MiB of such text: 16 * held and 16 * peak, in parts of a MiB of text.
+    size = texts.nbytes / (1 << 20)
+    assert 16 * held / size < 150 << 20 and 16 * peak / size < 700 << 20
 
 
 def test_decontamination(spark, monkeypatch):
@@ -478,7 +588,17 @@ def test_chat_round_trip():
         assert [x[:2] for x in chat.parse(out)] == [(role, text)]
         assert [x[:2] for x in chat.parse(out + chat.render("user", "x") + out)] == [(role, text), ("user", "x"), (role, text)]
     assert chat.render("user", "plain <b> | text") == f"{chat.START}user\nplain <b> | text{chat.END}\n"
-    assert chat.parse("junk") is None
+    assert chat.parse("junk") is None and chat.parse(chat.render("user", "x")[:-1]) is None and chat.parse("") == []
+
+
+def test_formatted_text_has_control_strings_only_where_the_template_puts_them():
+    r = random.Random(17)
+    parts = ["<", "|", "<|", "<||", "im_start", "|>", chat.START, chat.END, "\n", "x", "<|x", "<|||"]
+    for _ in range(500):
+        turns = [("".join(r.choice(parts) for _ in range(r.randrange(3))), "".join(r.choice(parts) for _ in range(r.randrange(9)))) for _ in range(r.randrange(1, 5))]
+        whole = "".join(chat.render(*t) for t in turns)
+        assert re.findall(r"<\|(?!\|)[a-z_]*\|?>?", whole) == [chat.START, chat.END] * len(turns)
+        assert [x[:2] for x in chat.parse(whole)] == turns
 
 
 def test_chat_escapes_every_control_string():
