@@ -33,7 +33,7 @@ filtered AS (SELECT sample, query_name, reference, ref_length, ref_start, ref_en
       WHEN NOT (ns OR ne) THEN 'not_at_boundary' WHEN left_clip > 0 AND right_clip > 0 THEN 'dual_clip'
       WHEN NOT ((ns AND left_clip > 0) OR (ne AND right_clip > 0)) THEN 'no_softclip_on_eligible_side'
       WHEN NOT ((ns AND left_clip >= 5) OR (ne AND right_clip >= 5)) THEN 'short_clip' WHEN nm IS NULL THEN 'no_nm' WHEN pid < 90 THEN 'low_pident' END AS drop_reason
-  FROM base)"""
+  FROM base WHERE ref_length IS NOT NULL OR NOT regexp_matches(upper(query_sequence), '^[ACGT]*$') OR alen < 20)"""
 OVERHANGS = f"""{FILTERED}, cut AS (
   SELECT sample, query_name AS read_id, reference AS is_element, 'left' AS side, CASE WHEN za THEN 'ambiguous' ELSE 'left' END AS bucket, substring(query_sequence, 1, left_clip) AS seq, ref_start AS pos, CASE WHEN flag & 16 <> 0 THEN '-' ELSE '+' END AS strand, round_even(pident, 2) AS pident, mapq FROM filtered WHERE drop_reason IS NULL AND zl
   UNION ALL
@@ -156,7 +156,20 @@ def q11_leader_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.leader_clusters(items, ["sample", "is_element", "side"], 0.10).select("sample", "is_element", "side", "cmp", "seed").distinct()
 
 
-@query()
+#: The same fold over the seeds, in the looser budget, then sizes, numbers and representatives.
+MERGED = f"""{LEADERS}, seeds AS (SELECT f.sample, f.is_element, f.side, f.seed, r.id, r.cmp FROM fold f JOIN ranked r USING (sample, is_element, side, r) QUALIFY row_number() OVER (PARTITION BY f.sample, f.is_element, f.side, f.seed ORDER BY f.r) = 1),
+again AS (SELECT *, row_number() OVER (PARTITION BY sample, is_element, side ORDER BY length(cmp) DESC, id, cmp) AS r, greatest(1, round_even(length(cmp) * 0.15, 0)::INT) AS k FROM seeds),
+refold AS (SELECT sample, is_element, side, 0::BIGINT AS r, []::VARCHAR[] AS heads, NULL::BIGINT AS seed, 0::BIGINT AS merged FROM again WHERE r = 1
+  UNION ALL
+  SELECT sample, is_element, side, r, CASE WHEN hit IS NULL THEN list_append(heads, cmp) ELSE heads END, seed, coalesce(hit - 1, len(heads)) FROM (
+    SELECT f.sample, f.is_element, f.side, n.r, f.heads, n.cmp, n.seed,
+      list_position(list_transform(f.heads, lambda s: list_min([levenshtein(n.cmp, s[1:j]) FOR j IN range(greatest(0, length(n.cmp) - n.k), least(length(s), length(n.cmp) + n.k) + 1)]) <= n.k), true) AS hit
+    FROM refold f JOIN again n ON n.sample = f.sample AND n.is_element = f.is_element AND n.side = f.side AND n.r = f.r + 1)),
+reads AS (SELECT sample, is_element, side, read_id, seq, CASE WHEN side = 'left' THEN reverse(seq) ELSE seq END AS cmp FROM overhangs WHERE bucket <> 'ambiguous'),
+owned AS (SELECT d.*, g.merged, count(*) OVER w AS n, first_value(d.seq) OVER (w ORDER BY length(d.cmp) DESC, d.read_id, d.cmp) AS rep FROM reads d JOIN fold f USING (sample, is_element, side, cmp) JOIN refold g ON g.sample = d.sample AND g.is_element = d.is_element AND g.side = d.side AND g.seed = f.seed WINDOW w AS (PARTITION BY d.sample, d.is_element, d.side, g.merged))"""
+
+
+@query(f"{MERGED} SELECT sample, is_element, side, read_id, (dense_rank() OVER (PARTITION BY sample, is_element, side ORDER BY merged) - 1)::INT AS cluster_id, rep AS representative_sequence FROM owned WHERE n >= 2")
 def q12_merged_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustered(spark, sf_dir).select("sample", "is_element", "side", "read_id", "cluster_id", "representative_sequence")
 
@@ -164,11 +177,11 @@ def q12_merged_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def recruited(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     o = view(spark, sf_dir, "overhangs")
     # Representatives from a fixed rule, so the SQL needs no clustering.
-    reps = o.where("bucket <> 'ambiguous' and mapq % 10 = 0").groupBy("sample", "is_element", "side", F.length("seq").alias("cluster_id")).agg(F.max("seq").alias("representative_sequence"), F.count("*").alias("n_reads"))
+    reps = o.where("bucket <> 'ambiguous'").groupBy("sample", "is_element", "side", F.length("seq").alias("cluster_id")).agg(F.max("seq").alias("representative_sequence"), F.count("*").alias("n_reads"))
     return clustering.recruit(o.where("bucket = 'ambiguous'"), reps), reps
 
 
-RECRUIT = f"""WITH {sql("overhangs")}, reps AS (SELECT sample, is_element, side AS rep_side, length(seq)::INT AS cluster_id, max(seq) AS rep, count(*) AS n_reads FROM overhangs WHERE bucket <> 'ambiguous' AND mapq % 10 = 0 GROUP BY ALL),
+RECRUIT = f"""WITH {sql("overhangs")}, reps AS (SELECT sample, is_element, side AS rep_side, length(seq)::INT AS cluster_id, max(seq) AS rep, count(*) AS n_reads FROM overhangs WHERE bucket <> 'ambiguous' GROUP BY ALL),
 amb AS (SELECT *, row_number() OVER () AS rid FROM overhangs WHERE bucket = 'ambiguous'),
 pairs AS (SELECT a.rid, r.rep_side, r.cluster_id, CASE WHEN r.rep_side = a.side THEN a.seq ELSE reverse(translate(a.seq, 'ACGTacgt', 'TGCAtgca')) END AS x, r.rep AS y FROM amb a JOIN reps r USING (sample, is_element)),
 turned AS (SELECT *, CASE WHEN rep_side = 'left' THEN reverse(x) ELSE x END AS u, CASE WHEN rep_side = 'left' THEN reverse(y) ELSE y END AS v FROM pairs),

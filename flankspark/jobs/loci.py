@@ -24,9 +24,7 @@ def query_parts(df: DataFrame) -> DataFrame:
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = hsps(spark, sf_dir)
-    sides = query_parts(h.select("qseqid").distinct()).select("qseqid", "side")
-    return query_parts(placement.candidates(h, sides).drop("side"))
+    return placement.candidates(query_parts(hsps(spark, sf_dir)))
 
 
 def cds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,8 +34,8 @@ def cds(spark: SparkSession, sf_dir: str) -> DataFrame:
 CANDIDATES = f"""{sql("hsps")}, named AS (SELECT *, string_split(qseqid, '__')[1] AS sample, string_split(qseqid, '__')[2] AS is_element, string_split(qseqid, '__')[3] AS side, regexp_extract(qseqid, 'cluster(\\d+)$', 1)::INT AS cluster_id,
   string_split(sseqid, '__')[1] AS ref_genome, string_split(sseqid, '__')[2] AS contig, CASE WHEN sstrand = 'plus' THEN '+' ELSE '-' END AS strand FROM hsps WHERE pident >= 95 AND length / qlen >= 0.9),
 placed AS (SELECT *, CASE WHEN side = 'left' THEN send - 1 ELSE sstart - 1 END AS junction_pos0, CASE WHEN side = 'left' THEN qlen - qend <= 0 ELSE qstart - 1 <= 0 END AS reach_ok FROM named),
-one AS (SELECT * FROM placed QUALIFY row_number() OVER (PARTITION BY qseqid, ref_genome, contig, strand, junction_pos0 ORDER BY bitscore DESC, evalue, sstart, contig, send, sstrand) = 1),
-near AS (SELECT * FROM one QUALIFY bitscore >= 0.9 * max(bitscore) OVER (PARTITION BY qseqid, ref_genome)),
+one AS (SELECT * FROM placed QUALIFY row_number() OVER (PARTITION BY qseqid, ref_genome, contig, junction_pos0 ORDER BY bitscore DESC, evalue, sstart, contig, send, sstrand) = 1),
+parts AS (SELECT *, bitscore / max(bitscore) OVER (PARTITION BY qseqid, ref_genome) AS score_frac FROM one), near AS (SELECT * FROM parts WHERE score_frac >= 0.9),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY qseqid, ref_genome ORDER BY bitscore DESC, evalue, sstart, contig, send, sstrand)::INT AS rank FROM near),
 cand AS (SELECT * FROM ranked WHERE rank <= 10)"""
 GENES = f"""{sql("cds")}, clusters AS (SELECT DISTINCT sample, is_element, side, cluster_id FROM (SELECT string_split(qseqid, '__')[1] AS sample, string_split(qseqid, '__')[2] AS is_element, string_split(qseqid, '__')[3] AS side, regexp_extract(qseqid, 'cluster(\\d+)$', 1)::INT AS cluster_id FROM hsps)),
@@ -61,9 +59,9 @@ def q01_gene_disruption(spark: SparkSession, sf_dir: str) -> DataFrame:
     return disruption(spark, sf_dir)
 
 
-@query(f"WITH {CANDIDATES} SELECT qseqid, ref_genome, contig, strand, junction_pos0, reach_ok, bitscore, rank FROM cand")
+@query(f"WITH {CANDIDATES} SELECT qseqid, ref_genome, contig, strand, junction_pos0, reach_ok, bitscore, round_even(score_frac, 9) AS score_frac, rank FROM cand")
 def q15_candidate_loci(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return candidates(spark, sf_dir).select("qseqid", "ref_genome", "contig", "strand", "junction_pos0", "reach_ok", "bitscore", "rank")
+    return candidates(spark, sf_dir).select("qseqid", "ref_genome", "contig", "strand", "junction_pos0", "reach_ok", "bitscore", F.bround("score_frac", 9).alias("score_frac"), "rank")
 
 
 def placements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,22 +74,18 @@ GREEDY = """fold AS (SELECT {g}, 0::BIGINT AS n, []::VARCHAR[] AS used_l, []::VA
   SELECT {fg}, p.n, CASE WHEN ok THEN list_append(used_l, p.l) ELSE used_l END, CASE WHEN ok THEN list_append(used_r, p.r) ELSE used_r END, CASE WHEN ok THEN p.l END, CASE WHEN ok THEN p.r END
   FROM (SELECT f.*, p AS p, NOT list_contains(f.used_l, p.l) AND NOT list_contains(f.used_r, p.r) AS ok FROM fold f JOIN {pairs} p ON {on} AND p.n = f.n + 1) AS f)"""
 PLACED = f"""{sql("placements")}, cand AS (SELECT sample, is_element, side, cluster_id, ref_genome, contig, strand, junction_pos, max(score) AS bitscore FROM placements GROUP BY ALL)"""
-SELECT_LOCI = f"""WITH RECURSIVE {PLACED}, raw AS (SELECT a.sample, a.is_element, a.ref_genome, a.cluster_id::VARCHAR AS l, b.cluster_id::VARCHAR AS r, a.cluster_id AS li, b.cluster_id AS ri, a.contig, a.strand, a.junction_pos AS lp, b.junction_pos AS rp, a.bitscore + b.bitscore AS s, abs(a.junction_pos - b.junction_pos) AS gap
-  FROM cand a JOIN cand b ON a.sample = b.sample AND a.is_element = b.is_element AND a.ref_genome = b.ref_genome AND a.contig = b.contig AND a.strand = b.strand AND a.side = 'left' AND b.side = 'right' AND abs(a.junction_pos - b.junction_pos) < 50),
+SELECT_LOCI = f"""WITH RECURSIVE {CANDIDATES}, raw AS (SELECT a.sample, a.is_element, a.ref_genome, a.cluster_id::VARCHAR AS l, b.cluster_id::VARCHAR AS r, a.cluster_id AS li, b.cluster_id AS ri, a.contig, a.strand, a.junction_pos0 AS lp, b.junction_pos0 AS rp, a.score_frac + b.score_frac AS s, abs(a.junction_pos0 - b.junction_pos0) AS gap
+  FROM cand a JOIN cand b ON a.sample = b.sample AND a.is_element = b.is_element AND a.ref_genome = b.ref_genome AND a.contig = b.contig AND a.strand = b.strand AND a.side = 'left' AND b.side = 'right' AND a.reach_ok AND b.reach_ok AND abs(a.junction_pos0 - b.junction_pos0) < 50),
 pairs AS (SELECT *, row_number() OVER (PARTITION BY sample, is_element, ref_genome ORDER BY s DESC, gap, li, ri, contig, strand, lp, rp) AS n FROM raw),
 {GREEDY.format(g="sample, is_element, ref_genome", fg="f.sample, f.is_element, f.ref_genome", pairs="pairs", on="p.sample = f.sample AND p.is_element = f.is_element AND p.ref_genome = f.ref_genome")},
 won AS (SELECT p.* FROM fold f JOIN pairs p USING (sample, is_element, ref_genome, n) WHERE f.l IS NOT NULL),
 ends AS (SELECT sample, is_element, ref_genome, 'left' AS side, li AS cluster_id, contig, strand, lp AS junction_pos0, true AS matched FROM won UNION ALL SELECT sample, is_element, ref_genome, 'right', ri, contig, strand, rp, true FROM won),
-top AS (SELECT sample, is_element, ref_genome, side, cluster_id, contig, strand, junction_pos AS junction_pos0, false AS matched FROM cand QUALIFY row_number() OVER (PARTITION BY sample, is_element, side, cluster_id, ref_genome ORDER BY bitscore DESC, junction_pos, contig, strand) = 1)"""
+top AS (SELECT sample, is_element, ref_genome, side, cluster_id, contig, strand, junction_pos0, false AS matched FROM cand WHERE rank = 1)"""
 
 
 @query(f"{SELECT_LOCI} SELECT * FROM ends UNION ALL SELECT * FROM top ANTI JOIN ends USING (sample, is_element, ref_genome, side, cluster_id)")
 def q16_locus_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    order = Window.partitionBy(*KEY, "ref_genome").orderBy(F.desc("bitscore"), "junction_pos", "contig", "strand")
-    found = placements(spark, sf_dir).withColumn("rank", F.row_number().over(order)).withColumnRenamed("junction_pos", "junction_pos0").withColumn("reach_ok", F.lit(True))
-    return placement.select_loci(found)
+    return placement.select_loci(candidates(spark, sf_dir))
 
 
 PAIRING = f"""WITH RECURSIVE {PLACED}, named AS (SELECT *, concat_ws(':', is_element, side, cluster_id) AS label FROM cand),
@@ -125,7 +119,7 @@ def q18_band_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 NESTED = f"""WITH {sql("clusters")}, {sql("hsps")}, k AS (SELECT DISTINCT sample, is_element, side, cluster_id, CASE WHEN cluster_id % 9 = 0 THEN substring(rep_seq, 1, 25) ELSE rep_seq END AS rep_seq FROM clusters),
 h AS (SELECT DISTINCT concat(translate(md5(cast(regexp_extract(qseqid, 'cluster(\\d+)$', 1) AS string)), '0123456789abcdef', 'ACGTACGTACGTACGT'), translate(md5(cast(substring(string_split(qseqid, '__')[2], 2) AS string)), '0123456789abcdef', 'ACGTACGTACGTACGT')) AS rep_seq,
-  concat('E', cast(sstart % 14 AS string)) AS sseqid, pident, length, qstart, qend, qlen, cast(sstart % 1000 AS int) AS sstart, cast(send % 1000 AS int) AS send, sstrand, bitscore, 1000 AS slen FROM hsps WHERE sstart % 3 <> 0),
+  concat('E', cast(sstart % 14 AS string)) AS sseqid, CASE WHEN sstart % 3 = 0 THEN pident - 20 ELSE pident END AS pident, length, qstart, qend, qlen, cast(sstart % 1000 AS int) AS sstart, cast(send % 1000 AS int) AS send, sstrand, bitscore, 1000 AS slen FROM hsps),
 hits AS (SELECT * FROM h WHERE pident >= 98 AND length >= 30),
 near AS (SELECT hits.*, s.side, CASE WHEN s.side = 'left' THEN send ELSE sstart END AS junction_pos FROM hits JOIN (SELECT DISTINCT rep_seq, side FROM k WHERE length(rep_seq) >= 30) s USING (rep_seq) WHERE CASE WHEN s.side = 'left' THEN qlen - qend <= 0 ELSE qstart - 1 <= 0 END),
 top AS (SELECT * FROM near QUALIFY bitscore = max(bitscore) OVER (PARTITION BY rep_seq, side)),
@@ -134,16 +128,17 @@ best AS (SELECT * FROM top QUALIFY row_number() OVER (PARTITION BY rep_seq, side
 joined AS (SELECT k.*, b.sseqid AS target, b.slen AS target_len, b.junction_pos, b.sstrand, b.pident, len(tied)::INT AS n_tied, tied, least(b.junction_pos - 1, b.slen - b.junction_pos) AS far, k.rep_seq IN (SELECT rep_seq FROM hits) AS any_hit FROM k LEFT JOIN best b USING (rep_seq, side) LEFT JOIN ties USING (rep_seq, side)),
 classed AS (SELECT sample, is_element, side, cluster_id, target, CASE WHEN target IS NULL THEN NULL WHEN substring(target, 2)::INT % 5 = 4 THEN NULL ELSE concat('db', cast(substring(target, 2)::INT % 5 AS string)) END AS target_db, target_len, junction_pos, sstrand, pident, n_tied, far AS dist_to_target_end,
   CASE WHEN length(rep_seq) < 30 THEN 'too_short' WHEN NOT any_hit THEN 'no_is_hit' WHEN target IS NULL THEN 'distal_only' WHEN list_contains(tied, is_element) THEN 'self' WHEN far <= 20 THEN 'terminal' ELSE 'internal' END AS class FROM joined),
-pairs AS (SELECT DISTINCT a.sample, a.is_element, a.cluster_id AS l, b.cluster_id AS r FROM classed a JOIN classed b ON a.sample = b.sample AND a.is_element = b.is_element AND a.target = b.target AND a.sstrand = b.sstrand AND a.side = 'left' AND b.side = 'right' AND abs(a.junction_pos - b.junction_pos) <= 20),
+placed AS (SELECT * FROM classed WHERE class IN ('internal', 'terminal')),
+pairs AS (SELECT DISTINCT a.sample, a.is_element, a.cluster_id AS l, b.cluster_id AS r FROM placed a JOIN placed b ON a.sample = b.sample AND a.is_element = b.is_element AND a.target = b.target AND a.sstrand = b.sstrand AND a.side = 'left' AND b.side = 'right' AND abs(a.junction_pos - b.junction_pos) <= 20),
 nested AS (SELECT *, CASE WHEN side = 'left' THEN (sample, is_element, cluster_id) IN (SELECT (sample, is_element, l) FROM pairs) ELSE (sample, is_element, cluster_id) IN (SELECT (sample, is_element, r) FROM pairs) END AS paired_in_target FROM classed)"""
 
 
 def nested_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = view(spark, sf_dir, "clusters").distinct().withColumn("rep_seq", F.when(F.col("cluster_id") % 9 == 0, F.substring("rep_seq", 1, 25)).otherwise(F.col("rep_seq")))
     letters = lambda c: F.translate(F.md5(c), "0123456789abcdef", "ACGTACGTACGTACGT")
-    h = query_parts(hsps(spark, sf_dir)).where("sstart % 3 <> 0").select(
+    h = query_parts(hsps(spark, sf_dir)).select(
         F.concat(letters(F.col("cluster_id").cast("string")), letters(F.substring("is_element", 2, 10))).alias("rep_seq"), F.concat(F.lit("E"), (F.col("sstart") % 14).cast("string")).alias("sseqid"),
-        "pident", "length", "qstart", "qend", "qlen", (F.col("sstart") % 1000).alias("sstart"), (F.col("send") % 1000).alias("send"), "sstrand", "bitscore", F.lit(1000).alias("slen"),
+        F.when(F.col("sstart") % 3 == 0, F.col("pident") - 20).otherwise(F.col("pident")).alias("pident"), "length", "qstart", "qend", "qlen", (F.col("sstart") % 1000).alias("sstart"), (F.col("send") % 1000).alias("send"), "sstrand", "bitscore", F.lit(1000).alias("slen"),
     ).distinct()
     targets = h.select(F.col("sseqid").alias("target")).distinct().withColumn("n", F.substring("target", 2, 10).cast("int") % 5)
     targets = targets.select("target", F.when(F.col("n") != 4, F.concat(F.lit("db"), F.col("n").cast("string"))).alias("target_db"))
@@ -165,7 +160,7 @@ def q20_class_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""{NESTED}, n AS (SELECT *, junction_pos - lag(junction_pos) OVER (PARTITION BY is_element, target, target_db, class ORDER BY junction_pos) AS gap FROM nested WHERE target IS NOT NULL AND target_db IS NOT NULL)
+    f"""{NESTED}, n AS (SELECT *, junction_pos - lag(junction_pos) OVER (PARTITION BY is_element, target, target_db, class ORDER BY junction_pos) AS gap FROM nested WHERE class IN ('internal', 'terminal') AND target IS NOT NULL AND target_db IS NOT NULL)
 SELECT is_element, target, target_db, class, count(*) AS n_clusters, count(DISTINCT sample) AS n_samples, count(DISTINCT CASE WHEN paired_in_target THEN sample END) AS n_samples_paired, count_if(side = 'left')::BIGINT AS n_left, count_if(side = 'right')::BIGINT AS n_right, max(target_len) AS target_len,
   mode(junction_pos ORDER BY junction_pos) AS top_site, round_even(median(pident), 3) AS median_pident, 1 + count(CASE WHEN gap > 20 THEN 1 END) AS n_sites FROM n GROUP BY is_element, target, target_db, class"""
 )
@@ -198,7 +193,7 @@ def q23_event_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH RECURSIVE h AS (SELECT concat('s', cast(l_suppkey AS string)) AS q, concat('s', cast(1 + l_partkey % 90 AS string)) AS s, 100 - floor(l_discount * 100) AS pident FROM lineitem WHERE l_orderkey % 61 = l_partkey % 61),
+    """WITH RECURSIVE h AS (SELECT concat('s', cast(l_orderkey AS string)) AS q, concat('s', cast(l_orderkey + l_linenumber AS string)) AS s, 100 - floor(l_discount * 100) AS pident FROM lineitem),
 e AS (SELECT * FROM h WHERE pident >= 99 AND q <> s), b AS (SELECT q AS u, s AS v FROM e UNION SELECT s, q FROM e), n AS (SELECT q AS u FROM h UNION SELECT s FROM h),
 reach AS (SELECT u, u AS w FROM n UNION SELECT r.u, b.v FROM reach r JOIN b ON r.w = b.u), c AS (SELECT u AS node, min(w) AS component FROM reach GROUP BY u),
 m AS (SELECT component, min(pident) AS min_identity FROM e JOIN c ON e.q = c.node GROUP BY 1)
@@ -207,7 +202,7 @@ SELECT node, component, count(*) OVER (PARTITION BY component) AS n_members, min
 def q24_identity_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     from flankspark.tables import table
 
-    h = table(spark, sf_dir, "lineitem").where("l_orderkey % 61 = l_partkey % 61").selectExpr("concat('s', cast(l_suppkey as string)) as q", "concat('s', cast(1 + l_partkey % 90 as string)) as s", "cast(100 - floor(l_discount * 100) as double) as pident")
+    h = table(spark, sf_dir, "lineitem").selectExpr("concat('s', cast(l_orderkey as string)) as q", "concat('s', cast(l_orderkey + l_linenumber as string)) as s", "cast(100 - floor(l_discount * 100) as double) as pident")
     return events.identity_components(h)
 
 
@@ -240,12 +235,12 @@ def q27_interval_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {UNION_SQL}, m AS (SELECT * FROM masks WHERE "end" % 3 = 0), {sql("features")}
+    f"""WITH {UNION_SQL}, m AS (SELECT * FROM masks), {sql("features")}
 SELECT f.chrom, f.feature_id, (f.start - coalesce(sum(m."end" - m.start) FILTER (m."end" <= f.start), 0))::BIGINT AS new_start, (f.end_ - coalesce(sum(m."end" - m.start) FILTER (m."end" <= f.end_), 0))::BIGINT AS new_end
 FROM features f LEFT JOIN m ON f.chrom = m.chrom GROUP BY f.chrom, f.feature_id, f.start, f.end_ HAVING NOT coalesce(bool_or((m.start < f.start AND f.start < m."end") OR (m.start < f.end_ AND f.end_ < m."end")), false)"""
 )
 def q28_feature_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remap_features(view(spark, sf_dir, "features").withColumnRenamed("end_", "end"), masks(spark, sf_dir).where("end % 3 = 0"), ["chrom"]).select("chrom", "feature_id", "new_start", "new_end")
+    return remap_features(view(spark, sf_dir, "features").withColumnRenamed("end_", "end"), masks(spark, sf_dir), ["chrom"]).select("chrom", "feature_id", "new_start", "new_end")
 
 
 @query(

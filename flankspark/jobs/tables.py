@@ -53,13 +53,13 @@ def q31_single_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH a AS (SELECT c_custkey AS id, c_mktsegment AS v FROM customer WHERE c_custkey % 3 <> 0), b AS (SELECT o_custkey AS id, max(CASE WHEN o_custkey % 2 = 0 THEN c_mktsegment ELSE 'other' END) AS v FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1)
+    """WITH a AS (SELECT c_custkey AS id, c_mktsegment AS v FROM customer), b AS (SELECT CASE WHEN o_custkey % 7 = 0 THEN o_custkey + 1000000 ELSE o_custkey END AS id, max(CASE WHEN o_custkey % 2 = 0 THEN c_mktsegment ELSE 'other' END) AS v FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1)
 SELECT coalesce(a.id, b.id) AS id, CASE WHEN b.id IS NULL THEN 'only_first' WHEN a.id IS NULL THEN 'only_second' WHEN a.v = b.v THEN 'same' ELSE 'different' END AS state FROM a FULL JOIN b ON a.id = b.id"""
 )
 def q32_id_set_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
-    a = c.where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("v"))
-    b = o.join(c, o["o_custkey"] == c["c_custkey"]).groupBy(F.col("o_custkey").alias("id")).agg(F.max(F.when(F.col("o_custkey") % 2 == 0, F.col("c_mktsegment")).otherwise("other")).alias("v"))
+    a = c.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("v"))
+    b = o.join(c, o["o_custkey"] == c["c_custkey"]).groupBy(F.when(F.col("o_custkey") % 7 == 0, F.col("o_custkey") + 1000000).otherwise(F.col("o_custkey")).alias("id")).agg(F.max(F.when(F.col("o_custkey") % 2 == 0, F.col("c_mktsegment")).otherwise("other")).alias("v"))
     return metadata.compare_ids(a, b, "id", "v")
 
 
@@ -72,14 +72,15 @@ def q33_cluster_share_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.large_clusters(c, "sample", "n", 0.5).withColumn("share", F.bround("share", 6))
 
 
-MEMBERS = "lines AS (SELECT cast(l_orderkey % 3000 AS int) AS cluster, concat(cast(l_linenumber AS string), '\t', cast(500 + l_partkey % 300 AS string), 'nt, >', CASE WHEN l_suppkey % 3 = 0 THEN 'ISOSDB' ELSE 'IS' END, cast(l_partkey AS string), '... ', CASE WHEN l_linenumber = 1 THEN '*' ELSE concat('at +/', cast(90 + l_suppkey % 10 AS string), '.50%') END) AS line, l_linenumber AS ordinal, 500 + l_partkey % 300 AS length, concat(CASE WHEN l_suppkey % 3 = 0 THEN 'ISOSDB' ELSE 'IS' END, cast(l_partkey AS string)) AS name, l_linenumber = 1 AS is_rep, (CASE WHEN l_linenumber = 1 THEN 100.0 ELSE 90 + l_suppkey % 10 + 0.5 END)::DOUBLE AS identity FROM lineitem WHERE l_orderkey % 5 = 0)"
+MEMBERS = "lines AS (SELECT cast(l_orderkey % 3000 AS int) AS cluster, concat(cast(l_linenumber AS string), '\t', cast(500 + l_partkey % 300 AS string), 'nt, >', CASE WHEN l_suppkey % 3 = 0 THEN 'ISOSDB' ELSE 'IS' END, cast(l_partkey AS string), '... ', CASE WHEN l_linenumber = 1 THEN '*' ELSE concat(CASE WHEN l_suppkey % 2 = 0 THEN 'at 1:100:1:100/+/' ELSE 'at +/' END, cast(90 + l_suppkey % 10 AS string), '.50%') END) AS line, l_linenumber AS ordinal, 500 + l_partkey % 300 AS length, concat(CASE WHEN l_suppkey % 3 = 0 THEN 'ISOSDB' ELSE 'IS' END, cast(l_partkey AS string)) AS name, l_linenumber = 1 AS is_rep, (CASE WHEN l_linenumber = 1 THEN 100.0 ELSE 90 + l_suppkey % 10 + 0.5 END)::DOUBLE AS identity FROM lineitem)"
 
 
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat(F.when(F.col("l_suppkey") % 3 == 0, "ISOSDB").otherwise("IS"), F.col("l_partkey").cast("string"))
-    tail = F.when(F.col("l_linenumber") == 1, "*").otherwise(F.concat(F.lit("at +/"), (F.col("l_suppkey") % 10 + 90).cast("string"), F.lit(".50%")))
+    at = F.when(F.col("l_suppkey") % 2 == 0, "at 1:100:1:100/+/").otherwise("at +/")
+    tail = F.when(F.col("l_linenumber") == 1, "*").otherwise(F.concat(at, (F.col("l_suppkey") % 10 + 90).cast("string"), F.lit(".50%")))
     line = F.concat(F.col("l_linenumber").cast("string"), F.lit("\t"), (F.col("l_partkey") % 300 + 500).cast("string"), F.lit("nt, >"), name, F.lit("... "), tail)
-    return parse_members(table(spark, sf_dir, "lineitem").where("l_orderkey % 5 = 0").select((F.col("l_orderkey") % 3000).cast("int").alias("cluster"), line.alias("line")))
+    return parse_members(table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") % 3000).cast("int").alias("cluster"), line.alias("line")))
 
 
 @query(f"WITH {MEMBERS} SELECT cluster, ordinal, length, name, is_rep, identity FROM lines")
@@ -100,12 +101,12 @@ def q34_rename_reps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH names AS (SELECT DISTINCT substring(p_name, 1, 3 + p_size % 6) AS name FROM part WHERE p_partkey % 5 = 0), texts AS (SELECT p_partkey AS id, p_name AS body FROM part)
+    """WITH names AS (SELECT DISTINCT substring(p_name, 1, 3 + p_size % 6) AS name FROM part), texts AS (SELECT p_partkey AS id, p_name AS body FROM part)
 SELECT id, body, max_by(name, length(name)) AS name FROM texts JOIN names ON starts_with(body, name) GROUP BY id, body"""
 )
 def q35_prefix_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
-    names = p.where("p_partkey % 5 = 0").select(F.expr("substring(p_name, 1, 3 + p_size % 6)").alias("name")).distinct()
+    names = p.select(F.expr("substring(p_name, 1, 3 + p_size % 6)").alias("name")).distinct()
     return metadata.longest_prefix(p.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("body")), names)
 
 

@@ -36,10 +36,10 @@ def filter_alignments(alignments: DataFrame, limits: Limits = Limits()) -> DataF
     """Alignments with drop_reason (the first that applies, null if kept), pident, zl, zr and za.
 
     Takes sample, query_name, reference, ref_length, ref_start, ref_end, mapq, flag, nm, cigar and query_sequence. Records that are
-    unmapped, secondary, supplementary or without cigar, sequence or known reference are passed over and not counted. One narrow
-    projection: no shuffle.
+    unmapped, secondary, supplementary or without cigar or sequence are passed over and not counted, as are those on an unknown reference
+    (a null ref_length) unless one of the first two reasons applies. One narrow projection: no shuffle.
     """
-    a = alignments.where((F.col("flag").bitwiseAND(SKIPPED_FLAGS) == 0) & F.col("cigar").isNotNull() & F.col("query_sequence").isNotNull() & F.col("ref_length").isNotNull())
+    a = alignments.where((F.col("flag").bitwiseAND(SKIPPED_FLAGS) == 0) & F.col("cigar").isNotNull() & F.col("query_sequence").isNotNull())
     aligned = F.col("ref_end") - F.col("ref_start")
     a = a.withColumns({"near_start": F.col("ref_start") <= limits.tolerance, "near_end": F.col("ref_length") - F.col("ref_end") <= limits.tolerance, "left_n": clip_length(F.col("cigar"), 1), "right_n": clip_length(F.col("cigar"), -1), "pident": percent_identity(aligned, F.col("nm"))})
     left, right = F.col("near_start") & (F.col("left_n") > 0), F.col("near_end") & (F.col("right_n") > 0)
@@ -49,7 +49,7 @@ def filter_alignments(alignments: DataFrame, limits: Limits = Limits()) -> DataF
         ~(left | right), ~(F.col("zl") | F.col("zr")), F.col("nm").isNull(), F.col("pident") < limits.min_pident,
     ]
     reason = F.coalesce(*[F.when(t, F.lit(r)) for t, r in zip(tests, REASONS, strict=True)])
-    return a.withColumn("drop_reason", reason)
+    return a.withColumn("drop_reason", reason).where(F.col("ref_length").isNotNull() | F.col("drop_reason").isin(*REASONS[:2]))
 
 
 def reason_counts(filtered: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from flankspark.functions.intervals import band_join, site_counts
 
+#: Classes of clusters that lie in a target that isn't their own element.
+PLACED = ("internal", "terminal")
 CLASSES = ("too_short", "no_is_hit", "distal_only", "self", "terminal", "internal")
 
 
@@ -50,9 +52,9 @@ def classify_nested(clusters: DataFrame, hsps: DataFrame, targets: DataFrame, li
 
 
 def paired_in_target(nested: DataFrame, pair_tol: int = 20) -> DataFrame:
-    """nested with paired_in_target: a cluster of the other side of the same sample and element lies within pair_tol on the same target strand."""
+    """nested with paired_in_target: of internal and terminal clusters, whether one of the other side of the same sample and element lies within pair_tol on the same target strand."""
     keys = ["sample", "is_element", "target", "sstrand"]
-    placed = nested.where("target is not null")
+    placed = nested.where(F.col("class").isin(*PLACED))
     side = lambda s, x: placed.where(F.col("side") == s).select(*keys, F.col("cluster_id").alias(f"{x}_id"), F.col("junction_pos").alias(f"{x}_pos"))
     pairs = band_join(side("left", "l"), side("right", "r"), keys, "l_pos", "r_pos", pair_tol, True)
     ends = pairs.select("sample", "is_element", F.explode(F.array(F.struct(F.lit("left").alias("side"), F.col("l_id").alias("cluster_id")), F.struct(F.lit("right").alias("side"), F.col("r_id").alias("cluster_id")))).alias("e")).select("sample", "is_element", "e.*").distinct()
@@ -70,9 +72,9 @@ def class_summary(nested: DataFrame) -> DataFrame:
 
 
 def host_target_summary(nested: DataFrame, site_tol: int = 20) -> DataFrame:
-    """Counts, sites, the most frequent site (the least of ties) and median identity of each (element, target, database, class); rows with a null key are left out."""
+    """Counts, sites, the most frequent site (the least of ties) and median identity of each (element, target, database, class), internal and terminal ones; rows with a null key are left out."""
     keys = ["is_element", "target", "target_db", "class"]
-    n = nested.dropna(subset=keys)
+    n = nested.where(F.col("class").isin(*PLACED)).dropna(subset=keys)
     sums = n.groupBy(*keys).agg(
         F.count("*").alias("n_clusters"), F.countDistinct("sample").alias("n_samples"), F.countDistinct(F.when(F.col("paired_in_target"), F.col("sample"))).alias("n_samples_paired"),
         F.count_if(F.col("side") == "left").alias("n_left"), F.count_if(F.col("side") == "right").alias("n_right"), F.max("target_len").alias("target_len"),

@@ -16,20 +16,21 @@ def junction(side: Column, sstart: Column, send: Column, qstart: Column, qend: C
     return at, reach
 
 
-def candidates(hsps: DataFrame, sides: DataFrame, min_pident: float = 95.0, min_qcov: float = 0.90, min_score: float = 0.90, most: int = 10) -> DataFrame:
-    """Up to most loci for each (query, genome): filtered hits, one for each junction and strand, near the best score.
+def candidates(hsps: DataFrame, min_pident: float = 95.0, min_qcov: float = 0.90, min_score: float = 0.90, most: int = 10) -> DataFrame:
+    """Up to most loci for each (query, genome): filtered hits, one for each contig and junction, with score_frac, their part of the best score.
 
-    hsps has one row for a hit; sides(qseqid, side) tells each query's side. The windows share one partitioning by query and genome.
+    hsps has one row for a hit, with the query's side; rows of no side are left out. Both windows run in one partitioning by query and genome.
     """
-    h = hsps.where((F.col("pident") >= min_pident) & (F.col("length") / F.col("qlen") >= min_qcov)).join(sides.where(F.col("side").isin("left", "right")), "qseqid")
+    h = hsps.where((F.col("pident") >= min_pident) & (F.col("length") / F.col("qlen") >= min_qcov) & F.col("side").isin("left", "right"))
     name = F.split("sseqid", "__", 2)
     at, reach = junction(F.col("side"), F.col("sstart"), F.col("send"), F.col("qstart"), F.col("qend"), F.col("qlen"))
     h = h.withColumns({"ref_genome": name[0], "contig": name[1], "junction_pos0": at, "reach_ok": reach, "strand": F.when(F.col("sstrand") == "plus", "+").otherwise("-")})
     order = [F.desc("bitscore"), "evalue", "sstart", "contig", "send", "sstrand"]
-    one = Window.partitionBy("qseqid", "ref_genome", "contig", "strand", "junction_pos0").orderBy(*order)
+    one = Window.partitionBy("qseqid", "ref_genome", "contig", "junction_pos0").orderBy(*order)
     by = Window.partitionBy("qseqid", "ref_genome")
-    h = h.withColumn("__r", F.row_number().over(one)).where("__r = 1").withColumn("best", F.max("bitscore").over(by)).where(F.col("bitscore") >= min_score * F.col("best"))
-    return h.withColumn("rank", F.row_number().over(by.orderBy(*order)).cast("int")).where(F.col("rank") <= most).drop("__r", "best")
+    h = h.repartition("qseqid", "ref_genome").withColumn("__r", F.row_number().over(one)).where("__r = 1")
+    h = h.withColumn("score_frac", F.col("bitscore") / F.max("bitscore").over(by)).where(F.col("score_frac") >= min_score)
+    return h.withColumn("rank", F.row_number().over(by.orderBy(*order)).cast("int")).where(F.col("rank") <= most).drop("__r")
 
 
 def rank_genes(points: DataFrame, cds: DataFrame, keys: list[str], ident: list[str], point: str) -> DataFrame:
@@ -74,12 +75,12 @@ def greedy_matches(pairs: DataFrame, group: list[str], order: list[Column], left
 def locus_pairs(found: DataFrame, max_gap: int = 50) -> DataFrame:
     """Left and right candidates of an element that meet at one junction: same genome, contig and strand, less than max_gap apart."""
     keys = ["sample", "is_element", "ref_genome", "contig", "strand"]
-    side = lambda s, p: found.where((F.col("side") == s) & F.col("reach_ok")).select(*keys, F.col("cluster_id").alias(f"{p}_id"), F.col("junction_pos0").alias(f"{p}_pos"), F.col("bitscore").alias(f"{p}_score"))
+    side = lambda s, p: found.where((F.col("side") == s) & F.col("reach_ok")).select(*keys, F.col("cluster_id").alias(f"{p}_id"), F.col("junction_pos0").alias(f"{p}_pos"), F.col("score_frac").alias(f"{p}_score"))
     return band_join(side("left", "l"), side("right", "r"), keys, "l_pos", "r_pos", max_gap, False)
 
 
 def select_loci(found: DataFrame, max_gap: int = 50) -> DataFrame:
-    """At most one locus for each (cluster, genome): both ends of the matched pairs, by score sum and gap, else the best hit."""
+    """At most one locus for each (cluster, genome): both ends of the matched pairs, by the sum of their score_frac and gap, else the best hit."""
     pairs = locus_pairs(found, max_gap).withColumns({"score": F.col("l_score") + F.col("r_score"), "gap": F.abs(F.col("l_pos") - F.col("r_pos"))})
     group = ["sample", "is_element", "ref_genome"]
     pairs = pairs.withColumns({"l": F.struct("l_id").cast("struct<id:int>"), "r": F.struct("r_id").cast("struct<id:int>")})

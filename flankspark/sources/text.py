@@ -9,7 +9,8 @@ from flankspark.schemas import DATABASES, HSP, IDXSTATS, SAMPLES, SRA
 
 #: Headers of overhang records; mapq may be missing.
 HEADER = r"^([^|]+)\|([^|]+)\|([^|]+)\|pos:([^|]*)\|side:(left|right)\|strand:([+-])\|pident:([0-9.]+)(?:\|mapq:(\d+))?$"
-MEMBER = r"^(\d+)\s+(\d+)nt,\s+>(.+?)\.\.\.\s+(?:\*|at\s+[+-]/([0-9.]+)%)$"
+#: Members of cluster lists; coordinates before the strand are optional.
+MEMBER = r"^(\d+)\s+(\d+)nt,\s+>(.+?)\.\.\.\s+(?:\*|at\s+(?:\d+:\d+:\d+:\d+/)?[+-]/([0-9.]+)%)$"
 LABEL = "^[A-Za-z0-9_-]+$"
 
 
