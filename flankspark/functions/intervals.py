@@ -65,6 +65,15 @@ def remap_features(features: DataFrame, masks: DataFrame, keys: list[str], width
     return moved.join(inside, [*keys, "feature_id"], "left_anti")
 
 
+def mask_features(features: DataFrame, hits: DataFrame, keys: list[str], min_pident: float = 90.0, min_length: int = 100) -> DataFrame:
+    """features(keys, feature_id, start, end) moved by what is cut out of their sequences: the union of good hits(keys, start, end, pident, length).
+
+    Without any good hit on a sequence its features stay as they are.
+    """
+    good = hits.where((F.col("pident") >= min_pident) & (F.col("length") >= min_length))
+    return remap_features(features, union_intervals(good.select(*keys, "start", "end"), keys, "start", "end"), keys)
+
+
 def excise(seq: Column, masks: Column) -> Column:
     """seq without the masked stretches; masks is an ordered array of structs (start, end) that don't overlap."""
     size = F.length(seq)

@@ -64,6 +64,16 @@ def representatives(clustered: DataFrame, keys: tuple[str, ...] = ("sample", "is
     return clustered.groupBy(*keys, "cluster_id").agg(F.count("*").alias("n_reads"), F.min("representative_sequence").alias("representative_sequence"))
 
 
+def pooled_clusters(members: DataFrame, min_size: int = 2) -> DataFrame:
+    """(cluster, n_seqs, n_samples, representative) of clusters pooled over samples; a member's name starts with its sample and a pipe.
+
+    Members are counted for each (cluster, sample) before anything else, so memory goes with clusters and samples, not with reads.
+    """
+    counts = members.groupBy("cluster", F.substring_index("name", "|", 1).alias("sample")).agg(F.count("*").alias("n"), F.max(F.when(F.col("is_rep"), F.col("name"))).alias("rep"))
+    out = counts.groupBy("cluster").agg(F.sum("n").alias("n_seqs"), F.count("*").alias("n_samples"), F.max("rep").alias("representative"))
+    return out.where((F.col("n_seqs") >= min_size) & F.col("representative").isNotNull())
+
+
 def recruit(ambiguous: DataFrame, reps: DataFrame, fraction: float = 0.10) -> DataFrame:
     """Each ambiguous read with the representative of its element at the least normalised distance; ties and misses stay unassigned.
 

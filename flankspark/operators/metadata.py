@@ -43,8 +43,33 @@ def best_members(members: DataFrame, key: str = "cluster") -> DataFrame:
 
 
 def rename(rows: DataFrame, names: DataFrame, old: str = "name", new: str = "new_name") -> DataFrame:
-    """rows with names replaced where there is a new one."""
-    return rows.join(names.select(old, new), old, "left").withColumn(new, F.coalesce(new, old))
+    """rows with names replaced where there is a new one; a name in names that no row has raises an error when it is read."""
+    both = rows.withColumn("__here", F.lit(True)).join(names.select(old, new), old, "full")
+    left_over = F.raise_error(F.concat(F.lit("no row to rename: "), F.col(old))).cast("string")
+    return both.withColumn(new, F.when(F.col("__here"), F.coalesce(new, old)).otherwise(left_over)).drop("__here")
+
+
+def histogram(sizes: DataFrame, size: str) -> DataFrame:
+    """(size, n): how many rows have each size."""
+    return sizes.groupBy(size).agg(F.count("*").alias("n"))
+
+
+def sweep_ratios(clusters: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """(keys, n_inputs, n_clusters, singletons and largest as parts of the inputs) of each clustering."""
+    sums = clusters.groupBy(*keys).agg(F.sum(size).alias("n_inputs"), F.count("*").alias("n_clusters"), F.count_if(F.col(size) == 1).alias("single"), F.max(size).alias("most"))
+    part = lambda c: F.bround(F.col(c) / F.col("n_inputs"), 6)
+    return sums.select(*keys, "n_inputs", "n_clusters", part("single").alias("singleton_part"), part("most").alias("largest_part"))
+
+
+def gene_support(rows: DataFrame) -> DataFrame:
+    """(gene, n_clusters, n_samples) of coding hits."""
+    hit = rows.where("hit_type = 'protein_coding'")
+    return hit.groupBy("gene").agg(F.count("*").alias("n_clusters"), F.countDistinct("sample").alias("n_samples"))
+
+
+def gap_text(gap: Column) -> Column:
+    """A whole number without a point, another one as it is."""
+    return F.when(gap == F.floor(gap), F.floor(gap).cast("string")).otherwise(gap.cast("string"))
 
 
 def longest_prefix(texts: DataFrame, names: DataFrame, text: str = "body", name: str = "name") -> DataFrame:

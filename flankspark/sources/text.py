@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flankspark.schemas import DATABASES, HSP, IDXSTATS, SAMPLES, SRA
@@ -79,18 +79,72 @@ def parse_members(lines: DataFrame) -> DataFrame:
     )
 
 
-def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """(read_id, seq, qual) of FASTQ records, whose lines come in fours; the records are split at headers after quality lines of a file."""
-    text = spark.read.text(path, wholetext=True)
-    lines = text.select(F.split(F.regexp_replace("value", "\r", ""), "\n").alias("x"))
-    at = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor(F.size("x") / 4).cast("int") - 1))
-    rows = lines.where(F.size("x") >= 4).select(F.explode(F.transform(at, lambda i: F.slice(F.col("x"), i * 4 + 1, 4))).alias("r"))
-    return rows.select(F.regexp_extract(F.col("r")[0], r"^@(\S+)", 1).alias("read_id"), F.col("r")[1].alias("seq"), F.col("r")[3].alias("qual"))
+def read_fastq(spark: SparkSession, path: str | list[str], mate: int = 1) -> DataFrame:
+    """(read_id, seq, qual, mate) of FASTQ records of four lines; files are split, gz is read as it is.
+
+    Records are split at an @ after a line break. Where a quality begins with @, that cuts a record in two: the first part ends with the
+    line +, the second is one line. Only these parts are brought together, in the order of their file.
+    """
+    text = spark.read.text(path, lineSep="\n@").select(F.regexp_replace("value", r"\r", "").alias("r"), "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("i"))
+    lines = F.size(F.split("r", "\n"))
+    # The first header of a file still has its @; a part that is one line may begin with one of its own.
+    text = text.withColumn("r", F.regexp_replace("r", r"\n+$", "")).withColumn("r", F.when(lines > 1, F.regexp_replace("r", "^@", "")).otherwise(F.col("r")))
+    whole = text.where(lines == 4).select("r")
+    order = Window.partitionBy("file_path").orderBy("file_block_start", "i")
+    parts = text.where(lines != 4).withColumn("next", F.lead("r").over(order)).where(r"r rlike '\n[+][^\n]*$'")
+    records = whole.unionByName(parts.select(F.concat("r", F.lit("\n@"), "next").alias("r")))
+    x = F.split("r", "\n")
+    good = (F.size(x) == 4) & (F.length(x[1]) == F.length(x[3])) & F.startswith(x[2], F.lit("+"))
+    return records.select(F.regexp_extract(must(good, x[0], "not a FASTQ record", F.col("r")), r"^(\S+)", 1).alias("read_id"), x[1].alias("seq"), x[3].alias("qual"), F.lit(mate).alias("mate"))
+
+
+def read_reads(spark: SparkSession, sample: str, files: list[str]) -> DataFrame:
+    """The reads of a sample's one or two FASTQ files; another number of files is an error."""
+    if len(files) not in (1, 2):
+        raise ValueError(f"{sample}: {len(files)} FASTQ files, not 1 or 2")
+    out = read_fastq(spark, files[0])
+    out = out if len(files) == 1 else out.unionByName(read_fastq(spark, files[1], 2))
+    return out.withColumn("sample", F.lit(sample))
+
+
+OPERATIONS = "MIDNSHP=X"
+
+
+def read_sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Alignments from SAM text: sample (of the tag RG), query_name, reference, ref_length (of the header), ref_start, ref_end, mapq, flag, nm, cigar, query_sequence."""
+    lines = spark.read.text(path)
+    head = lines.where("value like '@SQ%'").select(F.regexp_extract("value", r"\tSN:([^\t]+)", 1).alias("reference"), F.regexp_extract("value", r"\tLN:(\d+)", 1).cast("int").alias("ref_length")).distinct()
+    f = F.split("value", "\t")
+    tag = lambda name: F.nullif(F.regexp_extract("value", rf"\t{name}:[iZ]:([^\t]+)", 1), F.lit(""))
+    sizes, ops = (F.regexp_extract_all(f[5], F.lit(rf"(\d+)([{OPERATIONS}])"), F.lit(i)) for i in (1, 2))
+    code = F.create_map(*[F.lit(x) for i, o in enumerate(OPERATIONS) for x in (o, i)])
+    cigar = F.zip_with(ops, sizes, lambda o, n: F.struct(code[o].alias("op"), n.cast("int").alias("len")))
+    a = lines.where("value not like '@%'").select(
+        tag("RG").alias("sample"), f[0].alias("query_name"), F.nullif(f[2], F.lit("*")).alias("reference"), (f[3].cast("int") - 1).alias("ref_start"), f[4].cast("int").alias("mapq"), f[1].cast("int").alias("flag"),
+        tag("NM").cast("int").alias("nm"), F.when(f[5] != "*", cigar).alias("cigar"), F.nullif(f[9], F.lit("*")).alias("query_sequence"),
+    )
+    covered = F.aggregate("cigar", F.lit(0), lambda s, x: s + F.when(x["op"].isin(0, 2, 3, 7, 8), x["len"]).otherwise(0))
+    return a.withColumn("ref_end", F.col("ref_start") + covered).join(head, "reference", "left")
+
+
+def reference_counts(alignments: DataFrame, references: DataFrame) -> DataFrame:
+    """(reference, length, mapped) of every reference, also those without a mapped read."""
+    mapped = alignments.where(F.col("reference").isNotNull() & (F.col("flag").bitwiseAND(4) == 0)).groupBy("reference").agg(F.count("*").alias("mapped"))
+    return mapped.join(references.select("reference", "length"), "reference", "right").withColumn("mapped", F.coalesce("mapped", F.lit(0)).cast("long"))
 
 
 def read_tsv(spark: SparkSession, path: str | list[str], schema: str, header: bool = True) -> DataFrame:
-    """A tab-separated file with a given schema and no quotes; lines that start with # are skipped."""
-    return spark.read.csv(path, schema=schema, sep="\t", header=header, quote="", comment="#")
+    """A tab-separated file with a given schema and no quotes; lines that start with # are skipped.
+
+    With a header, columns are taken by name, whatever others there are; one that is missing is an error.
+    """
+    if not header:
+        return spark.read.csv(path, schema=schema, sep="\t", header=False, quote="", comment="#")
+    raw = spark.read.csv(path, sep="\t", header=True, quote="", comment="#")
+    wanted = [x.strip().split(" ") for x in schema.split(",")]
+    if missing := [c for c, _ in wanted if c not in raw.columns]:
+        raise ValueError(f"columns missing in {path}: {missing}")
+    return raw.select(*[F.col(f"`{c}`").cast(kind) for c, kind in wanted])
 
 
 def read_hsps(spark: SparkSession, path: str) -> DataFrame:

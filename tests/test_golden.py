@@ -185,6 +185,46 @@ def test_nested_classes(spark):
     assert len(seq) == 40
 
 
+def test_nested_pairs_and_summaries_are_of_placed_classes(spark):
+    rows_ = [("s", "E", side, i, kind, "T", "db", 500, pos, "plus", 99.0) for i, (side, kind, pos) in enumerate([("left", "self", 100), ("right", "self", 101), ("left", "internal", 300), ("right", "terminal", 310), ("right", "self", 305)])]
+    df = spark.createDataFrame(rows_, "sample string, is_element string, side string, cluster_id int, class string, target string, target_db string, target_len int, junction_pos int, sstrand string, pident double")
+    got = nested.paired_in_target(df)
+    assert rows(got, "cluster_id", "paired_in_target") == [(0, False), (1, False), (2, True), (3, True), (4, False)]
+    assert rows(nested.host_target_summary(got), "class", "n_clusters", "n_samples_paired") == [("internal", 1, 1), ("terminal", 1, 1)]
+
+
+def hits_of(spark, hits):
+    """hits: (element, side, cluster, sstart, send, strand, bitscore) on one contig."""
+    data = [("s", e, side, c, f"{e}{side}{c}", "g__c", 100.0, 50, 1, 50, 50, a, b, strand, score, 0.0) for e, side, c, a, b, strand, score in hits]
+    return spark.createDataFrame(data, "sample string, is_element string, side string, cluster_id int, qseqid string, sseqid string, pident double, length int, qstart int, qend int, qlen int, sstart int, send int, sstrand string, bitscore double, evalue double")
+
+
+def test_candidates_are_one_for_a_junction(spark):
+    df = hits_of(spark, [("E", "right", 0, 100, 149, "plus", 90.0), ("E", "right", 0, 100, 51, "minus", 95.0), ("E", "right", 0, 500, 549, "plus", 80.0)])
+    assert rows(placement.candidates(df), "junction_pos0", "strand", "score_frac", "rank") == [(99, "-", 1.0, 1)]
+    assert rows(placement.candidates(df, min_score=0.8), "junction_pos0", "rank") == [(99, 1), (499, 2)]
+
+
+def test_loci_go_by_parts_of_the_best_score(spark):
+    # A long cluster's second-best place has a higher raw score than a short one's best, but a smaller part.
+    hits = [("E", "left", 0, 51, 100, "plus", 400.0), ("E", "left", 0, 951, 1000, "plus", 380.0), ("E", "right", 1, 1010, 1059, "plus", 300.0), ("E", "right", 2, 110, 159, "plus", 60.0)]
+    got = rows(placement.select_loci(placement.candidates(hits_of(spark, hits))), "side", "cluster_id", "junction_pos0", "matched")
+    assert got == [("left", 0, 99, True), ("right", 1, 1009, False), ("right", 2, 109, True)]
+
+
+def test_unknown_references_are_charged_with_the_first_reasons_only(spark):
+    from flankspark.operators import alignment
+
+    a = [("n", "ACGN", 0, 60), ("short", "ACGT", 0, 5), ("fine", "ACGT", 0, 60)]
+    df = spark.createDataFrame([("s", i, "X", None, lo, hi, 60, 0, 0, [(4, 9), (0, hi - lo)], seq) for i, seq, lo, hi in a], "sample string, query_name string, reference string, ref_length int, ref_start int, ref_end int, mapq int, flag int, nm int, cigar array<struct<op:int,len:int>>, query_sequence string")
+    assert rows(alignment.filter_alignments(df), "query_name", "drop_reason") == [("n", "non_acgt"), ("short", "short_is_alignment")]
+
+
+def test_pooled_clusters(spark):
+    m = spark.createDataFrame([(0, "A|1", True), (0, "A|2", False), (0, "B|1", False), (1, "C|1", True)], "cluster int, name string, is_rep boolean")
+    assert rows(clustering.pooled_clusters(m), "cluster", "n_seqs", "n_samples", "representative") == [(0, 3, 2, "A|1")]
+
+
 def test_events(spark):
     c = [("s", "E", "left", 0, "E:right:0"), ("s", "E", "right", 0, "none"), ("s", "E", "left", 1, "F:right:3")]
     schema = "sample string, is_element string, side string, cluster_id int, pairing string"

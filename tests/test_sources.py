@@ -34,7 +34,7 @@ def test_clstr(spark, tmp_path):
 
 def test_fastq_and_tables(spark, tmp_path):
     (tmp_path / "a.fq").write_text("@r1 x\nACGT\n+\nIIII\n@r2\nGG\n+\nII\n")
-    assert [tuple(r) for r in text.read_fastq(spark, str(tmp_path / "a.fq")).collect()] == [("r1", "ACGT", "IIII"), ("r2", "GG", "II")]
+    assert [tuple(r) for r in text.read_fastq(spark, str(tmp_path / "a.fq")).collect()] == [("r1", "ACGT", "IIII", 1), ("r2", "GG", "II", 1)]
     (tmp_path / "d.tsv").write_text("label\tpath\n# note\nok\t/a\nbad label\t/b\nok\t/c\nempty\t\n")
     got = sorted(tuple(r) for r in text.check_databases(text.read_databases(spark, str(tmp_path / "d.tsv"))).collect())
     assert got == [("empty path", "empty"), ("label", "bad label"), ("repeated label", "ok")]
@@ -42,6 +42,53 @@ def test_fastq_and_tables(spark, tmp_path):
     assert [r.reference for r in text.read_idxstats(spark, str(tmp_path / "i.tsv")).collect()] == ["E1"]
 
 
+def test_fastq_is_split(spark, tmp_path):
+    import random
+
+    r = random.Random(3)
+    want = []
+    for i in range(3000):
+        n = r.choice([1, 1, 2, 40, 90])
+        want.append((f"r{i}", "".join(r.choice("ACGT") for _ in range(n)), "".join(r.choice("@+I") for _ in range(n)), 1))
+    (tmp_path / "a.fq").write_text("".join(f"@{i} x\n{s}\n+\n{q}\n" for i, s, q, _ in want))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        df = text.read_fastq(spark, str(tmp_path / "a.fq"))
+        assert df.rdd.getNumPartitions() > 5 and sorted(tuple(x) for x in df.collect()) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    (tmp_path / "bad.fq").write_text("@r1\nACGT\n+\nII\n")
+    with pytest.raises(Exception, match="not a FASTQ record"):
+        text.read_fastq(spark, str(tmp_path / "bad.fq")).collect()
+    with pytest.raises(ValueError, match="3 FASTQ files"):
+        text.read_reads(spark, "s", ["a", "b", "c"])
+
+
+def test_tables_are_read_by_name(spark, tmp_path):
+    (tmp_path / "s.tsv").write_text("BioSample\tx\tAccession\tSubmission\tBases\tSample\tType\nb1\t0\ta1\ts1\t9\tn\tt\n")
+    row = text.read_sra(spark, str(tmp_path / "s.tsv")).first()
+    assert (row.Accession, row.BioSample, row.Bases) == ("a1", "b1", "9")
+    (tmp_path / "t.tsv").write_text("label\tother\nl\tx\n")
+    with pytest.raises(ValueError, match="path"):
+        text.read_databases(spark, str(tmp_path / "t.tsv"))
+
+
+def test_member_lists_with_and_without_coordinates(spark):
+    lines = spark.createDataFrame([(0, "0\t900nt, >A... *"), (0, "1\t880nt, >B... at 1:100:1:100/+/97%"), (0, "2\t880nt, >C... at -/97.50%")], "cluster int, line string")
+    assert [(r.name, r.identity) for r in text.parse_members(lines).collect()] == [("A", 100.0), ("B", 97.0), ("C", 97.5)]
+
+
+def test_rename_without_leftovers(spark):
+    from flankspark.operators.metadata import rename
+
+    rows = spark.createDataFrame([("a",), ("b",)], "name string")
+    names = lambda *x: spark.createDataFrame(list(x), "name string, new_name string")
+    assert sorted(r.new_name for r in rename(rows, names(("a", "z"))).collect()) == ["b", "z"]
+    with pytest.raises(Exception, match="no row to rename: c"):
+        rename(rows, names(("a", "z"), ("c", "y"))).collect()
+
+
 def test_references_of_two_databases(spark):
     one = spark.createDataFrame([("a", "x", 1)], "reference string, database string, length int")
     assert text.union_references([one]).count() == 1
