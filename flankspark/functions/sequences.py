@@ -29,11 +29,11 @@ def edit_budget(length: Column, fraction: float) -> Column:
 def anchored_distance(query: Column, target: Column, budget: Column) -> Column:
     """The least edit distance of the query to a prefix of the target, null above the budget.
 
-    Only prefixes whose length is within the budget of the query's can be that near.
+    Only prefixes whose length is within the budget of the query's can be that near, and only distances within it are worked out.
     """
     def near(k: Column) -> Column:
         low, high = F.greatest(F.lit(0), F.length(query) - k), F.least(F.length(target), F.length(query) + k)
-        found = F.transform(F.sequence(low, F.greatest(low, high)), lambda j: F.levenshtein(query, F.substring(target, F.lit(1), j)))
-        return F.when(low <= high, let(F.array_min(found), lambda best: F.when(best <= k, best)))
+        found = F.transform(F.sequence(low, F.greatest(low, high)), lambda j: F.call_function("levenshtein", query, F.substring(target, F.lit(1), j), k))
+        return F.when(low <= high, F.array_min(F.filter(found, lambda d: d >= 0)))
 
     return let(budget, near)

@@ -49,26 +49,43 @@ def first_gene_closed(points: DataFrame, genes: DataFrame, keys: list[str], iden
     return joined.withColumn("__r", F.row_number().over(order)).where("__r = 1").drop("__r", "g_start", "g_end", "g_stop")
 
 
+#: Pairs of a group that are gone through in one task; larger groups take rounds.
+FOLDED = 512
+
+
+def _fold_matches(pairs: DataFrame, group: list[str]) -> DataFrame:
+    """(group, __l, __r): pairs(group, __o, __l, __r) of each group in order, each taken if neither end is used."""
+    kind = ", ".join(f"{c}:{pairs.schema[c].dataType.simpleString()}" for c in ("__l", "__r"))
+    every = pairs.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("__o", "__l", "__r"))).alias("x"))
+
+    def step(taken: Column, p: Column) -> Column:
+        used = F.exists(taken, lambda t: (t["__l"] == p["__l"]) | (t["__r"] == p["__r"]))
+        return F.when(used, taken).otherwise(F.concat(taken, F.array(F.struct(p["__l"].alias("__l"), p["__r"].alias("__r")))))
+
+    taken = F.aggregate("x", F.array().cast(f"array<struct<{kind}>>"), step)
+    return every.select(*group, F.explode(taken).alias("t")).select(*group, "t.__l", "t.__r")
+
+
 def greedy_matches(pairs: DataFrame, group: list[str], order: list[Column], left: str, right: str) -> DataFrame:
     """(group, left, right) of a one-to-one matching: pairs in order, each taken if neither end is used.
 
-    A pair that is the first in order at both of its ends is taken whatever comes before it elsewhere, so whole rounds of such pairs are
-    taken at once; then pairs with a used end go. A group needs as many rounds as its longest chain of pairs that wait for each other;
-    each round is a pair of windows, and no group is gathered in one task's memory.
+    Groups of at most FOLDED pairs are folded, each in a task. In a larger one a pair that is the first in order at both of its ends is
+    taken whatever comes before it elsewhere, so whole rounds of such pairs are taken at once; then pairs with a used end go. It needs as
+    many rounds as its longest chain of pairs that wait for each other; each round is a pair of windows, and no such group is gathered.
     """
     from flankspark.functions.graph import cut_lineage
 
-    rest = cut_lineage(pairs.select(*group, F.struct(*order).alias("__o"), F.col(left).alias("__l"), F.col(right).alias("__r")))
-    taken = None
+    every = cut_lineage(pairs.select(*group, F.struct(*order).alias("__o"), F.col(left).alias("__l"), F.col(right).alias("__r")))
+    large = every.groupBy(*group).count().where(F.col("count") > FOLDED).drop("count")
+    rest = cut_lineage(every.join(large, group, "left_semi"))
+    taken = _fold_matches(every.join(large, group, "left_anti"), group)
     while not rest.isEmpty():
         l, r = Window.partitionBy(*group, "__l"), Window.partitionBy(*group, "__r")
         now = cut_lineage(rest.withColumns({"__a": F.min("__o").over(l), "__b": F.min("__o").over(r)}))
         win = now.where((F.col("__o") == F.col("__a")) & (F.col("__o") == F.col("__b"))).select(*group, "__l", "__r")
-        taken = win if taken is None else taken.unionByName(win)
+        taken = taken.unionByName(win)
         rest = now.drop("__a", "__b").join(win.select(*group, "__l"), [*group, "__l"], "left_anti").join(win.select(*group, "__r"), [*group, "__r"], "left_anti")
         rest = cut_lineage(rest.select(*group, "__o", "__l", "__r"))
-    if taken is None:
-        taken = rest.select(*group, "__l", "__r")
     return taken.select(*group, F.col("__l").alias(left), F.col("__r").alias(right))
 
 

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from flankspark.functions import intervals, sequences
@@ -119,9 +120,11 @@ def test_pairing(spark):
     assert got == [("X", "X:right:1", "same_is", 40), ("Y", "Y:right:2", "same_is", -1), ("Z", "none", "none", None)]
 
 
-def test_greedy_matching(spark):
+@pytest.mark.parametrize("folded", [512, 0, 59])
+def test_greedy_matching(spark, monkeypatch, folded):
+    monkeypatch.setattr(placement, "FOLDED", folded)
     r = random.Random(11)
-    pairs = [(g, r.randint(0, 30), i, f"l{r.randint(0, 8)}", f"r{r.randint(0, 8)}") for g in range(3) for i in range(60)]
+    pairs = [(g, r.randint(0, 30), i, f"l{r.randint(0, 8)}", f"r{r.randint(0, 8)}") for g in range(3) for i in range(60 - g)]
     df = spark.createDataFrame(pairs, "g int, w int, i int, l string, r string")
     got = rows(placement.greedy_matches(df, ["g"], [F.col("w"), F.col("i")], "l", "r"), "g", "l", "r")
     want, used = [], set()
