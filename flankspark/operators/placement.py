@@ -50,20 +50,21 @@ def first_gene_closed(points: DataFrame, genes: DataFrame, keys: list[str], iden
 
 
 #: Pairs of a group that are gone through in one task; larger groups take rounds.
-FOLDED = 512
+FOLDED = 4096
 
 
 def _fold_matches(pairs: DataFrame, group: list[str]) -> DataFrame:
     """(group, __l, __r): pairs(group, __o, __l, __r) of each group in order, each taken if neither end is used."""
-    kind = ", ".join(f"{c}:{pairs.schema[c].dataType.simpleString()}" for c in ("__l", "__r"))
+    kind = {c: pairs.schema[c].dataType.simpleString() for c in ("__l", "__r")}
     every = pairs.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("__o", "__l", "__r"))).alias("x"))
 
-    def step(taken: Column, p: Column) -> Column:
-        used = F.exists(taken, lambda t: (t["__l"] == p["__l"]) | (t["__r"] == p["__r"]))
-        return F.when(used, taken).otherwise(F.concat(taken, F.array(F.struct(p["__l"].alias("__l"), p["__r"].alias("__r")))))
+    def step(used: Column, p: Column) -> Column:
+        more = F.struct(*[F.concat(used[c], F.array(p[c])).alias(c) for c in kind])
+        return F.when(F.array_contains(used["__l"], p["__l"]) | F.array_contains(used["__r"], p["__r"]), used).otherwise(more)
 
-    taken = F.aggregate("x", F.array().cast(f"array<struct<{kind}>>"), step)
-    return every.select(*group, F.explode(taken).alias("t")).select(*group, "t.__l", "t.__r")
+    used = F.aggregate("x", F.struct(*[F.array().cast(f"array<{k}>").alias(c) for c, k in kind.items()]), step)
+    # The used ends of both sides are in the order of the pairs taken.
+    return every.select(*group, used.alias("u")).select(*group, F.explode(F.arrays_zip("u.__l", "u.__r")).alias("t")).select(*group, "t.__l", "t.__r")
 
 
 def greedy_matches(pairs: DataFrame, group: list[str], order: list[Column], left: str, right: str) -> DataFrame:
