@@ -106,7 +106,6 @@ class Tree(HTMLParser):
             self._push(Node("tr"))
         given = dict(attrs)
         style = given.get("style") or ""
-        style = given.get("style") or ""
         hidden = name in UNSEEN or "hidden" in given and (given["hidden"] or "").lower() != "until-found" or bool(HIDDEN.search(style)) or name == "input" and (given.get("type") or "").lower() == "hidden"
         visible = [x.lower() == "visible" for x in VISIBILITY.findall(style)]
         node = Node(name, hidden, visible=visible[-1] if visible else None)
@@ -149,8 +148,6 @@ class Tree(HTMLParser):
                     break
 
     def handle_data(self, data: str) -> None:
-        if self.open[-1].name == "head" and SPACE.sub("", data):
-            self._close(("head",), ())
         if self.open[-1].name == "head" and SPACE.sub("", data):
             self._close(("head",), ())
         self.open[-1].children.append(data)
@@ -273,7 +270,6 @@ def render(page: str | None) -> str:
     tree.close()
     writer, writers, tables, lists, pre = Writer(), [], [], [], 0
     seen = [True]
-    seen = [True]
     stack: list[tuple] = [(tree.root, False)]
     while stack:
         node, leaving = stack.pop()
@@ -314,7 +310,6 @@ def render(page: str | None) -> str:
             elif name in ("td", "th"):
                 writer.text(" ", False)
             seen.append(seen[-1] if node.visible is None else node.visible)
-            seen.append(seen[-1] if node.visible is None else node.visible)
             stack.append((node, True))
             stack.extend((x, False) for x in reversed(node.children))
             continue
