@@ -378,10 +378,14 @@ def test_scans_are_linear_and_whole(spark):
     import time
 
     runs = ["ey" + "a" * 1_000_000 + " .", "MA" + "B" * 1_000_000, "MAAA\n" * 200_000, "b3BlbnNzaC1rZXktdjEA\n" * 50_000, "30" * 500_000, "password " * 100_000, "password" + " " * 1_000_000, "a.b" * 300_000, "ey.ey." * 150_000, "MAMA MA" * 150_000]
-    for text in runs:
-        start = time.perf_counter()
+    def seconds(text):
+        start = time.process_time()
         secrets.scan(text)
-        assert time.perf_counter() - start < 3, text[:20]
+        return time.process_time() - start
+
+    # Four times the text takes about four times as long (sixteen times, were a scan quadratic), however fast the machine is.
+    for text in runs:
+        assert seconds(text) < 9 * max(seconds(text[: len(text) // 4]), 0.03), text[:20]
     df = documents(spark, ["x " * 500_000 + "password=hunter22", "same token=abcdefg", "same token=abcdefg"]).withColumnsRenamed({"lang": "spans", "source": "n_hex"})
     rows = {r.doc_id: r for r in secrets.find_secrets(df).collect()}
     assert rows[0].spans == "assign:1000000:1000017" and rows[1].spans == rows[2].spans == "assign:5:18"
