@@ -1,47 +1,95 @@
 """Clustering flanks by anchored edit distance, and recruiting ambiguous reads into the clusters.
 
-Equal sequences of a group always share a cluster, so only distinct ones are compared. Leader clustering depends on order; it is a fold
-over the distinct sequences of one (sample, element, side), kept in the JVM. Groups are per sample; an element pooled over all samples
-should be cut by a blocking key first, as the fold holds one group's distinct sequences.
+Equal sequences of a group always share a cluster, so only distinct ones are compared. Leader clustering depends on order: groups of at
+most FOLDED distinct sequences are folded in a task each, kept in the JVM. Larger groups, such as an element pooled over all samples, go
+in rounds: the next FOLDED sequences are folded to seeds, then all sequences left are compared with those seeds in parts of bounded size.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flankspark.functions.expressions import let
+from flankspark.functions.graph import cut_lineage
 from flankspark.functions.sequences import anchored_distance, compared, edit_budget, reverse_complement
 
 
-def _leaders(sorted_items: Column, fraction: float) -> Column:
-    """Fold over structs (neg_len, read_id, cmp): [seeds, cluster of each item]; an item joins the earliest seed that it matches, else it is one."""
+#: Distinct sequences of a group that are folded in one task. Spark cuts a ranking at up to 1000 rows before it shuffles.
+FOLDED = 1000
+#: Sequences of a group that are compared with a block of others in one task, and the size of such a block.
+PART, BLOCK = 50_000, 256
+
+
+def _first_match(cmp: Column, seeds: Column, fraction: float) -> Column:
+    """The place, from 1, of the first seed with a prefix within the budget of cmp; 0 where there is none."""
+
+    def match(s: Column, budget: Column) -> Column:
+        # Most seeds differ from the item early on; a seed whose length rules it out needs no distance.
+        return (F.length(cmp) - F.length(s) <= budget) & anchored_distance(cmp, s, budget).isNotNull()
+
+    return let(edit_budget(F.length(cmp), fraction), lambda budget: F.array_position(F.transform(seeds, lambda s: match(s, budget)), True))
+
+
+def _seeds(sorted_items: Column, fraction: float) -> Column:
+    """The seeds of a fold over sequences in order: an item that matches no seed before it is one."""
+    return F.aggregate(sorted_items, F.array().cast("array<string>"), lambda seeds, x: F.when(_first_match(x, seeds, fraction) == 0, F.concat(seeds, F.array(x))).otherwise(seeds))
+
+
+def _fold(sorted_items: Column, fraction: float) -> Column:
+    """For each of some sequences in order, the number of the seed that it joins."""
     start = F.struct(F.array().cast("array<string>").alias("seeds"), F.array().cast("array<int>").alias("own"))
 
     def step(acc: Column, x: Column) -> Column:
-        def match(s: Column, budget: Column) -> Column:
-            # Most seeds differ from the item early on; a seed whose length rules it out needs no distance.
-            return (F.length(x["cmp"]) - F.length(s) <= budget) & anchored_distance(x["cmp"], s, budget).isNotNull()
-
-        hits = let(edit_budget(F.length(x["cmp"]), fraction), lambda budget: F.array_position(F.transform(acc["seeds"], lambda s: match(s, budget)), True))
-        return let(
-            hits,
-            lambda at: F.struct(
-                F.when(at == 0, F.concat(acc["seeds"], F.array(x["cmp"]))).otherwise(acc["seeds"]).alias("seeds"),
+        def join(at: Column) -> Column:
+            return F.struct(
+                F.when(at == 0, F.concat(acc["seeds"], F.array(x))).otherwise(acc["seeds"]).alias("seeds"),
                 F.concat(acc["own"], F.array(F.when(at == 0, F.size(acc["seeds"])).otherwise(at - 1).cast("int"))).alias("own"),
-            ),
-        )
+            )
+
+        return let(_first_match(x, acc["seeds"], fraction), join)
 
     return F.aggregate(sorted_items, start, step)["own"]
 
 
+def _in_parts(many: DataFrame, few: DataFrame, keys: list[str]) -> DataFrame:
+    """many joined with few on keys; a key with more than PART rows in many is cut into parts, each with a copy of its rows in few."""
+    parts = many.groupBy(*keys).agg(F.ceil(F.count("*") / PART).alias("__parts"))
+    copied = few.join(parts, keys).withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__parts") - 1))).drop("__parts")
+    rest = [F.col(c) for c in many.columns if c not in keys]
+    dealt = many.join(parts, keys).withColumn("__part", F.pmod(F.xxhash64(*rest), F.col("__parts"))).drop("__parts")
+    return dealt.join(copied, [*keys, "__part"]).drop("__part")
+
+
 def leader_clusters(items: DataFrame, keys: list[str], fraction: float, id_col: str = "read_id", cmp: str = "cmp") -> DataFrame:
     """(keys, id, cmp, seed): the number of the seed that each item joins; longest first, then by id and sequence."""
-    distinct = items.groupBy(*keys, cmp).agg(F.min(id_col).alias("__id"))
-    groups = distinct.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct((-F.length(cmp)).alias("neg_len"), F.col("__id").alias("read_id"), F.col(cmp).alias("cmp")))).alias("x"))
-    owned = groups.withColumn("own", _leaders(F.col("x"), fraction))
-    out = owned.select(*keys, F.explode(F.arrays_zip("x", "own")).alias("z")).select(*keys, F.col("z.x.cmp").alias(cmp), F.col("z.own").alias("seed"))
-    return items.join(out, [*keys, cmp])
+    distinct = cut_lineage(items.groupBy(*keys, F.col(cmp).alias("__x")).agg(F.min(id_col).alias("__id")))
+    large = distinct.groupBy(*keys).count().where(F.col("count") > FOLDED).drop("count")
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct((-F.length("__x")).alias("o"), "__id", "__x"))), lambda y: y["__x"])
+    rounds = not large.isEmpty()
+    small = (distinct.join(large, keys, "left_anti") if rounds else distinct).groupBy(*keys).agg(in_order.alias("__all")).withColumn("__own", _fold(F.col("__all"), fraction))
+    small = small.select(*keys, F.explode(F.arrays_zip("__all", "__own")).alias("z")).select(*keys, F.col("z.__all").alias(cmp), F.col("z.__own").alias("seed"))
+    if not rounds:
+        return items.join(small, [*keys, cmp])
+    found = [small]
+    # Seeds before the round, of the group that a sequence lies in.
+    rest = cut_lineage(distinct.join(large, keys, "left_semi").withColumn("__base", F.lit(0)))
+    order = Window.partitionBy(*keys).orderBy(F.length("__x").desc(), "__id", "__x")
+    while not rest.isEmpty():
+        head = rest.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= FOLDED)
+        seeds = head.groupBy(*keys).agg(in_order.alias("__all")).select(*keys, _seeds(F.col("__all"), fraction).alias("__seeds"))
+        # Seeds come in order, so the first that a sequence matches is one of the first round that has a match.
+        now = _in_parts(rest, seeds, keys).withColumns({"__at": _first_match(F.col("__x"), F.col("__seeds"), fraction), "__n": F.size("__seeds")})
+        # A checkpoint computes its rows twice, so they are kept until it is written.
+        kept = now.drop("__seeds").persist(StorageLevel.DISK_ONLY)
+        now = cut_lineage(kept)
+        kept.unpersist()
+        found.append(now.where("__at > 0").select(*keys, F.col("__x").alias(cmp), (F.col("__base") + F.col("__at") - 1).cast("int").alias("seed")))
+        rest = now.where("__at = 0").select(*keys, "__x", "__id", (F.col("__base") + F.col("__n")).alias("__base"))
+    return items.join(reduce(DataFrame.unionByName, found), [*keys, cmp])
 
 
 def cluster_reads(overhangs: DataFrame, keys: tuple[str, ...] = ("sample", "is_element", "side"), max_edit: float = 0.10, merge_edit: float = 0.15, min_size: int = 2) -> DataFrame:
@@ -49,15 +97,14 @@ def cluster_reads(overhangs: DataFrame, keys: tuple[str, ...] = ("sample", "is_e
     keys = list(keys)
     items = overhangs.withColumn("cmp", compared(F.col("seq"), F.col("side")))
     first = leader_clusters(items, keys, max_edit)
-    order = Window.partitionBy(*keys, "seed").orderBy(F.length("cmp").desc(), "read_id", "cmp")
-    seeds = first.withColumn("__r", F.row_number().over(order)).where("__r = 1").select(*keys, "seed", F.col("read_id").alias("seed_id"), F.col("cmp").alias("seed_cmp"))
-    merged = leader_clusters(seeds.select(*keys, F.col("seed").alias("first_seed"), F.col("seed_id").alias("read_id"), F.col("seed_cmp").alias("cmp")), keys, merge_edit).select(*keys, F.col("first_seed").alias("seed"), F.col("seed").alias("merged"))
+    # The first read in order of each cluster, by aggregates that combine before the shuffle.
+    rank = F.struct((-F.length("cmp")).alias("o"), "read_id", "cmp")
+    seeds = first.groupBy(*keys, "seed").agg(F.min(rank).alias("x")).select(*keys, F.col("seed").alias("first_seed"), "x.read_id", "x.cmp")
+    merged = leader_clusters(seeds, keys, merge_edit).select(*keys, F.col("first_seed").alias("seed"), F.col("seed").alias("merged"))
     all_reads = first.join(merged, [*keys, "seed"])
-    held = Window.partitionBy(*keys, "merged")
-    best = held.orderBy(F.length("cmp").desc(), "read_id", "cmp").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    sized = all_reads.withColumns({"n": F.count("*").over(held), "representative": F.first("seq").over(best)}).where(F.col("n") >= min_size)
+    sized = all_reads.groupBy(*keys, "merged").agg(F.count("*").alias("n"), F.min_by("seq", rank).alias("representative_sequence")).where(F.col("n") >= min_size)
     ranked = sized.withColumn("cluster_id", (F.dense_rank().over(Window.partitionBy(*keys).orderBy("merged")) - 1).cast("int"))
-    return ranked.select(*keys, "read_id", "seq", "cluster_id", F.col("representative").alias("representative_sequence"))
+    return all_reads.join(ranked, [*keys, "merged"]).select(*keys, "read_id", "seq", "cluster_id", "representative_sequence")
 
 
 def representatives(clustered: DataFrame, keys: tuple[str, ...] = ("sample", "is_element", "side")) -> DataFrame:
@@ -82,16 +129,33 @@ def recruit(ambiguous: DataFrame, reps: DataFrame, fraction: float = 0.10) -> Da
     """
     sided = ambiguous.withColumn("ok", F.col("side").isin("left", "right"))
     seqs = sided.where("ok").select("sample", "is_element", "side", "seq").distinct()
-    r = reps.select("sample", "is_element", F.col("side").alias("rep_side"), "cluster_id", F.col("representative_sequence").alias("rep"))
-    pairs = seqs.join(r, ["sample", "is_element"])
-    own = F.when(F.col("rep_side") == F.col("side"), F.col("seq")).otherwise(reverse_complement(F.col("seq")))
-    pairs = pairs.withColumns({"a": compared(own, F.col("rep_side")), "b": compared(F.col("rep"), F.col("rep_side"))})
-    pairs = pairs.withColumns({"q": F.when(F.length("a") <= F.length("b"), F.col("a")).otherwise(F.col("b")), "t": F.when(F.length("a") <= F.length("b"), F.col("b")).otherwise(F.col("a"))})
-    found = pairs.where(F.length("q") > 0).withColumn("d", anchored_distance(F.col("q"), F.col("t"), edit_budget(F.length("q"), fraction))).where("d is not null")
-    found = found.withColumn("norm", F.col("d") / F.length("q"))
-    # The least distance first, then how many share it: both are aggregates that combine before the shuffle.
-    least = found.groupBy("sample", "is_element", "side", "seq").agg(F.min("norm").alias("norm"), F.min_by(F.struct("rep_side", "cluster_id"), "norm").alias("best"), F.array_sort(F.collect_list("norm")).alias("every"))
-    least = least.withColumn("ties", F.size(F.filter("every", lambda x: x - F.col("norm") <= 1e-9))).drop("every")
+    place = ["sample", "is_element"]
+    r = reps.select(*place, F.struct(F.col("side").alias("rep_side"), "cluster_id", compared(F.col("representative_sequence"), F.col("side")).alias("rep")).alias("r"))
+    # Blocks of representatives; their number follows from the size of the group, so none holds many more than BLOCK.
+    held = r.join(r.groupBy(*place).agg(F.ceil(F.count("*") / BLOCK).alias("n")), place)
+    blocks = held.groupBy(*place, F.pmod(F.xxhash64("r"), "n").alias("block")).agg(F.array_sort(F.collect_list("r")).alias("reps")).drop("block")
+
+    def norm(own: Column, rep: Column) -> Column:
+        """The distance of the shorter to the longer over its length, null beyond the budget."""
+        swap = F.length(own) > F.length(rep)
+        q, t = F.when(swap, rep).otherwise(own), F.when(swap, own).otherwise(rep)
+        return let(F.struct(q.alias("q"), t.alias("t")), lambda x: F.when(F.length(x["q"]) > 0, anchored_distance(x["q"], x["t"], edit_budget(F.length(x["q"]), fraction)) / F.length(x["q"])))
+
+    def near(x: Column) -> Column:
+        turned = F.when(x["rep_side"] == F.col("side"), F.col("seq")).otherwise(reverse_complement(F.col("seq")))
+        return F.struct(norm(compared(turned, x["rep_side"]), x["rep"]).alias("norm"), x["rep_side"].alias("rep_side"), x["cluster_id"].alias("cluster_id"))
+
+    def ties(all_: Column, least: Column) -> Column:
+        return F.filter(all_, lambda x: x["norm"] - least <= 1e-9)
+
+    def first_two(found: Column) -> Column:
+        """Of the representatives that tie for the least distance, the first two: one is a win, two are a tie."""
+        return F.when(F.size(found) > 0, let(found, lambda x: F.slice(ties(x, x[0]["norm"]), 1, 2)))
+
+    found = _in_parts(seqs, blocks, place).withColumn("every", F.array_sort(F.filter(F.transform("reps", near), lambda x: x["norm"].isNotNull())))
+    found = found.withColumn("first", first_two(F.col("every"))).where("first is not null").select(*place, "side", "seq", "first")
+    least = found.groupBy(*place, "side", "seq").agg(F.array_sort(F.flatten(F.collect_list("first"))).alias("every")).withColumn("first", first_two(F.col("every")))
+    least = least.select(*place, "side", "seq", F.size("first").alias("ties"), F.col("first")[0]["norm"].alias("norm"), F.col("first")[0].alias("best"))
     out = sided.join(least, ["sample", "is_element", "side", "seq"], "left")
     won = F.col("ties") == 1
     reason = F.when(~F.col("ok"), "bad_side").when(F.col("ties").isNull(), "no_match").when(F.col("ties") > 1, "tie")

@@ -77,6 +77,30 @@ def test_leader_clusters(spark):
     assert leaders(golden, 0.10) == [["r1", "r2", "r4"], ["r3", "r5"]]
 
 
+def test_large_groups_are_clustered_in_rounds(spark, monkeypatch):
+    r = random.Random(15)
+    base = ["".join(r.choice("ACGT") for _ in range(24)) for _ in range(6)]
+    df = spark.createDataFrame([(g, f"x{i:03d}", "".join(c if r.random() > 0.06 else r.choice("ACGT") for c in r.choice(base)[: r.randint(12, 24)])) for g, n in (("g", 90), ("h", 20), (None, 3)) for i in range(n)], "g string, read_id string, cmp string")
+    want = rows(clustering.leader_clusters(df, ["g"], 0.10).where("g is not null"), "g", "read_id", "seed")
+    monkeypatch.setattr(clustering, "FOLDED", 7)
+    monkeypatch.setattr(clustering, "PART", 20)
+    assert rows(clustering.leader_clusters(df, ["g"], 0.10).where("g is not null"), "g", "read_id", "seed") == want
+    assert len(want) == 110 and max(x[2] for x in want) > 7
+    assert clustering.leader_clusters(df.where("false"), ["g"], 0.10).count() == 0
+
+
+def test_recruiting_in_blocks(spark, monkeypatch):
+    r = random.Random(16)
+    word = lambda n: "".join(r.choice("AC") for _ in range(n))
+    reps = spark.createDataFrame([("s", "e", r.choice(["left", "right"]), i, word(10)) for i in range(40)], "sample string, is_element string, side string, cluster_id int, representative_sequence string")
+    amb = spark.createDataFrame([("s", f"r{i}", "e", r.choice(["left", "right"]), word(r.randint(6, 12))) for i in range(120)], "sample string, read_id string, is_element string, side string, seq string")
+    want = rows(clustering.recruit(amb, reps).na.fill("-").na.fill(-1), *clustering.recruit(amb, reps).columns)
+    monkeypatch.setattr(clustering, "BLOCK", 3)
+    monkeypatch.setattr(clustering, "PART", 10)
+    assert rows(clustering.recruit(amb, reps).na.fill("-").na.fill(-1), *clustering.recruit(amb, reps).columns) == want
+    assert {x[-2] for x in want} == {"-", "tie", "no_match"} and len(want) == 120
+
+
 def test_merge_and_size(spark):
     seqs = ["ACGTACGTACGTACGTACGT"] * 2 + ["ACGTACGTACGTACTTACTT", "GGGGGGGGGGGG"]
     df = spark.createDataFrame([("s", "e", "right", f"r{i}", x) for i, x in enumerate(seqs)], "sample string, is_element string, side string, read_id string, seq string")
