@@ -66,10 +66,12 @@ def _in_parts(many: DataFrame, few: DataFrame, keys: list[str]) -> DataFrame:
 
 def leader_clusters(items: DataFrame, keys: list[str], fraction: float, id_col: str = "read_id", cmp: str = "cmp") -> DataFrame:
     """(keys, id, cmp, seed): the number of the seed that each item joins; longest first, then by id and sequence."""
-    distinct = cut_lineage(items.groupBy(*keys, F.col(cmp).alias("__x")).agg(F.min(id_col).alias("__id")))
+    distinct = items.groupBy(*keys, F.col(cmp).alias("__x")).agg(F.min(id_col).alias("__id"))
     large = distinct.groupBy(*keys).count().where(F.col("count") > FOLDED).drop("count")
-    in_order = F.transform(F.array_sort(F.collect_list(F.struct((-F.length("__x")).alias("o"), "__id", "__x"))), lambda y: y["__x"])
     rounds = not large.isEmpty()
+    if rounds:
+        distinct, large = cut_lineage(distinct), cut_lineage(large)
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct((-F.length("__x")).alias("o"), "__id", "__x"))), lambda y: y["__x"])
     small = (distinct.join(large, keys, "left_anti") if rounds else distinct).groupBy(*keys).agg(in_order.alias("__all")).withColumn("__own", _fold(F.col("__all"), fraction))
     small = small.select(*keys, F.explode(F.arrays_zip("__all", "__own")).alias("z")).select(*keys, F.col("z.__all").alias(cmp), F.col("z.__own").alias("seed"))
     if not rounds:
