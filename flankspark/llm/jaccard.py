@@ -558,6 +558,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     Rows are judged by id and class, so different texts under one id, or without an id, are judged apart. Rows that a filter of the ids
     in question lets pass don't move.
     """
+    # Columns go by number meanwhile, so none clashes with those that are made here.
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    back = [F.col(n).alias(c) for c, n in names.items()]
+    docs = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    id_col, text = names[id_col], names[text]
     about, grouped = _place(docs, id_col, text)
     grouped = cut(grouped)
     first = grouped.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("first"))
@@ -582,10 +587,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     open_ = flagged.where("__gone").drop("__gone")
     same_id = F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
     if not repeats:
-        return sure.unionByName(open_.join(gone, same_id, "left_anti")).select(*docs.columns)
+        return sure.unionByName(open_.join(gone, same_id, "left_anti")).select(*back)
     # An id alone doesn't name a row, so each of these gets its class.
     own = open_.withColumn("__node", F.col(text).cast("string"))
     own = own.mapInArrow(_nodes, T.StructType([*open_.schema, T.StructField("__node", T.LongType())]))
     kept = own.join(gone, same_id & (F.col("__node") == F.col("__of")), "left_anti")
     once = kept.where("__node is null").unionByName(kept.where("__node is not null").dropDuplicates([id_col, "__node"]))
-    return sure.unionByName(once.drop("__node")).select(*docs.columns)
+    return sure.unionByName(once.drop("__node")).select(*back)

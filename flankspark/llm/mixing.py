@@ -12,14 +12,17 @@ When a source is used up, the others share its time in proportion to their weigh
 
 Edge cases: null sources are one source; sources without a weight have DEFAULT_WEIGHT; a last block may be smaller; rows of a source are
 dealt to blocks in order of a hash of id and text, equal ones in any order; an empty table gives an empty result. Columns of the
-input pass through, but for those with the names source_block, mix_slot and mix_offset, which give way.
+input pass through under any name, but for source_block, mix_slot and mix_offset, which give way. Any number of sources is mixed, as
+long as their weights sum to MAX_PERIOD at most; all simulated periods together have no more blocks than there are.
 """
 
 from __future__ import annotations
 
+import bisect
 import heapq
 import math
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -30,36 +33,40 @@ BLOCK_ROWS = 16
 DEFAULT_WEIGHT = 2
 #: Rows that are numbered in one task, and buckets of rows whose offsets are summed in one.
 BUCKET_ROWS, RUN = 20_000, 64
-#: Sources and weights for which periods are simulated.
-MAX_SOURCES, MAX_PERIOD = 4096, 1_000_000
+#: The largest sum of the weights, which are whole numbers from 1: a period is simulated in one task.
+MAX_PERIOD = 1_000_000
 #: Rows of a schedule that is broadcast; a larger one is joined by shuffle.
 BROADCAST_ROWS = 200_000
 
 
-def finished(blocks: list[int], weights: list[int], period: int) -> list[int]:
+def finished(blocks: np.ndarray, weights: np.ndarray, period: int) -> np.ndarray:
     """Blocks of each source that the fluid has finished after a number of periods."""
-    return [min(n, w * period) for n, w in zip(blocks, weights, strict=True)]
+    return np.minimum(blocks, weights * period)
 
 
-def simulate(blocks: list[int], weights: list[int], period: int) -> list[tuple[int, int, int]]:
+def simulate(blocks: np.ndarray, weights: np.ndarray, period: int) -> list[tuple[int, int, int]]:
     """(source, block, slot) of the period from its start, by earliest deadline among the released; slots count from the period's start.
 
     Times of the fluid are exact: with t as the time within a period, in units in which a source that runs all along finishes its
     weight, source i finishes min(left, weight * t), and the slots used are the sum of that over the sources.
     """
     before = finished(blocks, weights, period)
-    left = [min(n - b, w) for n, b, w in zip(blocks, before, weights, strict=True)]
+    running = np.flatnonzero(before < blocks)
+    rows = [(int(i), min(int(blocks[i] - before[i]), int(weights[i])), int(weights[i])) for i in running]
+    # Sources that end at a time, and what those up to it hold and weigh; most periods have no end before their own.
+    ending = sorted((Fraction(n, w), n, w) for _, n, w in rows if n < w)
+    times, wholes, rates = [t for t, _, _ in ending], [0], [sum(w for _, _, w in rows)]
+    for _, n, w in ending:
+        wholes.append(wholes[-1] + n)
+        rates.append(rates[-1] - w)
+
     def used(k: int, w: int, up: bool) -> int:
         """Slots that the fluid has used when t = k / w, rounded."""
-        whole, part = 0, 0
-        for x, v in zip(left, weights, strict=True):
-            if x * w <= v * k:
-                whole += x
-            else:
-                part += v * k
-        return whole + (-(-part // w) if up else part // w)
-
-    waiting = sorted((used(k, w, False), used(k + 1, w, True), i, k) for i, (n, w) in enumerate(zip(left, weights, strict=True)) for k in range(n))
+        at = bisect.bisect_right(times, Fraction(k, w)) if times else 0
+        part = rates[at] * k
+        return wholes[at] + (-(-part // w) if up else part // w)
+
+    waiting = sorted((used(k, w, False), used(k + 1, w, True), i, k) for i, n, w in rows for k in range(n))
     ready: list[tuple[int, int, int]] = []
     out, at = [], 0
     for slot in range(len(waiting)):
@@ -69,17 +76,20 @@ def simulate(blocks: list[int], weights: list[int], period: int) -> list[tuple[i
         due, i, k = heapq.heappop(ready)
         if slot >= due:
             raise AssertionError("a block missed its deadline")
-        out.append((i, before[i] + k, slot))
+        out.append((i, int(before[i]) + k, slot))
     return out
 
 
-def phases(blocks: list[int], weights: list[int]) -> list[tuple[int, int, int]]:
+def phases(blocks: np.ndarray, weights: np.ndarray) -> list[tuple[int, int, int]]:
     """(first period, number of periods, slot at which it starts) of runs of equal periods, in order; one that holds an end stands alone."""
-    cuts = {0}
-    for n, w in zip(blocks, weights, strict=True):
-        cuts |= {n // w, -(-n // w)}
-    cuts = sorted(cuts)
-    return [(a, b - a, sum(finished(blocks, weights, a))) for a, b in zip(cuts, cuts[1:], strict=False)]
+    ends = -(-blocks // weights)
+    cuts = np.unique(np.concatenate([[0], blocks // weights, ends]))
+    # Slots before a cut: all blocks of the sources that have ended by then, and whole periods of the others.
+    order = np.argsort(ends)
+    at = np.searchsorted(ends[order], cuts, side="right")
+    over, going = (np.concatenate([[0], np.cumsum(x[order])])[at] for x in (blocks, weights))
+    starts = over + (weights.sum() - going) * cuts
+    return list(zip(cuts[:-1].tolist(), np.diff(cuts).tolist(), starts[:-1].tolist(), strict=True))
 
 
 def numbered(df: DataFrame, group: str, order: Column, parts: DataFrame) -> DataFrame:
@@ -89,7 +99,7 @@ def numbered(df: DataFrame, group: str, order: Column, parts: DataFrame) -> Data
     """
     # The hash as a part of all hashes: buckets follow its order.
     at = F.shiftrightunsigned(F.col("__order").bitwiseXOR(F.lit(-(2**63))), 11) / F.lit(float(1 << 53))
-    dealt = df.withColumn("__order", order).join(F.broadcast(parts), group).withColumn("__bucket", F.floor(at * F.col("__parts"))).drop("__parts")
+    dealt = df.withColumn("__order", order).join(parts, group).withColumn("__bucket", F.floor(at * F.col("__parts"))).drop("__parts")
     totals = dealt.groupBy(group, "__bucket").agg(F.count("*").alias("__held"))
     # Offsets of a group's buckets in two levels, so no task sums all buckets of a hot group.
     totals = totals.withColumn("__run", F.floor(F.col("__bucket") / RUN))
@@ -111,48 +121,55 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, block_rows: int
     """
     spark = docs.sparkSession
     new = ("source_block", "mix_slot", "mix_offset")
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in new]
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in new]
     # One string for each source; no source has the empty prefix of the null one.
     name = F.when(F.col(source).isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), F.col(source).cast("string")))
-    slim = docs.select(*[F.col(f"`{c}`") for c in keep], name.alias("__source"), (F.crc32(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")) if crc is None else F.col(crc)).alias("__crc"), F.col(id_col).cast("string").alias("__id"))
+    # Columns go by number meanwhile, so none clashes with those that are made here.
+    own = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]
+    back = [F.col(f"k{i}").alias(c) for i, c in enumerate(keep)]
+    slim = docs.select(*own, name.alias("__source"), (F.crc32(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")) if crc is None else F.col(crc)).alias("__crc"), F.col(id_col).cast("string").alias("__id"))
     slim = slim.withColumn("__tie", F.struct(F.col("__id"), F.col("__crc")))
-    counts = slim.groupBy("__source").agg(F.count("*").alias("n")).orderBy("__source").limit(MAX_SOURCES + 1).collect()
-    if len(counts) > MAX_SOURCES:
-        raise ValueError(f"there are more than {MAX_SOURCES} sources to mix")
+    counts = slim.groupBy("__source").agg(F.count("*").alias("n")).orderBy("__source").limit(MAX_PERIOD + 1).collect()
     if not counts:
-        return slim.select(*[F.col(f"`{c}`") for c in keep], F.lit(0).cast("long").alias("source_block"), F.lit(0).cast("long").alias("mix_slot"), F.lit(0).alias("mix_offset"))
+        return slim.select(*back, F.lit(0).cast("long").alias("source_block"), F.lit(0).cast("long").alias("mix_slot"), F.lit(0).alias("mix_offset"))
     weight = [(weights or {}).get(r[0][1:] if r[0][0] == "=" else None, DEFAULT_WEIGHT) for r in counts]
-    blocks = [math.ceil(r[1] / block_rows) for r in counts]
-    common = math.gcd(*weight) if weight else 1
+    if any(w < 1 for w in weight):
+        raise ValueError("weights are positive integers")
+    common = math.gcd(*weight)
     weight = [w // common for w in weight]
-    if sum(weight) > MAX_PERIOD or any(w < 1 for w in weight):
-        raise ValueError("weights are positive integers whose sum is a period")
+    if sum(weight) > MAX_PERIOD:
+        raise ValueError(f"the weights of the sources sum to more than {MAX_PERIOD}")
+    blocks = [math.ceil(r[1] / block_rows) for r in counts]
 
     names, rows = [r[0] for r in counts], sum(r[1] for r in counts)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bucket = max(1, min(BUCKET_ROWS, rows // (4 * partitions)))
-    own = [(n, math.ceil(r[1] / bucket), w) for n, r, w in zip(names, counts, weight, strict=True)] or [("-", 1, 1)]
-    sources = spark.createDataFrame(own, "__source string, __parts long, __weight long")
-    numbers = numbered(slim, "__source", F.xxhash64("__id", "__crc"), sources)
+    sources = spark.createDataFrame([(n, math.ceil(r[1] / bucket), w) for n, r, w in zip(names, counts, weight, strict=True)], "__source string, __parts long, __weight long")
+    numbers = numbered(slim, "__source", F.xxhash64("__id", "__crc"), F.broadcast(sources) if len(names) <= BROADCAST_ROWS else sources)
     block = F.floor(F.col("__n") / block_rows)
     numbers = numbers.withColumns({"source_block": block, "mix_offset": (F.col("__n") % block_rows).cast("int"), "__period": F.floor(block / F.col("__weight")), "__place": block % F.col("__weight")})
+    blocks, weight = np.array(blocks, np.int64), np.array(weight, np.int64)
     runs = phases(blocks, weight)
-    starts = F.lit(np.array([a for a, _, _ in runs] or [0], dtype=np.int64))
-    numbers = numbers.withColumn("__first", F.array_max(F.filter(starts, lambda x: x <= F.col("__period"))))
+    starts = np.array([a for a, _, _ in runs], np.int64)
+
+    @F.pandas_udf("long")
+    def first_of(period: pd.Series) -> pd.Series:
+        return pd.Series(starts[np.searchsorted(starts, period.to_numpy(np.int64), side="right") - 1])
+
+    numbers = numbers.withColumn("__first", first_of("__period"))
 
     def slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for first, start in batch.itertuples(index=False):
                 found = simulate(blocks, weight, first)
                 yield pd.DataFrame(
-                    {"__source": [names[i] for i, _, _ in found], "__first": first, "__place": [b - first * weight[i] for i, b, _ in found], "__slot": [start + s for _, _, s in found], "__step": len(found)}
+                    {"__source": [names[i] for i, _, _ in found], "__first": first, "__place": [b - first * int(weight[i]) for i, b, _ in found], "__slot": [start + s for _, _, s in found], "__step": len(found)}
                 )
 
     # A row for each block of each simulated period; its size is known, so it is only broadcast where it is small.
-    table = spark.createDataFrame([(a, s) for a, _, s in runs] or [(0, 0)], "first long, start long")
+    table = spark.createDataFrame([(a, s) for a, _, s in runs], "first long, start long")
     schedule = table.mapInPandas(slots, "__source string, __first long, __place long, __slot long, __step long")
-    size = sum(b - a for a, b in zip([s for _, _, s in runs], [*[s for _, _, s in runs[1:]], sum(blocks)], strict=True)) if runs else 0
-    size = min(size, len(runs) * sum(weight))
+    size = min(int(blocks.sum()), len(runs) * int(weight.sum()))
     joined = numbers.join(F.broadcast(schedule) if size <= BROADCAST_ROWS else schedule, ["__source", "__first", "__place"])
     slot = F.col("__slot") + (F.col("__period") - F.col("__first")) * F.col("__step")
-    return joined.withColumn("mix_slot", slot).select(*[F.col(f"`{c}`") for c in keep], "source_block", "mix_slot", "mix_offset")
+    return joined.withColumn("mix_slot", slot).select(*back, "source_block", "mix_slot", "mix_offset")

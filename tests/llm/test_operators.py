@@ -1,10 +1,12 @@
 """The other operators against brute force, exact round trips and planted cases."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 from types import SimpleNamespace
 
 import numpy as np
@@ -213,6 +215,32 @@ def test_mixture_is_the_same_again(spark, monkeypatch):
     assert sorted(x[1:] for x in first) == sorted({x[1:] for x in first})
 
 
+def test_period_equals_the_fluid():
+    r = random.Random(12)
+    for _ in range(60):
+        n = r.randrange(1, 7)
+        blocks, weights = np.array([r.randrange(1, 30) for _ in range(n)]), np.array([r.randrange(1, 6) for _ in range(n)])
+        runs = mixing.phases(blocks, weights)
+        done = lambda a: sum(min(int(b), int(w) * a) for b, w in zip(blocks, weights, strict=True))
+        assert [s for _, _, s in runs] == [done(a) for a, _, _ in runs]
+        assert [a + k for a, k, _ in runs] == [*[a for a, _, _ in runs[1:]], max(-(-int(b) // int(w)) for b, w in zip(blocks, weights, strict=True))]
+        for first, count, start in runs:
+            found = mixing.simulate(blocks, weights, first)
+            assert len(found) * count == done(first + count) - start
+            left = [(int(min(b - min(b, w * first), w)), int(w)) for b, w in zip(blocks, weights, strict=True)]
+            fluid = lambda t: sum(min(Fraction(x), w * t) for x, w in left)  # noqa: E731, B023
+            for i, block, slot in found:
+                k, w = block - min(int(blocks[i]), int(weights[i]) * first), int(weights[i])
+                assert math.floor(fluid(Fraction(k, w))) <= slot < math.ceil(fluid(Fraction(k + 1, w)))
+
+
+def test_mixture_of_many_sources(spark):
+    df = spark.range(9000).selectExpr("id as doc_id", "concat('s', id % 5000) as source", "'t' as text")
+    rows = mixing.mix(df, {"s1": 3}, block_rows=1).select("mix_slot", "source", "source_block").collect()
+    assert sorted(r.mix_slot for r in rows) == list(range(9000))
+    assert len({(r.source, r.source_block) for r in rows}) == 9000
+
+
 def test_mixture_of_nothing(spark):
     assert mixing.mix(documents(spark).where("false")).count() == 0
 
