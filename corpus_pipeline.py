@@ -43,7 +43,10 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the mixture: files and the rows in them follow its slots."""
-    return mixing.mix(docs, WEIGHTS).repartitionByRange("mix_slot", "mix_offset").sortWithinPartitions("mix_slot", "mix_offset").select(*docs.columns)
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    own = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    mixed = mixing.mix(own, WEIGHTS, source=names["source"], id_col=names["doc_id"], text=names["text"])
+    return mixed.repartitionByRange("mix_slot", "mix_offset").sortWithinPartitions("mix_slot", "mix_offset").select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
