@@ -33,7 +33,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,6 +51,8 @@ ID_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 27
 AT_ONCE = 1 << 20
 #: Strays and members of a leader that are compared in one block, and columns of its incidence at once.
 CHUNK, PART, COLUMNS = 256, 512, 4096
+#: Shingles of the members of a block, about; so blocks of long texts hold fewer. Two texts are compared at any length.
+HELD = 1 << 22
 PARTS = seeds(WIDTH, 41)
 SHORT, BAND, SEGMENT = seeds(3, 43)
 EMPTY = np.iinfo(np.int64).max
@@ -473,9 +475,13 @@ def compare_blocks(members: DataFrame, classes: DataFrame, docs: DataFrame) -> D
     return rows.repartition(*block).sortWithinPartitions(*block).mapInArrow(_compare, "u long, v long")
 
 
-def leader_blocks(pairs: DataFrame) -> DataFrame:
-    """Each leader a with its members in blocks of about CHUNK, the leader in each of them; all in a block are compared with each other."""
-    degree = pairs.groupBy("a").agg(F.ceil(F.count("*") / CHUNK).alias("parts"))
+def blocks_of(rows: Column, shingles: Column, most: int) -> Column:
+    """Into how many blocks members are dealt that are so many and have so many shingles together."""
+    return F.greatest(F.ceil(rows / most), F.ceil(shingles / HELD))
+
+
+def leader_blocks(pairs: DataFrame, degree: DataFrame) -> DataFrame:
+    """Each leader a with its members in as many blocks as degree(a, parts) says, the leader in each of them; all in a block are compared with each other."""
     others = pairs.join(degree, "a").select("a", F.pmod(F.xxhash64("b"), "parts").alias("part"), F.col("b").alias("node"))
     leaders = degree.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("a").alias("node"))
     return others.unionByName(leaders).select("a", F.lit(0).cast("long").alias("chunk"), "part", "node", F.lit(True).alias("is_left"), F.lit(True).alias("is_right"))
@@ -498,9 +504,11 @@ def _place(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, DataFram
 
     # A class has its parities in one row of each batch that it is in.
     classes = about.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.min("n_shingles").alias("n"), F.min("odd").alias("odd"))
-    edges = cut(compare_blocks(leader_blocks(pairs), classes, slim))
+    sizes = classes.select(F.col("node").alias("b"), "n")
+    degree = cut(pairs.join(sizes, "b").groupBy("a").agg(blocks_of(F.count("*"), F.sum("n"), CHUNK).alias("parts")))
+    edges = cut(compare_blocks(leader_blocks(pairs, degree), classes, slim))
     labels = connected_components(edges)
-    more = _open_links(pairs, labels, classes, slim)
+    more = _open_links(pairs, degree, labels, classes, slim)
     if more is not None:
         labels = connected_components(edges.unionByName(more))
 
@@ -516,26 +524,27 @@ def find_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
 
 
-def _open_links(pairs: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame | None:
+def _open_links(pairs: DataFrame, degree: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame | None:
     """Links between classes of a leader that weren't in one block, as it has several, and that still are in different components.
 
     Two classes of a bucket share its leader. So of the members of such a leader, those outside of its component (the strays) are
     compared with all others in blocks of bounded size: a member is sent once for each chunk of strays, and no pair is a row.
     """
     label = labels.select(F.col("node"), F.col("component"))
-    large = pairs.groupBy("a").count().where(F.col("count") > CHUNK).select("a")
+    large = degree.where("parts > 1").select("a")
     known = (
         pairs.join(large, "a")
         .join(label.select(F.col("node").alias("a"), F.col("component").alias("la")), "a", "left")
         .join(label.select(F.col("node").alias("b"), F.col("component").alias("lb")), "b", "left")
-        .select("a", "b", (F.coalesce("la", "a") != F.coalesce("lb", "b")).alias("stray"))
+        .join(classes.select(F.col("node").alias("b"), "n"), "b")
+        .select("a", "b", "n", (F.coalesce("la", "a") != F.coalesce("lb", "b")).alias("stray"))
     )
     known = cut(known)
-    held = known.groupBy("a").agg(F.count_if("stray").alias("strays"), F.count("*").alias("members")).where("strays > 0 and members > 1")
+    chunks, parts = blocks_of(F.count_if("stray"), F.coalesce(F.sum(F.when(F.col("stray"), F.col("n"))), F.lit(0)), CHUNK), blocks_of(F.count("*"), F.sum("n"), PART)
+    held = known.groupBy("a").agg(chunks.alias("chunks"), parts.alias("parts"), F.count("*").alias("members")).where("chunks > 0 and members > 1")
     if held.isEmpty():
         return None
-    parts = held.select("a", F.ceil(F.col("strays") / CHUNK).alias("chunks"), F.ceil(F.col("members") / PART).alias("parts"))
-    own = known.join(parts, "a").withColumns({"c": F.pmod(F.xxhash64("b"), "chunks"), "p": F.pmod(F.xxhash64("b", F.lit(1)), "parts")})
+    own = known.join(held.drop("members"), "a").withColumns({"c": F.pmod(F.xxhash64("b"), "chunks"), "p": F.pmod(F.xxhash64("b", F.lit(1)), "parts")})
     every = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
     down = F.transform(every(F.col("chunks")), lambda c: F.struct(c.alias("chunk"), F.col("p").alias("part")))
     across = F.when(F.col("stray"), F.transform(every(F.col("parts")), lambda p: F.struct(F.col("c").alias("chunk"), p.alias("part")))).otherwise(F.array().cast("array<struct<chunk:bigint,part:bigint>>"))

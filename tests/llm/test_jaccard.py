@@ -59,8 +59,9 @@ def test_components_equal_brute_force(spark, n, size, edits, passage):
     assert sorted(tuple(r) for r in got.collect()) == brute(docs)
 
 
-def test_blocks_split(spark, monkeypatch):
-    for name, value in (("CHUNK", 7), ("PART", 11), ("COLUMNS", 16)):
+@pytest.mark.parametrize("bounds", [{"CHUNK": 7, "PART": 11, "COLUMNS": 16}, {"HELD": 900}])
+def test_blocks_split(spark, monkeypatch, bounds):
+    for name, value in bounds.items():
         monkeypatch.setattr(jaccard, name, value)
     docs = list(enumerate(texts(8, 150, 150, 9, 60)))
     got = jaccard.find_components(spark.createDataFrame(docs, "doc_id long, text string"))
