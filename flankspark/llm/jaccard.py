@@ -13,7 +13,9 @@ hashes are dealt:
 A band takes what its signatures and the sets expected to share them by chance cost less (see plan). Frequencies for the order are
 gathered from all documents: each batch reports shingles that several of its texts share, and the sums rank them.
 
-Equal sets are one class. Signatures meet by a shuffle; the least class of a bucket leads it. A leader and its members are compared in
+Equal sets are one class. Signatures meet by a shuffle; the least class of a bucket leads it. Where a block of texts holds a signature
+many times, one of these rows goes to the bucket for all, and the others to SALTS parts of it, which learn the leader by a join; so a
+signature that a third of all texts have isn't put together in one task. A leader and its members are compared in
 blocks of bounded size, in two steps. First by parities: the universe is dealt to about twice as many segments as a set has elements, and
 one bit a segment says whether the set has an odd number of elements there. Sets that differ in H elements differ in at most H of these
 bits, so a block drops every member without a possible partner, and loses no link. Then by the overlaps of the sets, exactly: only
@@ -53,6 +55,8 @@ AT_ONCE = 1 << 20
 CHUNK, PART, COLUMNS = 256, 512, 4096
 #: Shingles of the members of a block, about; so blocks of long texts hold fewer. Two texts are compared at any length.
 HELD = 1 << 22
+#: A signature that so many classes of a block of texts share is dealt to so many parts.
+HOT, SALTS = 8, 64
 PARTS = seeds(WIDTH, 41)
 SHORT, BAND, SEGMENT = seeds(3, 43)
 EMPTY = np.iinfo(np.int64).max
@@ -290,16 +294,39 @@ def _sign(shared):
                     found.append(signatures(values[a:b], mixed[a:b], rank[a:b]))
                     owners.append(np.full(len(found[-1]), node, U64))
                 if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(found))), pa.array(signed(np.concatenate(owners)))], names=["sig", "node"])
+                    sig, node = signed(np.concatenate(found)), signed(np.concatenate(owners))
+                    yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(node), pa.array(salted(sig, node))], names=["sig", "node", "salt"])
 
     return run
 
 
+def salted(sig: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """0 for rows of signatures that few rows here have; of the others -1 for the least node's, which goes to the bucket, and 1 to SALTS for the rest."""
+    order = np.lexsort((node, sig))
+    heads = np.flatnonzero(np.diff(sig[order], prepend=~sig[order[:1]]))
+    held = np.diff(heads, append=len(sig))
+    out = np.zeros(len(sig), np.int32)
+    hot = np.repeat(held >= HOT, held)
+    out[order[hot]] = 1 + (mix(node[order[hot]].view(U64) ^ BAND) % U64(SALTS)).astype(np.int32)
+    out[order[heads[held >= HOT]]] = -1
+    return out
+
+
+PAIR, LED, LED_BY = 0, 1, 2
+
+
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by sig and node: (leader, member) for each class of a bucket after the first."""
+    """Rows (sig, node, salt) sorted by part, sig and node: (PAIR, leader, member) for each class of a bucket after the first.
+
+    Of signatures that are dealt to parts also (LED_BY, signature, leader), and (LED, signature, member) for the members in parts.
+    """
     last_sig = last_node = leader = None
     for batch in batches:
-        sig, node = (batch.column(k).to_numpy() for k in (0, 1))
+        sig, node, salt = (batch.column(k).to_numpy() for k in range(3))
+        parts = salt > 0
+        if parts.any():
+            yield _found(LED, sig[parts], node[parts])
+            sig, node, salt = sig[~parts], node[~parts], salt[~parts]
         if not len(sig):
             continue
         same = np.zeros(len(sig), bool)
@@ -310,12 +337,33 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         repeat[0] = same[0] and node[0] == last_node
         heads = np.maximum.accumulate(np.where(same, -1, np.arange(len(sig))))
         leaders = np.where(heads >= 0, node[np.maximum(heads, 0)], leader if leader is not None else 0)
-        keep = same & ~repeat
+        keep, hot = same & ~repeat, salt < 0
         if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(leaders[keep]), pa.array(node[keep])], names=["a", "b"])
+            yield _found(PAIR, leaders[keep], node[keep])
+        if hot.any():
+            yield _found(LED_BY, sig[hot], leaders[hot])
         last_sig, last_node, leader = sig[-1], node[-1], leaders[-1]
 
 
+def _found(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b)], names=["kind", "a", "b"])
+
+
+def leader_pairs(rows: DataFrame) -> DataFrame:
+    """(leader, member) as a, b for each class of a bucket of rows(sig, node, salt) after the first."""
+    part = F.greatest("salt", F.lit(0))
+    dealt = rows.repartition("sig", part).sortWithinPartitions(part, "sig", "node")
+    found = cut(dealt.mapInArrow(_meet, "kind int, a long, b long").distinct())
+    pairs, led = found.where(F.col("kind") == PAIR).select("a", "b"), found.where(F.col("kind") == LED).select(F.col("a").alias("sig"), "b")
+    if led.isEmpty():
+        return pairs
+    of = F.pmod(F.xxhash64("b"), F.lit(SALTS))
+    every = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    by = found.where(F.col("kind") == LED_BY).select(F.col("a").alias("sig"), F.col("b").alias("leader"), F.explode(every).alias("part"))
+    more = led.withColumn("part", of).join(by, ["sig", "part"]).where("leader != b").select(F.col("leader").alias("a"), "b")
+    return cut(pairs.unionByName(more).distinct())
+
+
 def _collect_texts(shared):
     """(node, text) of the documents that the filter lets through; texts are shorter than their sets once shuffled."""
 
@@ -499,8 +547,7 @@ def _place(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, DataFram
     order = np.argsort(hashes)
     ranking = spark.sparkContext.broadcast((hashes[order], np.array([c for _, c in top], np.int64)[order]))
 
-    signed_rows = slim.mapInArrow(_sign(ranking), "sig long, node long").repartition("sig").sortWithinPartitions("sig", "node")
-    pairs = cut(signed_rows.mapInArrow(_meet, "a long, b long").distinct())
+    pairs = leader_pairs(slim.mapInArrow(_sign(ranking), "sig long, node long, salt int"))
 
     # A class has its parities in one row of each batch that it is in.
     classes = about.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.min("n_shingles").alias("n"), F.min("odd").alias("odd"))

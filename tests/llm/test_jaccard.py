@@ -59,7 +59,7 @@ def test_components_equal_brute_force(spark, n, size, edits, passage):
     assert sorted(tuple(r) for r in got.collect()) == brute(docs)
 
 
-@pytest.mark.parametrize("bounds", [{"CHUNK": 7, "PART": 11, "COLUMNS": 16}, {"HELD": 900}])
+@pytest.mark.parametrize("bounds", [{"CHUNK": 7, "PART": 11, "COLUMNS": 16}, {"HELD": 900}, {"HOT": 2, "SALTS": 3}, {"HOT": 3, "SALTS": 2, "CHUNK": 7, "PART": 11}])
 def test_blocks_split(spark, monkeypatch, bounds):
     for name, value in bounds.items():
         monkeypatch.setattr(jaccard, name, value)
@@ -68,6 +68,19 @@ def test_blocks_split(spark, monkeypatch, bounds):
     assert sorted(tuple(r) for r in got.collect()) == brute(docs)
 
 
+def test_pairs_of_hot_signatures(spark):
+    r = random.Random(3)
+    rows = [(s, r.randrange(40), 0) for s in (1, 2) for _ in range(60)] + [(3, n, 0) for n in r.sample(range(1000), 300)] * 2 + [(4, 5, 0)]
+    want = {(min(n for t, n, _ in rows if t == s), n) for s, n, _ in rows} - {(n, n) for _, n, _ in rows}
+    dealt = []
+    for at in range(0, len(rows), 90):
+        sig, node = (np.array([x[k] for x in rows[at : at + 90]], np.int64) for k in (0, 1))
+        dealt += [tuple(map(int, x)) for x in zip(sig, node, jaccard.salted(sig, node), strict=True)]
+    assert {x[2] for x in dealt} > {-1, 0}
+    got = [tuple(x) for x in jaccard.leader_pairs(spark.createDataFrame(dealt, "sig long, node long, salt int")).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_edges(spark):
     long = " ".join(f"x{i}" for i in range(30000))
     docs = [(1, None), (2, ""), (3, " \t\n"), (4, "One two"), (5, "one  TWO"), (6, long), (7, long + " more"), (9, "a b c d e"), (8, "a b c d e"), (8, "a b c d e"), (10, "É é É é É"), (11, "é é é é é")]
