@@ -316,7 +316,7 @@ PAIR, LED, LED_BY = 0, 1, 2
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (sig, node, salt) sorted by part, sig and node: (PAIR, leader, member) for each class of a bucket after the first.
+    """Rows (sig, node, salt) sorted by sig, part and node: (PAIR, leader, member) for each class of a bucket after the first.
 
     Of signatures that are dealt to parts also (LED_BY, signature, leader), and (LED, signature, member) for the members in parts.
     """
@@ -352,7 +352,7 @@ def _found(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
 def leader_pairs(rows: DataFrame) -> DataFrame:
     """(leader, member) as a, b for each class of a bucket of rows(sig, node, salt) after the first."""
     part = F.greatest("salt", F.lit(0))
-    dealt = rows.repartition("sig", part).sortWithinPartitions(part, "sig", "node")
+    dealt = rows.repartition("sig", part).sortWithinPartitions("sig", part, "node")
     found = cut(dealt.mapInArrow(_meet, "kind int, a long, b long").distinct())
     pairs, led = found.where(F.col("kind") == PAIR).select("a", "b"), found.where(F.col("kind") == LED).select(F.col("a").alias("sig"), "b")
     if led.isEmpty():
