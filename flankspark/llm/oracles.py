@@ -54,4 +54,18 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(concat(role, chr(10), t,
   sha256(coalesce(string_agg(t, '' ORDER BY turn, role, t) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(24 + length(role) + length(t) + CASE WHEN {_CONTROL} THEN len(regexp_extract_all(t, '<[|]')) ELSE 0 END)::BIGINT AS formatted_chars FROM c GROUP BY conv_id"""
 
-ORACLES = {"op4_jaccard_join": OP4, "op6_quality_rules": OP6, "op9_decontamination": OP9, "op10_chat_formatting": OP10}
+#: crc32 of each distinct word: a table of 256 entries by its rule, then a fold over the bytes.
+OP13 = f"""WITH d AS ({_alnum("doc_id", "documents")}), b AS ({_alnum("item_id", "benchmark")}),
+rule AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c FROM range(256) r(i))),
+w AS (SELECT DISTINCT unnest(w) AS x FROM (SELECT w FROM d UNION ALL SELECT w FROM b)),
+h AS (SELECT x, [('0x' || hex(x)[2 * k + 1:2 * k + 2])::BIGINT FOR k IN range(strlen(x))] AS bytes FROM w),
+c AS (SELECT x, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda c, y: xor(t[xor(c, y) % 256 + 1], c // 256)), 4294967295) % 10000 AS k FROM h, rule),
+s AS (SELECT k, count(*) AS s FROM (SELECT unnest(w) AS x FROM d) JOIN c USING (x) GROUP BY k), t AS (SELECT k, count(*) AS t FROM (SELECT unnest(w) AS x FROM b) JOIN c USING (x) GROUP BY k),
+g AS (SELECT k, floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * (coalesce((SELECT sum(s) FROM s), 0) + 10000.0::DOUBLE) / ((coalesce(s, 0) + 1.0::DOUBLE) * (coalesce((SELECT sum(t) FROM t), 0) + 10000.0::DOUBLE))))::BIGINT AS g FROM (SELECT DISTINCT k FROM c) LEFT JOIN s USING (k) LEFT JOIN t USING (k)),
+f AS (SELECT doc_id, sum(g)::BIGINT AS weight FROM (SELECT doc_id, unnest(w) AS x FROM d) JOIN c USING (x) JOIN g USING (k) GROUP BY doc_id),
+p AS (SELECT d.doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight, ('0x' || sha256('2024:' || d.doc_id)[1:8])::BIGINT AS h FROM d LEFT JOIN f USING (doc_id)),
+q AS (SELECT *, (weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score FROM p),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM q WHERE n_features >= 20 QUALIFY row_number() OVER (ORDER BY score DESC, doc_id) <= 10 * count(*) OVER () // 100)
+SELECT doc_id, n_features, weight, score, rank FROM q LEFT JOIN r USING (doc_id)"""
+
+ORACLES = {"op4_jaccard_join": OP4, "op6_quality_rules": OP6, "op9_decontamination": OP9, "op10_chat_formatting": OP10, "op13_importance_resampling": OP13}

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flankspark.llm import chat, decontaminate, html, jaccard, language_model, mixing, quality, secrets, sharding, urls
+from flankspark.llm import chat, decontaminate, html, importance, jaccard, language_model, mixing, quality, secrets, sharding, simhash, urls, whitening
 from flankspark.llm.oracles import ORACLES
 from flankspark.tables import table
 
@@ -58,8 +59,27 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.render_turns(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_sharding, op2_url_filter, op3_mixing, op4_jaccard_join, op5_html_extraction, op6_quality_rules, op7_secret_scans, op8_lm_scoring, op9_decontamination, op10_chat_formatting)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_sharding, op2_url_filter, op3_mixing, op4_jaccard_join, op5_html_extraction, op6_quality_rules, op7_secret_scans, op8_lm_scoring, op9_decontamination, op10_chat_formatting, op11_simhash, op12_whitening,
+            op13_importance_resampling,
+        )
+    }
 
 
 def oracle_sql() -> dict[str, str]:

@@ -15,9 +15,9 @@ CLASHES = [
     *"size shard slot law text_crc32 grown_shard n_shingles component_id component node group id a b u v n sig odd chunk part is_left is_right first".split(),
     *"n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept n_hit n_items items_sha256 contaminated source_block mix_slot mix_offset mix_place".split(),
     *"spans n_assign n_access n_hex base_sha256 held_out n_tokens n_known train_tokens base_score score host path rule verdict body n_lines rendered".split(),
-    *"n_turns turns_sha256 loss_chars loss_sha256 formatted_chars formatted c0 c1 __text __doc __key __tie __id __gone __node __source __crc".split(),
+    *"n_turns turns_sha256 loss_chars loss_sha256 formatted_chars formatted c0 c1 fingerprint fp bits parts asks part own row rank weight n_features bucket at whitened deviation explained identity_error vector i j s d __text __doc __key __tie __id __gone __node __source __crc".split(),
 ]
-KEYS = {"op2_url_filter": "page_id", "op5_html_extraction": "page_id", "op10_chat_formatting": "conv_id"}
+KEYS = {"op2_url_filter": "page_id", "op5_html_extraction": "page_id", "op10_chat_formatting": "conv_id", "op12_whitening": "vec_id"}
 
 
 def awkward():
@@ -32,7 +32,8 @@ def awkward():
     page = "<p>text <a href='http://b.example/x'>link</a>" * 20
     pages = [(0, "http://A.Example/en/x?q#f", page), (1, None, page), (2, "no scheme", None), (3, "https://", ""), (None, "http://b.example", page), (0, "http://A.Example/en/x?q#f", page), (4, "http://example.com/en/" + "y" * 300_000, "<div>" * 3000 + "deep" + "<td>cell" * 20_000)]
     talks = [(0, 0, "user", "hi"), (0, 1, "assistant", "yes <|im_end|>"), (1, 0, None, None), (1, 0, "user", "tie"), (1, 0, "user", "tie"), (2, None, "user", "x"), (None, 0, "user", "no id"), (3, 0, "assistant", ""), (4, 0, "assistant", "long <| " * 50_000)]
-    return {"documents": (docs, "doc_id long, text string, lang string, source string, n_chars long"), "benchmark": (bench, "item_id long, text string"), "pages": (pages, "page_id long, url string, html string"), "conversations": (talks, "conv_id long, turn long, role string, text string")}
+    vectors = [(0, [1.0, 2.0, 0.5]), (1, None), (2, []), (3, [float("nan"), 1.0, 1.0]), (4, [None, 1.0, 1.0]), (None, [0.0, -1.0, 3.0]), (5, [1.0] * 5000), *[(6 + k, [float(k % 4), float(k), -1.0 * k * k]) for k in range(9)], *[(0, [1.0, 2.0, 0.5])] * 2]
+    return {"embeddings": (vectors, "vec_id long, embedding array<float>"), "documents": (docs, "doc_id long, text string, lang string, source string, n_chars long"), "benchmark": (bench, "item_id long, text string"), "pages": (pages, "page_id long, url string, html string"), "conversations": (talks, "conv_id long, turn long, role string, text string")}
 
 
 @pytest.fixture(scope="module")
@@ -56,14 +57,20 @@ def rows_of(df, without=()):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_on_awkward_rows(spark, folders, name):
     plain, wide, bare = folders
-    source = {"page_id": "pages", "conv_id": "conversations"}.get(KEYS.get(name), "documents")
+    source = {"page_id": "pages", "conv_id": "conversations", "vec_id": "embeddings"}.get(KEYS.get(name), "documents")
     own, got = spark.read.parquet(f"{plain}/{source}.parquet"), QUERIES[name](spark, plain)
     key = KEYS.get(name, "doc_id")
     if key == "conv_id":
         assert {r[0] for r in got.select(key).collect()} == {r[0] for r in own.select(key).distinct().collect()} | {-1}
+    elif key == "vec_id":
+        usable = own.where("size(embedding) = 3 and not exists(embedding, x -> x is null or isnan(x))")
+        assert rows_of(got.where("component = 2").select(key)) == rows_of(usable.select(key))
     else:
         assert rows_of(got.select(key)) == rows_of(own.select(key))
-    if name == "op8_lm_scoring":
+    if key == "vec_id":
+        whole = [c for c in got.columns if c not in ("whitened", "explained", "identity_error")]
+        assert rows_of(got.select(*whole)) == rows_of(QUERIES[name](spark, wide).select(*whole))
+    elif name == "op8_lm_scoring":
         # Weights are averaged over partitions, whose rows aren't the same ones.
         assert rows_of(got, ["score"]) == rows_of(QUERIES[name](spark, wide), ["score"])
     elif name == "op1_sharding":
