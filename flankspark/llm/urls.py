@@ -3,8 +3,11 @@
 Hosts of urls that a rule allows are trusted seeds, hosts of blocked urls are blocked seeds. Trust is personalised PageRank from the trusted
 seeds along the links; distrust runs from the blocked seeds against them, to those who link there. Links are absolute and
 protocol-relative references in the pages, and each host's tie to the domain above it, both ways. On both sides a link's end is the
-host's name without user and port. Rounds go on until ranks move by less than CHANGE of their sum, CHECKED rounds at a time. A host whose
-trust is at least half of its trust and distrust is allowed, as is one that neither reaches (as on pages without any link to a seed).
+host's name without user and port. A seed weighs as many as its urls that a rule judges. What a host has not yet passed on is its
+residue; a round passes on the residue of every host where it is over CHANGE of the host's rank, so each host settles by itself, at any
+distance, and neither more rounds nor hosts that it isn't linked with change its rank. Rounds end when all have settled. A host whose trust
+is at least half of its trust and distrust is allowed, as is one that neither reaches (as on pages without any link to a seed). Ranks fall
+by DAMPING a link, so those beyond some 4000 links from every seed are zero in doubles.
 
 Everything is built-in DataFrame functions. Links are counted for each pair of hosts before they are shuffled, so a hot host costs as many
 rows as it has neighbours. The result of each round goes to the checkpoint folder.
@@ -24,8 +27,8 @@ from flankspark.llm.common import cut
 #: (verdict, host, path), as the contract fixes them.
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 DAMPING, SHARE = 0.85, 0.5
-#: Rounds between two looks at the change, the change at which they end, and the most rounds, whose last ones weigh 0.85 to the power of it.
-CHECKED, CHANGE, ROUNDS = 5, 0.01, 60
+#: Rounds between two looks at whether all hosts have settled, and the part of a host's rank under which its residue stays where it is.
+CHECKED, CHANGE = 5, 0.001
 #: Links inside a domain weigh as many as so many references.
 TIE = 1.0
 #: Hosts whose verdicts, and links of hosts whose weights, are broadcast; more are joined by shuffle.
@@ -75,32 +78,32 @@ def host_links(pages: DataFrame, html: str) -> DataFrame:
 def spread(links: DataFrame, seeds: DataFrame, rounds: int | None = None) -> DataFrame:
     """(host, trust, distrust) by PageRank that restarts at seeds(host, kind, part); kind 0 goes with the links, kind 1 against them.
 
-    A number of rounds, or as many as ranks need to settle.
+    rounds: so many, in which every host passes on all that it has; without it, as many as hosts need to settle.
     """
     both = links.select(F.lit(0).alias("kind"), "src", "dst", "w").unionByName(links.select(F.lit(1).alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "w"))
     out = both.groupBy("kind", "src").agg(F.sum("w").alias("all"))
     ways = cut(both.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("w") / F.col("all")).alias("w")))
     if ways.count() <= BROADCAST_LINKS:
         ways = F.broadcast(ways)
-    start = cut(seeds)
-    rank = start.select("kind", "host", F.col("part").alias("p"))
+    # p is what a host keeps for good, r what it has still to pass on; both together are its rank so far.
+    rank = seeds.groupBy("kind", "host").agg(F.lit(0.0).alias("p"), F.sum(F.col("part").cast("double")).alias("r"))
+    open_ = F.col("r") > (0.0 if rounds else CHANGE) * F.col("p")
 
     def step(rank: DataFrame) -> DataFrame:
-        moved = rank.withColumnRenamed("host", "src").join(ways, ["kind", "src"]).select("kind", F.col("dst").alias("host"), (F.lit(DAMPING) * F.col("p") * F.col("w")).alias("p"))
-        again = start.select("kind", "host", (F.lit(1 - DAMPING) * F.col("part")).alias("p"))
-        return moved.unionByName(again).groupBy("kind", "host").agg(F.sum("p").alias("p"))
-
-    for k in range(0, rounds or ROUNDS, CHECKED):
-        for _ in range(min(CHECKED, (rounds or ROUNDS) - k) - 1):
+        kept = rank.select("kind", "host", F.when(open_, F.col("p") + (1 - DAMPING) * F.col("r")).otherwise(F.col("p")).alias("p"), F.when(open_, 0.0).otherwise(F.col("r")).alias("r"))
+        moved = rank.where(open_).withColumnRenamed("host", "src").join(ways, ["kind", "src"]).select("kind", F.col("dst").alias("host"), F.lit(0.0).alias("p"), (F.lit(DAMPING) * F.col("r") * F.col("w")).alias("r"))
+        return kept.unionByName(moved).groupBy("kind", "host").agg(F.sum("p").alias("p"), F.sum("r").alias("r"))
+
+    left = rounds
+    while True:
+        now = CHECKED if left is None else min(CHECKED, left)
+        for _ in range(now):
             rank = step(rank)
-        before = cut(rank)
-        rank = cut(step(before))
-        if rounds is None:
-            sides = rank.select("kind", "host", "p", F.col("p").alias("d")).unionByName(before.select("kind", "host", F.lit(0.0).alias("p"), (-F.col("p")).alias("d")))
-            sides = sides.groupBy("kind", "host").agg(F.sum("p").alias("p"), F.sum("d").alias("d"))
-            moved, whole = sides.agg(F.coalesce(F.sum(F.abs("d")), F.lit(0.0)), F.coalesce(F.sum("p"), F.lit(0.0))).first()
-            if moved <= CHANGE * whole:
-                break
+        rank = cut(rank)
+        left = None if left is None else left - now
+        if left == 0 or left is None and rank.where(open_).isEmpty():
+            break
+    rank = rank.select("kind", "host", (F.col("p") + F.col("r")).alias("p"))
     of = lambda k: F.sum(F.when(F.col("kind") == k, F.col("p")).otherwise(0.0))
     return rank.groupBy("host").agg(of(0).alias("trust"), of(1).alias("distrust"))
 
@@ -115,8 +118,9 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None
     ruled = named.withColumns({"rule": rule, "by_rule": verdict})
 
     counted = cut(ruled.where("__name != ''").groupBy(F.col("__name").alias("host")).agg(F.count_if(F.col("by_rule") == "allow").alias("good"), F.count_if(F.col("by_rule") == "block").alias("bad")))
-    good, bad, hosts = counted.agg(F.coalesce(F.sum("good"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0)), F.count("*")).first()
-    seeds = counted.select("host", F.explode(F.array(F.struct(F.lit(0).alias("kind"), (F.col("good") / max(1, good)).alias("part")), F.struct(F.lit(1).alias("kind"), (F.col("bad") / max(1, bad)).alias("part")))).alias("x"))
+    hosts = counted.count()
+    # Numbers of urls, not parts of all of them, or else seeds elsewhere would tip the balance of trust and distrust here.
+    seeds = counted.select("host", F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("good").alias("part")), F.struct(F.lit(1).alias("kind"), F.col("bad").alias("part")))).alias("x"))
     seeds = seeds.select("x.kind", "host", "x.part").where("part > 0")
     ranks = spread(host_links(ruled.select(F.col("__name").alias("name"), "__html"), "__html"), seeds)
     open_hosts = counted.select("host").join(ranks, "host", "left").na.fill(0.0, ["trust", "distrust"]).withColumnRenamed("host", "__name")
