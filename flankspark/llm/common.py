@@ -34,9 +34,9 @@ def cut(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
-def batched(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Keeps Arrow batches small enough for long texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def batched(spark: SparkSession) -> None:
+    """Keeps Arrow batches small enough for long texts. Plans run later, so this is one value for the session, the same for all operators."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def most_frequent(counts: DataFrame, key: str, n: str, most: int) -> list[tuple[int, int]]:

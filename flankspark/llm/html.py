@@ -6,7 +6,8 @@ text is emitted, with blank lines between blocks, one line for each line break,
 padded to columns, over rows and columns that they span. Cells wider than WIDEST don't widen their column, and a column that begins beyond
 FARTHEST isn't reached by padding, so a page's text stays in proportion to the page; no text is lost by that.
 
-Visibility comes from the elements: their names, the attribute hidden, and their own style (display, and visibility, which is inherited and
+Visibility comes from the elements: their names, the attribute hidden, whether a dialog or details is open (of closed details only the first
+summary is seen), and their own style (display, and visibility, which is inherited and
 can be set back). Style sheets aren't applied, and what scripts would add isn't there. Text in drawings and formulas is text.
 
 A page is handled in one piece, pages by Spark's partitions; there is no shuffle.
@@ -19,7 +20,7 @@ clash.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -31,7 +32,7 @@ from flankspark.llm.common import batched
 
 # Fixed sets of element names, as the HTML standard gives them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("head script style template noscript title meta link object iframe audio video canvas datalist desc metadata annotation annotation-xml".split())
+UNSEEN = frozenset("head script style template noscript title meta link object iframe audio video canvas datalist desc metadata noframes rp annotation annotation-xml".split())
 IN_HEAD = frozenset("base basefont bgsound link meta noscript script style template title noframes".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center details dialog dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table ul".split()
@@ -55,12 +56,12 @@ SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    """An element; visible is None where it is inherited."""
+    """An element; visible is None where it is inherited, shut is 1 if what it holds is unseen but for a summary, 2 once it has one."""
 
-    __slots__ = ("children", "high", "name", "start", "unseen", "visible", "wide")
+    __slots__ = ("children", "high", "name", "shut", "start", "unseen", "visible", "wide")
 
     def __init__(self, name: str, unseen: bool = False, wide: int = 1, high: int = 1, start: int = 1, visible: bool | None = None):
-        self.name, self.unseen, self.wide, self.high, self.start, self.visible, self.children = name, unseen, wide, high, start, visible, []
+        self.name, self.unseen, self.wide, self.high, self.start, self.visible, self.children, self.shut = name, unseen, wide, high, start, visible, [], 0
 
 
 class Tree(HTMLParser):
@@ -70,27 +71,29 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("html")
         self.open = [self.root]
-        #: How often each name is open, so a stray end tag needs no search.
-        self.count: dict[str, int] = {"html": 1}
+        #: The depths at which each name is open, so no tag needs a walk over open elements.
+        self.depths: dict[str, list[int]] = {"html": [0]}
 
-    def _pop(self) -> str:
-        name = self.open.pop().name
-        self.count[name] -= 1
-        return name
+    def _pop(self) -> None:
+        self.depths[self.open.pop().name].pop()
+
+    def _depth(self, name: str) -> int:
+        """The depth of the innermost open element of a name; 0, that of the root, where there is none."""
+        own = self.depths.get(name)
+        return own[-1] if own else 0
 
     def _close(self, names: tuple[str, ...], fences) -> None:
-        """Closes up to the outermost open element of these names inside the nearest fence."""
-        if not any(self.count.get(n) for n in names):
-            return
-        depth = None
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].name in fences:
-                break
-            if self.open[i].name in names:
-                depth = i
-                if len(names) == 1:
-                    break
-        while depth is not None and len(self.open) > depth:
+        """Closes up to the outermost open element of these names inside the nearest fence; of a single name, the innermost one."""
+        fence = max(map(self._depth, fences), default=0)
+        if len(names) == 1:
+            found = [d for d in (self._depth(names[0]),) if d > fence]
+        else:
+            found = [own[k] for n in names if (own := self.depths.get(n)) and (k := bisect_right(own, fence)) < len(own)]
+        if found:
+            self._close_to(min(found))
+
+    def _close_to(self, depth: int) -> None:
+        while len(self.open) > depth:
             self._pop()
 
     def handle_starttag(self, name: str, attrs: list) -> None:
@@ -100,15 +103,16 @@ class Tree(HTMLParser):
             self._close(*CLOSES[name])
         if name in CLOSES_P:
             self._close(("p",), P_FENCES)
-        if self.count.get("head") and (name in BLOCKS or self.open[-1].name == "head" and name not in IN_HEAD):
+        if self._depth("head") and (name in BLOCKS or self.open[-1].name == "head" and name not in IN_HEAD):
             self._close(("head",), ())
         if name in ("td", "th") and not self._inside("tr"):
             self._push(Node("tr"))
         given = dict(attrs)
         style = given.get("style") or ""
-        hidden = name in UNSEEN or "hidden" in given and (given["hidden"] or "").lower() != "until-found" or bool(HIDDEN.search(style)) or name == "input" and (given.get("type") or "").lower() == "hidden"
+        hidden = name in UNSEEN or name == "dialog" and "open" not in given or "hidden" in given and (given["hidden"] or "").lower() != "until-found" or bool(HIDDEN.search(style)) or name == "input" and (given.get("type") or "").lower() == "hidden"
         visible = [x.lower() == "visible" for x in VISIBILITY.findall(style)]
         node = Node(name, hidden, visible=visible[-1] if visible else None)
+        node.shut = int(name == "details" and "open" not in given)
         if name in ("td", "th"):
             node.wide, node.high = number(given.get("colspan"), 1, 1000), number(given.get("rowspan"), 0, 65534)
         elif name == "ol":
@@ -119,17 +123,18 @@ class Tree(HTMLParser):
             self._push(node)
 
     def _inside(self, name: str) -> bool:
-        for node in reversed(self.open):
-            if node.name == name:
-                return True
-            if node.name == "table":
-                return False
-        return True  # cells outside of any table are plain text
+        # Cells outside of any table are plain text.
+        return self._depth(name) >= self._depth("table")
 
     def _push(self, node: Node) -> None:
-        self.open[-1].children.append(node)
+        above = self.open[-1]
+        if above.shut:
+            first = node.name == "summary" and above.shut == 1
+            node.unseen |= not first
+            above.shut += first
+        above.children.append(node)
+        self.depths.setdefault(node.name, []).append(len(self.open))
         self.open.append(node)
-        self.count[node.name] = self.count.get(node.name, 0) + 1
 
     def handle_startendtag(self, name: str, attrs: list) -> None:
         self.handle_starttag(name, attrs)
@@ -137,20 +142,14 @@ class Tree(HTMLParser):
     def handle_endtag(self, name: str) -> None:
         if name == "br":
             self.open[-1].children.append(Node("br"))
-        elif name not in ("html", "body") and self.count.get(name):
-            fences = ("table",) if name not in ("table",) else ()
-            for i in range(len(self.open) - 1, 0, -1):
-                if self.open[i].name == name:
-                    while len(self.open) > i:
-                        self._pop()
-                    break
-                if self.open[i].name in fences:
-                    break
+        elif name not in ("html", "body") and (depth := self._depth(name)) and (name == "table" or self._depth("table") <= depth):
+            self._close_to(depth)
 
     def handle_data(self, data: str) -> None:
         if self.open[-1].name == "head" and SPACE.sub("", data):
             self._close(("head",), ())
-        self.open[-1].children.append(data)
+        if not self.open[-1].shut:
+            self.open[-1].children.append(data)
 
 
 def number(text: str | None, least: int, top: int) -> int:
@@ -336,7 +335,7 @@ def render(page: str | None) -> str:
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", html: str = "html") -> DataFrame:
     """id, text, n_chars and n_lines of each row of pages."""
-    batched(pages.sparkSession, 500)
+    batched(pages.sparkSession)
     slim = pages.select(F.col(id_col), F.col(html).cast("string").alias("__html"))
     kind = slim.schema[0].dataType.simpleString()
 
