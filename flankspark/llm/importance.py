@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flankspark.llm.common import ALNUM, LOWER, cut
+from flankspark.llm.common import ALNUM, LOWER, batched, cut
 
 BUCKETS, SEED, PERCENT, MIN_WORDS, MAX_RUN = 10_000, 2024, 10, 20, 1
 #: Points of an interval at which one job counts.
@@ -138,6 +138,7 @@ def resample(
     """id, n_features, weight, score and rank of every document; rank is null for those that aren't drawn. Ids are whole numbers."""
     if not isinstance(docs.schema[id_col].dataType, T.IntegralType):
         raise ValueError(f"{id_col}: ties go to the smaller id, so ids must be whole numbers")
+    batched(docs.sparkSession)
     gain = gains(count_buckets(docs, text, max_run, buckets), count_buckets(target, target_text, max_run, buckets))
     scored = cut(score(docs, gain, text, id_col, max_run, seed).withColumn("row", F.monotonically_increasing_id()))
     enough = F.col("n_words") >= min_words

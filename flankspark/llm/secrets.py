@@ -5,6 +5,9 @@ proves them: key encodings whose nested lengths fit to the byte, packed key blob
 An encoded key may be wrapped: its lines are joined over line breaks, also escaped ones (``\\n``, ``\\r\\n``), with indentation. The length
 that its first bytes state says at which line it ends, and its span goes from its first line to its last.
 
+Not looked at: keys that follow a slash or another character of their alphabet directly, and lines that a program joins by quotes and plus
+signs.
+
 The scan is one narrow pass over Arrow batches: no shuffle, and memory for one batch of texts.
 
 Edge cases: a null text is empty and has no span; equal texts have equal spans; a text of any length is scanned whole; an empty table
@@ -38,7 +41,8 @@ HEX_LONG = re.compile(r"[0-9a-f]{24,}")
 #: Where a key may start (DER sequences and packed keys, in base64 of either alphabet, and in hex), and dotted runs that may be signed tokens.
 ENCODED = re.compile(r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\[nr])|(?<=-----))(?:M[A-P]|b3Bl)")
 HEXED = re.compile(r"(?<![0-9A-Fa-f])(?:30|6[Ff]70)")
-DOTTED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{2,}+\.[A-Za-z0-9_-]*")
+#: A run of three pieces may begin at any piece of a longer one, so they are looked ahead at; an object starts with a brace or white space.
+DOTTED = re.compile(r"(?<![A-Za-z0-9_-])(?=[eCDI])(?=([A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{2,}+\.[A-Za-z0-9_-]*))")
 #: Lines of an encoding (the dashes before and after a key are none), and what stands between two.
 LINE, HEX_LINE = re.compile(r"(?:[A-Za-z0-9+/_]|-(?!----))+"), re.compile(r"[0-9A-Fa-f]+")
 BREAK = re.compile(r"[ \t]*(?:\r\n?|\n|\\+r(?:\\+n)?|\\+n)[ \t]*")
@@ -258,7 +262,11 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int, str]]:
     found = key_spans(text, ENCODED, LINE, from_64, lambda n: -(-4 * n // 3), LEAST_64)
     found += key_spans(text, HEXED, HEX_LINE, from_hex, lambda n: 2 * n, LEAST_16)
     if "." in text:
-        found += [("token", m.start(), m.end(), alg) for m in DOTTED.finditer(text) if (alg := signed_token(m.group()))]
+        done = 0
+        for m in DOTTED.finditer(text):
+            if m.start() >= done and (alg := signed_token(m[1])):
+                done = m.end(1)
+                found.append(("token", m.start(), done, alg))
     return found
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flankspark.functions.graph import connected_components
-from flankspark.llm.common import cut
+from flankspark.llm.common import batched, cut
 
 BITS, RADIUS, SHINGLE, SEED = 64, 3, 3, 42
 #: Fingerprints of one tree, about; a shard with more has several.
@@ -233,6 +233,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, text: str = "text", i
     """id, fingerprint (16 hex digits) and component_id of each row."""
     if not isinstance(docs.schema[id_col].dataType, T.IntegralType):
         raise ValueError(f"{id_col}: a component is named by its least id, so ids must be whole numbers")
+    batched(docs.sparkSession)
     prints = cut(fingerprints(docs, text, id_col).withColumn("id", F.col("id").cast("long")))
     out = prints.join(components(prints, radius), "fp")
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

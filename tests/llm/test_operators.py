@@ -134,7 +134,7 @@ def test_verdicts_equal_brute_force(spark):
         for (a, _), w in ways.items():
             out[a] += w
         for _ in range(80):
-            new = Counter({h: (1 - urls.DAMPING) * n / sum(seeds.values()) for h, n in seeds.items()})
+            new = Counter({h: (1 - urls.DAMPING) * n for h, n in seeds.items()})
             for (a, b), w in ways.items():
                 new[b] += urls.DAMPING * rank.get(a, 0) * w / out[a]
             rank = new
@@ -148,6 +148,24 @@ def test_verdicts_equal_brute_force(spark):
     assert seen > 40 and len({x.verdict for x in got.values() if x.rule is None}) == 2
 
 
+def test_verdicts_depend_on_linked_hosts_alone(spark):
+    """A chain of 30 hosts down to a blocked one, a host between a trusted and a blocked one, and 400 other seeds that nothing links with."""
+    link = lambda to: f'<a href="http://{to}/">'
+    pages = [(i, f"http://h{i}.org/", link(f"h{i - 1}.org")) for i in range(1, 31)] + [(0, "http://h0.org/bad/x", "")]
+    pages += [(40, "http://good.com/x", link("mid.org")), (41, "http://mid.org/", link("evil.org")), (42, "http://evil.org/bad/", ""), (43, "http://evil.org/bad/2", "")]
+    rules = [("allow", "com", "/"), ("block", "org", "/bad/")]
+    more = [(1000 + i, f"http://x{i}.{'com' if i % 5 == 0 else 'org'}/bad/", "") for i in range(400)]
+
+    def judged(rows):
+        out = urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string"), rules).collect()
+        return {x.page_id: (x.verdict, round(x.trust or 0, 12), round(x.distrust or 0, 12)) for x in out if x.page_id < 1000}
+
+    alone = judged(pages)
+    assert all(alone[i][0] == "block" and alone[i][2] > 0 for i in range(31))
+    assert alone[41][0] == "block" and alone[41][1] > 0
+    assert judged(pages + more) == alone
+
+
 def test_spread_equals_brute_force(spark):
     r = random.Random(6)
     hosts = [f"h{i}" for i in range(30)]
@@ -651,3 +669,40 @@ def test_chat_conversations(spark):
     assert got[6].loss_sha256 == hashlib.sha256(chat.END.encode()).hexdigest()
     assert got[7].turns_sha256 == digest([("user", str(i)) for i in range(3000)]) and got[-1].n_turns == 2
     assert chat.read_back(chat.render_turns(df.where("false"))).count() == 0
+
+
+def test_hostile_pages_grow_linearly():
+    """Calls, not seconds: of a page twice as long, the tree builder may look at twice as many depths."""
+    for make in (lambda n: "<p><button>" + "<div>" * n, lambda n: "<a><table><tr><td>" + "<div>" * n + "</a>" * n, lambda n: "<details>" + "<b>x</b><summary>s</summary>" * n, lambda n: "<ul>" + "<li><b>" * n):
+        calls = []
+        for n in (1000, 2000):
+            tree, count = html.Tree(), [0]
+            own = tree._depth
+
+            def depth(name, own=own, count=count):
+                count[0] += 1
+                return own(name)
+
+            tree._depth = depth
+            tree.feed(make(n))
+            tree.close()
+            calls.append(count[0])
+            assert html.render(make(n)) is not None
+        assert calls[1] <= 2.1 * calls[0]
+
+
+def test_unseen_without_an_attribute():
+    page = "<details><summary>S</summary>body<b>x</b><summary>late</summary></details><details open><summary>T</summary>shown</details><dialog>d</dialog><dialog open>e</dialog><ruby>k<rp>(</rp><rt>r</rt></ruby><noframes>n</noframes>"
+    assert html.render(page).split() == ["S", "T", "shown", "e", "kr"]
+
+
+def test_tokens_after_dotted_words():
+    import base64
+    import json
+
+    piece = lambda x: base64.urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=")
+    token = f"{piece({'alg': 'HS256', 'typ': 'JWT'})}.{piece({'sub': '1234567890'})}.c2lnbmF0dXJl"
+    for before in ("", "https://hostname1.", "connect.sid12345.", "abcdefgh.", "session=abcdefghij.", "aaaaaaaaaa.bbbbbbbbb.cccccccc."):
+        found = [c for c in secrets.scan(f"{before}{token} end")["confirmed"] if c["kind"] == "token"]
+        assert [(c["start"], c["end"], c["what"]) for c in found] == [(len(before), len(before) + len(token), "HS256")]
+    assert [c["kind"] for c in secrets.scan(f"{token}.{token}")["confirmed"]] == ["token", "token"]
