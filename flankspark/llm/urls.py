@@ -90,9 +90,15 @@ def spread(links: DataFrame, seeds: DataFrame, rounds: int | None = None) -> Dat
     open_ = F.col("r") > (0.0 if rounds else CHANGE) * F.col("p")
 
     def step(rank: DataFrame) -> DataFrame:
-        kept = rank.select("kind", "host", F.when(open_, F.col("p") + (1 - DAMPING) * F.col("r")).otherwise(F.col("p")).alias("p"), F.when(open_, 0.0).otherwise(F.col("r")).alias("r"))
-        moved = rank.where(open_).withColumnRenamed("host", "src").join(ways, ["kind", "src"]).select("kind", F.col("dst").alias("host"), F.lit(0.0).alias("p"), (F.lit(DAMPING) * F.col("r") * F.col("w")).alias("r"))
-        return kept.unionByName(moved).groupBy("kind", "host").agg(F.sum("p").alias("p"), F.sum("r").alias("r"))
+        # A row for what stays and, of open hosts, one for what goes; as both come from one reference, plans of several rounds don't double.
+        both = rank.withColumn("way", F.explode(F.when(open_, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+        moved = both.join(ways, (both["kind"] == ways["kind"]) & (both["host"] == ways["src"]) & (both["way"] == 1), "left").where((both["way"] == 0) | ways["dst"].isNotNull())
+        goes = both["way"] == 1
+        out = moved.select(
+            both["kind"], F.when(goes, ways["dst"]).otherwise(both["host"]).alias("host"), F.when(goes, 0.0).when(open_, F.col("p") + (1 - DAMPING) * F.col("r")).otherwise(F.col("p")).alias("p"),
+            F.when(goes, F.lit(DAMPING) * F.col("r") * F.col("w")).when(open_, 0.0).otherwise(F.col("r")).alias("r"),
+        )
+        return out.groupBy("kind", "host").agg(F.sum("p").alias("p"), F.sum("r").alias("r"))
 
     left = rounds
     while True:
