@@ -82,7 +82,7 @@ def spread(links: DataFrame, seeds: DataFrame, rounds: int | None = None) -> Dat
     """
     both = links.select(F.lit(0).alias("kind"), "src", "dst", "w").unionByName(links.select(F.lit(1).alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "w"))
     out = both.groupBy("kind", "src").agg(F.sum("w").alias("all"))
-    ways = cut(both.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("w") / F.col("all")).alias("w")))
+    ways = cut(both.join(out, ["kind", "src"]).select(F.col("kind").alias("of"), "src", "dst", (F.col("w") / F.col("all")).alias("w")))
     if ways.count() <= BROADCAST_LINKS:
         ways = F.broadcast(ways)
     # p is what a host keeps for good, r what it has still to pass on; both together are its rank so far.
@@ -92,10 +92,10 @@ def spread(links: DataFrame, seeds: DataFrame, rounds: int | None = None) -> Dat
     def step(rank: DataFrame) -> DataFrame:
         # A row for what stays and, of open hosts, one for what goes; as both come from one reference, plans of several rounds don't double.
         both = rank.withColumn("way", F.explode(F.when(open_, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-        moved = both.join(ways, (both["kind"] == ways["kind"]) & (both["host"] == ways["src"]) & (both["way"] == 1), "left").where((both["way"] == 0) | ways["dst"].isNotNull())
-        goes = both["way"] == 1
+        moved = both.join(ways, (F.col("kind") == F.col("of")) & (F.col("host") == F.col("src")) & (F.col("way") == 1), "left").where("way = 0 or dst is not null")
+        goes = F.col("way") == 1
         out = moved.select(
-            both["kind"], F.when(goes, ways["dst"]).otherwise(both["host"]).alias("host"), F.when(goes, 0.0).when(open_, F.col("p") + (1 - DAMPING) * F.col("r")).otherwise(F.col("p")).alias("p"),
+            "kind", F.when(goes, F.col("dst")).otherwise(F.col("host")).alias("host"), F.when(goes, 0.0).when(open_, F.col("p") + (1 - DAMPING) * F.col("r")).otherwise(F.col("p")).alias("p"),
             F.when(goes, F.lit(DAMPING) * F.col("r") * F.col("w")).when(open_, 0.0).otherwise(F.col("r")).alias("r"),
         )
         return out.groupBy("kind", "host").agg(F.sum("p").alias("p"), F.sum("r").alias("r"))
