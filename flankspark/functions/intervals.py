@@ -6,9 +6,11 @@ equality of key and bin shuffles them together; a point meets an interval in one
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flankspark.functions.ranges import Ordered
+
 
 def binned(df: DataFrame, first: Column, last: Column, width: int) -> DataFrame:
     """df with a row for each bin from that of first to that of last."""
@@ -32,19 +34,18 @@ def band_join(left: DataFrame, right: DataFrame, keys: list[str], x: str, y: str
 
 
 def union_intervals(intervals: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
-    """Intervals that overlap or touch become one."""
-    order = Window.partitionBy(*keys).orderBy(start, end)
-    before = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    marked = intervals.withColumn("__new", F.when(F.col(start) <= before, 0).otherwise(1))
-    numbered = marked.withColumn("__group", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy(*keys, "__group").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("__group")
+    """Intervals that overlap or touch become one. Of those with one start only the longest counts."""
+    longest = intervals.groupBy(*keys, start).agg(F.max(end).alias(end))
+    rows = Ordered(longest, keys, [start]).scan("__before", "max", end, -1)
+    rows = rows.scan("__group", "sum", F.when(F.col(start) <= F.col("__before"), 0).otherwise(1))
+    return rows.done().groupBy(*keys, "__group").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("__group")
 
 
 def site_counts(sites: DataFrame, keys: list[str], pos: str, tolerance: int) -> DataFrame:
     """How many sites each key has: one, and one more for each gap above the tolerance."""
-    order = Window.partitionBy(*keys).orderBy(pos)
-    gaps = sites.where(F.col(pos).isNotNull()).withColumn("__gap", F.col(pos) - F.lag(pos).over(order))
-    return gaps.groupBy(*keys).agg((F.lit(1) + F.count_if(F.col("__gap") > tolerance)).alias("n_sites"))
+    places = sites.where(F.col(pos).isNotNull()).select(*keys, pos).distinct()
+    rows = Ordered(places, keys, [pos]).scan("__before", "last", pos, -1).done()
+    return rows.groupBy(*keys).agg((F.lit(1) + F.count_if(F.col(pos) - F.col("__before") > tolerance)).alias("n_sites"))
 
 
 def remap_features(features: DataFrame, masks: DataFrame, keys: list[str], width: int = 1024) -> DataFrame:
@@ -53,14 +54,12 @@ def remap_features(features: DataFrame, masks: DataFrame, keys: list[str], width
     A feature with an end strictly inside a mask is dropped; the others move by what was cut before each end. Cut lengths are running sums
     over masks; each end looks up the last mask that ends at or before it.
     """
-    order = Window.partitionBy(*keys).orderBy("mask_end")
-    m = masks.select(*keys, F.col("start").alias("mask_start"), F.col("end").alias("mask_end")).withColumn("cut", F.sum(F.col("mask_end") - F.col("mask_start")).over(order))
+    own = masks.select(*keys, F.col("start").alias("mask_start"), F.col("end").alias("mask_end"))
     ends = features.select(*keys, "feature_id", F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("start").alias("pos")), F.struct(F.lit(1).alias("which"), F.col("end").alias("pos")))).alias("x")).select(*keys, "feature_id", "x.which", "x.pos")
-    # Masks and ends in one order: the last cut seen so far is the shift.
-    events = ends.select(*keys, "pos", F.lit(1).alias("after"), F.lit(None).cast("long").alias("cut"), "feature_id", "which").unionByName(m.select(*keys, F.col("mask_end").alias("pos"), F.lit(0).alias("after"), "cut", F.lit(None).cast("int").alias("feature_id"), F.lit(None).cast("int").alias("which")))
-    seen = Window.partitionBy(*keys).orderBy("pos", "after").rowsBetween(Window.unboundedPreceding, 0)
-    shifted = events.withColumn("shift", F.coalesce(F.last("cut", ignorenulls=True).over(seen), F.lit(0))).where("after = 1")
-    inside = points_in_intervals(ends.withColumn("probe", F.col("pos")), m.withColumn("from", F.col("mask_start") + 1), keys, "probe", "from", "mask_end", width).select(*keys, "feature_id").distinct()
+    # Masks and ends in one order: the sum of what was cut so far is the shift.
+    events = ends.select(*keys, "pos", F.lit(1).alias("after"), F.lit(0).alias("cut"), "feature_id", "which").unionByName(own.select(*keys, F.col("mask_end").alias("pos"), F.lit(0).alias("after"), (F.col("mask_end") - F.col("mask_start")).alias("cut"), F.lit(None).cast(features.schema["feature_id"].dataType).alias("feature_id"), F.lit(None).cast("int").alias("which")))
+    shifted = Ordered(events, keys, ["pos", "after"]).scan("shift", "sum", "cut").done().where("after = 1")
+    inside = points_in_intervals(ends.withColumn("probe", F.col("pos")), own.withColumn("from", F.col("mask_start") + 1), keys, "probe", "from", "mask_end", width).select(*keys, "feature_id").distinct()
     moved = shifted.groupBy(*keys, "feature_id").agg(F.max(F.when(F.col("which") == 0, F.col("pos") - F.col("shift"))).alias("new_start"), F.max(F.when(F.col("which") == 1, F.col("pos") - F.col("shift"))).alias("new_end"))
     return moved.join(inside, [*keys, "feature_id"], "left_anti")
 

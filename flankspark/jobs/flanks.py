@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flankspark.adapters import sql, view
+from flankspark.functions.graph import cut_lineage
 from flankspark.functions.sequences import anchored_distance, edit_budget
 from flankspark.jobs.catalogue import query
 from flankspark.operators import alignment, clustering, depth
@@ -175,13 +176,13 @@ def q12_merged_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recruited(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The ambiguous reads with the clusters that the other reads form, and these clusters."""
     o = view(spark, sf_dir, "overhangs")
-    # Representatives from a fixed rule, so the SQL needs no clustering.
-    reps = o.where("bucket <> 'ambiguous'").groupBy("sample", "is_element", "side", F.length("seq").alias("cluster_id")).agg(F.max("seq").alias("representative_sequence"), F.count("*").alias("n_reads"))
+    reps = cut_lineage(clustering.representatives(clustered(spark, sf_dir)))
     return clustering.recruit(o.where("bucket = 'ambiguous'"), reps), reps
 
 
-RECRUIT = f"""WITH {sql("overhangs")}, reps AS (SELECT sample, is_element, side AS rep_side, length(seq)::INT AS cluster_id, max(seq) AS rep, count(*) AS n_reads FROM overhangs WHERE bucket <> 'ambiguous' GROUP BY ALL),
+RECRUIT = f"""{MERGED}, reps AS (SELECT sample, is_element, side AS rep_side, (dense_rank() OVER (PARTITION BY sample, is_element, side ORDER BY merged) - 1)::INT AS cluster_id, any_value(rep) AS rep, count(*) AS n_reads FROM owned WHERE n >= 2 GROUP BY sample, is_element, side, merged),
 amb AS (SELECT *, row_number() OVER () AS rid FROM overhangs WHERE bucket = 'ambiguous'),
 pairs AS (SELECT a.rid, r.rep_side, r.cluster_id, CASE WHEN r.rep_side = a.side THEN a.seq ELSE reverse(translate(a.seq, 'ACGTacgt', 'TGCAtgca')) END AS x, r.rep AS y FROM amb a JOIN reps r USING (sample, is_element)),
 turned AS (SELECT *, CASE WHEN rep_side = 'left' THEN reverse(x) ELSE x END AS u, CASE WHEN rep_side = 'left' THEN reverse(y) ELSE y END AS v FROM pairs),

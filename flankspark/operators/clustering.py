@@ -1,42 +1,37 @@
 """Clustering flanks by anchored edit distance, and recruiting ambiguous reads into the clusters.
 
 Equal sequences of a group always share a cluster, so only distinct ones are compared. Leader clustering depends on order: groups of at
-most FOLDED distinct sequences are folded in a task each, kept in the JVM. Larger groups, such as an element pooled over all samples, go
-in rounds: the next FOLDED sequences are folded to seeds, then all sequences left are compared with those seeds in parts of bounded size.
+most FOLDED distinct sequences are folded in a task each, kept in the JVM. Larger groups, such as an element pooled over all samples, use an
+index: a sequence shares one of budget + 1 pieces with every seed that it matches (functions.sequences.probes), so only sequences of a
+bucket are compared. Recruitment looks reads up among representatives by the same index, and the other way round where the read is longer.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flankspark.functions.expressions import let
 from flankspark.functions.graph import cut_lineage
-from flankspark.functions.sequences import anchored_distance, compared, edit_budget, reverse_complement
+from flankspark.functions.ranges import Ordered, numbered
+from flankspark.functions.sequences import anchored_distance, compared, edit_budget, matches_prefix, probes, reverse_complement, word_size, words
 
 
 #: Distinct sequences of a group that are folded in one task. Spark cuts a ranking at up to 1000 rows before it shuffles.
 FOLDED = 1000
-#: Sequences of a group that are compared with a block of others in one task, and the size of such a block.
-PART, BLOCK = 50_000, 256
+#: First sequences of a bucket that a round compares others with (twice as many in each round after), and how many of them make a row.
+HEAD, BLOCK = 768, 256
 
 
 def _first_match(cmp: Column, seeds: Column, fraction: float) -> Column:
     """The place, from 1, of the first seed with a prefix within the budget of cmp; 0 where there is none."""
+    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("found"))
 
-    def match(s: Column, budget: Column) -> Column:
-        # Most seeds differ from the item early on; a seed whose length rules it out needs no distance.
-        return (F.length(cmp) - F.length(s) <= budget) & anchored_distance(cmp, s, budget).isNotNull()
-
-    return let(edit_budget(F.length(cmp), fraction), lambda budget: F.array_position(F.transform(seeds, lambda s: match(s, budget)), True))
-
+    def step(acc: Column, s: Column, budget: Column) -> Column:
+        # Once a seed is found, the others aren't compared.
+        return F.when(acc["found"], acc).otherwise(F.struct((acc["at"] + 1).alias("at"), matches_prefix(cmp, s, budget).alias("found")))
 
-def _seeds(sorted_items: Column, fraction: float) -> Column:
-    """The seeds of a fold over sequences in order: an item that matches no seed before it is one."""
-    return F.aggregate(sorted_items, F.array().cast("array<string>"), lambda seeds, x: F.when(_first_match(x, seeds, fraction) == 0, F.concat(seeds, F.array(x))).otherwise(seeds))
+    return let(edit_budget(F.length(cmp), fraction), lambda budget: let(F.aggregate(seeds, start, lambda acc, s: step(acc, s, budget)), lambda end: F.when(end["found"], end["at"]).otherwise(0)))
 
 
 def _fold(sorted_items: Column, fraction: float) -> Column:
@@ -55,43 +50,64 @@ def _fold(sorted_items: Column, fraction: float) -> Column:
     return F.aggregate(sorted_items, start, step)["own"]
 
 
-def _in_parts(many: DataFrame, few: DataFrame, keys: list[str]) -> DataFrame:
-    """many joined with few on keys; a key with more than PART rows in many is cut into parts, each with a copy of its rows in few."""
-    parts = many.groupBy(*keys).agg(F.ceil(F.count("*") / PART).alias("__parts"))
-    copied = few.join(parts, keys).withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__parts") - 1))).drop("__parts")
-    rest = [F.col(c) for c in many.columns if c not in keys]
-    dealt = many.join(parts, keys).withColumn("__part", F.pmod(F.xxhash64(*rest), F.col("__parts"))).drop("__parts")
-    return dealt.join(copied, [*keys, "__part"]).drop("__part")
+def _first_matches(rest: DataFrame, known: DataFrame, sizes: list[int], head: int) -> DataFrame:
+    """(pos, first, beyond): of each sequence of rest the first one of known before it that it matches, among the first head ones of its buckets, and the first place before it that was left out."""
+    entries = known.select("__g", "__pos", "__t", F.explode(words(F.col("__t"), sizes, [F.col("__g")])).alias("bucket"))
+    ranked = entries.withColumn("r", F.row_number().over(Window.partitionBy("bucket").orderBy("__pos"))).where(F.col("r") <= head + 1)
+    # The row after the head stands for all that follow.
+    blocks = ranked.withColumn("block", F.floor((F.col("r") - 1) / BLOCK)).groupBy("bucket", "block").agg(F.array_sort(F.collect_list(F.struct("__pos", "__g", "__t"))).alias("held"))
+    asked = rest.select("__g", "__pos", "__t", "__k", F.explode(F.array_distinct(probes(F.col("__t"), F.col("__k"), [F.col("__g")]))).alias("bucket"))
+    met = asked.join(blocks, "bucket").where((F.col("held")[0]["__pos"] < F.col("__pos")))
+    before = lambda s: (s["__pos"] < F.col("__pos")) & (s["__g"] == F.col("__g"))
+    first = F.aggregate("held", F.lit(None).cast("long"), lambda acc, s: F.when(acc.isNotNull(), acc).when(before(s), F.when(matches_prefix(F.col("__t"), s["__t"], F.col("__k")), s["__pos"])))
+    over = F.col("block") == head // BLOCK
+    return met.groupBy("__pos").agg(F.min(F.when(~over, first)).alias("first"), F.min(F.when(over, F.col("held")[0]["__pos"])).alias("beyond"))
+
+
+def _indexed_leaders(distinct: DataFrame, keys: list[str], fraction: float) -> DataFrame:
+    """(keys, __x, seed) of groups of any size, over distinct(keys, __x, __id).
+
+    The first sequence before another that it matches decides it: without one it is a seed, and if that is a seed, it joins it. Otherwise it
+    waits until that one is decided, and leaves it out if it isn't a seed. So each round decides sequences of all places at once, members
+    of large clusters in the first, and rounds are as many as links in a chain of sequences that wait for each other. A round looks at
+    the first head sequences of each bucket only, and a match behind one that was left out isn't trusted before head has grown past it.
+    """
+    groups = numbered(distinct.select(*keys).distinct(), "__g")
+    size = (-F.length("__x")).alias("__size")
+    items = numbered(distinct.join(groups, keys).select("__g", F.col("__x").alias("__t"), "__id", size), "__pos", ["__g", "__size", "__id", "__t"])
+    items = items.select("__g", "__pos", "__t", edit_budget(F.length("__t"), fraction).alias("__k"))
+    sizes = sorted(r[0] for r in items.select(word_size(F.length("__t"), F.col("__k"))).distinct().collect())
+    rest, seeds, members = items, items.where("false"), items.where("false").select("__pos", F.col("__pos").alias("first"))
+    head = -(-HEAD // BLOCK) * BLOCK
+    while not rest.isEmpty():
+        found = _first_matches(rest, rest.unionByName(seeds), sizes, head)
+        judged = cut_lineage(rest.join(found, "__pos", "left"))
+        alone = F.col("first").isNull() & F.col("beyond").isNull()
+        seeds = seeds.unionByName(judged.where(alone).drop("first", "beyond"))
+        sure = F.col("first").isNotNull() & (F.col("beyond").isNull() | (F.col("first") < F.col("beyond")))
+        led = judged.where(~alone).join(seeds.select(F.col("__pos").alias("first"), F.lit(True).alias("led")), "first", "left").withColumn("led", F.coalesce("led", F.lit(False)) & sure)
+        led = cut_lineage(led)
+        members = members.unionByName(led.where("led").select("__pos", "first"))
+        rest = led.where("not led").select(*items.columns)
+        head *= 2
+    own = Ordered(seeds.select("__g", "__pos"), ["__g"], ["__pos"]).scan("__n", "sum", F.lit(1)).done().select(F.col("__pos").alias("first"), (F.col("__n") - 1).cast("int").alias("seed"))
+    placed = seeds.select("__pos", F.col("__pos").alias("first")).unionByName(members).join(own, "first").select("__pos", "seed")
+    return items.join(placed, "__pos").join(groups, "__g").select(*keys, F.col("__t").alias("__x"), "seed")
 
 
 def leader_clusters(items: DataFrame, keys: list[str], fraction: float, id_col: str = "read_id", cmp: str = "cmp") -> DataFrame:
     """(keys, id, cmp, seed): the number of the seed that each item joins; longest first, then by id and sequence."""
     distinct = items.groupBy(*keys, F.col(cmp).alias("__x")).agg(F.min(id_col).alias("__id"))
     large = distinct.groupBy(*keys).count().where(F.col("count") > FOLDED).drop("count")
-    rounds = not large.isEmpty()
-    if rounds:
+    indexed = not large.isEmpty()
+    if indexed:
         distinct, large = cut_lineage(distinct), cut_lineage(large)
     in_order = F.transform(F.array_sort(F.collect_list(F.struct((-F.length("__x")).alias("o"), "__id", "__x"))), lambda y: y["__x"])
-    small = (distinct.join(large, keys, "left_anti") if rounds else distinct).groupBy(*keys).agg(in_order.alias("__all")).withColumn("__own", _fold(F.col("__all"), fraction))
-    small = small.select(*keys, F.explode(F.arrays_zip("__all", "__own")).alias("z")).select(*keys, F.col("z.__all").alias(cmp), F.col("z.__own").alias("seed"))
-    if not rounds:
-        return items.join(small, [*keys, cmp])
-    found = [small]
-    # Seeds before the round, of the group that a sequence lies in.
-    rest = cut_lineage(distinct.join(large, keys, "left_semi").withColumn("__base", F.lit(0)))
-    order = Window.partitionBy(*keys).orderBy(F.length("__x").desc(), "__id", "__x")
-    while not rest.isEmpty():
-        head = rest.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= FOLDED)
-        seeds = head.groupBy(*keys).agg(in_order.alias("__all")).select(*keys, _seeds(F.col("__all"), fraction).alias("__seeds"))
-        # Seeds come in order, so the first that a sequence matches is one of the first round that has a match.
-        now = _in_parts(rest, seeds, keys).withColumns({"__at": _first_match(F.col("__x"), F.col("__seeds"), fraction), "__n": F.size("__seeds")})
-        # A checkpoint computes its rows twice, so they are kept until it is written.
-        kept = now.drop("__seeds").persist(StorageLevel.DISK_ONLY)
-        now = cut_lineage(kept)
-        kept.unpersist()
-        found.append(now.where("__at > 0").select(*keys, F.col("__x").alias(cmp), (F.col("__base") + F.col("__at") - 1).cast("int").alias("seed")))
-        rest = now.where("__at = 0").select(*keys, "__x", "__id", (F.col("__base") + F.col("__n")).alias("__base"))
-    return items.join(reduce(DataFrame.unionByName, found), [*keys, cmp])
+    found = (distinct.join(large, keys, "left_anti") if indexed else distinct).groupBy(*keys).agg(in_order.alias("__all")).withColumn("__own", _fold(F.col("__all"), fraction))
+    found = found.select(*keys, F.explode(F.arrays_zip("__all", "__own")).alias("z")).select(*keys, F.col("z.__all").alias(cmp), F.col("z.__own").alias("seed"))
+    if indexed:
+        found = found.unionByName(_indexed_leaders(distinct.join(large, keys, "left_semi"), keys, fraction).withColumnRenamed("__x", cmp))
+    return items.join(found, [*keys, cmp])
 
 
 def cluster_reads(overhangs: DataFrame, keys: tuple[str, ...] = ("sample", "is_element", "side"), max_edit: float = 0.10, merge_edit: float = 0.15, min_size: int = 2) -> DataFrame:
@@ -123,46 +139,53 @@ def pooled_clusters(members: DataFrame, min_size: int = 2) -> DataFrame:
     return out.where((F.col("n_seqs") >= min_size) & F.col("representative").isNotNull())
 
 
+#: Parts of a distance in the order of candidates, and their numbers behind it; distances over sequences of up to 20,000 bases differ by more.
+_STEPS, _NUMBERS = 1 << 29, 1 << 33
+
+
+def _nearest(reads: DataFrame, reps: DataFrame, fraction: float) -> DataFrame:
+    """(read, norm, low, high): the least distance of each of reads(read, place, rep_side, u) to reps(rep, place, rep_side, v), and the first and last rep at it.
+
+    The shorter sequence is the query, so short reads are looked up among the reps' words and short reps among the reads'. Pairs go into
+    aggregates as they are found, which keep two numbers a read before anything is shuffled.
+    """
+    place = ["sample", "is_element", "rep_side"]
+    on = [F.col(c) for c in place]
+
+    def side(queries: DataFrame, q: str, targets: DataFrame, t: str) -> DataFrame:
+        asked = queries.where(F.length(q) > 0).withColumn("k", edit_budget(F.length(q), fraction))
+        sizes = sorted(r[0] for r in asked.select(word_size(F.length(q), F.col("k"))).distinct().collect())
+        asked = asked.withColumn("bucket", F.explode(F.array_distinct(probes(F.col(q), F.col("k"), on))))
+        held = targets.withColumn("bucket", F.explode(words(F.col(t), sizes, on)))
+        fits = F.length("u") <= F.length("v") if q == "u" else F.length("v") < F.length("u")
+        return asked.join(held, [*place, "bucket"]).where(fits).select("read", "rep", (anchored_distance(F.col(q), F.col(t), F.col("k")) / F.length(q)).alias("norm"))
+
+    pairs = side(reads, "u", reps, "v").unionByName(side(reps, "v", reads, "u")).where("norm is not null")
+    step = F.floor(F.col("norm") * _STEPS) * _NUMBERS
+    return pairs.groupBy("read").agg(F.min("norm").alias("norm"), F.min(step + F.col("rep")).alias("low"), F.min(step + (_NUMBERS - 1 - F.col("rep"))).alias("high"))
+
+
 def recruit(ambiguous: DataFrame, reps: DataFrame, fraction: float = 0.10) -> DataFrame:
     """Each ambiguous read with the representative of its element at the least normalised distance; ties and misses stay unassigned.
 
     A read is compared as called with clusters of its side, and by its reverse complement with those of the other. The shorter sequence is
     the query. Distinct sequences are compared once.
     """
-    sided = ambiguous.withColumn("ok", F.col("side").isin("left", "right"))
-    seqs = sided.where("ok").select("sample", "is_element", "side", "seq").distinct()
-    place = ["sample", "is_element"]
-    r = reps.select(*place, F.struct(F.col("side").alias("rep_side"), "cluster_id", compared(F.col("representative_sequence"), F.col("side")).alias("rep")).alias("r"))
-    # Blocks of representatives; their number follows from the size of the group, so none holds many more than BLOCK.
-    held = r.join(r.groupBy(*place).agg(F.ceil(F.count("*") / BLOCK).alias("n")), place)
-    blocks = held.groupBy(*place, F.pmod(F.xxhash64("r"), "n").alias("block")).agg(F.array_sort(F.collect_list("r")).alias("reps")).drop("block")
-
-    def norm(own: Column, rep: Column) -> Column:
-        """The distance of the shorter to the longer over its length, null beyond the budget."""
-        swap = F.length(own) > F.length(rep)
-        q, t = F.when(swap, rep).otherwise(own), F.when(swap, own).otherwise(rep)
-        return let(F.struct(q.alias("q"), t.alias("t")), lambda x: F.when(F.length(x["q"]) > 0, anchored_distance(x["q"], x["t"], edit_budget(F.length(x["q"]), fraction)) / F.length(x["q"])))
-
-    def near(x: Column) -> Column:
-        turned = F.when(x["rep_side"] == F.col("side"), F.col("seq")).otherwise(reverse_complement(F.col("seq")))
-        return F.struct(norm(compared(turned, x["rep_side"]), x["rep"]).alias("norm"), x["rep_side"].alias("rep_side"), x["cluster_id"].alias("cluster_id"))
-
-    def ties(all_: Column, least: Column) -> Column:
-        return F.filter(all_, lambda x: x["norm"] - least <= 1e-9)
-
-    def first_two(found: Column) -> Column:
-        """Of the representatives that tie for the least distance, the first two: one is a win, two are a tie."""
-        return F.when(F.size(found) > 0, let(found, lambda x: F.slice(ties(x, x[0]["norm"]), 1, 2)))
-
-    found = _in_parts(seqs, blocks, place).withColumn("every", F.array_sort(F.filter(F.transform("reps", near), lambda x: x["norm"].isNotNull())))
-    found = found.withColumn("first", first_two(F.col("every"))).where("first is not null").select(*place, "side", "seq", "first")
-    least = found.groupBy(*place, "side", "seq").agg(F.array_sort(F.flatten(F.collect_list("first"))).alias("every")).withColumn("first", first_two(F.col("every")))
-    least = least.select(*place, "side", "seq", F.size("first").alias("ties"), F.col("first")[0]["norm"].alias("norm"), F.col("first")[0].alias("best"))
-    out = sided.join(least, ["sample", "is_element", "side", "seq"], "left")
-    won = F.col("ties") == 1
-    reason = F.when(~F.col("ok"), "bad_side").when(F.col("ties").isNull(), "no_match").when(F.col("ties") > 1, "tie")
+    sided = ambiguous.withColumn("ok", F.coalesce(F.col("side").isin("left", "right"), F.lit(False)))
+    own = ["sample", "is_element", "side", "seq"]
+    seqs = numbered(sided.where("ok").select(*own).distinct(), "read")
+    known = numbered(reps.select("sample", "is_element", F.col("side").alias("rep_side"), "cluster_id", compared(F.col("representative_sequence"), F.col("side")).alias("v")), "rep")
+    turned = seqs.withColumn("rep_side", F.explode(F.array(F.lit("left"), F.lit("right"))))
+    turned = turned.withColumn("u", compared(F.when(F.col("rep_side") == F.col("side"), F.col("seq")).otherwise(reverse_complement(F.col("seq"))), F.col("rep_side")))
+    near = _nearest(turned.select("sample", "is_element", "rep_side", "read", "u"), known.drop("cluster_id"), fraction)
+    first, last = F.pmod("low", F.lit(_NUMBERS)), _NUMBERS - 1 - F.pmod("high", F.lit(_NUMBERS))
+    near = near.select("read", "norm", first.alias("rep"), (first == last).alias("won"))
+    best = near.join(known.select("rep", "rep_side", "cluster_id"), "rep").join(seqs, "read").select(*own, "norm", "rep_side", "cluster_id", "won")
+    out = sided.join(best, own, "left")
+    won = F.coalesce("won", F.lit(False))
+    reason = F.when(~F.col("ok"), "bad_side").when(F.col("won").isNull(), "no_match").when(~F.col("won"), "tie")
     return out.select(
-        "sample", "read_id", "is_element", F.when(F.col("ok"), F.col("side")).alias("called_side"), F.when(won, F.col("best.rep_side")).alias("side"), F.when(won, F.col("best.cluster_id")).alias("cluster_id"),
+        "sample", "read_id", "is_element", F.when(F.col("ok"), F.col("side")).alias("called_side"), F.when(won, F.col("rep_side")).alias("side"), F.when(won, F.col("cluster_id")).alias("cluster_id"),
         F.when(won, F.bround("norm", 6)).alias("recruit_norm_dist"), reason.alias("reason"), "seq",
     )
 

@@ -83,7 +83,8 @@ def test_large_groups_are_clustered_in_rounds(spark, monkeypatch):
     df = spark.createDataFrame([(g, f"x{i:03d}", "".join(c if r.random() > 0.06 else r.choice("ACGT") for c in r.choice(base)[: r.randint(12, 24)])) for g, n in (("g", 90), ("h", 20), (None, 3)) for i in range(n)], "g string, read_id string, cmp string")
     want = rows(clustering.leader_clusters(df, ["g"], 0.10).where("g is not null"), "g", "read_id", "seed")
     monkeypatch.setattr(clustering, "FOLDED", 7)
-    monkeypatch.setattr(clustering, "PART", 20)
+    monkeypatch.setattr(clustering, "HEAD", 4)
+    monkeypatch.setattr(clustering, "BLOCK", 2)
     assert rows(clustering.leader_clusters(df, ["g"], 0.10).where("g is not null"), "g", "read_id", "seed") == want
     assert len(want) == 110 and max(x[2] for x in want) > 7
     assert clustering.leader_clusters(df.where("false"), ["g"], 0.10).count() == 0
@@ -95,8 +96,6 @@ def test_recruiting_in_blocks(spark, monkeypatch):
     reps = spark.createDataFrame([("s", "e", r.choice(["left", "right"]), i, word(10)) for i in range(40)], "sample string, is_element string, side string, cluster_id int, representative_sequence string")
     amb = spark.createDataFrame([("s", f"r{i}", "e", r.choice(["left", "right"]), word(r.randint(6, 12))) for i in range(120)], "sample string, read_id string, is_element string, side string, seq string")
     want = rows(clustering.recruit(amb, reps).na.fill("-").na.fill(-1), *clustering.recruit(amb, reps).columns)
-    monkeypatch.setattr(clustering, "BLOCK", 3)
-    monkeypatch.setattr(clustering, "PART", 10)
     assert rows(clustering.recruit(amb, reps).na.fill("-").na.fill(-1), *clustering.recruit(amb, reps).columns) == want
     assert {x[-2] for x in want} == {"-", "tie", "no_match"} and len(want) == 120
 
@@ -281,3 +280,79 @@ def test_components(spark):
 def test_genome_sizes(spark):
     df = spark.createDataFrame([("a", "5230000.0", 0), ("b", "", 1), ("c", "abc", 2), ("a", "7", 3)], "run_accession string, Genome_Size string, n int")
     assert rows(metadata.genome_sizes(df, ["n"]), "run_accession", "genome_size") == [("a", 5230000)]
+
+
+def test_indexed_leaders_equal_brute_force(spark, monkeypatch):
+    """Groups that need an index, over lengths from nothing to 60, chains of near sequences, repeats, and both budgets."""
+    monkeypatch.setattr(clustering, "FOLDED", 5)
+    r = random.Random(21)
+    word = lambda n, of="ACGT": "".join(r.choice(of) for _ in range(n))
+
+    def changed(s, n):
+        s = list(s)
+        for _ in range(n):
+            kind = r.randrange(3)
+            at = r.randrange(len(s) + 1)
+            if kind == 0:
+                s.insert(at, r.choice("ACGT"))
+            elif s and at < len(s):
+                s[at : at + 1] = [] if kind == 1 else [r.choice("ACGT")]
+        return "".join(s)
+
+    for fraction, head in ((0.10, 768), (0.15, 2), (0.30, 4)):
+        monkeypatch.setattr(clustering, "HEAD", head)
+        monkeypatch.setattr(clustering, "BLOCK", 2 if head < 9 else 256)
+        items = []
+        for g in ("a", "b"):
+            seqs = ["", "A", "C", "AC", "GTT"] + [word(r.randrange(3, 14), "AC") for _ in range(25)]
+            chain = word(40)
+            for _ in range(12):
+                chain = changed(chain, 3)
+                seqs.append(chain)
+            for b in [word(r.randrange(20, 60)) for _ in range(4)]:
+                seqs += [changed(b, r.randrange(5))[: r.randrange(15, 60)] for _ in range(12)]
+            items += [(g, f"{g}{i:03d}", s) for i, s in enumerate(seqs + seqs[:4])]
+        df = spark.createDataFrame(items, "g string, read_id string, cmp string")
+        found: dict = {}
+        for x in clustering.leader_clusters(df, ["g"], fraction).collect():
+            found.setdefault((x.g, x.seed), []).append(x.read_id)
+        for g in ("a", "b"):
+            assert sorted(sorted(v) for k, v in found.items() if k[0] == g) == leaders([x[1:] for x in items if x[0] == g], fraction)
+
+
+def test_recruiting_equals_brute_force(spark):
+    r = random.Random(22)
+    word = lambda n, of="ACGT": "".join(r.choice(of) for _ in range(n))
+    turn = str.maketrans("ACGT", "TGCA")
+    reps = [("s", e, side, i, word(r.randrange(1, 40), "ACG" if i % 3 else "A")) for e in ("e", "f") for side in ("left", "right") for i in range(15)]
+    reps += [("s", "e", "left", 99, reps[0][4])]
+    amb = []
+    for i in range(150):
+        e, side, _, seq = r.choice(reps)[1:]
+        seq = list(seq)
+        for _ in range(r.randrange(3)):
+            seq[r.randrange(len(seq))] = r.choice("ACGT")
+        seq = "".join(seq) + word(r.choice([0, 0, 5]))
+        amb.append(("s", f"r{i}", e, r.choice(["left", "right", "up", None]), r.choice([seq, seq[::-1].translate(turn), seq[: r.randrange(1, 12)], ""])))
+    want = []
+    for s, i, e, side, seq in amb:
+        if side not in ("left", "right"):
+            want.append((i, None, None, "bad_side"))
+            continue
+        near = []
+        for _, re_, rside, rid, rep in reps:
+            if re_ != e:
+                continue
+            x = seq if rside == side else seq[::-1].translate(turn)
+            u, v = (x[::-1], rep[::-1]) if rside == "left" else (x, rep)
+            q, t = (u, v) if len(u) <= len(v) else (v, u)
+            d = prefix_distance(q, t, max(1, round(len(q) * 0.1))) if q else None
+            if d is not None:
+                near.append((d / len(q), rside, rid))
+        best = [x for x in near if x[0] - min(near)[0] <= 1e-9] if near else []
+        want.append((i, None, None, "no_match") if not best else (i, None, None, "tie") if len(best) > 1 else (i, best[0][1], best[0][2], None))
+    a = spark.createDataFrame(amb, "sample string, read_id string, is_element string, side string, seq string")
+    b = spark.createDataFrame(reps, "sample string, is_element string, side string, cluster_id int, representative_sequence string")
+    got = clustering.recruit(a, b).select("read_id", "side", "cluster_id", "reason").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    assert {x[3] for x in want} == {None, "tie", "no_match", "bad_side"}
