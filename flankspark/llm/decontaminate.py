@@ -1,6 +1,6 @@
 """Benchmark decontamination with an FM-index per training shard.
 
-A shard is an Arrow batch of documents. Its words become symbols of the benchmark's vocabulary, all other words one further symbol that
+A shard is a run of documents of an Arrow batch, of at most SHARD_BYTES (a longer text is one by itself). Its words become symbols of the benchmark's vocabulary, all other words one further symbol that
 no phrase holds. The Burrows-Wheeler transform of that sequence is kept in a wavelet tree of rank tables; all test phrases are searched
 backward through it at once, occurrences are located by walking to sampled suffix positions, and the spans of a document are merged.
 
@@ -26,6 +26,8 @@ from flankspark.llm.common import ALNUM, U64, batched, blocks, mix, seeds, words
 WINDOW = 13
 #: Bytes of benchmark text whose phrases are sent to the tasks at once; a phrase takes some 30 bytes, and a word begins one phrase at most.
 BENCHMARK_BYTES = 16 << 20
+#: Bytes of text of a shard; its index takes some 30 times as many for a while.
+SHARD_BYTES = 2 << 20
 LENGTH = seeds(1, 67)[0]
 #: Every so many suffix positions are kept.
 SAMPLED = 8
@@ -262,7 +264,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
 def _pass(shared, places: dict[str, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = shared.value
-        for batch in batches:
+        for batch in (b.slice(first, end - first) for b in batches for first, end, _, _ in blocks(b.column(places["__text"]), SHARD_BYTES)):
             counts = np.zeros(batch.num_rows, np.int64)
             found: dict[int, tuple[list, list, set]] = {}
             shard: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
