@@ -21,6 +21,11 @@ def other_side(side: Column) -> Column:
     return F.when(side == "left", F.lit("right")).otherwise(F.lit("left"))
 
 
+def file_stem(path: Column) -> Column:
+    """The name of a file without folders and its last extension."""
+    return F.regexp_extract(path, r"([^/]+?)(?:\.[^/.]*)?$", 1)
+
+
 def edit_budget(length: Column, fraction: float) -> Column:
     """max(1, length * fraction rounded half to even)."""
     return F.greatest(F.lit(1), F.bround(length * F.lit(fraction), 0).cast("int"))

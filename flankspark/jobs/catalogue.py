@@ -24,7 +24,7 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
-    from flankspark.jobs import flanks, formats, loci, tables  # noqa: F401  they register their queries
+    from flankspark.jobs import exchange, flanks, formats, loci, tables  # noqa: F401  they register their queries
 
     return dict(sorted(QUERIES.items()))
 

@@ -19,8 +19,12 @@ from flankspark.tables import table
 
 
 def place(spark: SparkSession) -> str:
-    """A new path in the shared folder."""
-    return f"{checkpoint_folder(spark)}/formats-{uuid.uuid4().hex}"
+    """A new path in the shared folder, whose files go when the session ends: results are read lazily, so they are needed until then."""
+    parent = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_folder(spark)}/formats-{uuid.uuid4().hex}")
+    system = parent.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(parent)
+    system.deleteOnExit(parent)
+    return f"{parent.toString()}/files"
 
 
 PARTS = f"parts AS (SELECT concat('p', cast(p_partkey AS string)) AS name, concat({bases('p_partkey')}, {bases('p_size')}) AS seq, p_size, p_partkey FROM part)"
@@ -48,9 +52,9 @@ def q42_reference_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.union_references([text.reference_lengths(fasta(spark, sf_dir), "db"), text.reference_lengths(other, "other")])
 
 
-@query("SELECT 'repeated name' AS problem, concat('b', cast(p_size AS string)) AS name FROM part GROUP BY p_size HAVING count(*) > 1 UNION ALL SELECT 'empty sequence', concat('b', cast(p_size AS string)) FROM part WHERE p_size % 9 = 0")
+@query("SELECT 'repeated name' AS problem, concat('b', cast(p_size AS string)) AS name FROM part GROUP BY p_size HAVING count(*) > 1 UNION ALL SELECT 'empty sequence', concat('b', cast(p_size AS string)) FROM part WHERE p_size % 9 = 0 UNION ALL SELECT 'header inside sequence', concat('b', cast(p_size AS string)) FROM part WHERE p_size % 9 = 4")
 def q42_fasta_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = table(spark, sf_dir, "part").selectExpr("concat('b', cast(p_size AS string)) AS name", "case when p_size % 9 = 0 then '' else p_name end AS seq")
+    records = table(spark, sf_dir, "part").selectExpr("concat('b', cast(p_size AS string)) AS name", "case when p_size % 9 = 0 then '' when p_size % 9 = 4 then concat(p_name, '>', p_name) else p_name end AS seq")
     return text.check_fasta(records)
 
 
@@ -206,11 +210,11 @@ def q54_masked_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mask_features(view(spark, sf_dir, "features").withColumnRenamed("end_", "end"), hits, ["chrom"]).select("chrom", "feature_id", "new_start", "new_end")
 
 
-@query(f"WITH {sql('placements')} SELECT sample, is_element, cluster_id, side, junction_pos, score FROM placements WHERE strand = '+'")
+@query(f"WITH {sql('placements')} SELECT sample, is_element, cluster_id, side, junction_pos, score FROM placements")
 def q55_written_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = place(spark)
     sinks.write_table(view(spark, sf_dir, "placements"), at)
-    back = spark.read.parquet(at).where("strand = '+'")
+    back = spark.read.parquet(at)
     return back.select(F.col("sample").cast("string"), F.col("is_element").cast("string"), "cluster_id", "side", "junction_pos", "score")
 
 

@@ -72,6 +72,26 @@ def manifest(overhang: DataFrame) -> DataFrame:
     return overhang.groupBy("sample", "is_element", "bucket").agg(F.count("*").alias("n_seqs"))
 
 
+def manifest_with_database(overhang: DataFrame, order: list[str]) -> DataFrame:
+    """manifest with the database of each element of a sample: that of its last read in order, also if that is in another bucket."""
+    last = overhang.groupBy("sample", "is_element").agg(F.max_by(F.coalesce("database", F.lit("")), F.struct(*order)).alias("database"))
+    return manifest(overhang).join(last, ["sample", "is_element"])
+
+
+def wanted(manifest: DataFrame, elements: list[str] | None = None, sides: tuple[str, ...] = ("left", "right")) -> DataFrame:
+    """(sample, is_element, bucket) of the entries of a manifest that aren't empty, are of one of the sides, and of one of the elements if those are given.
+
+    Reads that are held for recruitment (bucket ambiguous) belong to no side, so they are passed over.
+    """
+    out = manifest.where((F.col("n_seqs") > 0) & F.col("bucket").isin(*sides))
+    return (out if elements is None else out.where(F.col("is_element").isin(*elements))).select("sample", "is_element", "bucket")
+
+
+def scan_by(manifest: DataFrame, overhang: DataFrame, elements: list[str] | None = None) -> DataFrame:
+    """The overhangs that wanted entries of the manifest name."""
+    return overhang.join(wanted(manifest, elements), ["sample", "is_element", "bucket"], "left_semi")
+
+
 def side_hits(filtered: DataFrame, min_hits: int = 10) -> DataFrame:
     """Kept reads whose element has at least min_hits unambiguous reads on a side that the read crosses; ambiguous reads stay."""
     by = Window.partitionBy("sample", "reference")

@@ -73,14 +73,16 @@ def gap_text(gap: Column) -> Column:
 
 
 def longest_prefix(texts: DataFrame, names: DataFrame, text: str = "body", name: str = "name") -> DataFrame:
-    """Each text with the longest name that it starts with.
+    """Each row of texts with the longest name that its text starts with, null where there is none.
 
-    Names are few lengths long: a text meets them by equality of its prefix of each length, so there is no nested loop.
+    Names are few lengths long: a distinct text meets them by equality of its prefix of each length, so there is no nested loop, and rows
+    that are equal stay as many as they are.
     """
     lengths = names.select(F.length(name).alias("__n")).distinct()
-    cuts = texts.join(F.broadcast(lengths.agg(F.collect_set("__n").alias("__all")))).withColumn("__n", F.explode(F.filter("__all", lambda n: n <= F.length(text)))).drop("__all")
-    found = cuts.withColumn("__p", F.substring(F.col(text), F.lit(1), F.col("__n"))).join(names.withColumnRenamed(name, "__p").distinct(), "__p")
-    return found.groupBy(*texts.columns).agg(F.max_by("__p", "__n").alias(name))
+    known = names.select(F.col(name).alias("__p")).distinct()
+    cuts = texts.select(F.col(text).alias("__t")).distinct().join(F.broadcast(lengths.agg(F.collect_set("__n").alias("__all")))).withColumn("__n", F.explode(F.filter("__all", lambda n: n <= F.length("__t")))).drop("__all")
+    found = cuts.withColumn("__p", F.substring(F.col("__t"), F.lit(1), F.col("__n"))).join(known, "__p").groupBy("__t").agg(F.max_by("__p", "__n").alias(name))
+    return texts.join(found, F.col(text) == F.col("__t"), "left").drop("__t")
 
 
 def elbow(curve: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
@@ -104,3 +106,18 @@ def duplicates(rows: DataFrame, key: str) -> DataFrame:
 
 def slug(name: Column) -> Column:
     return F.regexp_replace(F.lower(F.trim(name)), " ", "_")
+
+
+def top(rows: DataFrame, order: list[str | Column], n: int) -> DataFrame:
+    """The first n rows in order, as Spark takes them: each task sends n at most."""
+    return rows.orderBy(*order).limit(n)
+
+
+def sampled(rows: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
+    """n rows drawn at random; a row's draw follows from its key and the seed, so partitions don't matter."""
+    return rows.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary")), key).limit(n)
+
+
+def of_first_inputs(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """Rows of the first n inputs by name."""
+    return rows.join(F.broadcast(rows.select(key).distinct().orderBy(key).limit(n)), key, "left_semi")

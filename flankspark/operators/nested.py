@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flankspark.functions.intervals import band_join, site_counts
+from flankspark.functions.ranges import numbered
 
 #: Classes of clusters that lie in a target that isn't their own element.
 PLACED = ("internal", "terminal")
@@ -28,7 +29,7 @@ def classify_nested(clusters: DataFrame, hsps: DataFrame, targets: DataFrame, li
     """clusters(sample, is_element, side, cluster_id, rep_seq) with class, best target and what led to it.
 
     hsps(rep_seq, sseqid, pident, length, qstart, qend, qlen, sstart, send, sstrand, bitscore, slen) are searched once for each distinct
-    sequence; targets(target, target_db) names each target's database. Best: bit score, then identity, then name; ties in bit score are listed.
+    sequence, and evalue is passed on where there is one; targets(target, target_db) names each target's database. Best: bit score, then identity, then name; ties in bit score are listed.
     """
     hits = hsps.where((F.col("pident") >= limits.min_pident) & (F.col("length") >= limits.min_aln))
     sides = clusters.where(F.length("rep_seq") >= limits.min_len).select("rep_seq", "side").distinct()
@@ -39,7 +40,9 @@ def classify_nested(clusters: DataFrame, hsps: DataFrame, targets: DataFrame, li
     top = near.withColumn("most", F.max("bitscore").over(by)).where("bitscore = most")
     one = by.orderBy(F.desc("pident"), "sseqid", "junction_pos", "send", "sstrand", "qstart", "qend")
     best = top.withColumns({"tied_targets": F.array_sort(F.collect_set("sseqid").over(by)), "__r": F.row_number().over(one)}).where("__r = 1")
-    best = best.select("rep_seq", "side", F.col("sseqid").alias("target"), F.col("slen").alias("target_len"), "junction_pos", "sstrand", "pident", "bitscore", F.size("tied_targets").alias("n_tied"), "tied_targets")
+    more = [F.col("evalue")] if "evalue" in hsps.columns else []
+    qcov = F.bround(F.col("length") / F.col("qlen"), 3).alias("qcov")
+    best = best.select("rep_seq", "side", F.col("sseqid").alias("target"), F.col("slen").alias("target_len"), "junction_pos", "sstrand", "pident", "bitscore", F.size("tied_targets").alias("n_tied"), "tied_targets", F.col("length").alias("aln_len"), qcov, *more)
     any_hit = hits.select("rep_seq", F.lit(True).alias("any_hit")).distinct()
     out = clusters.join(best, ["rep_seq", "side"], "left").join(any_hit, "rep_seq", "left").join(targets, "target", "left")
     far = F.least(F.col("junction_pos") - 1, F.col("target_len") - F.col("junction_pos"))
@@ -51,6 +54,16 @@ def classify_nested(clusters: DataFrame, hsps: DataFrame, targets: DataFrame, li
     return out.withColumn("class", kind).drop("any_hit")
 
 
+def without_place(disruption: DataFrame) -> DataFrame:
+    """The clusters (sample, is_element, side, cluster_id, rep_seq) that the search on genomes found nowhere: what the nested search starts from."""
+    return disruption.where("hit_type = 'no_hit'").select("sample", "is_element", "side", "cluster_id", "rep_seq")
+
+
+def as_output(nested: DataFrame) -> DataFrame:
+    """nested as it is written: tied targets as one text, joined by commas."""
+    return nested.withColumn("tied_targets", F.array_join("tied_targets", ","))
+
+
 def paired_in_target(nested: DataFrame, pair_tol: int = 20) -> DataFrame:
     """nested with paired_in_target: of internal and terminal clusters, whether one of the other side of the same sample and element lies within pair_tol on the same target strand."""
     keys = ["sample", "is_element", "target", "sstrand"]
@@ -81,3 +94,8 @@ def host_target_summary(nested: DataFrame, site_tol: int = 20) -> DataFrame:
         F.expr("mode() within group (order by junction_pos)").alias("top_site"), F.bround(F.median("pident"), 3).alias("median_pident"),
     )
     return sums.join(site_counts(n, keys, "junction_pos", site_tol), keys, "left")
+
+
+def in_order(summary: DataFrame) -> DataFrame:
+    """host_target_summary with place, from 0: most samples with pairs first, then most samples, then by name."""
+    return numbered(summary.withColumns({"__p": -F.col("n_samples_paired"), "__n": -F.col("n_samples")}), "place", ["__p", "__n", "is_element", "target", "target_db", "class"]).drop("__p", "__n")

@@ -1,4 +1,4 @@
-"""Settings of a run, read from nested mappings. All problems are gathered before any is raised."""
+"""Settings of a run, read from YAML or nested mappings. All problems are gathered before any is raised."""
 
 from __future__ import annotations
 
@@ -48,6 +48,26 @@ class Config:
             raise ConfigError("\n".join(self.problems))
 
 
+def load(path: str) -> Config:
+    """Settings of a YAML file; relative paths in it start at its folder. A file that is no mapping is a problem like others."""
+    import yaml
+
+    with open(path, encoding="utf-8") as f:
+        values = yaml.safe_load(f)
+    config = Config(values if isinstance(values, dict) else {}, os.path.dirname(os.path.abspath(path)))
+    if not isinstance(values, dict):
+        config.problems.append(f"{path}: not a mapping of settings")
+    return config
+
+
+def archive_samples(config: Config, names: list[str], end: str = ".tar.gz") -> list[str]:
+    """The samples of archive files, in order. Names with a dot before the ending are other files and left out; no sample at all is a problem."""
+    found = sorted(n.removesuffix(end) for n in names if n.endswith(end) and "." not in n.removesuffix(end))
+    if not found:
+        config.problems.append(f"no archives named after a sample among {len(names)} files")
+    return found
+
+
 def input_mode(config: Config) -> str:
     """existing_overhangs before samples before accessions; none of them is a problem."""
     for mode in ("existing_overhangs", "samples", "accessions"):

@@ -31,3 +31,8 @@ def fixed(df: DataFrame, columns: list[str], digits: int = 4) -> DataFrame:
 
 def safe_name(name):
     return F.replace(name, F.lit("/"), F.lit("_"))
+
+
+def write_long(events: DataFrame, path: str) -> None:
+    """The long form of counts, a CSV folder for each sample (sample, is_element, n_events); samples without rows have none."""
+    events.repartition("sample").sortWithinPartitions("sample", "is_element").withColumn("of", F.col("sample")).write.partitionBy("of").csv(path, header=True, mode="overwrite")

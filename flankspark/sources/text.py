@@ -62,11 +62,33 @@ def overhang_header(row: DataFrame) -> Column:
     return F.when(F.col("mapq").isNull(), head).otherwise(F.concat(head, F.lit("|mapq:"), F.col("mapq").cast("string")))
 
 
+def _placed(text: DataFrame) -> DataFrame:
+    """Pieces of text files with the file and split they lie in and a number i; pieces of a split have numbers without gaps, in their order."""
+    return text.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("i"))
+
+
+def filled(lines: DataFrame, header: Column, name: str) -> DataFrame:
+    """Lines (of _placed) with the last header, at or above them, of their file; lines above the first have none.
+
+    A window fills within a split, which has a bounded size; the last header of each split is carried into the splits behind it.
+    """
+    lines = lines.withColumn("__head", header)
+    inside = Window.partitionBy("file", "block").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    last = lines.groupBy("file", "block").agg(F.max_by("__head", F.when(F.col("__head").isNotNull(), F.col("i"))).alias("__last"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last.select("file", "block", F.last("__last", ignorenulls=True).over(before).alias("__carry"))
+    own = lines.withColumn("__own", F.last("__head", ignorenulls=True).over(inside)).join(carry, ["file", "block"])
+    return own.withColumn(name, F.coalesce("__own", "__carry")).drop("__head", "__own", "__carry")
+
+
 def read_clstr(spark: SparkSession, path: str) -> DataFrame:
-    """(cluster, ordinal, length, name, is_rep, identity) of a clusterer's member lists; the representative has identity 100."""
-    groups = spark.read.text(path, lineSep=">Cluster ").where("trim(value) <> ''")
-    lines = groups.select(F.regexp_extract("value", r"^(\d+)", 1).cast("int").alias("cluster"), F.explode(F.slice(F.split("value", "\n"), 2, 1_000_000_000)).alias("line")).where("trim(line) <> ''")
-    return parse_members(lines)
+    """(cluster, ordinal, length, name, is_rep, identity) of a clusterer's member lists; the representative has identity 100.
+
+    Files are read line by line, so a cluster may be of any size; a member above the first cluster is an error.
+    """
+    lines = filled(_placed(spark.read.text(path)).where("trim(value) <> ''"), F.nullif(F.regexp_extract("value", r"^>Cluster (\d+)", 1), F.lit("")), "number")
+    members = lines.where("value not like '>Cluster%'")
+    return parse_members(members.select(must(F.col("number").isNotNull(), F.col("number"), "member before any cluster", F.col("value")).cast("int").alias("cluster"), F.col("value").alias("line")))
 
 
 def parse_members(lines: DataFrame) -> DataFrame:
@@ -82,20 +104,26 @@ def parse_members(lines: DataFrame) -> DataFrame:
 def read_fastq(spark: SparkSession, path: str | list[str], mate: int = 1) -> DataFrame:
     """(read_id, seq, qual, mate) of FASTQ records of four lines; files are split, gz is read as it is.
 
-    Records are split at an @ after a line break. Where a quality begins with @, that cuts a record in two: the first part ends with the
-    line +, the second is one line. Only these parts are brought together, in the order of their file.
+    Records are split at an @ after a line break. Where a quality begins with @, that cuts a record in two: the first part has three lines,
+    the second, which follows it, is one. Only such parts are joined, on the number of the part that comes next, which is the number behind
+    or, at the end of a split, the first one of the file's next split. Records in one piece aren't shuffled.
     """
-    text = spark.read.text(path, lineSep="\n@").select(F.regexp_replace("value", r"\r", "").alias("r"), "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("i"))
-    lines = F.size(F.split("r", "\n"))
+    text = _placed(spark.read.text(path, lineSep="\n@"))
     # The first header of a file still has its @; a part that is one line may begin with one of its own.
-    text = text.withColumn("r", F.regexp_replace("r", r"\n+$", "")).withColumn("r", F.when(lines > 1, F.regexp_replace("r", "^@", "")).otherwise(F.col("r")))
-    whole = text.where(lines == 4).select("r")
-    order = Window.partitionBy("file_path").orderBy("file_block_start", "i")
-    parts = text.where(lines != 4).withColumn("next", F.lead("r").over(order)).where(r"r rlike '\n[+][^\n]*$'")
-    records = whole.unionByName(parts.select(F.concat("r", F.lit("\n@"), "next").alias("r")))
+    text = text.withColumn("r", F.regexp_replace(F.regexp_replace("value", r"\r", ""), r"\n+$", "")).withColumn("n", F.size(F.split("r", "\n")))
+    text = text.withColumn("r", F.when(F.col("n") > 1, F.regexp_replace("r", "^@", "")).otherwise(F.col("r")))
+    splits = text.groupBy("file", "block").agg(F.min("i").alias("first"), F.max("i").alias("i"))
+    ends = splits.select("i", F.lead("first").over(Window.partitionBy("file").orderBy("block")).alias("behind"))
+    heads = text.where((F.col("n") != 4) & F.col("r").rlike("\n[+][^\n]*$")).join(ends, "i", "left")
+    heads = heads.select("r", F.when(F.col("behind").isNull(), F.col("i") + 1).otherwise(F.col("behind")).alias("next"))
+    tails = text.where("n = 1").select(F.col("i").alias("next"), F.col("r").alias("tail"))
+    # A head without a tail breaks off, and a tail without a head belongs to nothing: both are errors below, unless the tail is empty.
+    parts = heads.join(tails, "next", "full").where("r is not null or tail <> ''").select(F.concat(F.coalesce("r", F.lit("")), F.coalesce(F.concat(F.lit("\n@"), "tail"), F.lit(""))).alias("r"))
+    # So is a part that is neither.
+    records = text.where((F.col("n") == 4) | (F.col("n") != 1) & ~F.col("r").rlike("\n[+][^\n]*$")).select("r").unionByName(parts)
     x = F.split("r", "\n")
-    good = (F.size(x) == 4) & (F.length(x[1]) == F.length(x[3])) & F.startswith(x[2], F.lit("+"))
-    return records.select(F.regexp_extract(must(good, x[0], "not a FASTQ record", F.col("r")), r"^(\S+)", 1).alias("read_id"), x[1].alias("seq"), x[3].alias("qual"), F.lit(mate).alias("mate"))
+    good = (F.size(x) == 4) & (F.length(F.get(x, F.lit(1))) == F.length(F.get(x, F.lit(3)))) & F.startswith(F.get(x, F.lit(2)), F.lit("+"))
+    return records.select(F.regexp_extract(must(F.coalesce(good, F.lit(False)), x[0], "not a FASTQ record", F.col("r")), r"^(\S+)", 1).alias("read_id"), x[1].alias("seq"), x[3].alias("qual"), F.lit(mate).alias("mate"))
 
 
 def read_reads(spark: SparkSession, sample: str, files: list[str]) -> DataFrame:
@@ -201,10 +229,36 @@ def read_cds(spark: SparkSession, path: str) -> DataFrame:
 
 
 def split_glued(lines: DataFrame, names: DataFrame) -> DataFrame:
-    """(name, seq, problem) of records whose header may run into the sequence: body starts with the longest known name; the rest is sequence, upper-cased."""
+    """(name, seq, problem) of records whose header may run into the sequence: body starts with the longest known name; the rest is sequence, upper-cased.
+
+    problem is repeated for each record whose name comes more than once, be the records equal or not, and empty for one without a
+    sequence, which a writer leaves out. A body that starts with no known name is an error when it is read.
+    """
     from flankspark.operators.metadata import longest_prefix
 
     found = longest_prefix(lines.select("body"), names)
-    out = found.select("name", F.upper(F.expr("substring(body, length(name) + 1)")).alias("seq"))
-    held = out.groupBy("name").agg(F.count("*").alias("n"), F.first("seq").alias("seq"))
-    return held.select("name", "seq", F.when(F.col("n") > 1, "repeated").when(F.col("seq") == "", "empty").alias("problem"))
+    name = must(F.col("name").isNotNull(), F.col("name"), "can't split header from sequence", F.substring("body", 1, 60))
+    out = found.select(name.alias("name"), F.upper(F.expr("substring(body, length(name) + 1)")).alias("seq"))
+    times = out.groupBy("name").agg(F.count("*").alias("n"))
+    return out.join(times, "name").select("name", "seq", F.when(F.col("n") > 1, "repeated").when(F.col("seq") == "", "empty").alias("problem"))
+
+
+def read_glued(spark: SparkSession, path: str, names: DataFrame) -> DataFrame:
+    """split_glued of a FASTA file in which headers follow a sequence on its line: a record begins at every >.
+
+    A header at the start of a line ends with its line, and its name with the first space; one inside of a line is glued to what follows.
+    """
+    pieces = _placed(spark.read.text(path, lineSep=">")).where("trim(value) <> ''")
+    # What came before says whether this > stood at the start of a line: nothing, or a line break.
+    order = Window.partitionBy("file", "block").orderBy("i")
+    last = pieces.groupBy("file", "block").agg(F.max_by("value", "i").alias("last"))
+    carry = last.select("file", "block", F.lag("last").over(Window.partitionBy("file").orderBy("block")).alias("carry"))
+    own = pieces.withColumn("before", F.lag("value").over(order)).join(carry, ["file", "block"]).withColumn("before", F.coalesce("before", "carry"))
+    starts = F.col("before").isNull() | F.col("before").rlike(r"[\r\n]$")
+    flat = F.regexp_replace("value", r"\s+", "")
+    line = F.split("value", r"\r?\n", 2)
+    plain = own.where(starts).select(F.regexp_extract(line[0], r"^(\S*)", 1).alias("name"), F.upper(F.regexp_replace(F.coalesce(F.get(line, F.lit(1)), F.lit("")), r"\s+", "")).alias("seq"))
+    glued = split_glued(own.where(~starts).select(flat.alias("body")), names).drop("problem")
+    out = plain.unionByName(glued)
+    times = out.groupBy("name").agg(F.count("*").alias("n"))
+    return out.join(times, "name").select("name", "seq", F.when(F.col("n") > 1, "repeated").when(F.col("seq") == "", "empty").alias("problem"))

@@ -1 +1 @@
-
+"""Work that goes on as samples arrive."""

@@ -1,8 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from flankspark.sources import sinks, text
-from flankspark.sources.config import Config, ConfigError, input_mode
+from flankspark.sources import archives, sinks, text
+from flankspark.sources.config import Config, ConfigError, archive_samples, input_mode, load
 
 
 def test_fasta(spark, tmp_path):
@@ -130,3 +130,94 @@ def test_config():
     with pytest.raises(ConfigError) as e:
         c.check()
     assert len(str(e.value).splitlines()) == 3
+
+
+def test_lists_and_reads_over_splits(spark, tmp_path):
+    """Files cut into many splits: a cluster larger than a split, records that a split cuts at a quality that begins with @, and two files."""
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    clusters = [(c, i) for c, n in ((0, 1), (1, 400), (2, 3), (7, 60)) for i in range(n)]
+    lines = []
+    for c, i in clusters:
+        lines += [f">Cluster {c}"] * (i == 0) + [f"{i}\t90nt, >s{i}... " + ("*" if i == 0 else "at +/97.50%")]
+    (tmp_path / "c").mkdir()
+    for part in "ab":
+        (tmp_path / "c" / f"{part}.clstr").write_text("\n".join(lines) + "\n")
+    (tmp_path / "q").mkdir()
+    reads = [(f"r{i}", "ACGT" * (i % 7 + 1), "@+I@"[: 1 + i % 3] + "I" * (4 * (i % 7 + 1) - 1 - i % 3)) for i in range(500)]
+    for part in "ab":
+        (tmp_path / "q" / f"{part}.fq").write_text("".join(f"@{part}{n} x\n{s}\n+\n{q}\n" for n, s, q in reads))
+    try:
+        for size in ("300", "1000", "1g"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            got = text.read_clstr(spark, str(tmp_path / "c"))
+            assert sorted((r.cluster, r.ordinal) for r in got.collect()) == sorted(clusters * 2)
+            got = text.read_fastq(spark, str(tmp_path / "q")).collect()
+            assert sorted((r.read_id, r.seq, r.qual) for r in got) == sorted((p + n, s, q) for n, s, q in reads for p in "ab")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    for bad in ("@a\nACGT\n+\n", "@a\nACGT\n+\nIII\n", "@a\nACGT\n+\nIIII\n@b\n", "@a\nAC\nGT\n+\nIIII\n"):
+        (tmp_path / "bad.fq").write_text(bad)
+        with pytest.raises(Exception, match="not a FASTQ record"):
+            text.read_fastq(spark, str(tmp_path / "bad.fq")).collect()
+
+
+def test_glued_files(spark, tmp_path):
+    names = spark.createDataFrame([("IS1",), ("IS10",), ("IS2",)], "name string")
+    (tmp_path / "a.fa").write_text(">one first\nAC\ngt>IS10ac\nTT\n>two\nGG>IS1>IS2cc>IS2cc\n")
+    got = sorted(tuple(r) for r in text.read_glued(spark, str(tmp_path / "a.fa"), names).collect())
+    assert got == sorted([("one", "ACGT", None), ("IS10", "ACTT", None), ("two", "GG", None), ("IS1", "", "empty"), ("IS2", "CC", "repeated"), ("IS2", "CC", "repeated")])
+    (tmp_path / "a.fa").write_text(">one\nAC>unknownGT\n")
+    with pytest.raises(Exception, match="can't split header"):
+        text.read_glued(spark, str(tmp_path / "a.fa"), names).collect()
+    same = spark.createDataFrame([("IS2a",), ("IS2a",)], "body string")
+    assert [r.problem for r in text.split_glued(same, names).collect()] == ["repeated"] * 2
+
+
+def test_table_archives(spark, tmp_path):
+    at = str(tmp_path / "z")
+    rows = spark.createDataFrame([("S1", "E/1", 5, None), ("S1", "E2", 6, "no_hit"), ("S2", "E2", 7, "x")], "sample string, is_element string, n int, hit_type string")
+    archives.write_archives(rows, at, samples=spark.createDataFrame([("S1",), ("S2",), ("none",)], "sample string"))
+    assert sorted(p.name for p in (tmp_path / "z").iterdir()) == ["S1.zip", "S2.zip", "none.zip"]
+    back = archives.read_tables(spark, at, "n int, hit_type string")
+    assert sorted(map(tuple, back.collect())) == [("S1", "E/1", 5, None, None), ("S1", "E2", 6, "no_hit", None), ("S2", "E2", 7, "x", None)]
+    (tmp_path / "z" / "bad.zip").write_bytes(b"no zip")
+    again = archives.read_tables(spark, at, "n int", ["E/1"])
+    assert sorted((r.sample, r.n, r.problem is None) for r in archives.read_tables(spark, at, "n int").collect())[2:] == [("S2", 7, True), ("bad", None, False)]
+    assert [tuple(r)[:3] for r in again.collect()] == [("S1", "E/1", 5)]
+
+
+def test_flank_archives_are_opened_by_their_manifests(spark, tmp_path):
+    at = tmp_path / "t"
+    flanks = [(s, e, b, f"{s}|r{i}|{e}", "ACGT"[: i + 1], "IS") for s, e in (("S1", "E1"), ("S1", "E/2"), ("S2", "E3")) for b in ("left", "ambiguous") for i in range(2)]
+    archives.write_archives(spark.createDataFrame(flanks, "sample string, is_element string, bucket string, header string, seq string, database string"), str(at), "flanks")
+    assert sorted(map(tuple, archives.read_flanks(spark, str(at)).collect())) == sorted((*f[:5], None) for f in flanks)
+    assert {r.is_element for r in archives.read_flanks(spark, str(at), ["E/2"]).collect()} == {"E/2"}
+    # Three archives that aren't any, two with a manifest beside them: that which has a wanted element is opened, and found bad.
+    for name, entries in (("B1", "E1\tleft\t3"), ("B2", "E3\tleft\t4\nE1\tleft\t0"), ("B3", None)):
+        (at / f"{name}.tar.gz").write_bytes(b"no archive")
+        if entries:
+            (at / name).mkdir()
+            (at / name / f"{name}.manifest.tsv").write_text("is_element\tside\tn_seqs\n" + entries + "\n")
+    plan = archives.read_flanks(spark, str(at), ["E1", "E9"])
+    found = plan.where("is_element = 'E1'").collect() + archives.read_flanks(spark, str(at)).where("problem is not null").collect()
+    assert len([r for r in found if r.is_element == "E1"]) == 4
+    raw = archives._Reader({"kind": "flanks", "path": str(at)}, archives.Archives({}).schema() and spark.createDataFrame([], archives.FLANKS).schema)
+    assert list(raw.pushFilters([archives.In(("is_element",), ("E1", "E9"))])) == []
+    opened = [r[0] for p in raw.partitions() for r in raw.read(p) if r[-1]]
+    assert opened == ["B1", "B3"]
+
+
+def test_settings_from_a_file(tmp_path):
+    (tmp_path / "c.yaml").write_text("inputs:\n  existing_overhangs: old\nlimits:\n  max_edit: 0.1\n  bad: x\n")
+    c = load(str(tmp_path / "c.yaml"))
+    assert input_mode(c) == "existing_overhangs" and c.number("limits.max_edit", 1) == 0.1 and c.file("inputs.existing_overhangs") == str(tmp_path / "old")
+    assert archive_samples(c, ["S2.tar.gz", "S1.tar.gz", "S1.v2.tar.gz", "notes.txt"]) == ["S1", "S2"]
+    c.check()
+    archive_samples(c, ["a.b.tar.gz"])
+    c.number("limits.bad", 1)
+    with pytest.raises(ConfigError, match="no archives(?s:.*)not a number"):
+        c.check()
+    (tmp_path / "d.yaml").write_text("- 1\n")
+    assert load(str(tmp_path / "d.yaml")).problems
