@@ -706,3 +706,35 @@ def test_tokens_after_dotted_words():
         found = [c for c in secrets.scan(f"{before}{token} end")["confirmed"] if c["kind"] == "token"]
         assert [(c["start"], c["end"], c["what"]) for c in found] == [(len(before), len(before) + len(token), "HS256")]
     assert [c["kind"] for c in secrets.scan(f"{token}.{token}")["confirmed"]] == ["token", "token"]
+
+
+def test_scores_equal_an_independent_forward_pass(spark, monkeypatch):
+    """Whole documents, one token at a time in doubles, from the weights and the vocabulary that the operator fitted."""
+    r = random.Random(19)
+    words = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(r.choice(words[: r.choice([30, 300, 3000])]) for _ in range(r.randrange(1, 120))) for _ in range(150)] + [None, "", "never seen before", " ".join(r.choice(words[:50]) for _ in range(3000))]
+    kept = {}
+    for name in ("fit_vocabulary", "fit_network"):
+        monkeypatch.setattr(language_model, name, lambda *a, own=getattr(language_model, name), name=name, **b: kept.setdefault(name, own(*a, **b)))
+    got = {x.doc_id: x for x in language_model.score_documents(documents(spark, texts)).collect()}
+    v, w = kept["fit_vocabulary"][0], {k: x.astype(np.float64) for k, x in language_model.unpack(kept["fit_network"]).items()}
+    h, each = language_model.HIDDEN, language_model.EACH
+    counts = Counter(x for i, t in enumerate(texts) if not got[i].held_out for x in (t or "").split())
+    at = {}
+    for x in {y for t in texts for y in (t or "").split()}:
+        data = x.encode()
+        place, known = v.find(common.words_of(np.frombuffer(data, np.uint8), np.array([0, len(data)]), common.SPACED).hashes)
+        at[x] = (int(v.symbols[place[0]]), float(v.share[place[0]])) if known[0] else (language_model.RARE, math.log10((counts[x] + 1) / v.rare_total))
+    squash = lambda a: 1 / (1 + np.exp(-a))
+    for i, t in enumerate(texts):
+        state, before, total = np.zeros(h), language_model.END, 0.0
+        for symbol, share in [*[at[x] for x in (t or "").split()], (language_model.END, 0.0)]:
+            x = w["e"][before] @ w["x"]
+            gates = squash(x[: 2 * h] + state @ w["g"])
+            z, reset = gates[:h], gates[h:]
+            state = (1 - z) * state + z * np.tanh(x[2 * h :] + (reset * state) @ w["c"])
+            row = np.append(state, 1.0)
+            outer, inner = row @ w["v"], row @ w["u"][symbol // each]
+            total += (outer[symbol // each] - np.log(np.exp(outer).sum()) + inner[symbol % each] - np.log(np.exp(inner).sum())) / math.log(10) + share
+            before = symbol
+        assert abs(got[i].score - total) < 1e-3 + 2e-5 * abs(total), (i, got[i].score, total)
