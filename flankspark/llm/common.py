@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from flankspark.functions.graph import checkpoint_folder, cut_lineage
 
 U64 = np.uint64
-#: Rows of an Arrow batch; with texts of some kB a batch stays near 8 MB.
-BATCH_ROWS = 2000
+#: Rows and bytes of an Arrow batch, at most; a longer text is a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
 #: Bytes of text that are tokenised at once; a longer text forms a block of its own.
 BLOCK_BYTES = 1 << 19
 
@@ -35,8 +35,9 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def batched(spark: SparkSession) -> None:
-    """Keeps Arrow batches small enough for long texts. Plans run later, so this is one value for the session, the same for all operators."""
+    """Keeps Arrow batches small enough for long texts. Plans run later, so these are values for the session, the same for all operators."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def most_frequent(counts: DataFrame, key: str, n: str, most: int) -> list[tuple[int, int]]:
