@@ -37,16 +37,16 @@ def _star(links: DataFrame, larger_only: bool) -> DataFrame:
     return tied.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u != v")
 
 
-def connected_components(edges: DataFrame, left: str = "u", right: str = "v", rounds: int = 50) -> DataFrame:
+def connected_components(edges: DataFrame, left: str = "u", right: str = "v") -> DataFrame:
     """(node, component) for every node that has an edge to another; component is the least node of its component.
 
     Each round ties every node to the least node that it or its neighbours know; the number of rounds grows with the logarithm of the
-    longest path. Rounds write their edges to the checkpoint folder, so a lost executor costs one round at most.
+    longest path, and they end when one changes nothing. Rounds write their edges to the checkpoint folder, so a lost executor costs one round at most.
     """
     now = edges.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v")).where("u != v").distinct()
     now = cut_lineage(now)
     mark = None
-    for _ in range(rounds):
+    while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both, True).distinct()
         # Of each edge the larger end is u already.
@@ -55,6 +55,4 @@ def connected_components(edges: DataFrame, left: str = "u", right: str = "v", ro
         if tuple(seen) == mark:
             break
         mark = tuple(seen)
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
