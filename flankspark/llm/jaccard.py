@@ -13,8 +13,8 @@ hashes are dealt:
 A band takes what its signatures and the sets expected to share them by chance cost less (see plan). Frequencies for the order are
 gathered from all documents: each batch reports shingles that several of its texts share, and the sums rank them.
 
-Equal sets are one class. Signatures meet by a shuffle; the least class of a bucket leads it. Where a block of texts holds a signature
-many times, one of these rows goes to the bucket for all, and the others to SALTS parts of it, which learn the leader by a join; so a
+Equal sets are one class. Signatures meet by a shuffle; the least class of a bucket leads it. Where a task meets a signature many times,
+only rows below its least one so far go to the bucket, and the others to SALTS parts of it, which learn the leader by a join; so a
 signature that a third of all texts have isn't put together in one task. A leader and its members are compared in
 blocks of bounded size, in two steps. First by parities: the universe is dealt to about twice as many segments as a set has elements, and
 one bit a segment says whether the set has an odd number of elements there. Sets that differ in H elements differ in at most H of these
@@ -55,8 +55,10 @@ AT_ONCE = 1 << 20
 CHUNK, PART, COLUMNS = 256, 512, 4096
 #: Shingles of the members of a block, about; so blocks of long texts hold fewer. Two texts are compared at any length.
 HELD = 1 << 22
-#: A signature that so many classes of a block of texts share is dealt to so many parts.
+#: A signature that a task has met so many times is dealt to so many parts.
 HOT, SALTS = 8, 64
+#: Counters of a task.
+COUNTERS = 1 << 20
 PARTS = seeds(WIDTH, 41)
 SHORT, BAND, SEGMENT = seeds(3, 43)
 EMPTY = np.iinfo(np.int64).max
@@ -276,6 +278,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sign(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts = shared.value
+        seen = Seen()
         for batch in batches:
             known: set[int] = set()
             for _, values, places, ids in _set_batches(batch.column(1)):
@@ -295,20 +298,43 @@ def _sign(shared):
                     owners.append(np.full(len(found[-1]), node, U64))
                 if found:
                     sig, node = signed(np.concatenate(found)), signed(np.concatenate(owners))
-                    yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(node), pa.array(salted(sig, node))], names=["sig", "node", "salt"])
+                    yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(node), pa.array(salted(sig, node, seen))], names=["sig", "node", "salt"])
 
     return run
 
 
-def salted(sig: np.ndarray, node: np.ndarray) -> np.ndarray:
-    """0 for rows of signatures that few rows here have; of the others -1 for the least node's, which goes to the bucket, and 1 to SALTS for the rest."""
+class Seen:
+    """How often a task has met each signature, in counters that several may share, and of hot ones the least node that it has sent to the bucket."""
+
+    def __init__(self):
+        self.counts: np.ndarray = np.zeros(COUNTERS, np.int32)
+        self.sent: dict[int, int] = {}
+
+
+def salted(sig: np.ndarray, node: np.ndarray, seen: Seen | None = None) -> np.ndarray:
+    """0 for rows of signatures that the task has met few times up to here; of the others -1 for a node below all that it has sent before, which goes to the bucket, and 1 to SALTS for the rest.
+
+    So a task sends some rows for a hot signature, however many texts it has, and the least node of all is among those that meet in the
+    bucket. A counter may say more than there are; a signature that is dealt early for that loses nothing.
+    """
+    seen = seen or Seen()
     order = np.lexsort((node, sig))
     heads = np.flatnonzero(np.diff(sig[order], prepend=~sig[order[:1]]))
-    held = np.diff(heads, append=len(sig))
+    held, keys = np.diff(heads, append=len(sig)), sig[order[heads]]
+    slot = (mix(keys.view(U64)) & U64(COUNTERS - 1)).astype(np.int64)
+    np.add.at(seen.counts, slot, held.astype(np.int32))
+    hot = seen.counts[slot] >= HOT
+    # Far from an overflow: a counter that is hot stays so.
+    np.minimum(seen.counts, 1 << 20, out=seen.counts)
     out = np.zeros(len(sig), np.int32)
-    hot = np.repeat(held >= HOT, held)
-    out[order[hot]] = 1 + (mix(node[order[hot]].view(U64) ^ BAND) % U64(SALTS)).astype(np.int32)
-    out[order[heads[held >= HOT]]] = -1
+    parts = np.repeat(hot, held)
+    out[order[parts]] = 1 + (mix(node[order[parts]].view(U64) ^ BAND) % U64(SALTS)).astype(np.int32)
+    new, least = [], node[order[heads]]
+    for i, k, n in zip(np.flatnonzero(hot).tolist(), keys[hot].tolist(), least[hot].tolist(), strict=True):
+        if n < seen.sent.get(k, EMPTY) or k not in seen.sent:
+            seen.sent[k] = n
+            new.append(i)
+    out[order[heads[new]]] = -1
     return out
 
 

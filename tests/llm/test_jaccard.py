@@ -81,6 +81,22 @@ def test_pairs_of_hot_signatures(spark):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_a_task_sends_few_rows_of_a_hot_signature(spark, monkeypatch):
+    """Blocks that hold a signature fewer than HOT times each: what counts is the task's sum."""
+    r = random.Random(4)
+    seen, rows = jaccard.Seen(), []
+    for block in range(400):
+        sig, node = np.array([7] * 5 + [1000 + block], np.int64), np.array([r.randrange(-(10**12), 10**12) for _ in range(6)], np.int64)
+        rows += [tuple(map(int, x)) for x in zip(sig, node, jaccard.salted(sig, node, seen), strict=True)]
+    hot = [x for x in rows if x[0] == 7]
+    to_bucket = [n for _, n, salt in hot if salt <= 0]
+    assert len(to_bucket) < 60 and min(to_bucket) == min(n for _, n, _ in hot)
+    assert all(salt == 0 for s, _, salt in rows if s != 7)
+    got = {tuple(x) for x in jaccard.leader_pairs(spark.createDataFrame(rows, "sig long, node long, salt int")).collect()}
+    least = min(n for _, n, _ in hot)
+    assert got == {(least, n) for _, n, _ in hot} - {(least, least)}
+
+
 def test_edges(spark):
     long = " ".join(f"x{i}" for i in range(30000))
     docs = [(1, None), (2, ""), (3, " \t\n"), (4, "One two"), (5, "one  TWO"), (6, long), (7, long + " more"), (9, "a b c d e"), (8, "a b c d e"), (8, "a b c d e"), (10, "É é É é É"), (11, "é é é é é")]
