@@ -11,7 +11,7 @@ from flankspark.jobs.catalogue import ORACLES, query
 from flankspark.jobs.flanks import FILTERED, OVERHANGS, alignments, filtered
 from flankspark.jobs.formats import PARTS, parts, place
 from flankspark.jobs.loci import DISRUPTION, NESTED, disruption, nested_rows
-from flankspark.operators import alignment, identity, metadata, nested
+from flankspark.operators import alignment, identity, metadata, nested, placement
 from flankspark.sources import archives, bam, sinks, text
 from flankspark.streaming.samples import run_new_samples
 from flankspark.tables import table
@@ -175,5 +175,47 @@ def q72_long_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.csv(at, header=True, schema="sample string, is_element string, n_events long").select("sample", "is_element", "n_events")
 
 
+@query("SELECT concat('n', cast(n_nationkey AS string)) AS Accession, n_name AS Sample FROM nation UNION ALL SELECT concat('s', cast(s_suppkey AS string)), s_name FROM supplier")
+def q73_listed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables named in a list file, by wildcards and one by one; one of them is empty."""
+    at = place(spark)
+    for folder, source, key in (("a/n", "nation", "n_nationkey"), ("b", "supplier", "s_suppkey"), ("c", "region", "r_regionkey")):
+        rows = table(spark, sf_dir, source).select(F.concat(F.lit(source[0]), F.col(key).cast("string")).alias("Accession"), F.col(f"{source[0]}_name").alias("Sample"))
+        sinks.write_tsv(rows.where("false") if source == "region" else rows, f"{at}/{folder}")
+    lines = spark.createDataFrame([("# tables",), (f"{at}/a/*",), ("",), (f"{at}/b",), (f"{at}/c",)], "value string")
+    lines.write.text(f"{at}/list")
+    return text.read_listed(spark, f"{at}/list", "Accession string, Sample string")
+
+
+@query("SELECT p_partkey::BIGINT AS id, p_name AS name, concat('run', cast(p_size % 3 AS string)) AS run FROM part")
+def q74_tagged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of three runs, each row tagged with the run that its file's path names."""
+    at = place(spark)
+    p = table(spark, sf_dir, "part")
+    for k in range(3):
+        sinks.write_tsv(p.where(F.col("p_size") % 3 == k).select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name")), f"{at}/run{k}.tables")
+    return text.read_tagged(spark, f"{at}/*.tables", "id long, name string", r"/(run\d+)\.tables/", "run")
+
+
+@query(
+    f"""WITH {sql("features")}, {sql("intervals")}, p AS (SELECT DISTINCT chrom, start AS pos FROM intervals),
+j AS (SELECT p.chrom, p.pos, concat('g', cast(feature_id AS string)) AS gene, row_number() OVER (PARTITION BY p.chrom, p.pos ORDER BY f.start, f.end_, concat('g', cast(feature_id AS string))) AS r FROM p JOIN features f ON f.chrom = p.chrom AND f.start <= p.pos AND p.pos <= f.end_)
+SELECT chrom, pos, gene FROM j WHERE r = 1"""
+)
+def q75_first_closed_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    genes = view(spark, sf_dir, "features").select("chrom", "start", F.col("end_").alias("end"), F.concat(F.lit("g"), F.col("feature_id").cast("string")).alias("gene"))
+    points = view(spark, sf_dir, "intervals").select("chrom", F.col("start").alias("pos")).distinct()
+    return placement.first_gene_closed(points, genes, ["chrom"], ["chrom", "pos"], "pos").select("chrom", "pos", "gene")
+
+
+@query(f"{OVERHANGS} SELECT sample, read_id, is_element, cast(pos AS string) AS pos, side, strand, CASE WHEN mapq % 2 = 0 THEN round_even(pident, 2) END AS pident FROM cut")
+def q76_legacy_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers without a mapq, parsed by the older format, and numbers from texts that may be empty."""
+    cut = alignment.overhangs(filtered(spark, sf_dir))
+    old = cut.withColumnRenamed("mapq", "quality").withColumn("mapq", F.lit(None).cast("int"))
+    number = F.when(F.col("quality") % 2 == 0, F.format_string("%.2f", F.col("h.pident"))).otherwise("")
+    return old.select("quality", text.parse_overhang_header(text.overhang_header(old), legacy=True).alias("h")).select("h.sample", "h.read_id", "h.is_element", "h.pos", "h.side", "h.strand", text.to_float(number).alias("pident"))
+
+
 NO_SQL = frozenset({"q65_identity_clusters"})
 assert not NO_SQL & set(ORACLES)

@@ -46,9 +46,11 @@ def union_references(tables: list[DataFrame]) -> DataFrame:
     return held.select(must(F.col("n") == 1, F.col("reference"), "reference in more than one database", F.col("reference")).alias("reference"), "database", "length")
 
 
-def parse_overhang_header(header: Column) -> Column:
-    """A struct of the fields of an overhang's header; another format is an error."""
+def parse_overhang_header(header: Column, legacy: bool = False) -> Column:
+    """A struct of the fields of an overhang's header; another format is an error. Of legacy headers, so is one with a mapq."""
     ok = header.rlike(HEADER)
+    if legacy:
+        ok &= ~header.contains("|mapq:")
     field = lambda i: F.regexp_extract(must(ok, header, "not an overhang header", header), HEADER, i)
     return F.struct(
         field(1).alias("sample"), field(2).alias("read_id"), field(3).alias("is_element"), field(4).alias("pos"), field(5).alias("side"), field(6).alias("strand"),
@@ -207,6 +209,22 @@ def read_tagged(spark: SparkSession, paths: str | list[str], schema: str, patter
     return read_tsv(spark, paths, schema).withColumn(tag, F.regexp_extract(F.input_file_name(), pattern, 1))
 
 
+def read_listed(spark: SparkSession, lists: str, schema: str) -> DataFrame:
+    """The tables whose paths, which may hold wildcards, are the lines of a file; empty tables have no rows, blank lines and those with # are passed over.
+
+    The paths come to the driver, which plans the scan of their files anyway.
+    """
+    paths = [r[0] for r in spark.read.text(lists).select(F.trim("value")).where("trim(value) <> '' and value not like '#%'").distinct().collect()]
+    if not paths:
+        raise ValueError(f"{lists} lists no tables")
+    return read_tsv(spark, sorted(paths), schema)
+
+
+def to_float(value: Column) -> Column:
+    """The number that a text is, null for an empty one; anything else is an error."""
+    return F.nullif(F.trim(value), F.lit("")).cast("double")
+
+
 def accessions(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.select(F.explode(F.regexp_extract_all(F.col(column), F.lit(r"([ESD]RR\d+)"), F.lit(1))).alias("accession")).distinct()
 

@@ -19,6 +19,10 @@ def test_headers(spark):
     df = spark.createDataFrame([(h,) for h in good], "h string")
     got = [tuple(r[0]) for r in df.select(text.parse_overhang_header(F.col("h"))).collect()]
     assert got == [("S", "r1", "E", "5", "left", "+", 98.5, 12), ("S", "r1", "E", "5", "left", "+", 98.5, None)]
+    old = spark.createDataFrame([(good[1],)], "h string")
+    assert old.select(text.parse_overhang_header(F.col("h"), legacy=True)).first()[0].mapq is None
+    with pytest.raises(Exception, match="not an overhang header"):
+        spark.createDataFrame([(good[0],)], "h string").select(text.parse_overhang_header(F.col("h"), legacy=True)).collect()
     with pytest.raises(Exception, match="not an overhang header"):
         spark.createDataFrame([(good[0].replace("strand:+", "strand:x"),)], "h string").select(text.parse_overhang_header(F.col("h"))).collect()
 
@@ -116,6 +120,9 @@ def test_sinks(spark, tmp_path):
     sinks.write_table(df, str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).count() == 1
     sinks.write_tsv(df.where("false"), str(tmp_path / "e"), True)
+    assert [f.suffixes[-1] for f in (tmp_path / "e").glob("part-*")] == [".gz"]
+    empty = text.read_tsv(spark, str(tmp_path / "e"), "sample string, is_element string, x double")
+    assert empty.count() == 0 and empty.columns == df.columns
     sinks.write_summary(df, str(tmp_path / "s"), "x")
     assert sinks.fixed(df, ["x"]).first().x == "1.0000"
     assert df.select(sinks.safe_name(F.col("is_element"))).first()[0] == "a_b"
