@@ -95,8 +95,8 @@ def _indexed_leaders(distinct: DataFrame, keys: list[str], fraction: float) -> D
     return items.join(placed, "__pos").join(groups, "__g").select(*keys, F.col("__t").alias("__x"), "seed")
 
 
-def leader_clusters(items: DataFrame, keys: list[str], fraction: float, id_col: str = "read_id", cmp: str = "cmp") -> DataFrame:
-    """(keys, id, cmp, seed): the number of the seed that each item joins; longest first, then by id and sequence."""
+def leaders(items: DataFrame, keys: list[str], fraction: float, id_col: str = "read_id", cmp: str = "cmp") -> DataFrame:
+    """(keys, cmp, seed): the number of the seed that each distinct sequence joins; longest first, then by id and sequence."""
     distinct = items.groupBy(*keys, F.col(cmp).alias("__x")).agg(F.min(id_col).alias("__id"))
     large = distinct.groupBy(*keys).count().where(F.col("count") > FOLDED).drop("count")
     indexed = not large.isEmpty()
@@ -107,17 +107,25 @@ def leader_clusters(items: DataFrame, keys: list[str], fraction: float, id_col:
     found = found.select(*keys, F.explode(F.arrays_zip("__all", "__own")).alias("z")).select(*keys, F.col("z.__all").alias(cmp), F.col("z.__own").alias("seed"))
     if indexed:
         found = found.unionByName(_indexed_leaders(distinct.join(large, keys, "left_semi"), keys, fraction).withColumnRenamed("__x", cmp))
-    return items.join(found, [*keys, cmp])
+    return found
+
+
+def leader_clusters(items: DataFrame, keys: list[str], fraction: float, id_col: str = "read_id", cmp: str = "cmp") -> DataFrame:
+    """items with seed, the number of the seed that each joins."""
+    return items.join(leaders(items, keys, fraction, id_col, cmp), [*keys, cmp])
 
 
 def cluster_reads(overhangs: DataFrame, keys: tuple[str, ...] = ("sample", "is_element", "side"), max_edit: float = 0.10, merge_edit: float = 0.15, min_size: int = 2) -> DataFrame:
     """(keys, read_id, seq, cluster_id, representative_sequence): leaders, then leaders of leaders at the looser budget, then clusters of at least min_size reads, numbered from 0 in order of their seeds."""
     keys = list(keys)
     items = overhangs.withColumn("cmp", compared(F.col("seq"), F.col("side")))
-    first = leader_clusters(items, keys, max_edit)
+    # Distinct sequences with their seeds are few against reads, and are used three times.
+    own = cut_lineage(leaders(items, keys, max_edit))
+    first = items.join(own, [*keys, "cmp"])
     # The first read in order of each cluster, by aggregates that combine before the shuffle.
     rank = F.struct((-F.length("cmp")).alias("o"), "read_id", "cmp")
-    seeds = first.groupBy(*keys, "seed").agg(F.min(rank).alias("x")).select(*keys, F.col("seed").alias("first_seed"), "x.read_id", "x.cmp")
+    seeds = items.groupBy(*keys, "cmp").agg(F.min("read_id").alias("read_id")).join(own, [*keys, "cmp"]).groupBy(*keys, "seed").agg(F.min(rank).alias("x")).select(*keys, F.col("seed").alias("first_seed"), "x.read_id", "x.cmp")
+    seeds = cut_lineage(seeds)
     merged = leader_clusters(seeds, keys, merge_edit).select(*keys, F.col("first_seed").alias("seed"), F.col("seed").alias("merged"))
     all_reads = first.join(merged, [*keys, "seed"])
     sized = all_reads.groupBy(*keys, "merged").agg(F.count("*").alias("n"), F.min_by("seq", rank).alias("representative_sequence")).where(F.col("n") >= min_size)
