@@ -57,7 +57,7 @@ CHUNK, PART, COLUMNS = 256, 512, 4096
 HELD = 1 << 22
 #: A signature that a task has met so many times is dealt to so many parts.
 HOT, SALTS = 8, 64
-#: Counters of a task.
+#: Counters of a task, a power of two.
 COUNTERS = 1 << 20
 PARTS = seeds(WIDTH, 41)
 SHORT, BAND, SEGMENT = seeds(3, 43)
@@ -304,28 +304,42 @@ def _sign(shared):
 
 
 class Seen:
-    """How often a task has met each signature, in counters that several may share, and of hot ones the least node that it has sent to the bucket."""
+    """How often a task has met each signature of late, and of hot ones the least node that it has sent to the bucket.
+
+    A signature has a counter in each of two rows and several may share one, so the lesser counts. Counters are halved whenever as many rows
+    as there are counters have come, so how many are shared doesn't grow with the task.
+    """
 
     def __init__(self):
-        self.counts: np.ndarray = np.zeros(COUNTERS, np.int32)
+        self.counts: np.ndarray = np.zeros((2, COUNTERS), np.int32)
+        self.met = 0
         self.sent: dict[int, int] = {}
 
+    def add(self, keys: np.ndarray, held: np.ndarray) -> np.ndarray:
+        """Counts distinct keys as often as they are held; how often each has been met."""
+        h = mix(keys.view(U64))
+        slots = [((h >> U64(k)) & U64(COUNTERS - 1)).astype(np.int64) for k in (0, 32)]
+        for row, slot in zip(self.counts, slots, strict=True):
+            np.add.at(row, slot, held.astype(np.int32))
+        out = np.minimum(self.counts[0][slots[0]], self.counts[1][slots[1]])
+        self.met += int(held.sum())
+        while self.met >= COUNTERS:
+            self.counts >>= 1
+            self.met //= 2
+        return out
+
 
 def salted(sig: np.ndarray, node: np.ndarray, seen: Seen | None = None) -> np.ndarray:
-    """0 for rows of signatures that the task has met few times up to here; of the others -1 for a node below all that it has sent before, which goes to the bucket, and 1 to SALTS for the rest.
+    """0 for rows of signatures that the task has met few times of late; of the others -1 for a node below all that it has sent before, which goes to the bucket, and 1 to SALTS for the rest.
 
     So a task sends some rows for a hot signature, however many texts it has, and the least node of all is among those that meet in the
-    bucket. A counter may say more than there are; a signature that is dealt early for that loses nothing.
+    bucket. A counter may say a little more than there are; a signature that is dealt early for that loses nothing.
     """
     seen = seen or Seen()
     order = np.lexsort((node, sig))
     heads = np.flatnonzero(np.diff(sig[order], prepend=~sig[order[:1]]))
     held, keys = np.diff(heads, append=len(sig)), sig[order[heads]]
-    slot = (mix(keys.view(U64)) & U64(COUNTERS - 1)).astype(np.int64)
-    np.add.at(seen.counts, slot, held.astype(np.int32))
-    hot = seen.counts[slot] >= HOT
-    # Far from an overflow: a counter that is hot stays so.
-    np.minimum(seen.counts, 1 << 20, out=seen.counts)
+    hot = seen.add(keys, held) >= HOT
     out = np.zeros(len(sig), np.int32)
     parts = np.repeat(hot, held)
     out[order[parts]] = 1 + (mix(node[order[parts]].view(U64) ^ BAND) % U64(SALTS)).astype(np.int32)
@@ -385,7 +399,9 @@ def leader_pairs(rows: DataFrame) -> DataFrame:
         return pairs
     of = F.pmod(F.xxhash64("b"), F.lit(SALTS))
     every = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
-    by = found.where(F.col("kind") == LED_BY).select(F.col("a").alias("sig"), F.col("b").alias("leader"), F.explode(every).alias("part"))
+    # Most signatures that are hot in one task have no row in any part; only leaders that a part asks for are sent to all parts.
+    asked = found.where(F.col("kind") == LED_BY).select(F.col("a").alias("sig"), F.col("b").alias("leader")).join(led.select("sig").distinct(), "sig", "left_semi")
+    by = asked.withColumn("part", F.explode(every))
     more = led.withColumn("part", of).join(by, ["sig", "part"]).where("leader != b").select(F.col("leader").alias("a"), "b")
     return cut(pairs.unionByName(more).distinct())
 

@@ -97,6 +97,19 @@ def test_a_task_sends_few_rows_of_a_hot_signature(spark, monkeypatch):
     assert got == {(least, n) for _, n, _ in hot} - {(least, least)}
 
 
+def test_signatures_of_a_long_task_stay_cold(monkeypatch):
+    """Many signatures that a task meets once each share counters, however few of them there are."""
+    monkeypatch.setattr(jaccard, "COUNTERS", 1 << 10)
+    r, seen, dealt = random.Random(6), jaccard.Seen(), 0
+    for _ in range(200):
+        sig, node = (np.array([r.getrandbits(63) for _ in range(500)], np.int64) for _ in range(2))
+        sig[:20] = 7
+        salt = jaccard.salted(sig, node, seen)
+        dealt += int((salt[20:] != 0).sum())
+    assert dealt < 200 * 480 // 50 and len(seen.sent) < 2000
+    assert (salt[:20] != 0).all()
+
+
 def test_edges(spark):
     long = " ".join(f"x{i}" for i in range(30000))
     docs = [(1, None), (2, ""), (3, " \t\n"), (4, "One two"), (5, "one  TWO"), (6, long), (7, long + " more"), (9, "a b c d e"), (8, "a b c d e"), (8, "a b c d e"), (10, "É é É é É"), (11, "é é é é é")]
