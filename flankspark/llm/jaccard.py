@@ -19,9 +19,9 @@ signature that a third of all texts have isn't put together in one task. A leade
 blocks of bounded size, in two steps. First by parities: the universe is dealt to about twice as many segments as a set has elements, and
 one bit a segment says whether the set has an odd number of elements there. Sets that differ in H elements differ in at most H of these
 bits, so a block drops every member without a possible partner, and loses no link. Then by the overlaps of the sets, exactly: only
-texts that are left travel. Of a leader with several blocks, the members that then are still outside of its component are compared with
-all others, in blocks too. So a large group of near copies costs in proportion to its size, and no pair is a row: a block gives at most
-as many links as it has members.
+texts that are left travel. Of a leader with several blocks, the members that then are still outside of the component that most of them
+are in are compared with all others, in blocks too, once for all leaders with that component. No pair is a row: a block gives at most as
+many links as it has members.
 
 Edge cases: a text with 1 to 4 words has its word sequence as one shingle; null texts and texts without words have an empty set and link
 with nothing; repeated rows and ties fall into one class; documents that repeat an id are judged by row; an empty table gives an empty
@@ -51,8 +51,8 @@ DOUBLING = 16
 ID_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 27
 #: Numbers that a block of parities compares at once.
 AT_ONCE = 1 << 20
-#: Strays and members of a leader that are compared in one block, and columns of its incidence at once.
-CHUNK, PART, COLUMNS = 256, 512, 4096
+#: Members of a leader that are compared in one block, and columns of its incidence at once; of open links, a block has BROAD times CHUNK strays and BROAD times PART members.
+CHUNK, PART, COLUMNS, BROAD = 256, 512, 4096, 4
 #: Shingles of the members of a block, about; so blocks of long texts hold fewer. Two texts are compared at any length.
 HELD = 1 << 22
 #: A signature that a task has met so many times is dealt to so many parts.
@@ -470,15 +470,18 @@ def may_link(odd: list[np.ndarray], sizes: np.ndarray, left: np.ndarray, right:
         for others, high in ((own, low), (above, folded)):
             if not len(others):
                 continue
-            step = max(1, AT_ONCE // (len(own) * len(others)))
-            far = np.zeros((len(own), len(others)), np.int64)
-            for k in range(0, w, step):
-                far += np.bitwise_count(low[:, None, k : k + step] ^ high[None, :, k : k + step]).sum(2, dtype=np.int64)
-            total = sizes[own][:, None] + sizes[others][None, :]
-            near = far <= total - 2 * -(-3 * total // 7)
-            near &= (own[:, None] != others[None, :]) & (left[own][:, None] & right[others][None, :] | right[own][:, None] & left[others][None, :])
-            out[own] |= near.any(1)
-            out[others] |= near.any(0)
+            rows = max(1, AT_ONCE // len(others))
+            for at in range(0, len(own), rows):
+                some, bits = own[at : at + rows], low[at : at + rows]
+                step = max(1, AT_ONCE // (len(some) * len(others)))
+                far = np.zeros((len(some), len(others)), np.int64)
+                for k in range(0, w, step):
+                    far += np.bitwise_count(bits[:, None, k : k + step] ^ high[None, :, k : k + step]).sum(2, dtype=np.int64)
+                total = sizes[some][:, None] + sizes[others][None, :]
+                near = far <= total - 2 * -(-3 * total // 7)
+                near &= (some[:, None] != others[None, :]) & (left[some][:, None] & right[others][None, :] | right[some][:, None] & left[others][None, :])
+                out[some] |= near.any(1)
+                out[others] |= near.any(0)
     return out
 
 
@@ -592,7 +595,7 @@ def _place(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, DataFram
     pairs = leader_pairs(slim.mapInArrow(_sign(ranking), "sig long, node long, salt int"))
 
     # A class has its parities in one row of each batch that it is in.
-    classes = about.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.min("n_shingles").alias("n"), F.min("odd").alias("odd"))
+    classes = cut(about.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.min("n_shingles").alias("n"), F.min("odd").alias("odd")))
     sizes = classes.select(F.col("node").alias("b"), "n")
     degree = cut(pairs.join(sizes, "b").groupBy("a").agg(blocks_of(F.count("*"), F.sum("n"), CHUNK).alias("parts")))
     edges = cut(compare_blocks(leader_blocks(pairs, degree), classes, slim))
@@ -614,32 +617,33 @@ def find_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
 
 
 def _open_links(pairs: DataFrame, degree: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame | None:
-    """Links between classes of a leader that weren't in one block, as it has several, and that still are in different components.
+    """Links between classes of a leader that weren't in one block, as it has several, and that still are in different components."""
+    rows = stray_blocks(pairs.join(degree.where("parts > 1").select("a"), "a"), labels, classes)
+    return None if rows is None else cut(compare_blocks(rows, classes, docs))
 
-    Two classes of a bucket share its leader. So of the members of such a leader, those outside of its component (the strays) are
-    compared with all others in blocks of bounded size: a member is sent once for each chunk of strays, and no pair is a row.
+
+def stray_blocks(pairs: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """Blocks (a, chunk, part, node, is_left, is_right) in which all classes of a leader of pairs(a, b), itself included, meet that labels(node, component) has in different components; None if there are none.
+
+    The component that most classes of a leader are in is its home; of two classes in different components, one at least is a stray, outside
+    of it. A large group of near copies has many leaders with much the same members, so leaders of one home, which is a in the result, are
+    taken together: each stray meets each of their members once.
     """
-    label = labels.select(F.col("node"), F.col("component"))
-    large = degree.where("parts > 1").select("a")
-    known = (
-        pairs.join(large, "a")
-        .join(label.select(F.col("node").alias("a"), F.col("component").alias("la")), "a", "left")
-        .join(label.select(F.col("node").alias("b"), F.col("component").alias("lb")), "b", "left")
-        .join(classes.select(F.col("node").alias("b"), "n"), "b")
-        .select("a", "b", "n", (F.coalesce("la", "a") != F.coalesce("lb", "b")).alias("stray"))
-    )
-    known = cut(known)
-    chunks, parts = blocks_of(F.count_if("stray"), F.coalesce(F.sum(F.when(F.col("stray"), F.col("n"))), F.lit(0)), CHUNK), blocks_of(F.count("*"), F.sum("n"), PART)
-    held = known.groupBy("a").agg(chunks.alias("chunks"), parts.alias("parts"), F.count("*").alias("members")).where("chunks > 0 and members > 1")
+    members = pairs.unionByName(pairs.select("a", F.col("a").alias("b")).distinct())
+    placed = cut(members.join(labels.select(F.col("node").alias("b"), "component"), "b", "left").select("a", "b", F.coalesce("component", "b").alias("c")))
+    homes = placed.groupBy("a", "c").agg(F.count("*").alias("n")).groupBy("a").agg(F.max(F.struct("n", "c")).alias("most"), F.count("*").alias("components")).where("components > 1")
+    known = placed.join(homes.select("a", F.col("most.c").alias("home")), "a").select(F.col("home").alias("a"), "b", (F.col("c") != F.col("home")).alias("stray")).distinct()
+    known = cut(known.join(classes.select(F.col("node").alias("b"), "n"), "b"))
+    strays = blocks_of(F.count_if("stray"), F.coalesce(F.sum(F.when(F.col("stray"), F.col("n"))), F.lit(0)), BROAD * CHUNK)
+    held = known.groupBy("a").agg(strays.alias("chunks"), blocks_of(F.count("*"), F.sum("n"), BROAD * PART).alias("parts"))
     if held.isEmpty():
         return None
-    own = known.join(held.drop("members"), "a").withColumns({"c": F.pmod(F.xxhash64("b"), "chunks"), "p": F.pmod(F.xxhash64("b", F.lit(1)), "parts")})
+    own = known.join(held, "a").withColumns({"c": F.pmod(F.xxhash64("b"), "chunks"), "p": F.pmod(F.xxhash64("b", F.lit(1)), "parts")})
     every = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
     down = F.transform(every(F.col("chunks")), lambda c: F.struct(c.alias("chunk"), F.col("p").alias("part")))
     across = F.when(F.col("stray"), F.transform(every(F.col("parts")), lambda p: F.struct(F.col("c").alias("chunk"), p.alias("part")))).otherwise(F.array().cast("array<struct<chunk:bigint,part:bigint>>"))
     rows = own.withColumn("at", F.explode(F.array_union(down, across)))
-    rows = rows.select("a", "at.chunk", "at.part", F.col("b").alias("node"), (F.col("stray") & (F.col("at.chunk") == F.col("c"))).alias("is_left"), (F.col("at.part") == F.col("p")).alias("is_right"))
-    return cut(compare_blocks(rows, classes, docs))
+    return rows.select("a", "at.chunk", "at.part", F.col("b").alias("node"), (F.col("stray") & (F.col("at.chunk") == F.col("c"))).alias("is_left"), (F.col("at.part") == F.col("p")).alias("is_right"))
 
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

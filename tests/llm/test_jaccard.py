@@ -110,6 +110,34 @@ def test_signatures_of_a_long_task_stay_cold(monkeypatch):
     assert (salt[:20] != 0).all()
 
 
+def test_leaders_of_one_home_share_their_blocks(spark):
+    """Six leaders of the same 40 near copies and 10 strays: each member is in one block, and every stray meets every member."""
+    members, strays = list(range(100, 140)), list(range(200, 210))
+    pairs = spark.createDataFrame([(a, b) for a in range(100, 106) for b in members + strays if a != b], "a long, b long")
+    labels = spark.createDataFrame([(b, 100) for b in members], "node long, component long")
+    classes = spark.createDataFrame([(b, 50) for b in members + strays], "node long, n long")
+    rows = jaccard.stray_blocks(pairs, labels, classes).collect()
+    assert len(rows) == len(members) + len(strays) and {r.a for r in rows} == {100}
+    assert {r.node for r in rows if r.is_left} == {*strays} and {r.node for r in rows if r.is_right} == {*members, *strays}
+    assert jaccard.stray_blocks(pairs.where("b < 200"), labels, classes) is None
+
+
+def test_strays_of_leaders_that_are_in_no_component(spark, monkeypatch):
+    """The leader itself is a stray where most of its members are in a component without it."""
+    monkeypatch.setattr(jaccard, "CHUNK", 2)
+    monkeypatch.setattr(jaccard, "PART", 3)
+    pairs = spark.createDataFrame([(1, b) for b in range(2, 40)], "a long, b long")
+    component = {b: 5 if b < 20 else 20 if b < 30 else b for b in range(1, 40)} | {1: 1}
+    labels = spark.createDataFrame([(b, c) for b, c in component.items() if list(component.values()).count(c) > 1], "node long, component long")
+    classes = spark.createDataFrame([(b, 9) for b in range(1, 40)], "node long, n long")
+    met, blocks = set(), {}
+    for r in jaccard.stray_blocks(pairs, labels, classes).collect():
+        blocks.setdefault((r.a, r.chunk, r.part), []).append(r)
+    for rows in blocks.values():
+        met |= {frozenset((x.node, y.node)) for x in rows for y in rows if x.is_left and y.is_right and x.node != y.node}
+    assert len(blocks) > 1 and met >= {frozenset((x, y)) for x in component for y in component if component[x] != component[y]}
+
+
 def test_edges(spark):
     long = " ".join(f"x{i}" for i in range(30000))
     docs = [(1, None), (2, ""), (3, " \t\n"), (4, "One two"), (5, "one  TWO"), (6, long), (7, long + " more"), (9, "a b c d e"), (8, "a b c d e"), (8, "a b c d e"), (10, "É é É é É"), (11, "é é é é é")]
