@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Has Spark remove the shuffle files of a run once it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir, which driver and executors share.
 
@@ -23,9 +27,19 @@ def checkpoint_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in checkpoint_folder."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint()
+    """A reliable checkpoint in checkpoint_folder. The shuffle files that it was made from go once it is written, not when the driver next collects garbage."""
+    spark = df.sparkSession
+    checkpoint_folder(spark)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        # The setting holds for frames that are made under it.
+        return df.select("*").checkpoint()
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
 
 
 def _star(links: DataFrame, larger_only: bool) -> DataFrame:
