@@ -26,6 +26,7 @@ from fractions import Fraction
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -113,6 +114,14 @@ def numbered(df: DataFrame, group: str, order: Column, parts: DataFrame) -> Data
     return out.withColumn("__n", F.col("__start") + F.col("__in")).drop("__order", "__bucket", "__start", "__in")
 
 
+def start_of(starts: np.ndarray, period: Column) -> Column:
+    """The last of the ascending starts that isn't above period, by halving; the first one isn't above any."""
+    known = F.lit(starts.astype(np.int64))
+    steps = F.lit(np.array([1 << k for k in reversed(range(len(starts).bit_length()))], np.int32))
+    at = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(known, at + step) <= period, at + step).otherwise(at))
+    return F.get(known, at)
+
+
 def mix(docs: DataFrame, weights: dict[str, int] | None = None, block_rows: int = BLOCK_ROWS, source: str = "source", id_col: str = "doc_id", text: str = "text", keep: list[str] | None = None, crc: str | None = None) -> DataFrame:
     """Columns of docs named in keep (all if None) with source_block, mix_slot (of the block) and mix_offset (in the block).
 
@@ -144,7 +153,8 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, block_rows: int
     names, rows = [r[0] for r in counts], sum(r[1] for r in counts)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bucket = max(1, min(BUCKET_ROWS, rows // (4 * partitions)))
-    sources = spark.createDataFrame([(n, math.ceil(r[1] / bucket), w) for n, r, w in zip(names, counts, weight, strict=True)], "__source string, __parts long, __weight long")
+    # From Arrow tables, as rows of lists would need a further kind of Python worker on each executor.
+    sources = spark.createDataFrame(pa.table({"__source": pa.array(names, pa.string()), "__parts": pa.array([math.ceil(r[1] / bucket) for r in counts], pa.int64()), "__weight": pa.array(weight, pa.int64())}))
     numbers = numbered(slim, "__source", F.xxhash64("__id", "__crc"), F.broadcast(sources) if len(names) <= BROADCAST_ROWS else sources)
     block = F.floor(F.col("__n") / block_rows)
     numbers = numbers.withColumns({"source_block": block, "mix_offset": (F.col("__n") % block_rows).cast("int"), "__period": F.floor(block / F.col("__weight")), "__place": block % F.col("__weight")})
@@ -152,11 +162,7 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, block_rows: int
     runs = phases(blocks, weight)
     starts = np.array([a for a, _, _ in runs], np.int64)
 
-    @F.pandas_udf("long")
-    def first_of(period: pd.Series) -> pd.Series:
-        return pd.Series(starts[np.searchsorted(starts, period.to_numpy(np.int64), side="right") - 1])
-
-    numbers = numbers.withColumn("__first", first_of("__period"))
+    numbers = numbers.withColumn("__first", start_of(starts, F.col("__period")))
 
     def slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -167,7 +173,7 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, block_rows: int
                 )
 
     # A row for each block of each simulated period; its size is known, so it is only broadcast where it is small.
-    table = spark.createDataFrame([(a, s) for a, _, s in runs], "first long, start long")
+    table = spark.createDataFrame(pa.table({"first": pa.array([a for a, _, _ in runs], pa.int64()), "start": pa.array([s for _, _, s in runs], pa.int64())}))
     schedule = table.mapInPandas(slots, "__source string, __first long, __place long, __slot long, __step long")
     size = min(int(blocks.sum()), len(runs) * int(weight.sum()))
     joined = numbers.join(F.broadcast(schedule) if size <= BROADCAST_ROWS else schedule, ["__source", "__first", "__place"])

@@ -263,6 +263,18 @@ def test_mixture_of_nothing(spark):
     assert mixing.mix(documents(spark).where("false")).count() == 0
 
 
+def test_mixing_finds_periods_without_python_workers(spark):
+    for n in (1, 2, 3, 8, 37):
+        starts = np.cumsum([0, *range(1, n)])
+        wanted = [int(starts[np.searchsorted(starts, p, side="right") - 1]) for p in range(int(starts[-1]) + 3)]
+        found = spark.range(len(wanted)).coalesce(1).select("id", mixing.start_of(starts, F.col("id")).alias("s")).collect()
+        assert [r.s for r in sorted(found)] == wanted
+    # Only the schedule runs Python; rows and its own small tables don't.
+    mixed = mixing.mix(documents(spark), {"src0": 3})
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "LocalTableScan [__source" in plan and "LocalTableScan [first" in plan
+
+
 # ---------------------------------------------------------------- html
 
 PAGES = [
