@@ -101,8 +101,11 @@ def identity_clusters(records: DataFrame, identity: float = 0.95, word: int = 10
 
     Longer sequences come first, then those with the lesser name. identity of a member is that to its representative, rounded down to 4 digits.
     """
-    named = records.select(F.col(name).alias("name"), F.col(seq).alias("seq")).where("length(seq) > 0").withColumn("__size", -F.length("seq"))
-    items = numbered(named, "pos", ["__size", "name", "seq"]).drop("__size")
+    # Copies of a sequence join the cluster that the first of them joins or stands for, so only distinct sequences are compared.
+    named = records.select(F.col(name).alias("name"), F.col(seq).alias("seq")).where("length(seq) > 0").groupBy("seq", "name").agg(F.count("*").alias("copies"))
+    named = cut_lineage(named)
+    distinct = named.groupBy("seq").agg(F.min(F.struct("name"))["name"].alias("lead")).withColumn("__size", -F.length("seq"))
+    items = numbered(distinct, "pos", ["__size", "lead", "seq"]).drop("__size")
     # Thousandths of a base, so that a budget like 0.1 * 30 is whole.
     budget = F.floor(F.round((1 - F.lit(identity)) * F.length("seq"), 6)).cast("int")
     items = items.withColumn("k", budget).withColumn("w", F.least(F.lit(word), F.floor(F.length("seq") / (F.col("k") + 1)).cast("int")))
@@ -114,7 +117,8 @@ def identity_clusters(records: DataFrame, identity: float = 0.95, word: int = 10
         found = _first_held(rest, rest.unionByName(heads), sizes or [1], head, tried, [1, -1] if both_strands else [1])
         judged = cut_lineage(rest.join(found, "pos", "left"))
         alone = F.col("first").isNull() & F.col("beyond").isNull()
-        heads = heads.unionByName(judged.where(alone).select(*items.columns))
+        # Written anew in each round, so that plans don't grow with rounds.
+        heads = cut_lineage(heads.unionByName(judged.where(alone).select(*items.columns)))
         sure = F.col("first").isNotNull() & (F.col("beyond").isNull() | (F.col("first") < F.col("beyond")))
         led = judged.where(~alone).join(heads.select(F.col("pos").alias("first"), F.lit(True).alias("led")), "first", "left").withColumn("led", F.coalesce("led", F.lit(False)) & sure)
         led = cut_lineage(led)
@@ -123,6 +127,11 @@ def identity_clusters(records: DataFrame, identity: float = 0.95, word: int = 10
         head, tried = 2 * head, 2 * tried
     own = numbered(heads.select("pos"), "cluster", ["pos"])
     placed = members.unionByName(heads.select("pos", F.col("pos").alias("first"), F.lit(0).alias("edits"), F.lit(1).alias("strand")))
-    out = placed.join(own.withColumnRenamed("pos", "first"), "first").join(items, "pos")
+    placed = placed.join(own.withColumnRenamed("pos", "first"), "first").join(items, "pos")
+    copies = named.select("seq", "name", F.posexplode(F.array_repeat(F.lit(True), F.col("copies").cast("int"))).alias("copy", "__t")).drop("__t")
+    # Of the copies of a representative one stands for the cluster; the others are members on the strand that a member would be.
+    is_rep = (F.col("pos") == F.col("first")) & F.col("name").eqNullSafe(F.col("lead")) & (F.col("copy") == 0)
+    turned = F.lit(both_strands) & (F.col("pos") == F.col("first")) & (F.col("seq") == reverse_complement(F.col("seq")))
+    out = placed.join(copies, "seq").withColumn("is_rep", is_rep).withColumn("strand", F.when(turned & ~F.col("is_rep"), -1).otherwise(F.col("strand")))
     part = F.floor((1 - F.col("edits") / F.length("seq")) * 10_000 + 1e-6) / 10_000
-    return out.select(F.col("cluster").cast("int").alias("cluster"), "name", F.length("seq").alias("length"), (F.col("pos") == F.col("first")).alias("is_rep"), part.alias("identity"), F.when(F.col("strand") == 1, "+").otherwise("-").alias("strand"))
+    return out.select(F.col("cluster").cast("int").alias("cluster"), "name", F.length("seq").alias("length"), "is_rep", part.alias("identity"), F.when(F.col("strand") == 1, "+").otherwise("-").alias("strand"))

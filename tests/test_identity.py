@@ -73,3 +73,19 @@ def test_clusters_equal_brute_force(spark, monkeypatch, threshold, word, both, h
 
 def test_no_records(spark):
     assert identity.identity_clusters(spark.createDataFrame([], "name string, seq string")).count() == 0
+
+
+def test_copies_are_compared_once(spark, monkeypatch):
+    asked = []
+    own = identity._first_held
+    monkeypatch.setattr(identity, "_first_held", lambda rest, *more: asked.append(rest.count()) or own(rest, *more))
+    known = families(5, 4, 5, 30, 60) + [("cg", "CG" * 20)]
+    records = [(f"{name}c{i}", s) for name, s in known for i in range(20)] + [("cgc0", "CG" * 20), (None, known[0][1])]
+    got = identity.identity_clusters(spark.createDataFrame(records, "name string, seq string").repartition(4), 0.9, 8).collect()
+    assert asked[0] == len({s for _, s in known})
+    assert len(got) == len(records) and sum(r.is_rep for r in got) == len({r.cluster for r in got})
+    want = slow([r for r in records if r[0]], 0.9, True)
+    own_seqs = {r[0]: r[1] for r in records}
+    # The copy without a name comes first of its length, which may number clusters anew, so clusters are compared as sets.
+    sets = lambda pairs: {frozenset(n for n, c in pairs if c == k) for k in {c for _, c in pairs}}
+    assert sets([(own_seqs[r.name], r.cluster) for r in got if r.name]) == sets([(own_seqs[n], c) for n, c in want.items()])
