@@ -178,7 +178,7 @@ def q12_merged_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def recruited(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The ambiguous reads with the clusters that the other reads form, and these clusters."""
     o = view(spark, sf_dir, "overhangs")
-    reps = cut_lineage(clustering.representatives(clustered(spark, sf_dir)))
+    reps = cut_lineage(clustering.cluster_reads(o.where("bucket <> 'ambiguous'"), only_sizes=True))
     return clustering.recruit(o.where("bucket = 'ambiguous'"), reps), reps
 
 
