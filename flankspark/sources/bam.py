@@ -18,17 +18,24 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
 from flankspark.sources.archives import _system
+from flankspark.sources.bam_batches import decode_all, encode_all
 
 SPLIT_BYTES = 32 << 20
-BATCH = 2000
+#: Splits of all files from which on they are larger than asked for.
+MANY_SPLITS = 256
+#: Records and bytes from which on a batch is full.
+BATCH, BATCH_BYTES = 8192, 8 << 20
+#: Of compression: files are about as small as at the usual 6, for a part of its time.
+LEVEL = 1
 #: Bytes of a record's tags, at most, where its start is searched.
 TAG_BYTES = 1 << 20
 #: Blocks that have to parse before a place counts as the start of a record.
@@ -45,6 +52,7 @@ COVERS = frozenset((0, 2, 3, 7, 8))
 _PAIRS = [BASES[i >> 4] + BASES[i & 15] for i in range(256)]
 _NUMBER = {c: i for i, c in enumerate(BASES)}
 _FIELDS = struct.Struct("<iiBBHHHiiii")
+_INT = struct.Struct("<i")
 _ARROW = pa.schema(
     [(n, pa.string()) for n in ("sample", "query_name", "reference")]
     + [(n, pa.int32()) for n in ("ref_length", "ref_start", "ref_end", "mapq", "flag", "nm")]
@@ -232,8 +240,20 @@ class Packer:
             self._put(bytes(self.held[: self.FULL]))
             del self.held[: self.FULL]
 
+    def add_all(self, data: bytes, ends: np.ndarray) -> None:
+        """Records, one behind the other, that end at ends."""
+        at = 0
+        while at < len(data):
+            # As many as fit into the block that is held.
+            i = int(np.searchsorted(ends, at + self.FULL - len(self.held), side="right"))
+            end = int(ends[i - 1]) if i else 0
+            if end <= at:
+                end = int(ends[np.searchsorted(ends, at, side="right")])
+            self.add(data[at:end])
+            at = end
+
     def _put(self, data: bytes) -> None:
-        squeeze = zlib.compressobj(6, zlib.DEFLATED, -15)
+        squeeze = zlib.compressobj(LEVEL, zlib.DEFLATED, -15)
         body = squeeze.compress(data) + squeeze.flush()
         self.sink.write(MAGIC + b"\0\0\0\0\0\xff\x06\0BC\x02\0" + struct.pack("<H", len(body) + 25) + body + struct.pack("<II", zlib.crc32(data), len(data)))
 
@@ -265,18 +285,34 @@ class _Reader(DataSourceReader):
         system, at = _system(self.path)
         info = system.get_file_info(at)
         files = [info] if info.is_file else sorted((i for i in system.get_file_info(fs.FileSelector(at)) if i.is_file and i.path.endswith(".bam")), key=lambda i: i.path)
-        return [Split(i.path, a, min(i.size, a + self.bytes)) for i in files for a in range(0, i.size, self.bytes)] or [Split("", 0, 0)]
+        # Where there are many, splits grow towards SPLIT_BYTES, so that a task's own costs stay small beside its records.
+        step = max(self.bytes, min(SPLIT_BYTES, -(-sum(i.size for i in files) // MANY_SPLITS)))
+        return [Split(i.path, a, min(i.size, a + step)) for i in files for a in range(0, i.size, step)] or [Split("", 0, 0)]
 
     def read(self, partition: Split) -> Iterator[pa.RecordBatch]:
-        rows = []
-        for row in self.records(partition):
-            rows.append(row)
-            if len(rows) == BATCH:
-                yield pa.RecordBatch.from_pylist(rows, _ARROW)
-                rows = []
-        yield pa.RecordBatch.from_pylist(rows, _ARROW)
+        references: list[tuple[str, int]] = []
+        held, starts, sizes, size = [], [], [], 0
+        for data, at, references in self._spans(partition):
+            if at:
+                # Records of a part of data lie one behind the other.
+                first, end = at[0][0], at[-1][0] + at[-1][1]
+                starts += [size + a - first for a, _ in at]
+                sizes += [n - 4 for _, n in at]
+                held.append(data[first:end])
+                size += end - first
+            if len(starts) >= BATCH or size >= BATCH_BYTES:
+                yield decode_all(b"".join(held), np.array(starts), np.array(sizes), references, _ARROW)
+                held, starts, sizes, size = [], [], [], 0
+        if starts:
+            yield decode_all(b"".join(held), np.array(starts), np.array(sizes), references, _ARROW)
 
     def records(self, split: Split) -> Iterator[dict]:
+        for data, at, references in self._spans(split):
+            for a, n in at:
+                yield decode(data[a + 4 : a + n], references)
+
+    def _spans(self, split: Split) -> Iterator[tuple[bytes, list[tuple[int, int]], list[tuple[str, int]]]]:
+        """Parts of the content with the (place, bytes with the size field) of the split's records in each, and the references."""
         if not split.path:
             return
         system = _system(self.path)[0]
@@ -304,12 +340,14 @@ class _Reader(DataSourceReader):
                 data += content
                 if at >= split.end and skip >= ours:
                     return
+                own = []
                 while skip + 4 <= len(data) and skip < ours:
-                    n = 4 + struct.unpack_from("<i", data, skip)[0]
+                    n = 4 + _INT.unpack_from(data, skip)[0]
                     if skip + n > len(data):
                         break
-                    yield decode(data[skip + 4 : skip + n], references)
+                    own.append((skip, n))
                     skip += n
+                yield data, own, references
                 if skip >= len(data):
                     skip, ours, data = skip - len(data), 0, b""
                 else:
@@ -337,7 +375,7 @@ class _Reader(DataSourceReader):
         return next((i for i in range(len(data)) if _parses(data, i, lengths)), None)
 
 
-class _Writer(DataSourceWriter):
+class _Writer(DataSourceArrowWriter):
     def __init__(self, options: dict):
         self.path, self.references = options["path"], [tuple(x) for x in json.loads(options["references"])]
 
@@ -346,19 +384,31 @@ class _Writer(DataSourceWriter):
         system.create_dir(at, recursive=True)
         numbers = {n: i for i, (n, _) in enumerate(self.references)}
         now = None
-        for row in iterator:
-            row = row.asDict(recursive=True)
-            if now is None or row["sample"] != now[0]:
-                self._finish(system, at, now)
-                name = f"{at}/_{uuid.uuid4().hex}"
-                sink = system.open_output_stream(name)
-                now = row["sample"], name, sink, Packer(sink)
-                text = "".join(f"@SQ\tSN:{n}\tLN:{k}\n" for n, k in self.references).encode() + f"@RG\tID:{row['sample']}\n".encode()
-                now[3].add(b"BAM\x01" + struct.pack("<i", len(text)) + text + struct.pack("<i", len(self.references)) + b"".join(struct.pack("<i", len(n.encode()) + 1) + n.encode() + b"\0" + struct.pack("<i", k) for n, k in self.references))
-            now[3].add(encode(row, numbers))
+        for batch in iterator:
+            for sample, rows in self._by_sample(batch):
+                if now is None or sample != now[0]:
+                    self._finish(system, at, now)
+                    name = f"{at}/_{uuid.uuid4().hex}"
+                    sink = system.open_output_stream(name)
+                    now = sample, name, sink, Packer(sink)
+                    text = "".join(f"@SQ\tSN:{n}\tLN:{k}\n" for n, k in self.references).encode() + f"@RG\tID:{sample}\n".encode()
+                    now[3].add(b"BAM\x01" + struct.pack("<i", len(text)) + text + struct.pack("<i", len(self.references)) + b"".join(struct.pack("<i", len(n.encode()) + 1) + n.encode() + b"\0" + struct.pack("<i", k) for n, k in self.references))
+                found = encode_all(rows, numbers)
+                if found:
+                    now[3].add_all(*found)
+                else:
+                    for row in rows.to_pylist():
+                        now[3].add(encode(row, numbers))
         self._finish(system, at, now)
         return WriterCommitMessage()
 
+    @staticmethod
+    def _by_sample(batch: pa.RecordBatch) -> Iterator[tuple[str | None, pa.RecordBatch]]:
+        codes = batch.column("sample").dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+        new = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else []
+        for a, b in zip(new, [*new[1:], len(codes)], strict=True) if len(codes) else []:
+            yield batch.column("sample")[int(a)].as_py(), batch.slice(a, b - a)
+
     @staticmethod
     def _finish(system: fs.FileSystem, at: str, now: tuple | None) -> None:
         if now:
@@ -395,5 +445,7 @@ def write_bam(rows: DataFrame, references: DataFrame, path: str) -> None:
     """
     rows.sparkSession.dataSource.register(Bam)
     known = sorted((r[0], r[1]) for r in references.select("reference", "length").collect())
-    dealt = rows.withColumn("__no", F.col("reference").isNull()).repartition("sample").sortWithinPartitions("sample", "__no", "reference", "ref_start", "query_name").drop("__no")
+    # A number that is given isn't lowered, so samples aren't brought together in few tasks.
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.withColumn("__no", F.col("reference").isNull()).repartition(n, "sample").sortWithinPartitions("sample", "__no", "reference", "ref_start", "query_name").drop("__no")
     dealt.write.format("alignments_bam").option("references", json.dumps(known)).mode("append").save(path)

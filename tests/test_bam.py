@@ -55,3 +55,43 @@ def test_records_cut_by_blocks(tmp_path):
         reader = bam._Reader({"path": str(tmp_path / "a.bam"), "split_bytes": str(max(size, 500))})
         parts = [[x["query_name"] for x in reader.records(p)] for p in reader.partitions()]
         assert [n for p in parts for n in p] == [x["query_name"] for x in rows]
+
+
+def test_batches_are_as_single_records(tmp_path):
+    import numpy as np
+    import pyarrow as pa
+    import pytest
+
+    from flankspark.sources import bam_batches
+
+    names = [f.split(" ")[0] for f in "sample query_name reference ref_length ref_start ref_end mapq flag nm cigar query_sequence zi zl zr za".split()]
+    rows = [dict(zip(names, x, strict=True)) for x in reads(500, 7)]
+    for i, x in enumerate(rows):
+        x["cigar"] = [{"op": a, "len": b} for a, b in x["cigar"]] if x["cigar"] else None
+        x["sample"] = None if i % 7 == 0 else x["sample"]
+        x["query_sequence"] = None if i % 11 == 0 else (x["query_sequence"] or "") + "acgtNnRx="[: i % 9]
+        x["nm"] = (None, 3, -1, 70000)[i % 4]
+    numbers = {n: i for i, (n, _) in enumerate(REFERENCES)}
+    batch = pa.RecordBatch.from_pylist(rows, bam._ARROW)
+    own = [bam.encode(x, numbers) for x in rows]
+    for part in (batch, batch.slice(13, 200), batch.slice(0, 0)):
+        got, ends = bam_batches.encode_all(part, numbers)
+        at = 13 if part.num_rows == 200 else 0
+        assert got == b"".join(own[at : at + part.num_rows]) and list(ends) == list(np.cumsum([len(x) for x in own[at : at + part.num_rows]]))
+    # Tags of all kinds, in other orders, some of them twice.
+    more = b"XAAxXBBS\x02\0\0\0\1\0\2\0XHH1AE3\0NMc\xfeXZZa text\0XFf\0\0\0\0ZLC\x02NMS\x05\0ZRC\0"
+    own += [struct.pack("<i", len(x) - 4 + len(more)) + x[4:] + more for x in own[:60]]
+    data, sizes = b"".join(own), np.array([len(x) for x in own])
+    want = pa.RecordBatch.from_pylist([bam.decode(x[4:], REFERENCES) for x in own], bam._ARROW)
+    found = bam_batches.decode_all(data, np.cumsum(sizes) - sizes, sizes - 4, REFERENCES, bam._ARROW)
+    assert found.to_pylist() == want.to_pylist()
+    assert bam_batches.encode_all(pa.RecordBatch.from_pylist([rows[1] | {"query_sequence": "AÄ"}], bam._ARROW), numbers) is None
+    with pytest.raises(ValueError):
+        bam_batches.encode_all(pa.RecordBatch.from_pylist([rows[1] | {"query_name": "x" * 300}], bam._ARROW), numbers)
+
+
+def test_splits_grow_with_files(tmp_path, monkeypatch):
+    (tmp_path / "a.bam").write_bytes(bytes(10_000))
+    monkeypatch.setattr(bam, "MANY_SPLITS", 10)
+    parts = bam._Reader({"path": str(tmp_path), "split_bytes": "100"}).partitions()
+    assert len(parts) == 10 and parts[-1].end == 10_000 and all(a.end == b.start for a, b in zip(parts, parts[1:], strict=False))
