@@ -38,9 +38,10 @@ def classify_nested(clusters: DataFrame, hsps: DataFrame, targets: DataFrame, li
     near = hits.join(sides, "rep_seq").where(reach).withColumn("junction_pos", F.when(F.col("side") == "left", F.col("send")).otherwise(F.col("sstart")))
     by = Window.partitionBy("rep_seq", "side")
     top = near.withColumn("most", F.max("bitscore").over(by)).where("bitscore = most")
-    one = by.orderBy(F.desc("pident"), "sseqid", "junction_pos", "send", "sstrand", "qstart", "qend")
-    best = top.withColumns({"tied_targets": F.array_sort(F.collect_set("sseqid").over(by)), "__r": F.row_number().over(one)}).where("__r = 1")
     more = [F.col("evalue")] if "evalue" in hsps.columns else []
+    # The longest of hits at one place; the rest of the order is there so that the choice doesn't depend on partitions.
+    one = by.orderBy(F.desc("pident"), "sseqid", "junction_pos", "send", "sstrand", "qstart", "qend", F.desc("length"), "qlen", "slen", "sstart", *more)
+    best = top.withColumns({"tied_targets": F.array_sort(F.collect_set("sseqid").over(by)), "__r": F.row_number().over(one)}).where("__r = 1")
     qcov = F.bround(F.col("length") / F.col("qlen"), 3).alias("qcov")
     best = best.select("rep_seq", "side", F.col("sseqid").alias("target"), F.col("slen").alias("target_len"), "junction_pos", "sstrand", "pident", "bitscore", F.size("tied_targets").alias("n_tied"), "tied_targets", F.col("length").alias("aln_len"), qcov, *more)
     any_hit = hits.select("rep_seq", F.lit(True).alias("any_hit")).distinct()
