@@ -26,7 +26,8 @@ def candidates(hsps: DataFrame, min_pident: float = 95.0, min_qcov: float = 0.90
     at, reach = junction(F.col("side"), F.col("sstart"), F.col("send"), F.col("qstart"), F.col("qend"), F.col("qlen"))
     h = h.withColumns({"ref_genome": name[0], "contig": name[1], "junction_pos0": at, "reach_ok": reach, "strand": F.when(F.col("sstrand") == "plus", "+").otherwise("-")})
     order = [F.desc("bitscore"), "evalue", "sstart", "contig", "send", "sstrand"]
-    one = Window.partitionBy("qseqid", "ref_genome", "contig", "junction_pos0").orderBy(*order)
+    # Hits at one place may still differ in what of the query they hold: the whole order, so that the choice doesn't depend on partitions.
+    one = Window.partitionBy("qseqid", "ref_genome", "contig", "junction_pos0").orderBy(*order, F.desc("reach_ok"), F.desc("length"), F.desc("pident"), "qstart", "qend", "qlen")
     by = Window.partitionBy("qseqid", "ref_genome")
     h = h.repartition("qseqid", "ref_genome").withColumn("__r", F.row_number().over(one)).where("__r = 1")
     h = h.withColumn("score_frac", F.col("bitscore") / F.max("bitscore").over(by)).where(F.col("score_frac") >= min_score)

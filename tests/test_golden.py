@@ -356,3 +356,19 @@ def test_recruiting_equals_brute_force(spark):
     got = clustering.recruit(a, b).select("read_id", "side", "cluster_id", "reason").collect()
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
     assert {x[3] for x in want} == {None, "tie", "no_match", "bad_side"}
+
+
+def test_tied_hits_are_chosen_alike_in_any_order(spark):
+    """Hits that differ only in what of the query they hold: the one that reaches the junction, or the longest, wherever it lies in the table."""
+    hit = lambda qstart, length: ("S0__E1__right__cluster1", "G0__c0", 99.0, length, qstart, 50, 50, 101, 150, "plus", 90.0, 0.001, "right")
+    kinds = "qseqid string, sseqid string, pident double, length int, qstart int, qend int, qlen int, sstart int, send int, sstrand string, bitscore double, evalue double, side string"
+    found = {"c": set(), "n": set()}
+    tied = [hit(2, 49), hit(1, 46), hit(1, 50), hit(2, 50)]
+    clusters = spark.createDataFrame([("S0", "E1", "right", 1, "A" * 50)], "sample string, is_element string, side string, cluster_id int, rep_seq string")
+    targets = spark.createDataFrame([("G0__c0", "db")], "target string, target_db string")
+    for rows in (tied, tied[::-1], tied[1:] + tied[:1], tied[2:] + tied[:2]):
+        h = spark.createDataFrame(rows, kinds).coalesce(1)
+        found["c"] |= {(r.reach_ok, r.length) for r in placement.candidates(h).collect()}
+        n = nested.classify_nested(clusters, h.drop("side").withColumns({"rep_seq": F.lit("A" * 50), "slen": F.lit(1000)}), targets)
+        found["n"] |= {(r.target, r.aln_len) for r in n.collect()}
+    assert found == {"c": {(True, 50)}, "n": {("G0__c0", 50)}}
